@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, media, mixing
+from . import exact_dedup, langid, media, mixing, packing, tokens
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
     "op2_media_columns": media.op2_media_columns,
+    "op4_token_counts": tokens.op4_token_counts,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_token_matrix": packing.op8_token_matrix,
+    "op9_best_fit": packing.op9_best_fit,
     "op10_language_id": langid.op10_language_id,
 }
 
