@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, media, mixing, packing, tokens
+from . import exact_dedup, langid, media, mixing, packing, tokens, urlfilter
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
     "op2_media_columns": media.op2_media_columns,
+    "op3_url_filter": urlfilter.op3_url_filter,
     "op4_token_counts": tokens.op4_token_counts,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_token_matrix": packing.op8_token_matrix,
@@ -14,4 +15,4 @@ QUERIES = {
     "op10_language_id": langid.op10_language_id,
 }
 
-ORACLE_SQL = {"op1_source_mix": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {"op1_source_mix": mixing.ORACLE, "op3_url_filter": urlfilter.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
