@@ -2,29 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapeline.llm import exact_dedup, langid, mixing
+from tapeline.llm import exact_dedup, jaccard, langid, mixing, packing
 from tapeline.llm.common import materialise, table
 
 #: Least probability of the predicted language that a document needs to stay.
 LEAST_SCORE = 0.5
 
+#: Tokens of a training sequence.
+CAPACITY = 2048
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without letters, or without a language more likely than all others together, go."""
-    trees = langid.train(docs)
-    found = langid.predict(docs, trees)
+    found = langid.predict(docs, langid.train(docs))
     return found.filter((found.lang_pred != "und") & (found.score >= LEAST_SCORE)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text, that with the largest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), that with the smallest doc_id."""
+    first = jaccard.jaccard_join(docs).filter("component_id = doc_id").select("doc_id")
+    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: 0 to 3 times."""
+    mixed = mixing.mix_sources(docs, with_text=True)
+    return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))).alias("copy"), "copies").filter("copies > 0").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' ids, packed into sequences."""
+    return packing.pack_pieces(materialise(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)), CAPACITY)
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact), ("jaccard_join", near), ("source_mix", mix), ("best_fit", pack)]
 
-#: Stages 1, 3 and 5 learn or search, which SQL can't express; tests/llm holds them against brute force.
+#: The first, third and fifth stage learn, search and pack, which SQL can't express; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 

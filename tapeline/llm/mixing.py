@@ -43,7 +43,7 @@ def source_targets(sizes: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int =
     return per.withColumn("copies", copies).withColumn("need", F.greatest(F.lit(0.0), F.col("target") - F.col("copies") * F.col("source_size"))).select("source", "sid", "weight", "source_size", "source_docs", "target", "copies", "need")
 
 
-def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3) -> DataFrame:
+def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, with_text: bool = False) -> DataFrame:
     """How often each document is taken, so that each source's words come near its target.
 
     Every document first gets the whole copies that are certain, floor(target / source size). What its source
@@ -56,13 +56,13 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3) -
     No window holds a source of any size: a histogram of sqrt(n) bins of the ratio finds the bin with the cut, and
     only its about sqrt(n) rows are put in order.
 
-    Columns: those of docs but text, then size, source_size, target, copies (whole documents taken), taken (words).
+    Columns: those of docs (text only if asked for), then size, source_size, target, copies (whole documents taken), taken (words).
     Null or empty texts have size 0 and take nothing; a null source is a source of its own, last; a null doc_id is
     hashed as an empty string; equal rows are sampled as separate documents in arbitrary order among themselves;
     an empty table gives an empty result. Extra columns are kept; columns named like the results are replaced.
     """
-    made = ("size", "source_size", "target", "copies", "taken", "text")
-    keep = [c for c in docs.columns if c not in made]
+    made = ("size", "source_size", "target", "copies", "taken")
+    keep = [c for c in docs.columns if c not in made and (with_text or c != "text")]
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     x = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long")
     rows = materialise(docs.select(F.struct(*keep).alias("row"), "doc_id", "source", size.alias("size"), ((x + F.lit(0.5)) / F.lit(float(2**52))).alias("u")))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html, langid, media, mixing, packing, tokens, urlfilter
+from . import exact_dedup, html, jaccard, langid, media, mixing, packing, tokens, urlfilter
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
     "op2_media_columns": media.op2_media_columns,
     "op3_url_filter": urlfilter.op3_url_filter,
     "op4_token_counts": tokens.op4_token_counts,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_main_text": html.op6_main_text,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_token_matrix": packing.op8_token_matrix,
