@@ -4,12 +4,11 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+from places import DATA, ROOT
+
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -140,7 +140,7 @@ def test_replay_keeps_what_was_known(spark):
 
 def test_gauntlet_equals_walk_forward(spark):
     """The backtest's completions are the sequence engine's: the floors play no part in these bars."""
-    from conftest import DATA
+    from places import DATA
 
     from tapeline.plans.bar_queries import bars as made
 

@@ -5,7 +5,7 @@ import subprocess
 import sys
 
 import pytest
-from conftest import DATA, ROOT
+from places import DATA, ROOT
 
 from tapeline.plans import registry
 
