@@ -28,9 +28,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), that with the smallest doc_id."""
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), that with the smallest doc_id. Rows without doc_id can't be told apart and stay."""
     first = jaccard.jaccard_join(docs).filter("component_id = doc_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

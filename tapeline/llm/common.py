@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import gc
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise, shared_dir  # noqa: F401
+
 #: Rows in one Arrow batch of whole texts: bounds a worker's memory when texts are long.
 BATCH_ROWS = 1000
 
@@ -21,26 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share.
-
-    Where that setting is missing (tests on one machine) a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="tapeline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tapeline-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, place: str | None = None) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: lineage ends there, and a lost executor costs nothing."""
-    spark = df.sparkSession
-    place = place or shared_dir(spark)
-    df.write.mode("overwrite").parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
-
-
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Lower the session's Arrow batch size to at most `rows` rows."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -69,6 +50,23 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0] : off[-1]], off - off[0]
 
 
+_held: dict = {}
+
+
+def worker_memory(name=None, make=None):
+    """What a worker process keeps between tasks of one operator, made when first asked for.
+
+    Python workers live on from one operator's tasks to the next one's: whatever other operators kept is let go.
+    """
+    if name not in _held:
+        if _held:
+            _held.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+        _held[name] = make() if make else None
+    return _held[name]
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

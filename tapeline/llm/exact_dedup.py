@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty
+from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
 
 #: Entries that a bucket holds before it is split.
 BUCKET_ROWS = 4096
@@ -49,6 +49,7 @@ def text_keys(docs: DataFrame) -> DataFrame:
 
 def _combine(batches):
     """One entry per text and batch, so that copies shrink before the shuffle."""
+    worker_memory("dedup")
     for batch in batches:
         at = pd.factorize(batch.column(batch.schema.get_field_index("sha")).to_pandas())[0]
         first = np.unique(at, return_index=True)[1]

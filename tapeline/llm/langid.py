@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_bytes, small_batches, table, text_or_empty
+from .common import flat_bytes, small_batches, table, text_or_empty, worker_memory
 
 #: Symbols of the trees: the 127 most frequent bytes of the training texts, and one for all others.
 SYMBOLS = 128
@@ -184,6 +184,7 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     lettered = docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def run(batches):
+        worker_memory("language")
         trees = shared.value
         for batch in batches:
             data, off = flat_bytes(batch.column(column))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +12,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, text_or_empty
+from .common import small_batches, table, text_or_empty, worker_memory
 
-#: Pre-tokens that a worker remembers; beyond that it starts anew with the proven ones.
-CACHE = 400_000
+#: Pre-tokens that a worker remembers (about 60 MB); beyond that it starts anew with the proven ones.
+CACHE = 300_000
 
 #: Longer pre-tokens are encoded each time.
 CACHED_CHARS = 64
@@ -167,23 +168,22 @@ class WordTexts:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.runs: dict[str, list[int]] = {"": []}
+        self.runs: dict[str, bytes] = {"": b""}
         self.cache = PreTokens(self._encode_all)
 
-    def _encode_all(self, words: list[str]) -> list[list[int]]:
+    def _encode_all(self, words: list[str]) -> list[np.ndarray]:
         """A word of letters and then marks is two pre-tokens, remembered each for itself, letters in lower case."""
         if len(self.runs) > CACHE:
-            self.runs = {"": []}
+            self.runs = {"": b""}
         cut = [LETTERS_MARKS.fullmatch(w) for w in words]
         need: dict[str, None] = {}
         for w, m in zip(words, cut):
             for part in (m[1].lower(), m[2]) if m else (w,):
                 if part and part not in self.runs:
                     need[part] = None
-        fresh = dict(zip(need, (e.ids for e in self.model.encode_batch_fast(list(need), add_special_tokens=False))))
-        if fresh:
-            self.runs.update(fresh)
-        return [self.runs[m[1].lower()] + (self.runs[m[2]] if m[2] else []) if m else self.runs[w] for w, m in zip(words, cut)]
+        if need:
+            self.runs.update(zip(need, (array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(list(need), add_special_tokens=False))))
+        return [np.frombuffer(self.runs[m[1].lower()] + self.runs[m[2]] if m else self.runs[w], np.uint32) for w, m in zip(words, cut)]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts = pc.ascii_split_whitespace(texts)
@@ -194,18 +194,9 @@ class WordTexts:
         return flat, _sums(per_part, offsets - offsets[0])
 
 
-_loaded: dict = {}
-
-
 def loaded(kind, path: str):
     """The tokenizer of this worker process, with its cache."""
-    if (kind, path) not in _loaded:
-        _loaded[kind, path] = kind(path)
-    return _loaded[kind, path]
-
-
-def whole(column) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return worker_memory(("tokenizer", path), lambda: kind(path))
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
