@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, shuffle_partitions, small_batches, table, text_or_empty
+from .common import materialise, mix64, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
 from .components import connected_components
 
 #: Counters of the frequency sketch: how often shingles that fall on a counter occur. A fixed 8 MB, whatever the corpus.
@@ -22,6 +22,9 @@ BLOCK = 2048
 #: Postings that a task gathers before it passes them on.
 FLUSH = 1 << 21
 
+#: Bloom filters have at most 2 ** 29 bits (64 MB).
+BLOOM_BITS = 29
+
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.05
 
@@ -63,20 +66,58 @@ def set_id(s: np.ndarray) -> int:
     return int(mix64(np.array([total & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
 
 
-def prefix(s: np.ndarray, sketch: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The rarest shingles of a set, in the order of (sketch count, hash): two sets of the similarity asked for share one of them.
+class Order:
+    """The global order of shingles, rarest first, as far as bounded tables tell it: any such order gives right results.
 
-    A set of n needs T = ceil(num n / den) common shingles, so it can do without any T - 1: the n - T + 1 rarest are its short lists.
+    First come shingles known to occur in one set only: of those counted (3 in 8, by their hash), the ones that the
+    filter of shared shingles doesn't have. The rest follow by (sketch count, hash).
     """
-    count = sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-    keep = len(s) - -(-num * len(s) // den) + 1
-    if keep < len(s):
-        part = np.argpartition(count, keep - 1)[:keep]
-        edge = count[part].max()
-        pool = np.flatnonzero(count <= edge)
-    else:
-        pool = np.arange(len(s))
-    return s[pool[np.lexsort((s[pool], count[pool]))[:keep]]]
+
+    def __init__(self, sketch: np.ndarray, regions: list[np.ndarray]):
+        self.sketch, self.regions, self.words = sketch, np.concatenate(regions), len(regions[0])
+        self.buckets = len(regions)
+
+    def alone(self, s: np.ndarray) -> np.ndarray:
+        out = counted(s)
+        v = s[out] >> np.uint64(16)
+        out[out] = ~self._shared(v)
+        return out
+
+    def _shared(self, v: np.ndarray) -> np.ndarray:
+        base = (bucket_of(v, self.buckets) * self.words).astype(np.int64)
+        ok = np.ones(len(v), bool)
+        for p in filter_places(v, self.words):
+            ok &= (self.regions[base + (p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return ok
+
+    def prefix(self, s: np.ndarray, num: int, den: int, all_of_it: bool = True) -> np.ndarray:
+        """The rarest shingles of a set: two sets of the similarity asked for share one of them.
+
+        A set of n needs T = ceil(num n / den) common shingles, so it can do without any T - 1: the n - T + 1 rarest are
+        its short lists. Unless all_of_it, those that occur in one set only are left out.
+        """
+        keep = len(s) - -(-num * len(s) // den) + 1
+        alone = self.alone(s)
+        lone = int(alone.sum())
+        if lone >= keep and not all_of_it:
+            return s[:0]
+        count = self.sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+        order = np.lexsort((s, count, ~alone))[:keep]
+        return s[order] if all_of_it else s[order[lone:]]
+
+
+def counted(s: np.ndarray) -> np.ndarray:
+    return (s & np.uint64(7)) < np.uint64(3)
+
+
+def bucket_of(v: np.ndarray, buckets: int) -> np.ndarray:
+    return (v >> np.uint64(32)) % np.uint64(buckets)
+
+
+def filter_places(v: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    m = mix64(v)
+    bits = np.uint64(64 * words)
+    return m % bits, (m >> np.uint64(31) ^ m * _ODD[1] >> np.uint64(7)) % bits
 
 
 class Index:
@@ -130,7 +171,7 @@ class Index:
         return found[reach], count[reach]
 
 
-def search_unit(sets: list[np.ndarray], block: np.ndarray, weight: np.ndarray, shingles: np.ndarray, sketch: np.ndarray, num: int, den: int):
+def search_unit(sets: list[np.ndarray], block: np.ndarray, weight: np.ndarray, shingles: np.ndarray, order: Order, num: int, den: int):
     """(root, links) per member: the least member that this unit's links lead to, and the documents linked.
 
     A pair is counted in the one unit that has the rarest shingle that both prefixes share; it joins them wherever it is found.
@@ -145,7 +186,7 @@ def search_unit(sets: list[np.ndarray], block: np.ndarray, weight: np.ndarray, s
 
     def rare(i: int) -> np.ndarray:
         if i not in prefixes:
-            prefixes[i] = prefix(sets[i], sketch, num, den)
+            prefixes[i] = order.prefix(sets[i], num, den)
         return prefixes[i]
 
     def top(i: int) -> int:
@@ -186,6 +227,7 @@ def _read_sets(docs: DataFrame, k: int) -> DataFrame:
     names = ["doc_id", "n", "fp", "chunk", "blob"]
 
     def run(batches):
+        worker_memory("jaccard")
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             sets = shingle_sets(batch.column(1), k)
@@ -224,32 +266,84 @@ def _sketch(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _postings(docs: DataFrame, k: int, num: int, den: int, sketch, buckets: int) -> DataFrame:
+def _pack(blobs: list[np.ndarray], bucket: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """One row per bucket, each of the arrays cut to it and stored as bytes."""
+    order = np.argsort(bucket, kind="stable")
+    at = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+    ends = np.append(at[1:], len(bucket))
+    cols = [pa.array([x[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()) for x in (y[order] for y in blobs)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[order][at].astype(np.int32)), *cols], names)
+
+
+def _shared_filter(docs: DataFrame, k: int, buckets: int, shingles: int) -> list[np.ndarray]:
+    """A Bloom filter, in regions by bucket, of the counted shingles that two and more sets have.
+
+    48 bits of each counted shingle of every set go to the task that owns its bucket; it sorts them and hands on only
+    its region of the filter. 4 bits per counted shingle, 64 MB in all at most: beyond that the filter gets fuller, and
+    more sets take part in the search.
+    """
+    bits = min(1 << BLOOM_BITS, 4 * max(shingles, 1) * 3 // 8)
+    words = max(16, -(-bits // 64 // buckets))
+
+    def send(batches):
+        seen: set[int] = set()
+        held, n = [], 0
+        for batch in batches:
+            for s in shingle_sets(batch.column(1), k):
+                if len(s) and (fp := set_id(s)) not in seen:
+                    seen.add(fp)
+                    held.append(s[counted(s)] >> np.uint64(16))
+                    n += len(held[-1])
+            if n > FLUSH:
+                yield pack(held)
+                held, n = [], 0
+        if n:
+            yield pack(held)
+
+    def pack(held):
+        v = np.concatenate(held)
+        return _pack([(v >> np.uint64(16)).astype("<u4"), (v & np.uint64(0xFFFF)).astype("<u2")], bucket_of(v, buckets).astype(np.int64), ["bucket", "high", "low"])
+
+    def own(batches):
+        high: dict[int, list] = {}
+        for batch in batches:
+            for c, a, b in zip(*(x.to_pylist() for x in batch.columns)):
+                high.setdefault(c, []).append((a, b))
+        for c in list(high):
+            parts = high.pop(c)
+            v = np.concatenate([np.frombuffer(a, "<u4").astype(np.uint64) << np.uint64(16) | np.frombuffer(b, "<u2").astype(np.uint64) for a, b in parts])
+            v.sort()
+            v = v[1:][v[1:] == v[:-1]]
+            region = np.zeros(words, np.uint64)
+            for p in filter_places(v, words):
+                np.bitwise_or.at(region, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([region.tobytes()], pa.binary())], ["bucket", "region"])
+
+    sent = docs.mapInArrow(send, "bucket int, high binary, low binary").repartition(buckets, "bucket")
+    out = [np.zeros(words, np.uint64)] * buckets
+    for r in sent.mapInArrow(own, "bucket int, region binary").collect():
+        out[r["bucket"]] = np.frombuffer(r["region"], np.uint64)
+    return out
+
+
+def _postings(docs: DataFrame, k: int, num: int, den: int, order, buckets: int) -> DataFrame:
     """(bucket, grams, sets): the short lists' postings, packed by bucket of shingles; equal sets of a task once."""
-    names = ["bucket", "grams", "sets"]
 
     def pack(grams: list[np.ndarray], owners: list[tuple[int, int]]):
         g = np.concatenate(grams)
         fp = np.repeat(np.array([f for f, _ in owners], np.int64), [n for _, n in owners])
-        bucket = (g % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        at = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
-        ends = np.append(at[1:], len(g))
-        g, fp = g[order], fp[order]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[order][at]), pa.array([g[a:b].tobytes() for a, b in zip(at, ends)], pa.binary()), pa.array([fp[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())], names)
+        return _pack([g, fp], (g % np.uint64(buckets)).astype(np.int64), ["bucket", "grams", "sets"])
 
     def run(batches):
-        counts = sketch.value
         seen: set[int] = set()
         grams, owners, held = [], [], 0
         for batch in batches:
             for s in shingle_sets(batch.column(1), k):
-                if not len(s) or (fp := set_id(s)) in seen:
+                if not len(s):
                     continue
-                seen.add(fp)
-                rare = prefix(s, counts, num, den)
-                rare = rare[counts[(rare >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] > 1]  # others occur in no second set
-                if len(rare):
+                rare = order.value.prefix(s, num, den, all_of_it=False)
+                if len(rare) and (fp := set_id(s)) not in seen:
+                    seen.add(fp)
                     grams.append(rare)
                     owners.append((fp, len(rare)))
                     held += len(rare)
@@ -323,10 +417,6 @@ def _units(batches):
         yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
 
-#: A Bloom filter of at most 2 ** 29 bits (64 MB).
-BLOOM_BITS = 29
-
-
 def _bloom(members: DataFrame) -> np.ndarray:
     """A Bloom filter of the sets in `members`, 16 bits a set up to the bound. It only spares shuffling other sets; a join follows."""
     n = members.count()
@@ -367,20 +457,18 @@ def _needed_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     return found.join(members, "fp", "left_semi").dropDuplicates(["fp"])
 
 
-def _search(sketch, num: int, den: int):
+def _search(order, num: int, den: int):
     """Over rows sorted by (leader, low, high, fp): one T-occurrence search per unit."""
     names = ["fp", "root", "links"]
 
     def run(batches):
-        counts = sketch.value
-
         def unit(rows):
             head = [r for r in rows if r[4] < 0]
             rows = [r for r in rows if r[4] >= 0]
             if len(rows) < 2 or not head:
                 return []
             sets = [np.frombuffer(r[6], np.uint64) for r in rows]
-            root, links, linked = search_unit(sets, np.array([r[4] for r in rows]), np.array([r[7] for r in rows], np.int64), np.frombuffer(head[0][5], np.int64).view(np.uint64), counts, num, den)
+            root, links, linked = search_unit(sets, np.array([r[4] for r in rows]), np.array([r[7] for r in rows], np.int64), np.frombuffer(head[0][5], np.int64).view(np.uint64), order.value, num, den)
             return [(rows[i][3], rows[root[i]][3], int(links[i])) for i in np.flatnonzero(linked)]
 
         now, rows = None, []
@@ -408,7 +496,8 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     so each gets the same component; extra columns are ignored; an empty table gives no rows. Without doc_id a row still links others.
 
     Exact but for 64-bit hashes of shingles and sets. Steps, each a Spark job over numpy blocks:
-    1. texts become sets; equal sets are one class; a sketch of fixed size counts shingles (its driver copy is 8 MB);
+    1. texts become sets; equal sets are one class; a sketch of fixed size counts shingles (its driver copy is 8 MB), and a filter of
+       at most 64 MB tells which of a fixed 3 in 8 of all shingles occur in two and more sets;
     2. by T-occurrence, a set of n that needs T common shingles keeps its n - T + 1 rarest ones as short lists; the lists
        with two and more sets are brought together, and those with the same least set are one unit;
     3. each unit's members bring their whole sets, and each is searched against the others by DivideSkip: short lists are
@@ -423,10 +512,11 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     read = materialise(_read_sets(texts, k))
     rows = read.filter("chunk is null").select("doc_id", "n", "fp")
-    sketch = spark.sparkContext.broadcast(_sketch(read))
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    order = spark.sparkContext.broadcast(Order(_sketch(read), _shared_filter(texts, k, parts, total)))
     classes = rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight"))
 
-    lists = _postings(texts, k, num, den, sketch, parts).repartition(parts, "bucket").mapInArrow(_lists, "leader long, gram long, members binary")
+    lists = _postings(texts, k, num, den, order, parts).repartition(parts, "bucket").mapInArrow(_lists, "leader long, gram long, members binary")
     units = lists.repartition(parts, "leader").sortWithinPartitions("leader").mapInArrow(_units, "leader long, low int, high int, fp long, block int, grams binary")
     units = materialise(units)
     heads, members = units.filter("block < 0"), units.filter("block >= 0").drop("grams")
@@ -435,7 +525,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     full = members.join(sets, "fp").select("leader", "low", "high", "fp", "block", F.lit(None).cast("binary").alias("grams"), "set", "weight")
     full = full.unionByName(heads.select("leader", "low", "high", "fp", "block", "grams", F.lit(None).cast("binary").alias("set"), F.lit(0).cast("long").alias("weight")))
     dealt = full.repartition(parts, "leader", "low", "high").sortWithinPartitions("leader", "low", "high", "fp")
-    found = materialise(dealt.mapInArrow(_search(sketch, num, den), "fp long, root long, links long"))
+    found = materialise(dealt.mapInArrow(_search(order, num, den), "fp long, root long, links long"))
 
     comp = connected_components(found, "fp", "root")
     named = comp.join(classes, comp.node == classes.fp).groupBy("component").agg(F.min("least").alias("component_id"))
