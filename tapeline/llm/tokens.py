@@ -158,6 +158,16 @@ class PieceTexts:
 LETTERS_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*)")
 
 
+def byte_symbols() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself if it is a printing Latin-1 character, else the next code point from 256 on."""
+    out, spare = {}, 256
+    for b in range(256):
+        plain = 33 <= b <= 126 or 161 <= b <= 255 and b != 173
+        out[b] = chr(b if plain else spare)
+        spare += not plain
+    return out
+
+
 class WordTexts:
     """Ids of whole texts under a lower-casing tokenizer of words that drops white space: a text's ids are those of its words in a row."""
 
@@ -169,20 +179,27 @@ class WordTexts:
         self.model.no_truncation()
         self.model.no_padding()
         self.runs: dict[str, bytes] = {"": b""}
+        self.symbols = byte_symbols()
         self.cache = PreTokens(self._encode_all)
 
+    def _merge(self, part: str) -> bytes:
+        """The ids of one pre-token, already in lower case and NFC: only the library's merges are left to do."""
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.symbols)
+        return array("I", [x.id for x in self.model.model.tokenize(part)]).tobytes()
+
     def _encode_all(self, words: list[str]) -> list[np.ndarray]:
-        """A word of letters and then marks is two pre-tokens, remembered each for itself, letters in lower case."""
+        """A word of letters and then marks is two pre-tokens, remembered each for itself, letters in lower case; other words go through the whole tokenizer."""
         if len(self.runs) > CACHE:
             self.runs = {"": b""}
         cut = [LETTERS_MARKS.fullmatch(w) for w in words]
-        need: dict[str, None] = {}
-        for w, m in zip(words, cut):
-            for part in (m[1].lower(), m[2]) if m else (w,):
-                if part and part not in self.runs:
-                    need[part] = None
-        if need:
-            self.runs.update(zip(need, (array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(list(need), add_special_tokens=False))))
+        odd = [w for w, m in zip(words, cut) if not m and w not in self.runs]
+        if odd:
+            self.runs.update(zip(odd, (array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(odd, add_special_tokens=False))))
+        for m in cut:
+            for part in (m[1].lower(), m[2]) if m else ():
+                if part not in self.runs:
+                    self.runs[part] = self._merge(part)
         return [np.frombuffer(self.runs[m[1].lower()] + self.runs[m[2]] if m else self.runs[w], np.uint32) for w, m in zip(words, cut)]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
