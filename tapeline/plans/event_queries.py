@@ -249,6 +249,9 @@ _RAW = {
     "chart_bars": (_charts, "select event_type as symbol, ts::date as date, round_even(min(value), 4) as open, round_even(max(value), 4) as high, round_even(min(value), 4) as low, round_even(max(value), 4) as close, count(*)::double as volume from events where value is not null group by 1, 2"),
     "index_bars": (_index_json, "select o_orderstatus as symbol, o_orderdate::date as date, o_totalprice as open, o_totalprice as high, o_totalprice as low, o_totalprice as close, 0.0::double as volume, 0.0::double as turnover from orders"),
     "watchlists": (_watchlists, None),
+    "newest_snapshot": (lambda s, d: bar_sources.newest_snapshot(s.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("snapshot_date"), "o_orderkey")), "select o_orderpriority as symbol, o_orderdate::date as snapshot_date, o_orderkey from orders where (o_orderpriority, o_orderdate::date) in (select (o_orderpriority, max(o_orderdate::date)) from orders group by o_orderpriority)"),
+    "fetch_state": (lambda s, d: events.new_state(*_orders(s, d)), "select max(o_orderdate)::timestamp as last_ts from orders"),
+    "high_priority_events": (lambda s, d: full_events(s, d).filter(F.col("severity").isin("High", "Critical")).select("event_id", "severity"), f"with {FULL} select event_id, severity from fe where severity in ('High', 'Critical')"),
 }
 
 
