@@ -79,6 +79,7 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, w
     upto = Window.partitionBy("sid").orderBy("bin")
     hist = hist.withColumn("through", F.sum("words").over(upto)).withColumn("before", F.col("through") - F.col("words"))
     cut = hist.filter(F.col("through") >= F.col("need")).groupBy("sid").agg(F.min("bin").alias("cut"), F.min_by("before", "bin").alias("before"))
+    cut = materialise(cut)  # a stored table's size is known, so small ones are broadcast and rows aren't dealt by source
     joined = joined.join(cut.withColumnRenamed("sid", "cut_sid"), F.col("sid") == F.col("cut_sid"), "left").drop("cut_sid")
 
     at_cut = F.coalesce(F.col("bin") == F.col("cut"), F.lit(False))
