@@ -80,7 +80,7 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     The longest rule that fits decides. The urls that rules decide also train two character models, accepted and
     rejected; every other url is allowed if its log-likelihood difference per character, in hundredths of a nat, reaches
     the threshold at which the rules' own verdicts are told best (largest sum of the two classes' rates of right
-    verdicts; the lowest such threshold wins a tie). If only one class was seen it is everyone's verdict, and with
+    verdicts; the middle of such thresholds). If only one class was seen it is everyone's verdict, and with
     none all are allowed. Equal urls get equal verdicts; urls are scored once each. A null url scores as an empty one.
     Rows stay as they are, repeated or not; columns named like the results are replaced; an empty table gives no rows.
 
@@ -115,8 +115,11 @@ def _threshold(scores: DataFrame) -> DataFrame:
     hist = hist.withColumn("goods", F.sum("good").over(whole)).withColumn("bads", F.sum("bad").over(whole))
     below = by.rowsBetween(Window.unboundedPreceding, -1)
     right = F.col("bads") * (F.col("goods") - F.coalesce(F.sum("good").over(below), F.lit(0))) + F.col("goods") * F.coalesce(F.sum("bad").over(below), F.lit(0))
-    best = hist.withColumn("right", right).agg(F.max("goods").alias("goods"), F.max("bads").alias("bads"), F.min_by("score_bin", F.struct(-F.col("right"), F.col("score_bin"))).alias("best"))
-    return best.select(F.when((F.col("bads") > 0) & (F.col("goods") > 0), F.col("best")).when(F.col("bads") > 0, high).otherwise(low).cast("long").alias("threshold"))
+    whole_best = hist.withColumn("right", right).withColumn("most", F.max("right").over(whole)).agg(
+        F.max("goods").alias("goods"), F.max("bads").alias("bads"), F.min(F.when(F.col("right") == F.col("most"), F.col("score_bin"))).alias("from"), F.max(F.when(F.col("right") == F.col("most"), F.col("score_bin"))).alias("to")
+    )
+    middle = F.floor((F.col("from") + F.col("to")) / 2)
+    return whole_best.select(F.when((F.col("bads") > 0) & (F.col("goods") > 0), middle).when(F.col("bads") > 0, high).otherwise(low).cast("long").alias("threshold"))
 
 
 def op3_url_filter(spark, sf_dir):
@@ -149,7 +152,8 @@ scores as (select url, ruled, floor(sum(gain)::double / count(*) / {FINE / BINS}
 hist as (select score_bin, count(*) filter (where ruled = 'allow') as good, count(*) filter (where ruled = 'block') as bad from scores group by score_bin),
 cum as (select *, sum(good) over () as goods, sum(bad) over () as bads, coalesce(sum(good) over (order by score_bin rows between unbounded preceding and 1 preceding), 0) as below_good,
     coalesce(sum(bad) over (order by score_bin rows between unbounded preceding and 1 preceding), 0) as below_bad from hist),
-best as (select score_bin from cum order by bads * (goods - below_good) + goods * below_bad desc, score_bin limit 1),
+rt as (select score_bin, bads * (goods - below_good) + goods * below_bad as points from cum),
+best as (select floor((min(score_bin) + max(score_bin)) / 2)::bigint as score_bin from rt where points = (select max(points) from rt)),
 cutoff as (select case when max(bads) > 0 and max(goods) > 0 then (select score_bin from best) when max(bads) > 0 then 4611686018427387904 else -4611686018427387904 end as threshold from cum)
 select u.page_id, u.host, u.path, fit.rule, coalesce(fit.ruled, case when scores.score_bin >= cutoff.threshold then 'allow' else 'block' end) as verdict,
     case when fit.ruled is null then 'model' else 'rule' end as verdict_by, scores.score_bin

@@ -86,9 +86,8 @@ def test_best_fit(spark, documents):
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     p = registry.QUERIES["op9_best_fit"](spark, DATA).toPandas()
-    for d, g in p.groupby("doc_id"):
-        text = documents.filter(documents.doc_id == int(d)).first()["text"] if len(p) < 5 else None
-        assert (g.sort_values("piece").start.diff().dropna() == 2048).all() and text is None
+    for _, g in p.groupby("doc_id"):
+        assert (g.sort_values("piece").start.diff().dropna() == 2048).all()
     ids = {r["doc_id"]: np.array(t.encode(r["text"] or "", add_special_tokens=False).ids + [0], "<u4") for r in documents.collect()}
     for r in p.itertuples():
         assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length]) == r.ids_crc32
