@@ -17,7 +17,7 @@ SKETCH_BITS = 20
 CHUNKS = 64
 
 #: Members of a unit that are searched in one go; larger units are cut into blocks, and pairs of blocks are searched.
-BLOCK = 2048
+BLOCK = 512
 
 #: Postings that a task gathers before it passes them on.
 FLUSH = 1 << 21
@@ -533,6 +533,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     links = found.groupBy("fp").agg(F.sum("links").alias("links"))
     by_class = classes.join(by_set, "fp", "left").join(links, "fp", "left")
     by_class = by_class.select("fp", F.coalesce("component_id", "least").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    by_class = materialise(by_class)  # so that the last join's large partitions, of sets with many copies, can be split
     out = rows.filter("n > 0").join(by_class, "fp").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links")
     alone = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(alone)
