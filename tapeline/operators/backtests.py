@@ -116,6 +116,7 @@ def completions_by_symbol(trades: DataFrame, top: int = 10) -> DataFrame:
 def conviction_text(trades: DataFrame) -> DataFrame:
     """A sentence on the leading score (volume before close before drift) and one on the conviction (tiers 70 and 40)."""
     v, c, d, conf = F.col("vol_score") * 100, F.col("close_score") * 100, F.col("drift_score") * 100, F.col("confidence")
+    # The sentences.
     pct = lambda x: F.floor(x + 0.5).cast("string")
     lead = (
         F.when((v >= c) & (v >= d), F.concat(F.lit("Volume surge of "), pct(v), F.lit("% vs the 20-period average is the primary driver.")))

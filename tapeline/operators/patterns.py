@@ -151,6 +151,7 @@ def _mood(pattern: Column) -> Column:
 def ticker_cards(labelled: DataFrame) -> DataFrame:
     """A card per symbol from its latest bar: the signal's name and the words in its brackets, else the anomaly and its mood."""
     has = F.col("signal") != NOTHING[0]
+    # Fixed value: the sentence on an anomaly.
     text = F.concat(F.lit("Advanced Anomaly Detected: "), F.col("anomaly"), F.lit(". Structural shifts observed in volume/price relationship."))
     return latest_bars(labelled, 1).select(
         "symbol",

@@ -108,6 +108,7 @@ def consensus(classified: DataFrame, weights: dict = WEIGHTS) -> DataFrame:
     score = sum((points(t) for t in weights), F.lit(0.0)) / total * 100
     df = df.select("symbol", *[F.coalesce(t, F.lit("None")).alias(f"{t}_sentiment") for t in weights], *[points(t).alias(f"{t}_score") for t in weights], score.alias("score"))
     s = F.col("score")
+    # The limits and names of the ratings.
     stars = F.when(s == 100, 5).when(s > 10, 4).when(s >= -10, 3).when(s > -100, 2).otherwise(1)
     names = F.when(s == 100, "Strong Buy").when(s > 10, "Cautious Bullish").when(s >= -10, "Mixed Trend").when(s > -100, "Cautious Bearish").otherwise("Strong Sell")
     return df.withColumn("stars", stars).withColumn("rating", names)
