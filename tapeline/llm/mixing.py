@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, table
+from .common import WORD, materialise, shuffle_partitions, table
 
-#: Sources of up to this many documents are ranked in one window; larger ones are first cut by a histogram of sqrt(n) bins.
+#: The SQL twin's documents of a source in one window: a larger source it cuts by a histogram of sqrt(n) bins, and fills from the bin of the cut only.
 ONE_WINDOW = 4096
 
+#: Documents in a range of the order that is stored to find the cuts, about.
+RANGE_ROWS = 32_768
+
 #: Passes that fill what the sample's last document left over.
 FILLS = 4
 
@@ -53,8 +56,9 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, w
     (the common factor that makes the sample's size fixed is the ratio at the cut). Documents that fit what is left
     are then taken in the same order, and one more if that comes nearer.
 
-    No window holds a source of any size: a histogram of sqrt(n) bins of the ratio finds the bin with the cut, and
-    only its about sqrt(n) rows are put in order.
+    All documents of a source can fill, whatever its size. No window holds a source: ids and sizes are stored in ranges
+    of the order, of about equal rows whatever the ratios; in each pass the ranges' sums tell the one with the cut, and
+    only its rows are added up one by one.
 
     Columns: those of docs (text only if asked for), then size, source_size, target, copies (whole documents taken), taken (words).
     Null or empty texts have size 0 and take nothing; a null source is a source of its own, last; a null doc_id is
@@ -65,43 +69,62 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, w
     keep = [c for c in docs.columns if c not in made and (with_text or c != "text")]
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     x = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long")
-    rows = materialise(docs.select(F.struct(*keep).alias("row"), "doc_id", "source", size.alias("size"), ((x + F.lit(0.5)) / F.lit(float(2**52))).alias("u")))
+    rows = docs.select(F.struct(*keep).alias("row"), "doc_id", "source", size.alias("size"), ((x + F.lit(0.5)) / F.lit(float(2**52))).alias("u"))
+    rows = materialise(rows.withColumn("n", F.monotonically_increasing_id()))  # once stored, n tells equal rows apart
     goals = materialise(source_targets(rows, weights, max_repeat))
 
     share = F.col("need") / F.col("source_size")
     odds = share / (1 - share) * F.col("size") * F.col("source_docs") / F.col("source_size")
-    bins = F.when(F.col("source_docs") <= ONE_WINDOW, F.lit(1.0)).otherwise(F.ceil(F.sqrt(F.col("source_docs").cast("double"))))
     joined = rows.alias("r").join(goals.withColumnRenamed("source", "goal").alias("g"), F.col("source").eqNullSafe(F.col("goal")), "left").drop("goal")
     joined = joined.withColumn("q", F.when((F.col("size") > 0) & (F.col("need") > 0), F.col("u") / (1 - F.col("u")) / odds))
-    joined = joined.withColumn("bin", F.when(F.col("q").isNotNull(), F.least(F.floor(F.col("q") / (1 + F.col("q")) * bins), bins - 1).cast("long")))
-
-    hist = joined.filter(F.col("bin").isNotNull()).groupBy("sid", "bin").agg(F.sum("size").alias("words"), F.first("need").alias("need"))
-    upto = Window.partitionBy("sid").orderBy("bin")
-    hist = hist.withColumn("through", F.sum("words").over(upto)).withColumn("before", F.col("through") - F.col("words"))
-    cut = hist.filter(F.col("through") >= F.col("need")).groupBy("sid").agg(F.min("bin").alias("cut"), F.min_by("before", "bin").alias("before"))
-    cut = materialise(cut)  # a stored table's size is known, so small ones are broadcast and rows aren't dealt by source
-    joined = joined.join(cut.withColumnRenamed("sid", "cut_sid"), F.col("sid") == F.col("cut_sid"), "left").drop("cut_sid")
-
-    at_cut = F.coalesce(F.col("bin") == F.col("cut"), F.lit(False))
-    sure = joined.filter(~at_cut).withColumn("extra", F.coalesce(F.when(F.col("bin") < F.col("cut"), F.lit(1)), F.lit(0)))
-    edge = joined.filter(at_cut).withColumn("extra", F.lit(0)).withColumn("left", F.col("need") - F.col("before"))
-    inside = Window.partitionBy("sid")
-    ranked = inside.orderBy("q", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+
+    cuts = _cuts(joined.filter("q is not null").select("sid", "q", "doc_id", "size", "n"), goals.select("sid", "need"))
+    joined = joined.join(cuts.withColumnRenamed("sid", "cut_sid"), F.col("sid") == F.col("cut_sid"), "left").drop("cut_sid")
+    place = F.struct("q", "doc_id", "size", "n")
+    taken = F.exists("passes", lambda p: (F.col("size") <= p["left"]) & (place <= p["last"])) | (F.col("n") == F.col("one_more"))
+    extra = F.coalesce(F.when(F.col("q").isNotNull() & taken, F.lit(1)), F.lit(0))
+    copies = F.when(F.col("size") > 0, F.col("copies") + extra).otherwise(F.lit(0)).cast("long")
+    return joined.select("row.*", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
+
+
+def _cuts(keys: DataFrame, goals: DataFrame) -> DataFrame:
+    """Per source (sid): passes, the (left, last) of each pass, and one_more, the n of the document that comes nearer.
+
+    A pass takes documents of up to `left` words, in order, to the place `last`. Places only grow and `left` only shrinks:
+    what a pass goes by is taken or too large for all later ones.
+    """
+    ranges = max(shuffle_partitions(keys.sparkSession), -(-keys.count() // RANGE_ROWS))
+    order = ["sid", "q", "doc_id", "size", "n"]
+    keys = keys.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    keys = materialise(keys.withColumn("pos", F.monotonically_increasing_id()))  # grows along the order; its upper bits are the range
+    part = F.shiftright("pos", 33)
+    goals = goals.filter("need > 0")
+    state = goals.withColumn("left", F.col("need")).withColumn("last", F.lit(-1).cast("long")).withColumn("passes", F.expr("cast(array() as array<struct<left:double,pos:bigint>>)"))
+    by = Window.partitionBy("sid").orderBy("part")
     for k in range(1 + FILLS):
-        fits = (F.col("extra") == 0) & (F.lit(k == 0) | (F.col("size") <= F.col("left")))
-        edge = edge.withColumn("run", F.sum(F.when(fits, F.col("size")).otherwise(F.lit(0))).over(ranked))
-        edge = edge.withColumn("got", F.when(fits & (F.col("run") <= F.col("left")), F.col("size")).otherwise(F.lit(0)))
-        edge = edge.withColumn("extra", F.when(F.col("got") > 0, F.lit(1)).otherwise(F.col("extra")))
-        edge = edge.withColumn("left", F.col("left") - F.sum("got").over(inside))
-    near = (F.col("extra") == 0) & (F.col("size") < 2 * F.col("left"))
-    best = F.row_number().over(inside.orderBy(F.when(near, F.lit(0)).otherwise(F.lit(1)), "size", "q", "doc_id"))
-    edge = edge.withColumn("extra", F.when(near & (best == 1), F.lit(1)).otherwise(F.col("extra")))
-
-    cols = ["row", "size", "source_size", "target", "copies", "extra"]
-    out = sure.select(*cols).unionByName(edge.select(*cols))
-    copies = (F.col("copies") + F.col("extra")).cast("long")
-    copies = F.when(F.col("size") > 0, copies).otherwise(F.lit(0))
-    return out.select("row.*", "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
+        fits = (F.col("pos") > F.col("last")) & (F.lit(k == 0) | (F.col("size") <= F.col("left")))
+        able = keys.join(state.select("sid", "left", "last"), "sid").filter(fits).withColumn("part", part)
+        sums = able.groupBy("sid", "part").agg(F.sum("size").alias("words"), F.max("pos").alias("top"), F.first("left").alias("left"))
+        sums = sums.withColumn("before", F.sum("words").over(by) - F.col("words")).withColumn("before_top", F.max("top").over(by.rowsBetween(Window.unboundedPreceding, -1)))
+        sums = materialise(sums)
+        if not sums.head(1):  # no document fits, nor will one in later passes
+            break
+        cut = sums.filter(F.col("before") + F.col("words") > F.col("left")).groupBy("sid").agg(F.min("part").alias("part"), F.min_by("before", "part").alias("before"), F.min_by("before_top", "part").alias("before_top"))
+        cut = materialise(cut)
+        run = F.col("before") + F.sum("size").over(Window.partitionBy("sid", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+        inside = able.join(cut.drop("before_top"), ["sid", "part"]).withColumn("run", run).filter("run <= left").groupBy("sid").agg(F.max("run").alias("got"), F.max("pos").alias("to"))
+        at_cut = cut.join(inside, "sid", "left").select("sid", F.coalesce("got", "before").alias("got"), F.coalesce("to", "before_top").alias("to"))
+        all_fit = sums.join(cut, "sid", "left_anti").groupBy("sid").agg(F.sum("words").alias("got"), F.max("top").alias("to"))
+        step = F.struct((F.lit(float("inf")) if k == 0 else F.col("left")).alias("left"), F.coalesce("to", "last").alias("pos"))
+        state = state.join(at_cut.unionByName(all_fit), "sid", "left").withColumn("passes", F.concat("passes", F.array(step)))
+        state = materialise(state.select("sid", (F.col("left") - F.coalesce("got", F.lit(0))).alias("left"), F.coalesce("to", "last").alias("last"), "passes"))
+
+    free = keys.join(state.select("sid", "left", "passes"), "sid").filter((F.col("size") < 2 * F.col("left")) & ~F.exists("passes", lambda p: (F.col("size") <= p["left"]) & (F.col("pos") <= p["pos"])))
+    more = free.groupBy("sid").agg(F.min_by("n", F.struct("size", "pos")).alias("one_more"))
+    steps = state.select("sid", F.explode("passes").alias("p")).select("sid", "p.left", "p.pos").filter("pos >= 0")
+    steps = steps.join(keys.select("pos", F.struct("q", "doc_id", "size", "n").alias("last")), "pos")
+    found = steps.groupBy("sid").agg(F.collect_list(F.struct("left", "last")).alias("passes"))
+    return materialise(state.select("sid").join(found, "sid", "left").join(more, "sid", "left"))
 
 
 def op1_source_mix(spark, sf_dir):

@@ -1,6 +1,7 @@
 """Each operator and pipeline stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import collections
+import hashlib
 import random
 import re
 from itertools import combinations
@@ -103,6 +104,36 @@ def test_mix_cuts_large_sources_by_histogram(spark):
     assert all(abs(r["taken"] - r["target"]) <= 20 for r in by)
 
 
+def test_mix_fills_large_sources_from_all_documents(spark):
+    """Sources beyond 4096 documents follow the rule as small ones do, also if the first document in order is longer than the words needed."""
+
+    def odds(i):
+        u = (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        return u / (1 - u)
+
+    giant = min(range(5001), key=odds)
+    sizes = [100_000 if i == giant else 100 for i in range(5001)]
+    rows = [(i, "big", "w " * n) for i, n in enumerate(sizes)] + [(9000 + i, "z", "w " * 20_000) for i in range(30)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string"), weights=(1.0, 18.0)).filter("source = 'big'").collect()
+    need = got[0]["target"]
+    assert len(got) == 5001 and 20_000 < need < 100_000 and {r["copies"] for r in got} <= {0, 1}
+
+    taken, left = set(), need
+    order = sorted(range(5001), key=lambda i: odds(i) / sizes[i])
+    assert order[0] == giant
+    for k in range(1 + mixing.FILLS):
+        room = left
+        for i in [i for i in order if i not in taken and (k == 0 or sizes[i] <= room)]:
+            if sizes[i] > left:
+                break
+            taken.add(i)
+            left -= sizes[i]
+    near = [i for i in order if i not in taken and sizes[i] < 2 * left]
+    taken |= {min(near, key=lambda i: sizes[i])} if near else set()
+    assert {r["doc_id"] for r in got if r["copies"]} == taken
+    assert abs(sum(r["taken"] for r in got) - need) <= 50
+
+
 def test_target_levels(spark):
     df = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 10), (None, 500)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
