@@ -19,6 +19,9 @@ CHUNKS = 64
 #: Members of a unit that are searched in one go; larger units are cut into blocks, and pairs of blocks are searched.
 BLOCK = 512
 
+#: Shingles of a block's sets together, about; a single larger set can't be cut.
+BLOCK_SHINGLES = 1 << 20
+
 #: Postings that a task gathers before it passes them on.
 FLUSH = 1 << 21
 
@@ -357,7 +360,7 @@ def _postings(docs: DataFrame, k: int, num: int, den: int, order, buckets: int)
 
 
 def _lists(batches):
-    """Owner of buckets: the lists of two and more sets, each under its leader, the least set in it."""
+    """Owner of buckets: of the lists of two and more sets (leader, gram), and (leader, fp) of their members. A list's leader is the least set in it."""
     grams, sets = [], []
     for batch in batches:
         grams += [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
@@ -374,47 +377,45 @@ def _lists(batches):
     ends = np.append(at[1:], len(g))
     many = ends - at > 1
     at, ends = at[many], ends[many]
-    for k in range(0, len(at), 5000):
-        a, b = at[k : k + 5000], ends[k : k + 5000]
-        yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(g[a].view(np.int64)), pa.array([fp[x:y].tobytes() for x, y in zip(a, b)], pa.binary())], ["leader", "gram", "members"])
-
-
-def _units(batches):
-    """Rows sorted by leader: a leader's lists together are a unit. Its members come as rows, once per pair of blocks, and its shingles with block -1."""
-    names = ["leader", "low", "high", "fp", "block", "grams"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-
-    def unit(leader: int, grams: list[int], members: list[np.ndarray]):
-        fp = np.unique(np.concatenate(members))
-        n = -(-len(fp) // BLOCK)
-        block = (mix64(fp.view(np.uint64)) % np.uint64(n)).astype(np.int32)
-        blob = np.array(grams, np.int64).tobytes()
-        for low in range(n):
-            for high in range(low, n):
-                here = np.flatnonzero((block == low) | (block == high))
-                if len(here) < 2:
-                    continue
-                m = len(here) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, v, t)) for v, t in ((leader, np.int64), (low, np.int32), (high, np.int32))] + [pa.array(np.append(fp[here], 0)), pa.array(np.append(block[here], -1).astype(np.int32)), pa.array([None] * (m - 1) + [blob], pa.binary())], names)
+    names = ["leader", "gram", "fp"]
+    by = np.argsort(fp[at], kind="stable")  # a leader's lists follow each other, so most of its members are told once
+    at, ends = at[by], ends[by]
+    yield pa.RecordBatch.from_arrays([pa.array(fp[at]), pa.array(g[at].view(np.int64)), pa.nulls(len(at), pa.int64())], names)
+    upto = np.cumsum(ends - at)
+    start = 0
+    while start < len(at):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + FLUSH, "right")))
+        x, y = at[start:stop], ends[start:stop]
+        lead = np.repeat(fp[x], y - x)
+        member = np.concatenate([fp[i:j] for i, j in zip(x, y)])
+        order = np.lexsort((member, lead))
+        lead, member = lead[order], member[order]
+        once = np.append(True, (lead[1:] != lead[:-1]) | (member[1:] != member[:-1]))
+        lead, member = lead[once], member[once]
+        for k in range(0, len(lead), 50_000):
+            some = lead[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.nulls(len(some), pa.int64()), pa.array(member[k : k + 50_000])], names)
+        start = stop
+
+
+def _units(lists: DataFrame, sizes: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
+    """A leader's lists together are a unit: (leader, fp, block, blocks) of the members, and (leader, low, high, grams) of each pair of blocks.
+
+    Members are dealt by set, never by leader. Units of more than a block are told to all tasks, a row each.
+    """
+    members = lists.filter("fp is not null").select("leader", "fp").join(sizes, "fp").distinct()
+    members = materialise(members)
+    per = members.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    blocks = F.least("sets", F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+    large = materialise(per.select("leader", blocks.cast("int").alias("blocks")).filter("blocks > 1"))
+    members = members.join(F.broadcast(large), "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    members = members.select("leader", "fp", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"), "blocks")
 
-    now, grams, members, out, rows = None, [], [], [], 0
-    for batch in batches:
-        for leader, gram, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if leader != now:
-                if members:
-                    for b in unit(now, grams, members):
-                        out.append(b)
-                        rows += b.num_rows
-                    if rows > 20_000:
-                        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                        out, rows = [], 0
-                now, grams, members = leader, [], []
-            grams.append(gram)
-            members.append(np.frombuffer(blob, np.int64))
-    if members:
-        out += list(unit(now, grams, members))
-    if out:
-        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+    heads = materialise(lists.filter("gram is not null").groupBy("leader").agg(F.collect_list("gram").alias("grams")))  # some of the leader's own shingles
+    one = heads.join(F.broadcast(large), "leader", "left_anti").select("leader", F.lit(0).alias("low"), F.lit(0).alias("high"), "grams")
+    many = heads.join(F.broadcast(large), "leader").withColumn("low", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).repartition(parts, "leader", "low")
+    many = many.withColumn("high", F.explode(F.sequence(F.col("low"), F.col("blocks") - 1))).select("leader", "low", "high", "grams")
+    return members, one.unionByName(many)
 
 
 def _bloom(members: DataFrame) -> np.ndarray:
@@ -468,7 +469,7 @@ def _search(order, num: int, den: int):
             if len(rows) < 2 or not head:
                 return []
             sets = [np.frombuffer(r[6], np.uint64) for r in rows]
-            root, links, linked = search_unit(sets, np.array([r[4] for r in rows]), np.array([r[7] for r in rows], np.int64), np.frombuffer(head[0][5], np.int64).view(np.uint64), order.value, num, den)
+            root, links, linked = search_unit(sets, np.array([r[4] for r in rows]), np.array([r[7] for r in rows], np.int64), np.array(head[0][5], np.int64).view(np.uint64), order.value, num, den)
             return [(rows[i][3], rows[root[i]][3], int(links[i])) for i in np.flatnonzero(linked)]
 
         now, rows = None, []
@@ -501,9 +502,10 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     2. by T-occurrence, a set of n that needs T common shingles keeps its n - T + 1 rarest ones as short lists; the lists
        with two and more sets are brought together, and those with the same least set are one unit;
     3. each unit's members bring their whole sets, and each is searched against the others by DivideSkip: short lists are
-       merged, long ones probed by binary search. Units of more than BLOCK sets are split into pairs of blocks;
+       merged, long ones probed by binary search. Units of more than BLOCK sets or BLOCK_SHINGLES shingles are split into
+       pairs of blocks by Spark, so that no task forms a whole unit;
     4. a unit hands on one edge per linked member, and components are found by large-star and small-star rounds.
-    No pairs leave a task, and no key brings more than BLOCK * 2 sets to one search.
+    No pairs leave a task, and no key brings more than about BLOCK * 2 sets to one search.
     """
     spark = docs.sparkSession
     num, den = percent, 100
@@ -516,14 +518,14 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     order = spark.sparkContext.broadcast(Order(_sketch(read), _shared_filter(texts, k, parts, total)))
     classes = rows.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("weight"))
 
-    lists = _postings(texts, k, num, den, order, parts).repartition(parts, "bucket").mapInArrow(_lists, "leader long, gram long, members binary")
-    units = lists.repartition(parts, "leader").sortWithinPartitions("leader").mapInArrow(_units, "leader long, low int, high int, fp long, block int, grams binary")
-    units = materialise(units)
-    heads, members = units.filter("block < 0"), units.filter("block >= 0").drop("grams")
+    lists = materialise(_postings(texts, k, num, den, order, parts).repartition(parts, "bucket").mapInArrow(_lists, "leader long, gram long, fp long"))
+    sizes = rows.filter("n > 0").groupBy("fp").agg(F.max("n").alias("n"))
+    members, heads = _units(lists, sizes, parts)
     involved = members.select("fp").distinct()
     sets = _needed_sets(texts, involved, k).join(classes.select("fp", "weight"), "fp").withColumnRenamed("grams", "set")
-    full = members.join(sets, "fp").select("leader", "low", "high", "fp", "block", F.lit(None).cast("binary").alias("grams"), "set", "weight")
-    full = full.unionByName(heads.select("leader", "low", "high", "fp", "block", "grams", F.lit(None).cast("binary").alias("set"), F.lit(0).cast("long").alias("weight")))
+    full = members.join(sets, "fp").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    full = full.select("leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "block", F.lit(None).cast("array<long>").alias("grams"), "set", "weight")
+    full = full.unionByName(heads.select("leader", "low", "high", F.lit(0).cast("long").alias("fp"), F.lit(-1).alias("block"), "grams", F.lit(None).cast("binary").alias("set"), F.lit(0).cast("long").alias("weight")))
     dealt = full.repartition(parts, "leader", "low", "high").sortWithinPartitions("leader", "low", "high", "fp")
     found = materialise(dealt.mapInArrow(_search(order, num, den), "fp long, root long, links long"))
 

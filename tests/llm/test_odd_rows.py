@@ -134,6 +134,33 @@ def test_mix_fills_large_sources_from_all_documents(spark):
     assert abs(sum(r["taken"] for r in got) - need) <= 50
 
 
+@pytest.mark.parametrize("bound, value", [("BLOCK", 8), ("BLOCK_SHINGLES", 512)])
+def test_jaccard_hot_unit_is_formed_by_many_tasks(spark, monkeypatch, bound, value):
+    """No task writes all members of a unit of many blocks, whether sets or shingles make it large; links are those of brute force."""
+    monkeypatch.setattr(jaccard, bound, value, raising=False)
+    stored = []
+    monkeypatch.setattr(jaccard, "materialise", lambda df, keep=jaccard.materialise: stored.append(keep(df)) or stored[-1])
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for d in range(70):
+        words = list(base)
+        words[rng.randrange(60)] = f"x{d % 35}"
+        docs.append((d, " ".join(words)))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), 3, 80).collect()}
+    finally:
+        spark.conf.unset(key)
+    assert got == brute_jaccard(docs, 3, 80)
+    by_leader = [df for df in stored if {"leader", "fp"} <= set(df.columns) and "gram" not in df.columns]
+    assert by_leader
+    for df in by_leader:
+        files = df.filter("fp != 0").withColumn("file", F.input_file_name()).groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"))
+        assert files.orderBy(F.desc("n")).first()["files"] > 1
+
+
 def test_target_levels(spark):
     df = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 10), (None, 500)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
