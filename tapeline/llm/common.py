@@ -6,6 +6,7 @@ import gc
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,20 +15,32 @@ from ..sources.shared import materialise, shared_dir  # noqa: F401
 #: Rows in one Arrow batch of whole texts: bounds a worker's memory when texts are long.
 BATCH_ROWS = 1000
 
+#: Bytes of text in one Arrow batch, so that a batch of very long texts has few rows.
+BATCH_BYTES = 16 << 20
+
 #: The white space of the word rule `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: For each byte, whether it belongs to a word, and its lower case (A-Z only).
+IN_WORD = np.ones(256, bool)
+IN_WORD[[32, *range(9, 14)]] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+#: Longer words are hashed one by one.
+LONG_WORD = 256
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size to at most `rows` rows."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+    """Lower the session's Arrow batches to at most `rows` rows and about BATCH_BYTES: a smaller setting of the caller's stays."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).removesuffix("b")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -80,3 +93,45 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, words before each text) of the words of texts that lie one behind the other in `data`."""
+    inside = IN_WORD[data]
+    start, last = inside.copy(), inside.copy()
+    start[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    full = off[:-1] < off[1:]
+    start[off[:-1][full]] = inside[off[:-1][full]]
+    last[off[1:][full] - 1] = inside[off[1:][full] - 1]
+    starts = np.flatnonzero(start)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, off)
+
+
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """A view of the 8 bytes from each place on as one little-endian number; `data` is followed by zeros."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(data) + 1,), (1,))
+
+
+#: Masks of the lowest 0 to 8 bytes.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word with A-Z in lower case, words before each text). Words of up to 8 bytes never collide with their likes."""
+    starts, ends, before = word_spans(data, off)
+    low = LOWER[data]
+    eight = eight_bytes(low)
+    size = ends - starts
+    h = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rest = np.flatnonzero(size <= LONG_WORD)
+    done = 0
+    while len(rest):
+        part = eight[starts[rest] + done] & LOW_BYTES[np.minimum(size[rest] - done, 8)]
+        h[rest] = mix64(h[rest] + part)
+        done += 8
+        rest = rest[size[rest] > done]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(low[starts[i] : ends[i]].tobytes())
+    return h, before

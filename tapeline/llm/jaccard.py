@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
+from .common import flat_bytes, materialise, mix64, shuffle_partitions, small_batches, table, text_or_empty, word_hashes, worker_memory
 from .components import connected_components
 
 #: Counters of the frequency sketch: how often shingles that fall on a counter occur. A fixed 8 MB, whatever the corpus.
@@ -34,39 +32,56 @@ MU = 0.05
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
-    """The set of 64-bit hashes of each text's k-word shingles, sorted. Fewer than k words are one shingle; none give an empty set."""
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    words = parts.flatten()
-    codes = words.dictionary_encode()
-    names = codes.dictionary.to_pylist()
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names))
-    code = codes.indices.to_numpy()
-    real = np.array([bool(w) for w in names], bool)[code] if len(code) else np.zeros(0, bool)
-    offsets = parts.offsets.to_numpy().astype(np.int64)
-    before = np.concatenate(([0], np.cumsum(real)))
-    off = before[offsets - offsets[0]]
-    w = hashes[code[real]] if len(code) else np.zeros(0, np.uint64)
-    n = max(len(w) - k + 1, 0)
-    grams = np.zeros(n, np.uint64)
-    for j in range(k):
-        grams += (w[j : j + n] if n else grams) * _ODD[j % 8] + np.uint64(j)
-    grams = mix64(grams)
+class Sets:
+    """The shingle sets of some texts, one behind the other: sorted 64-bit hashes, with offsets."""
+
+    def __init__(self, texts: pa.Array, k: int):
+        data, off = flat_bytes(texts)
+        w, before = word_hashes(data, off)
+        grams = np.zeros(max(len(w) - k + 1, 0), np.uint64)
+        for j in range(k):
+            grams += w[j : j + len(grams)] * _ODD[j % 8] + np.uint64(j)
+        grams = np.concatenate((mix64(grams), np.zeros(k - 1, np.uint64)))[: len(w)]
+        n = np.diff(before)
+        for i in np.flatnonzero((n > 0) & (n < k)).tolist():  # fewer than k words are one shingle
+            a, b = before[i], before[i + 1]
+            grams[a] = mix64(np.array([(w[a:b] * np.resize(_ODD, b - a)).sum() ^ np.uint64(b - a)], np.uint64))[0]
+        size = np.where(n < k, n > 0, n - k + 1)
+        for a, b in zip(before[:-1].tolist(), (before[:-1] + size).tolist()):
+            grams[a:b].sort()
+        place = np.arange(len(grams)) - np.repeat(before[:-1], n)
+        new = place < np.repeat(size, n)
+        new[1:] &= (grams[1:] != grams[:-1]) | (place[1:] == 0)
+        self.flat = grams[new]
+        self.off = np.concatenate(([0], np.cumsum(new)))[before]
+        self.n = np.diff(self.off)
+
+    def __len__(self) -> int:
+        return len(self.n)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.off[i] : self.off[i + 1]]
+
+    def sums(self, per_shingle: np.ndarray) -> np.ndarray:
+        """Totals per set, modulo 2 ** 64."""
+        total = np.concatenate((np.zeros(1, per_shingle.dtype), np.cumsum(per_shingle, dtype=per_shingle.dtype)))
+        return total[self.off[1:]] - total[self.off[:-1]]
+
+    def ids(self) -> np.ndarray:
+        """A 64-bit fingerprint of each set, as a signed integer."""
+        total = self.sums(mix64(self.flat ^ np.uint64(0x5851F42D4C957F2D))) + self.n.astype(np.uint64) * _ODD[0]
+        return mix64(total).view(np.int64)
+
+
+def new_sets(sets: Sets, seen: set[int]) -> tuple[list[int], np.ndarray]:
+    """(which of the sets are neither empty nor among `seen`, all fingerprints); `seen` takes them in."""
+    ids = sets.ids()
     out = []
-    for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
-        if b - a >= k:
-            out.append(np.unique(grams[a : b - k + 1]))
-        elif b > a:
-            out.append(mix64(np.array([(w[a:b] * np.resize(_ODD, b - a)).sum() ^ np.uint64(b - a)], np.uint64)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
-
-
-def set_id(s: np.ndarray) -> int:
-    """A 64-bit fingerprint of a set, as a signed integer."""
-    total = int(mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) + len(s) * int(_ODD[0])
-    return int(mix64(np.array([total & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
+    for i, (f, n) in enumerate(zip(ids.tolist(), sets.n.tolist())):
+        if n and f not in seen:
+            seen.add(f)
+            out.append(i)
+    return out, ids
 
 
 class Order:
@@ -93,17 +108,19 @@ class Order:
             ok &= (self.regions[base + (p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
         return ok
 
+    def told_alone(self, sets: Sets, num: int, den: int) -> np.ndarray:
+        """Which sets have no other one as similar: so many of their shingles occur in them only that all rarest ones do."""
+        return sets.sums(self.alone(sets.flat).astype(np.int64)) >= sets.n - -(-num * sets.n // den) + 1
+
     def prefix(self, s: np.ndarray, num: int, den: int, all_of_it: bool = True) -> np.ndarray:
         """The rarest shingles of a set: two sets of the similarity asked for share one of them.
 
         A set of n needs T = ceil(num n / den) common shingles, so it can do without any T - 1: the n - T + 1 rarest are
-        its short lists. Unless all_of_it, those that occur in one set only are left out.
+        its short lists. Unless all_of_it, those that are known to occur in one set only are left out.
         """
         keep = len(s) - -(-num * len(s) // den) + 1
         alone = self.alone(s)
         lone = int(alone.sum())
-        if lone >= keep and not all_of_it:
-            return s[:0]
         count = self.sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
         order = np.lexsort((s, count, ~alone))[:keep]
         return s[order] if all_of_it else s[order[lone:]]
@@ -157,7 +174,9 @@ class Index:
         n = self.df[short]
         at = np.repeat(self.start[short] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         met = self.post[at]
-        found, count = np.unique(met[met < q], return_counts=True)  # merges the lists' ascending runs
+        met = np.sort(met[met < q], kind="stable")  # the lists are ascending runs, which this sort merges
+        edge = np.flatnonzero(np.append(True, met[1:] != met[:-1])) if len(met) else none
+        found, count = met[edge], np.diff(np.append(edge, len(met)))
         fits = (count >= least - apart) & (den * np.minimum(self.size[found], self.size[q]) >= num * np.maximum(self.size[found], self.size[q]))
         found, count = found[fits], count[fits]
         need = -(-num * (self.size[found] + self.size[q]) // (num + den))
@@ -233,11 +252,10 @@ def _read_sets(docs: DataFrame, k: int) -> DataFrame:
         worker_memory("jaccard")
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            sets = shingle_sets(batch.column(1), k)
-            if sets:
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
+            sets = Sets(batch.column(1), k)
+            np.add.at(counts, (sets.flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             n = len(sets)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_id(s) for s in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets.n.astype(np.int32)), pa.array(sets.ids()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         chunks = []
         for c, part in enumerate(np.split(counts, CHUNKS)):
             at = np.flatnonzero(part)
@@ -292,11 +310,10 @@ def _shared_filter(docs: DataFrame, k: int, buckets: int, shingles: int) -> list
         seen: set[int] = set()
         held, n = [], 0
         for batch in batches:
-            for s in shingle_sets(batch.column(1), k):
-                if len(s) and (fp := set_id(s)) not in seen:
-                    seen.add(fp)
-                    held.append(s[counted(s)] >> np.uint64(16))
-                    n += len(held[-1])
+            sets = Sets(batch.column(1), k)
+            for i in new_sets(sets, seen)[0]:
+                held.append(sets[i][counted(sets[i])] >> np.uint64(16))
+                n += len(held[-1])
             if n > FLUSH:
                 yield pack(held)
                 held, n = [], 0
@@ -341,15 +358,14 @@ def _postings(docs: DataFrame, k: int, num: int, den: int, order, buckets: int)
         seen: set[int] = set()
         grams, owners, held = [], [], 0
         for batch in batches:
-            for s in shingle_sets(batch.column(1), k):
-                if not len(s):
-                    continue
-                rare = order.value.prefix(s, num, den, all_of_it=False)
-                if len(rare) and (fp := set_id(s)) not in seen:
-                    seen.add(fp)
-                    grams.append(rare)
-                    owners.append((fp, len(rare)))
-                    held += len(rare)
+            sets = Sets(batch.column(1), k)
+            alone = order.value.told_alone(sets, num, den)
+            some, ids = new_sets(sets, seen)
+            for i in some:
+                if not alone[i]:
+                    grams.append(order.value.prefix(sets[i], num, den, all_of_it=False))
+                    owners.append((int(ids[i]), len(grams[-1])))
+                    held += len(grams[-1])
             if held > FLUSH:
                 yield pack(grams, owners)
                 grams, owners, held = [], [], 0
@@ -445,13 +461,9 @@ def _needed_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            sets = shingle_sets(batch.column(1), k)
-            fp = np.array([set_id(s) for s in sets], np.int64)
-            out = []
-            for i in np.flatnonzero(_maybe(bloom.value, fp) & np.array([len(s) > 0 for s in sets], bool)).tolist():
-                if (f := int(fp[i])) not in seen:
-                    seen.add(f)
-                    out.append((f, sets[i].tobytes()))
+            sets = Sets(batch.column(1), k)
+            some, ids = new_sets(sets, seen)
+            out = [(int(ids[i]), sets[i].tobytes()) for i in np.array(some, np.int64)[_maybe(bloom.value, ids[some])].tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["fp", "grams"])
 
     found = docs.mapInArrow(run, "fp long, grams binary")
