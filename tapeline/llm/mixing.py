@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from .common import WORD, materialise, shuffle_partitions, table
 
-#: The SQL twin's documents of a source in one window: a larger source it cuts by a histogram of sqrt(n) bins, and fills from the bin of the cut only.
-ONE_WINDOW = 4096
-
 #: Documents in a range of the order that is stored to find the cuts, about.
 RANGE_ROWS = 32_768
 
-#: Passes that fill what the sample's last document left over.
+#: Passes that fill what the sample's last document left over, at any size: what is left then is less than a document or two.
 FILLS = 4
 
 
@@ -46,15 +43,31 @@ def source_targets(sizes: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int =
     return per.withColumn("copies", copies).withColumn("need", F.greatest(F.lit(0.0), F.col("target") - F.col("copies") * F.col("source_size"))).select("source", "sid", "weight", "source_size", "source_docs", "target", "copies", "need")
 
 
-def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, with_text: bool = False) -> DataFrame:
+def inclusion_rates(sizes: DataFrame, goals: DataFrame) -> DataFrame:
+    """goals with `rate`: a document's inclusion probability is least(1, rate * size), and the expected words are the need.
+
+    Documents that rate * size would give more than 1 are certain; the rate of the others follows from the words that
+    those leave. Documents are counted by source and size first, so a window has a row per distinct size of a source.
+    """
+    per = sizes.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs"))
+    per = per.join(goals.filter("need > 0").select(F.col("source").alias("goal"), "sid", "need"), F.col("source").eqNullSafe(F.col("goal")))
+    by = Window.partitionBy("sid")
+    larger = by.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    upto = by.orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    words, squares = (F.col("docs") * F.col("size")).cast("double"), F.col("docs").cast("double") * F.col("size") * F.col("size")
+    per = per.withColumn("rate", (F.col("need") - F.coalesce(F.sum(words).over(larger), F.lit(0.0))) / F.sum(squares).over(upto))
+    rates = per.filter(F.col("rate") * F.col("size") <= 1).groupBy("sid").agg(F.max_by("rate", "size").alias("rate"))
+    return goals.join(rates, "sid", "left")
+
+
+def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, with_text: bool = False, seed: str = "") -> DataFrame:
     """How often each document is taken, so that each source's words come near its target.
 
     Every document first gets the whole copies that are certain, floor(target / source size). What its source
-    still needs is sampled by Pareto order sampling: document i has inclusion odds proportional to its size,
-    o = f / (1 - f) * size / mean size with f the share still needed, and random odds u / (1 - u) with u a hash of
-    doc_id; documents are taken in the order of random odds over inclusion odds until the words needed are reached
-    (the common factor that makes the sample's size fixed is the ratio at the cut). Documents that fit what is left
-    are then taken in the same order, and one more if that comes nearer.
+    still needs is sampled by Pareto order sampling: document i has the inclusion probability p proportional to its
+    size, capped at 1 (see inclusion_rates), and random odds u / (1 - u) with u a hash of doc_id and seed; documents are
+    taken in the order of random odds over inclusion odds p / (1 - p), certain ones first, until the words needed are
+    reached. Documents that fit what is left are then taken in the same order, and one more if that comes nearer.
 
     All documents of a source can fill, whatever its size. No window holds a source: ids and sizes are stored in ranges
     of the order, of about equal rows whatever the ratios; in each pass the ranges' sums tell the one with the cut, and
@@ -68,15 +81,15 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, w
     made = ("size", "source_size", "target", "copies", "taken")
     keep = [c for c in docs.columns if c not in made and (with_text or c != "text")]
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    x = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 13), 16, 10).cast("long")
+    x = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
     rows = docs.select(F.struct(*keep).alias("row"), "doc_id", "source", size.alias("size"), ((x + F.lit(0.5)) / F.lit(float(2**52))).alias("u"))
     rows = materialise(rows.withColumn("n", F.monotonically_increasing_id()))  # once stored, n tells equal rows apart
     goals = materialise(source_targets(rows, weights, max_repeat))
+    goals = materialise(inclusion_rates(rows, goals))
 
-    share = F.col("need") / F.col("source_size")
-    odds = share / (1 - share) * F.col("size") * F.col("source_docs") / F.col("source_size")
+    p = F.least(F.lit(1.0), F.col("rate") * F.col("size"))
     joined = rows.alias("r").join(goals.withColumnRenamed("source", "goal").alias("g"), F.col("source").eqNullSafe(F.col("goal")), "left").drop("goal")
-    joined = joined.withColumn("q", F.when((F.col("size") > 0) & (F.col("need") > 0), F.col("u") / (1 - F.col("u")) / odds))
+    joined = joined.withColumn("q", F.when((F.col("size") > 0) & (F.col("need") > 0), F.col("u") / (1 - F.col("u")) * (1 - p) / p))
 
     cuts = _cuts(joined.filter("q is not null").select("sid", "q", "doc_id", "size", "n"), goals.select("sid", "need"))
     joined = joined.join(cuts.withColumnRenamed("sid", "cut_sid"), F.col("sid") == F.col("cut_sid"), "left").drop("cut_sid")
@@ -157,18 +170,16 @@ g as (select source, sid, source_size, source_docs, least(cap::double, m.level *
 h as (select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as copies from g),
 n as (select *, greatest(0, target - copies * source_size)::double as need from h),
 j as (select d.*, n.* exclude (source) from d join n on d.source is not distinct from n.source),
-r as (select *, case when size > 0 and need > 0 then u / (1 - u) / (need / source_size / (1 - need / source_size) * size * source_docs / source_size) end as q from j),
-b as (select *, case when q is not null then least(floor(q / (1 + q) * nb), nb - 1)::bigint end as bin
-    from (select *, case when source_docs <= {ONE_WINDOW} then 1.0::double else ceil(sqrt(source_docs::double)) end as nb from r)),
-t as (select sid, bin, any_value(need) as need, sum(size) as words from b where bin is not null group by sid, bin),
-c as (select sid, min(bin) as cut, arg_min(through - words, bin) as before
-    from (select *, sum(words) over (partition by sid order by bin) as through from t) where through >= need group by sid),
-e as (select b.*, c.cut, c.before from b left join c on b.sid = c.sid),
-s0 as (select *, 0 as extra, need - before as rest from e where coalesce(bin = cut, false)),
+k as (select sid, size, any_value(need) as need, count(*)::double as docs from j where size > 0 and need > 0 group by sid, size),
+i as (select sid, size, (need - coalesce(sum(docs * size) over (partition by sid order by size desc rows between unbounded preceding and 1 preceding), 0.0::double))
+    / sum(docs * size * size) over (partition by sid order by size rows unbounded preceding) as rate from k),
+p as (select sid, arg_max(rate, size) as rate from i where rate * size <= 1 group by sid),
+r as (select j.*, case when size > 0 and need > 0 then u / (1 - u) * (1 - least(1.0::double, rate * size)) / least(1.0::double, rate * size) end as q from j left join p on j.sid = p.sid),
+s0 as (select *, 0 as extra, need as rest from r where q is not null),
 {_fill_sql()},
 z as (select *, extra = 0 and size < 2 * rest as near from s{1 + FILLS}),
 y as (select *, row_number() over (partition by sid order by case when near then 0 else 1 end, size, q, doc_id) as best from z),
 f as (select doc_id, source, size, source_size, target, copies, case when near and best = 1 then 1 else extra end as extra from y
-    union all select doc_id, source, size, source_size, target, copies, case when bin < cut then 1 else 0 end from e where not coalesce(bin = cut, false))
+    union all select doc_id, source, size, source_size, target, copies, 0 as extra from r where q is null)
 select doc_id, size, source_size, target, (size * (copies + extra))::bigint as taken, source, case when size > 0 then copies + extra else 0 end::bigint as copies from f
 """
