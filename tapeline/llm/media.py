@@ -19,7 +19,10 @@ SYNC_EVERY = 16
 RATE = 8000
 
 #: Fixed values of ISO/IEC 14496-12: boxes that hold only other boxes.
-CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts"}
+CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"mvex", b"moof", b"traf"}
+
+#: Boxes inside more containers than this are not opened; the standard's lie in 6 at most.
+NESTED = 32
 
 
 def box(kind: bytes, *parts: bytes) -> bytes:
@@ -68,76 +71,132 @@ def write_media(payload: bytes) -> bytes:
     return b"".join((head, mdat, payload, box(b"moov", mvhd, box(b"trak", tkhd, mdia))))
 
 
-def walk(data: bytes, at: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path, start, end) of every box's body. A box that overruns its parent, or is too short, ends the walk there."""
-    end = len(data) if end is None else end
-    while at + 8 <= end:
-        size, kind = struct.unpack_from(">I4s", data, at)
-        body = at + 8
-        if size == 1 and at + 16 <= end:
-            size, body = struct.unpack_from(">Q", data, at + 8)[0], at + 16
-        stop = end if size == 0 else at + size
-        if stop > end or stop < body:
-            return
-        yield (*path, kind), body, stop
-        if kind in CONTAINERS:
-            yield from walk(data, body, stop, (*path, kind))
-        at = stop
-
-
-def _u32(data: bytes, at: int, n: int) -> np.ndarray:
-    return np.frombuffer(data, ">u4", n, at).astype(np.int64)
+def walk(data: bytes) -> Iterator[tuple[tuple[bytes, ...], int, int, int]]:
+    """(path, start, body, end) of every box, containers before what they hold. A box that overruns its parent, or is too short, ends the walk of that parent."""
+    open_: list[tuple[int, int, tuple[bytes, ...]]] = [(0, len(data), ())]
+    while open_:
+        at, end, path = open_.pop()
+        while at + 8 <= end:
+            size, kind = struct.unpack_from(">I4s", data, at)
+            body = at + 8
+            if size == 1 and at + 16 <= end:
+                size, body = struct.unpack_from(">Q", data, at + 8)[0], at + 16
+            stop = end if size == 0 else at + size
+            if stop > end or stop < body:
+                break
+            yield (*path, kind), at, body, stop
+            if kind in CONTAINERS and len(path) < NESTED:
+                open_.append((stop, end, path))
+                at, end, path = body, stop, (*path, kind)
+            else:
+                at = stop
+
+
+def _numbers(data: bytes, span: tuple[int, int], at: int, n: int, kind: str = ">u4") -> np.ndarray:
+    """n numbers from byte `at` of a box; the box must hold them."""
+    if n < 0 or span[0] + at + n * np.dtype(kind).itemsize > span[1]:
+        raise ValueError("the table overruns its box")
+    return np.frombuffer(data, kind, n, span[0] + at).astype(np.int64)
 
 
 def read_media(data: bytes | None) -> list[dict]:
     """One dict per track: codec, timescale, duration, n_samples, sample_bytes, keyframes (list of byte ranges) and chunk_ranges.
 
-    Only boxes and tables are read; the payload is neither read nor decoded. Null, empty or broken input has no tracks;
-    a track whose tables are missing or contradict each other is left out.
+    Only boxes and tables are read; the payload is neither read nor decoded. The samples of movie fragments follow those
+    of the track's own tables. Null, empty or broken input has no tracks; a track is left out if its tables are missing,
+    contradict each other, tell of more than their boxes hold or of bytes outside the file.
     """
     if not data:
         return []
     tracks: list[dict] = []
-    for path, a, b in walk(data):
-        if path[-1] == b"trak":
-            tracks.append({})
-        elif tracks:
-            tracks[-1][path[-1]] = (a, b)
-    return [found for t in tracks if (found := _track(data, t))]
-
-
-def _track(data: bytes, t: dict) -> dict | None:
+    extends: dict[int, tuple[int, int]] = {}
+    runs: dict[int, list] = {}
+    moof, head = 0, None
+    for path, start, a, b in walk(data):
+        kind = path[-1]
+        try:
+            if kind == b"trak":
+                tracks.append({})
+            elif kind == b"moof":
+                moof = start
+            elif kind == b"trex":  # track, description, then the defaults of duration, size and flags
+                t = _numbers(data, (a, b), 4, 5)
+                extends[int(t[0])] = tuple(t[2:].tolist())
+            elif kind == b"tfhd":
+                head = _fragment_head(data, (a, b), moof, extends)
+            elif kind == b"trun" and head:
+                runs.setdefault(head["track"], []).append(_run(data, (a, b), head))
+            elif tracks and b"trak" in path:
+                tracks[-1][kind] = (a, b)
+        except (struct.error, ValueError, IndexError, KeyError):
+            return []
+    return [found for t in tracks if (found := _track(data, t, runs))]
+
+
+#: Fixed values of ISO/IEC 14496-12: flags of tfhd and trun that tell which fields are there, and of a sample that is no sync sample.
+BASE, DESCRIPTION, DURATION, SIZE, FLAGS = 0x1, 0x2, 0x8, 0x10, 0x20
+RUN_OFFSET, RUN_FIRST = 0x1, 0x4
+RUN_DURATION, RUN_SIZE, RUN_FLAGS, RUN_COMPOSITION = 0x100, 0x200, 0x400, 0x800
+NOT_SYNC = 0x10000
+
+
+def _fragment_head(data: bytes, span: tuple[int, int], moof: int, extends: dict) -> dict:
+    """A track fragment's track, base place and defaults."""
+    flags, track = _numbers(data, span, 0, 2).tolist()
+    flags &= 0xFFFFFF
+    at, base = 8, moof
+    if flags & BASE:
+        base, at = int(_numbers(data, span, at, 1, ">u8")[0]), at + 8
+    at += 4 if flags & DESCRIPTION else 0
+    values = list(extends.get(track, (0, 0, 0)))
+    for k, flag in enumerate((DURATION, SIZE, FLAGS)):
+        if flags & flag:
+            values[k], at = int(_numbers(data, span, at, 1)[0]), at + 4
+    return {"track": track, "base": base, "next": base, "defaults": values}
+
+
+def _run(data: bytes, span: tuple[int, int], head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(starts, ends, sync, duration) of a fragment's run of samples; without an offset it follows the one before it."""
+    flags, n = _numbers(data, span, 0, 2).tolist()
+    flags &= 0xFFFFFF
+    at, place = 8, head["next"]
+    if flags & RUN_OFFSET:
+        place, at = head["base"] + int(_numbers(data, span, at, 1).astype(np.int32)[0]), at + 4
+    first = None
+    if flags & RUN_FIRST:
+        first, at = int(_numbers(data, span, at, 1)[0]), at + 4
+    fields = [f for f in (RUN_DURATION, RUN_SIZE, RUN_FLAGS, RUN_COMPOSITION) if flags & f]
+    table = _numbers(data, span, at, n * len(fields)).reshape(n, len(fields)) if fields else None
+    if n > len(data):
+        raise ValueError("more samples than bytes")
+    column = lambda f, k: table[:, fields.index(f)] if f in fields else np.full(n, head["defaults"][k], np.int64)
+    duration, size, flag = column(RUN_DURATION, 0), column(RUN_SIZE, 1), column(RUN_FLAGS, 2)
+    if first is not None and n:
+        flag = np.concatenate(([first], flag[1:]))
+    ends = place + np.cumsum(size)
+    head["next"] = int(ends[-1]) if n else place
+    return ends - size, ends, np.flatnonzero(flag & NOT_SYNC == 0), int(duration.sum())
+
+
+def _track(data: bytes, t: dict, runs: dict | None = None) -> dict | None:
     try:
         a = t[b"mdhd"][0]
         scale, duration = struct.unpack_from(">IQ", data, a + 20) if data[a] == 1 else struct.unpack_from(">II", data, a + 12)
         codec = data[t[b"stsd"][0] + 12 : t[b"stsd"][0] + 16].decode("latin-1")
-        a = t[b"stsz"][0]
-        fixed, n = struct.unpack_from(">II", data, a + 4)
-        sizes = np.full(n, fixed, np.int64) if fixed else _u32(data, a + 12, n)
-        a = t[b"stsc"][0]
-        runs = _u32(data, a + 8, 3 * struct.unpack_from(">I", data, a + 4)[0]).reshape(-1, 3)
-        wide = b"co64" in t
-        a = t[b"co64" if wide else b"stco"][0]
-        count = struct.unpack_from(">I", data, a + 4)[0]
-        chunks = np.frombuffer(data, ">u8" if wide else ">u4", count, a + 8).astype(np.int64)
-        per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0] - 1, count)))
-        if per.sum() < n:
+        at, ends, sync = _samples(data, t)
+        if runs and b"tkhd" in t:
+            a = t[b"tkhd"][0]
+            for more_at, more_ends, more_sync, more in runs.get(struct.unpack_from(">I", data, a + (20 if data[a] == 1 else 12))[0], []):
+                sync = np.concatenate((sync, more_sync + len(at)))
+                at, ends = np.concatenate((at, more_at)), np.concatenate((ends, more_ends))
+                duration += more
+        n = len(at)
+        if n and (at.min() < 0 or ends.max() > len(data)) or len(sync) and (sync.min() < 0 or sync.max() >= n):
             return None
-        chunk_of = np.repeat(np.arange(count), per)[:n]
-        cum = np.cumsum(sizes) - sizes
-        first = np.searchsorted(chunk_of, np.arange(count))
-        first = np.minimum(first, max(n - 1, 0))
-        at = chunks[chunk_of] + cum - cum[first[chunk_of]] if n else np.zeros(0, np.int64)
-        if b"stss" in t:
-            a = t[b"stss"][0]
-            sync = _u32(data, a + 8, struct.unpack_from(">I", data, a + 4)[0]) - 1
-        else:
-            sync = np.arange(n)
-        ends = at + sizes
         lead = np.append(True, at[1:] != ends[:-1]) if n else np.zeros(0, bool)
         stop = np.append(lead[1:], True) if n else lead
         return {
-            "codec": codec, "timescale": scale, "duration": duration, "n_samples": n, "sample_bytes": int(sizes.sum()),
+            "codec": codec, "timescale": scale, "duration": duration, "n_samples": n, "sample_bytes": int((ends - at).sum()),
             "keyframes": np.stack((at[sync], ends[sync]), 1).tolist() if len(sync) else [],
             "chunk_ranges": np.stack((at[lead], ends[stop]), 1).tolist() if n else [],
         }
@@ -145,6 +204,30 @@ def _track(data: bytes, t: dict) -> dict | None:
         return None
 
 
+def _samples(data: bytes, t: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, sync samples from 0) by a track's own tables; what they tell together must fit the file."""
+    fixed, n = _numbers(data, t[b"stsz"], 4, 2).tolist()
+    if n > len(data) or fixed * n > len(data):
+        raise ValueError("more samples than bytes")
+    sizes = np.full(n, fixed, np.int64) if fixed else _numbers(data, t[b"stsz"], 12, n)
+    runs = _numbers(data, t[b"stsc"], 8, 3 * int(_numbers(data, t[b"stsc"], 4, 1)[0])).reshape(-1, 3)
+    wide = b"co64" in t
+    table = t[b"co64" if wide else b"stco"]
+    count = int(_numbers(data, table, 4, 1)[0])
+    chunks = _numbers(data, table, 8, count, ">u8" if wide else ">u4")
+    per = np.minimum(np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0] - 1, count))), n)
+    upto = np.cumsum(per)
+    if len(per) != count or n and (not count or upto[-1] < n):
+        raise ValueError("samples without a chunk")
+    per = np.diff(np.minimum(np.append(0, upto), n))
+    chunk_of = np.repeat(np.arange(count), per)
+    cum = np.cumsum(sizes) - sizes
+    first = np.minimum(np.searchsorted(chunk_of, np.arange(count)), max(n - 1, 0))
+    at = chunks[chunk_of] + cum - cum[first[chunk_of]] if n else np.zeros(0, np.int64)
+    sync = _numbers(data, t[b"stss"], 8, int(_numbers(data, t[b"stss"], 4, 1)[0])) - 1 if b"stss" in t else np.arange(n)
+    return at, at + sizes, sync
+
+
 TRACK = "codec string, timescale long, duration long, n_samples long, sample_bytes long, keyframes array<struct<start:long,stop:long>>, chunk_ranges array<struct<start:long,stop:long>>"
 TRACKS = pa.list_(
     pa.struct([("codec", pa.string()), ("timescale", pa.int64()), ("duration", pa.int64()), ("n_samples", pa.int64()), ("sample_bytes", pa.int64())]
@@ -160,7 +243,8 @@ def _as_rows(tracks: list[dict]) -> list[dict]:
 def media_tracks(df: DataFrame, column: str = "media", out: str = "tracks") -> DataFrame:
     """Adds `out`: array of tracks (codec, timescale, duration, samples, keyframe and chunk byte ranges) of a binary column of ISO media.
 
-    Null, empty and broken containers give an empty array. A column already named `out` is replaced; all rows stay.
+    Null, empty and broken containers give an empty array. A column already named `out` is replaced; all rows stay,
+    repeated or not. A batch holds about BATCH_BYTES or one row, and a row's tables take a few times its own size.
     """
     keep = [c for c in df.columns if c != out]
     df = df.select(*keep)
