@@ -10,41 +10,51 @@ from pyspark.sql import functions as F
 
 from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
 
-#: Entries that a bucket holds before it is split.
+#: Keys that a bucket holds before it is split.
 BUCKET_ROWS = 4096
 
-#: The directory doubles up to this many bits, so it has at most 65,536 slots, however many rows there are; buckets of that depth may grow.
-MAX_DEPTH = 16
+#: Keys are counted this many levels below the one at which an average bucket would hold BUCKET_ROWS to 2 * BUCKET_ROWS.
+FINER = 6
 
 
-def build_directory(counts: np.ndarray, bucket_rows: int = BUCKET_ROWS) -> tuple[int, np.ndarray]:
-    """(global depth, bucket of each slot) from the number of keys under every prefix of MAX_DEPTH bits.
+def _first_bits(depth: int):
+    """The first `depth` bits of a key, as a number."""
+    return F.shiftrightunsigned("key", 64 - depth) if depth else F.lit(0).cast("long")
 
-    Starts with one bucket. While a bucket is overfull, it is split by its next bit, and the directory doubles where
-    a bucket is as deep as the directory. A bucket is named by its first slot at full depth.
+
+def _shift(kind: str, number, by):
+    return F.call_function(kind, number, by.cast("int"))
+
+
+def build_directory(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[int, DataFrame]:
+    """(global depth, table of slot and bucket) for distinct 64-bit keys.
+
+    A bucket starts with all keys; an overfull one is split by its next bit, and the directory doubles where a bucket
+    gets as deep as it. All levels are told from one count of keys by their first bits, of which there are about
+    2 ** FINER for every full bucket, so the directory grows with the keys; it is a table, as wide as that. A bucket is
+    named by its depth and first bits. Keys that still share a bucket at the deepest level counted stay in it.
     """
-    counts = np.asarray(counts, np.int64)
-    most = int(np.log2(len(counts)))
-    total = np.concatenate(([0], np.cumsum(counts)))
-    depth, done, open_ = 0, [], [(0, 0)]
-    while open_:
-        prefix, local = open_.pop()
-        a, b = prefix << (most - local), (prefix + 1) << (most - local)
-        if total[b] - total[a] <= bucket_rows or local == most:
-            done.append((a, b))
-            continue
-        depth = max(depth, local + 1)
-        open_ += [(prefix << 1, local + 1), (prefix << 1 | 1, local + 1)]
-    slots = np.zeros(len(counts), np.int64)
-    for a, b in done:
-        slots[a:b] = a
-    return depth, slots[:: 1 << (most - depth)]
+    n = keys.count()
+    deepest = min(62, max(0, n // bucket_rows).bit_length() + FINER) if n > bucket_rows else 0
+    level = keys.groupBy(_first_bits(deepest).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    level = materialise(level.select(F.lit(deepest).alias("depth"), "prefix", "n"))
+    counts = level.select(F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("depth"), "prefix", "n")
+    counts = counts.select("depth", _shift("shiftright", F.col("prefix"), deepest - F.col("depth")).alias("prefix"), "n")
+    counts = counts.groupBy("depth", "prefix").agg(F.sum("n").alias("n"))
+    full = counts.filter((F.col("n") > bucket_rows) & (F.col("depth") < deepest)).select((F.col("depth") + 1).alias("depth"), "prefix")
+    halves = full.select("depth", F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"))
+    buckets = materialise(halves.unionByName(keys.sparkSession.range(1).select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"))).join(full.select((F.col("depth") - 1).alias("depth"), "prefix"), ["depth", "prefix"], "left_anti"))
+    depth = buckets.agg(F.max("depth")).first()[0]
+    by = depth - F.col("depth")
+    first = _shift("shiftleft", F.col("prefix"), by)
+    slots = F.explode(F.sequence(first, first + _shift("shiftleft", F.lit(1).cast("long"), by) - 1)).alias("slot_no")
+    return depth, buckets.select(slots, F.concat_ws("/", F.col("depth"), F.col("prefix")).alias("bucket"))
 
 
 def text_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, text, sha (hex of SHA-256) and the index key, a 64-bit hash of the text."""
-    docs = docs.select("doc_id", text_or_empty().alias("text"))
-    return docs.select("doc_id", "text", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("key"))
+    """doc_id, sha (hex of SHA-256) and the index key, a 64-bit hash of the text; texts themselves are left behind."""
+    text = text_or_empty()
+    return docs.select("doc_id", F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("key"))
 
 
 def _combine(batches):
@@ -66,7 +76,7 @@ def _own(batches):
     """Owner of whole buckets, rows sorted by key: chains the texts of a key, comparing bytes, and emits an entry per text."""
     key, chain = None, []
     names = ["bucket", "key", "slot", "sha", "keep_id", "group_size"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
     for batch in batches:
         out = []
         cols = [batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5)]
@@ -87,27 +97,38 @@ def _own(batches):
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)], names)
 
 
-def build_index(docs: DataFrame, place: str | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The index, as Parquet files at `place` in the shared folder: bucket, key, slot in the key's chain, sha, keep_id, group_size.
+def build_index(docs: DataFrame, place: str | None = None, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(rows, index). rows: doc_id, sha, key and bucket of every document. The index, Parquet files at `place` in the
+    shared folder: bucket, key, slot in the key's chain, sha, keep_id, group_size.
 
-    Keys are counted by their first 16 bits (65,536 numbers at most reach the driver), which tells how the directory
-    doubles and its buckets split. Texts, combined per batch, go to the task that owns their bucket's key range.
-    Only a batch's distinct texts travel. An owner reads its rows in key order and holds one key's chain at a time.
+    Keys are counted first. A key that one row has needs no text: its entry is that row. The texts of the others,
+    combined per batch, go to the task that owns their bucket's key range, which reads its rows in key order, holds one
+    key's chain at a time and compares bytes. Whether the repeated keys are broadcast is left to Spark, which knows the
+    stored table's size.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    keyed = text_keys(docs)
-    prefix = F.shiftrightunsigned(F.col("key"), 64 - MAX_DEPTH)
-    seen = keyed.groupBy(prefix.alias("p")).count().toPandas()
-    counts = np.zeros(1 << MAX_DEPTH, np.int64)
-    counts[seen["p"].to_numpy(np.int64)] = seen["count"].to_numpy(np.int64)
-    depth, slots = build_directory(counts, bucket_rows)
-    slot = F.shiftrightunsigned(F.col("key"), 64 - depth).cast("int") if depth else F.lit(0)
-    directory = spark.createDataFrame(pd.DataFrame({"slot_no": np.arange(len(slots), dtype=np.int32), "bucket": slots}), "slot_no int, bucket long")
-    routed = keyed.join(F.broadcast(directory), slot == F.col("slot_no")).select("bucket", "key", "sha", "text", "doc_id")  # 65,536 rows at most
-    entries = routed.mapInArrow(_combine, "bucket long, key long, sha string, text string, n long, top long")
+    rows = materialise(text_keys(docs))
+    keys = materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"), F.min("sha").alias("sha")))
+    depth, directory = build_directory(keys, bucket_rows)
+    keys = materialise(keys.join(directory, _first_bits(depth) == F.col("slot_no")).drop("slot_no"))
+    once = keys.filter("n = 1").select("bucket", "key", F.lit(0).alias("slot"), "sha", "keep_id", F.col("n").alias("group_size"))
+    many = materialise(keys.filter("n > 1").select("key", "bucket"))
+    texts = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("key")).join(many, "key").select("bucket", "key", F.sha2("text", 256).alias("sha"), "text", "doc_id")
+    entries = texts.mapInArrow(_combine, "bucket string, key long, sha string, text string, n long, top long")
     owned = entries.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket", "key")
-    return materialise(owned.mapInArrow(_own, "bucket long, key long, slot int, sha string, keep_id long, group_size long"), place)
+    chained = owned.mapInArrow(_own, "bucket string, key long, slot int, sha string, keep_id long, group_size long")
+    low = F.lit(-(2**63)).cast("long")
+    chained = chained.withColumn("keep_id", F.when(F.col("keep_id") != low, F.col("keep_id")))
+    return rows, materialise(once.unionByName(chained), place)
+
+
+def probe(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """rows (with key and sha) and what the stored index has of their texts: keep_id and group_size, null where a text isn't in it.
+
+    Entries are looked up by key; in a key's chain the text is told by its SHA-256, which the owner stored after comparing bytes.
+    """
+    return rows.join(index.select("key", "sha", "keep_id", "group_size"), ["key", "sha"], "left")
 
 
 def exact_groups(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -115,13 +136,11 @@ def exact_groups(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
     Texts are equal when their bytes are; null counts as empty, so all null and empty texts are one group. A row
     without doc_id is counted but can't stay unless all of its group lack one (keep_id is then null and all are
-    kept). Rows that repeat a doc_id and text are all marked kept when that doc_id is; Extra columns are ignored; an empty table gives no rows.
+    kept). Rows that repeat a doc_id and text are all marked kept when that doc_id is. Very long texts travel only if
+    repeated, once per batch. Extra columns are ignored; an empty table gives no rows.
     """
-    index = build_index(docs, shared_dir(docs.sparkSession), bucket_rows)
-    low = F.lit(-(2**63)).cast("long")
-    index = index.select("sha", F.when(F.col("keep_id") != low, F.col("keep_id")).alias("keep_id"), "group_size")
-    rows = text_keys(docs).select("doc_id", "sha")
-    found = rows.join(index, "sha")  # on the hash's full width; Spark splits the partition of a hot text
+    rows, index = build_index(docs, shared_dir(docs.sparkSession), bucket_rows)
+    found = probe(rows, index)  # Spark splits the partition of a hot text
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
@@ -130,8 +149,8 @@ def drop_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
     Rows that repeat both doc_id and text are equal to this rule and all stay, as do all rows of a group without ids.
     """
-    kept = exact_groups(docs, bucket_rows).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text_or_empty(), 256) == F.col("_kept")), "left_semi")
+    away = materialise(exact_groups(docs, bucket_rows).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct())
+    return docs.join(away, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text_or_empty(), 256) == F.col("_sha")), "left_anti")
 
 
 def op7_exact_dedup(spark, sf_dir):
