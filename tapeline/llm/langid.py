@@ -9,52 +9,70 @@ from pyspark.sql import functions as F
 
 from .common import flat_bytes, small_batches, table, text_or_empty, worker_memory
 
-#: Symbols of the trees: the 127 most frequent bytes of the training texts, and one for all others.
-SYMBOLS = 128
-OTHER = SYMBOLS - 1
+#: Bytes of context: the model's order.
+ORDER = 4
 
-#: Longest contexts (3 bytes) kept, by frequency; rarer ones are told by their suffix, as in any variable-order tree.
-DEEP_NODES = 16384
-
-#: Training text per language, in bytes: languages with more are sampled by a hash of doc_id, whole documents at a time.
+#: Training text per language and of all languages together, in bytes: where there is more, whole documents are picked by a hash of doc_id.
 TRAIN_BYTES = 4_000_000
+TRAIN_TOTAL = 16_000_000
+
+#: One in so many picked documents is kept out of the trees and sets the limits of code lengths.
+CALIBRATION = 8
 
-#: Code lengths are stored in 1/256 bit.
-UNIT = 256.0
+#: Languages that share one set of tables.
+GROUP = 8
 
 #: Byte positions scored at a time.
 STRIDE = 1 << 19
 
+#: Bytes at which the evidence for one language over the others counts in full, however long a text is.
+EVIDENCE = 64
 
-def gram_counts(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> tuple[list[str], np.ndarray]:
-    """(languages, rows of [language, gram, count]) from rows (doc_id, text, lang); a gram is a byte with the three before it.
+#: Bytes of average text that are added to a text before its code length per byte is held against the limit.
+PRIOR = 64
 
-    Spark counts the grams; what reaches the driver is bounded by languages times train_bytes.
-    """
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.filter("lang is not null and text is not null and text <> ''").select("text", "lang", F.crc32(F.concat(F.lit("t"), F.col("doc_id").cast("string"))).alias("h"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+#: The limit is this share of the calibration documents' code lengths per byte, and as much again above the average.
+QUANTILE = 0.98
+MARGIN = 1.5
+
+
+def _picked(docs: DataFrame, train_bytes: int, train_total: int) -> tuple[list[str], DataFrame]:
+    """(languages, rows text, lang (its number), calibrate) of a bounded sample of labelled rows (doc_id, text, lang)."""
+    rows = docs.filter("lang is not null and text is not null and text <> ''")
+    number = F.crc32(F.concat(F.lit("t"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rows = rows.select("text", "lang", number.alias("h"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}  # a row per language
     langs = sorted(sizes)
     if not langs:
-        return [], np.zeros((0, 3), np.int64)
-    share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(float(min(1.0, train_bytes / sizes[k]))))])
-    number = F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))])
-    picked = rows.filter(F.coalesce(F.col("h"), F.lit(0)) < F.element_at(share, F.col("lang")) * float(2**32)).select("text", F.element_at(number, F.col("lang")).alias("lang"))
+        return [], rows.select("text", F.lit(0).alias("lang"), F.lit(False).alias("calibrate")).limit(0)
+    most = min(train_bytes, train_total / len(langs))
+    share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(float(min(1.0, most / sizes[k]))))])
+    code = F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))])
+    rows = rows.filter(F.col("h") < F.element_at(share, F.col("lang")) * float(2**32))
+    return langs, rows.select("text", F.element_at(code, F.col("lang")).alias("lang"), (F.pmod(F.xxhash64("h"), F.lit(CALIBRATION)) == 0).alias("calibrate"))
+
+
+def gram_counts(picked: DataFrame) -> np.ndarray:
+    """Rows of [language, gram, count]; a gram is a byte with the ORDER bytes before it. Spark counts; TRAIN_TOTAL bounds what reaches the driver."""
 
     def count(batches):
         for batch in batches:
             data, off = flat_bytes(batch.column(0))
-            lang = np.repeat(batch.column(1).to_numpy().astype(np.int64), np.diff(off))
-            gram = data.astype(np.int64)
-            for k in (1, 2, 3):
-                gram |= _before(data, off, k).astype(np.int64) << 8 * k
-            found, n = np.unique(lang << 32 | gram, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-    got = picked.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+            lang = np.repeat(batch.column(1).to_numpy().astype(np.uint64), np.diff(off))
+            found, n = np.unique(lang << np.uint64(8 * ORDER + 8) | grams(data, off), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+
+    got = picked.select("text", "lang").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     gram = got["gram"].to_numpy(np.int64)
-    return langs, np.stack((gram >> 32, gram & 0xFFFFFFFF, got["n"].to_numpy(np.int64)), 1)
+    return np.stack((gram >> 8 * ORDER + 8, gram & (1 << 8 * ORDER + 8) - 1, got["n"].to_numpy(np.int64)), 1)
+
+
+def grams(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Each byte, with the ORDER bytes before it above it."""
+    out = data.astype(np.uint64)
+    for k in range(1, ORDER + 1):
+        out |= _before(data, off, k).astype(np.uint64) << np.uint64(8 * k)
+    return out
 
 
 def _before(data: np.ndarray, off: np.ndarray, k: int) -> np.ndarray:
@@ -69,115 +87,150 @@ def _before(data: np.ndarray, off: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+class Lookup:
+    """Places of distinct 64-bit keys, found by hash for many at a time."""
+
+    def __init__(self, keys: np.ndarray):
+        self.shift = np.uint64(64 - max(4, int(2 * len(keys)).bit_length()))
+        h = self._hash(keys)
+        self.order = np.argsort(h, kind="stable")
+        self.keys = np.append(keys[self.order], np.uint64(2**64 - 1))
+        self.start = np.searchsorted(h[self.order], np.arange(1 << 64 - int(self.shift), dtype=np.uint64)).astype(np.int32)
+        self.most = int(np.bincount(h.astype(np.int64)).max()) if len(keys) else 0
+
+    def _hash(self, keys: np.ndarray) -> np.ndarray:
+        return (keys ^ keys >> np.uint64(15)) * np.uint64(0x9E3779B97F4A7C15) >> self.shift
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key in the table's order; -1 if it isn't there."""
+        at = self.start[self._hash(keys)]
+        found = np.where(self.keys[at] == keys, at, -1)
+        miss = np.flatnonzero(found < 0)
+        for j in range(1, self.most):
+            next_ = np.minimum(at[miss] + j, len(self.keys) - 1)
+            ok = self.keys[next_] == keys[miss]
+            found[miss[ok]] = next_[ok]
+            miss = miss[~ok]
+        return found
+
+
+class Contexts:
+    """Frozen context trees of some languages. A symbol costs -log2(its count / (n + d)) bits after the longest context it was
+    seen after, n being that context's count and d the number of its different symbols; every longer context that was seen
+    costs an escape, -log2(d / (n + d)) (method C, without exclusion); a symbol never seen costs 8 bits more."""
+
+    def __init__(self, lang: np.ndarray, gram: np.ndarray, n: np.ndarray, languages: int):
+        self.levels = []
+        lower = None
+        for k in range(ORDER + 1):
+            keys, inv = np.unique(gram.astype(np.uint64) & mask(k + 1), return_inverse=True)
+            count = np.zeros((len(keys), languages))
+            np.add.at(count, (inv, lang), n)
+            contexts, at = np.unique(keys >> np.uint64(8), return_inverse=True)
+            total, kinds = np.zeros((len(contexts), languages)), np.zeros((len(contexts), languages))
+            np.add.at(total, at, count)
+            np.add.at(kinds, at, count > 0)
+            all_ = np.maximum(total + kinds, 1)
+            escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / all_), 0.0)
+            below = np.full(count.shape, 8.0) if lower is None else lower[1][lower[0].find(keys & mask(k))]
+            cost = np.where(count > 0, -np.log2(np.maximum(count, 1) / all_[at]), escape[at] + below)
+            known, ahead = Lookup(keys), Lookup(contexts)
+            cost = cost[known.order].astype(np.float32)
+            self.levels.append((known, cost, ahead, escape[ahead.order].astype(np.float32)))
+            lower = known, cost
+        self.languages = languages
+
+    def costs(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of each gram's last byte (rows) in each language (columns)."""
+        out = np.zeros((len(gram), self.languages), np.float32)
+        todo = np.arange(len(gram))
+        for k in range(ORDER, -1, -1):
+            known, cost, ahead, escape = self.levels[k]
+            part = gram[todo] & mask(k + 1)
+            at = known.find(part)
+            hit = at >= 0
+            out[todo[hit]] += cost[at[hit]]
+            todo, part = todo[~hit], part[~hit]
+            if not len(todo):
+                return out
+            at = ahead.find(part >> np.uint64(8))
+            out[todo[at >= 0]] += escape[at[at >= 0]]
+        out[todo] += 8
+        return out
+
+
+def mask(n: int) -> np.uint64:
+    return np.uint64((1 << 8 * n) - 1)
+
+
 class Trees:
-    """Frozen context trees of all languages, flattened to one table: context -> node, (node, symbol) -> code length per language."""
+    """The trees of all languages, in groups; `average` and `limit` are code lengths per byte, of calibration documents."""
 
-    def __init__(self, langs: list[str], grams: np.ndarray):
+    def __init__(self, langs: list[str], counts: np.ndarray):
         self.langs = langs
-        n_langs = len(langs)
-        freq = np.zeros(256, np.int64)
-        np.add.at(freq, grams[:, 1] & 255, grams[:, 2])
-        order = np.lexsort((np.arange(256), -freq))
-        self.symbol = np.full(256, OTHER, np.uint8)
-        self.symbol[order[:OTHER]] = np.arange(OTHER)
-        ctx = [self.symbol[grams[:, 1] >> 8 * k & 255].astype(np.int64) for k in range(4)]
-        code = [np.zeros(len(grams), np.int64), ctx[1], ctx[2] << 7 | ctx[1], ctx[3] << 14 | ctx[2] << 7 | ctx[1]]
-        pairs = np.unique(code[2])
-        deep, inv = np.unique(code[3], return_inverse=True)
-        weight = np.bincount(inv, grams[:, 2], len(deep)) if len(deep) else np.zeros(0)
-        deep = np.sort(deep[np.lexsort((deep, -weight))[:DEEP_NODES]])
-        # nodes: the root, SYMBOLS of order 1, the pairs, the deep ones
-        base2 = 1 + SYMBOLS
-        base3 = base2 + len(pairs)
-        self.n_nodes = base3 + len(deep)
-        pair_node = np.arange(SYMBOLS * SYMBOLS) % SYMBOLS + 1
-        pair_node[pairs] = base2 + np.arange(len(pairs))
-        node = pair_node[np.arange(SYMBOLS**3) % SYMBOLS**2].astype(np.int32)
-        node[deep] = base3 + np.arange(len(deep), dtype=np.int32)
-        self.node = node
-        parent = np.zeros(self.n_nodes, np.int64)
-        parent[base2:base3] = 1 + pairs % SYMBOLS
-        parent[base3:] = pair_node[deep % SYMBOLS**2]
-        self.cost = np.zeros((self.n_nodes, SYMBOLS, n_langs), np.int16)
-        for lang in range(n_langs):
-            mine = grams[:, 0] == lang
-            count = np.zeros((self.n_nodes, SYMBOLS))
-            at3 = np.searchsorted(deep, code[3][mine])
-            hit = (at3 < len(deep)) & (deep[np.minimum(at3, len(deep) - 1)] == code[3][mine]) if len(deep) else np.zeros(mine.sum(), bool)
-            for where, keep in ((np.zeros(mine.sum(), np.int64), None), (1 + code[1][mine], None), (base2 + np.searchsorted(pairs, code[2][mine]), None), (base3 + at3, hit)):
-                keep = np.ones(len(where), bool) if keep is None else keep
-                np.add.at(count, (where[keep], ctx[0][mine][keep]), grams[mine, 2][keep])
-            bits = _code_lengths(count, parent)
-            self.cost[:, :, lang] = np.minimum(np.round(bits * UNIT), 32000).astype(np.int16)
+        self.groups = []
+        for a in range(0, len(langs), GROUP):
+            mine = (counts[:, 0] >= a) & (counts[:, 0] < a + GROUP)
+            self.groups.append(Contexts(counts[mine, 0] - a, counts[mine, 1], counts[mine, 2], min(GROUP, len(langs) - a)))
+        self.average, self.limit = np.zeros(len(langs)), np.full(len(langs), np.inf)
 
     def lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Code length in bits of every text (rows) in every language (columns)."""
-        total = np.zeros((len(off) - 1, len(self.langs)), np.int64)
-        flat = self.cost.reshape(-1, len(self.langs))
-        pad = self.symbol[10]
+        """Code length in bits of every text (rows) in every language (columns). All bytes are coded, STRIDE at a time."""
+        total = np.zeros((len(off) - 1, len(self.langs)))
         for a in range(0, len(data), STRIDE):
             b = min(a + STRIDE, len(data))
-            sym = self.symbol[data[max(a - 3, 0) : b]]
-            if a < 3:
-                sym = np.concatenate((np.full(3 - a, pad, np.uint8), sym))
-            first = np.searchsorted(off, a, "right") - 1  # the text that holds position a
-            starts = off[np.searchsorted(off, a - 3, "left") : np.searchsorted(off, b, "left")] - a
-            context = np.zeros(b - a, np.int32)
-            for k in (3, 2, 1):
-                prev = sym[3 - k : 3 - k + b - a].copy()
-                for j in range(k):
-                    at = starts + j
-                    prev[at[(at >= 0) & (at < b - a)]] = pad
-                context = context << 7 | prev
-            rows = flat[(self.node[context] << 7) + sym[3:]]
-            edges = off[first + 1 : np.searchsorted(off, b, "left")] - a
-            edges = np.unique(np.concatenate(([0], edges)))
+            lead = min(a, ORDER)
+            starts = off[(off > a - lead) & (off < b)] - (a - lead)
+            gram = grams(data[a - lead : b], np.append(starts, b - a + lead))[lead:]
+            edges = np.unique(np.concatenate(([0], off[(off > a) & (off < b)] - a)))
             owner = np.searchsorted(off, edges + a, "right") - 1
-            for lang in range(len(self.langs)):
-                np.add.at(total[:, lang], owner, np.add.reduceat(rows[:, lang], edges, dtype=np.int64))
-        return total / UNIT
-
-
-def _code_lengths(count: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Bits of every symbol at every node: escape method C with exclusion, down to a uniform order -1."""
-    bits = np.zeros(count.shape)
-    done = np.zeros(count.shape, bool)
-    excluded = np.zeros(count.shape, bool)
-    spent = np.zeros(len(count))
-    node = np.arange(len(count))
-    for _ in range(4):
-        here = np.where(excluded, 0, count[node])
-        n, kinds = here.sum(1), (here > 0).sum(1)
-        total = np.maximum(n + kinds, 1)
-        with np.errstate(divide="ignore"):
-            new = (here > 0) & ~done
-            bits = np.where(new, spent[:, None] - np.log2(here / total[:, None]), bits)
-            spent = spent + np.where(kinds > 0, -np.log2(kinds / total), 0)
-        done |= new
-        excluded |= here > 0
-        at_root = node == 0
-        node = parent[node]
-        if at_root.all():
-            break
-    rest = np.maximum((~done).sum(1), 1)
-    return np.where(done, bits, (spent + np.log2(rest))[:, None])
-
-
-def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> Trees:
-    return Trees(*gram_counts(docs, train_bytes))
+            for g, group in enumerate(self.groups):
+                sums = np.add.reduceat(group.costs(gram), edges, axis=0, dtype=np.float64)
+                np.add.at(total[:, g * GROUP : g * GROUP + group.languages], owner, sums)
+        return total
 
 
-def predict(docs: DataFrame, trees: Trees) -> DataFrame:
-    """docs with lang_pred, score (the probability of lang_pred under equal priors) and bits_per_byte.
+def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES, train_total: int = TRAIN_TOTAL) -> Trees:
+    """Trees from rows (doc_id, text, lang), and the limits of code lengths per byte from documents kept out of them."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    langs, picked = _picked(docs, train_bytes, train_total)
+    if not langs:
+        return Trees([], np.zeros((0, 3), np.int64))
+    trees = Trees(langs, gram_counts(picked.filter("not calibrate")))
+    shared = spark.sparkContext.broadcast(trees)
 
-    Every byte of every text is coded. Null and empty texts, and texts without any letter, are `und` with score 0; so
-    is everything when there was nothing to learn from. The trees (about 20 MB, bounded by DEEP_NODES, SYMBOLS and the
-    languages) are broadcast. Ties go to the first language in code point order. All columns stay; columns named like
-    the results are replaced.
+    def measure(batches):
+        for batch in batches:
+            data, off = flat_bytes(batch.column(0))
+            lang = batch.column(1).to_numpy()
+            bits = shared.value.lengths(data, off)[np.arange(len(lang)), lang]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(np.diff(off)), pa.array(bits)], ["lang", "n", "bits"])
+
+    measured = picked.filter("calibrate").select("text", "lang").mapInArrow(measure, "lang int, n long, bits double")
+    average = measured.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("average"))
+    measured = measured.join(F.broadcast(average), "lang")  # a row per language
+    smooth = (F.col("bits") + PRIOR * F.col("average")) / (F.col("n") + PRIOR)
+    for r in measured.groupBy("lang").agg(F.first("average").alias("average"), F.percentile_approx(smooth, QUANTILE).alias("high")).collect():
+        trees.average[r["lang"]] = r["average"]
+        trees.limit[r["lang"]] = r["average"] + MARGIN * max(r["high"] - r["average"], 0.1)
+    return trees
+
+
+def predict(docs: DataFrame, trees: Trees) -> DataFrame:
+    """docs with lang_pred, score, bits_per_byte and excess.
+
+    Every byte of every text is coded. The score is the probability of lang_pred under equal priors, from code lengths
+    scaled to EVIDENCE bytes where the text is longer, times limit / code length per byte where that is above the limit.
+    excess is the code length per byte, smoothed by PRIOR average bytes, over the limit: above 1, the text is coded worse than
+    nearly all documents of that language, so it is in none that was learned. Null and empty texts, and texts without any letter,
+    are `und` with score 0; so is everything when there was nothing to learn from. Ties go to the first language in
+    code point order. The trees are broadcast; TRAIN_TOTAL bounds them, whatever the number of languages. Very long texts
+    are coded in strides. All rows and columns stay, repeated or not; columns named like the results are replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    made = ("lang_pred", "score", "bits_per_byte")
+    made = ("lang_pred", "score", "bits_per_byte", "excess")
     docs = docs.select(*[c for c in docs.columns if c not in made])
     shared = spark.sparkContext.broadcast(trees)
     column = docs.columns.index("text")
@@ -190,17 +243,19 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
             data, off = flat_bytes(batch.column(column))
             n = np.diff(off)
             ok = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool) & (n > 0)
-            pred, score, per_byte = np.full(len(n), "und", object), np.zeros(len(n)), np.zeros(len(n))
+            pred, score, per_byte, excess = np.full(len(n), "und", object), np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n))
             if trees.langs and ok.any():
                 bits = trees.lengths(data, off)
                 best = bits.argmin(1)
                 least = bits[np.arange(len(n)), best]
-                odds = np.exp2(-np.minimum(bits - least[:, None], 1000)).sum(1)
+                scale = np.minimum(1.0, EVIDENCE / np.maximum(n, 1))
+                odds = np.exp2(-np.minimum((bits - least[:, None]) * scale[:, None], 1000)).sum(1)
                 pred = np.where(ok, np.array(trees.langs, object)[best], "und")
-                score, per_byte = np.where(ok, 1 / odds, 0.0), np.where(ok, least / np.maximum(n, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score), pa.array(per_byte)], [*batch.schema.names[:-1], *made])
+                over = (least + PRIOR * trees.average[best]) / (n + PRIOR) / trees.limit[best]
+                score, per_byte, excess = (np.where(ok, x, 0.0) for x in (1 / odds / np.maximum(over, 1), least / np.maximum(n, 1), over))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score), pa.array(per_byte), pa.array(excess)], [*batch.schema.names[:-1], *made])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
+    schema = docs.schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double").add("excess", "double")
     return lettered.mapInArrow(run, schema)
 
 
@@ -212,4 +267,4 @@ def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     trees = train(docs.filter(~held_out()))
     found = predict(docs.select("doc_id", "text"), trees)
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte", "excess")
