@@ -95,9 +95,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, words before each text) of the words of texts that lie one behind the other in `data`."""
-    inside = IN_WORD[data]
+def word_spans(data: np.ndarray, off: np.ndarray, in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, words before each text) of the words of texts that lie one behind the other in `data`; in_word tells for each byte whether it belongs to a word."""
+    inside = in_word[data]
     start, last = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -110,8 +110,8 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def eight_bytes(data: np.ndarray) -> np.ndarray:
     """A view of the 8 bytes from each place on as one little-endian number; `data` is followed by zeros."""
-    padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(data) + 1,), (1,))
+    padded = np.concatenate((data, np.zeros(16, np.uint8)))
+    return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(data) + 9,), (1,))
 
 
 #: Masks of the lowest 0 to 8 bytes.

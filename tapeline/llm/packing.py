@@ -94,60 +94,144 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _best_exchange(into: list[tuple[int, int]], out_of: list[tuple[int, int]], gap: int):
-    """The exchange that fills `into` most: (gain, item that leaves or None, items that come)."""
-    best = (0, None, ())
-    one = [((y,), n) for n, y in out_of]
-    two = [((y, z), n + m) for k, (n, y) in enumerate(out_of) for m, z in out_of[:k]]
-    leaving = [(None, 0)] + [(x, n) for n, x in into]
-    for come, n in one + two:
-        for x, m in leaving:
-            if best[0] < n - m <= gap and not (x is None and len(come) == 2):
-                best = (n - m, x, come)
-                if n - m == gap:
-                    return best
-    return best
+def next_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Bins filled one after the other, longest pieces first: a piece that doesn't fit the bin at hand opens the next one."""
+    bins: list[list[int]] = []
+    room = -1
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        n = int(lengths[i])
+        if n > room:
+            bins.append([])
+            room = capacity
+        bins[-1].append(i)
+        room -= n
+    return bins
 
 
-def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Fewer bins, if exchanges can empty some: moves, one-for-one and two-for-one swaps out of the emptiest bin.
+class Exchanges:
+    """Local search over bins: moves, one-for-one and two-for-one swaps between underfull ones, each raising the sum of squared fills.
 
-    Each exchange takes from the emptiest bin and fills a fuller one, so the sum of squared fills rises and the search
-    ends; it stops early at the bound ceil(all tokens / capacity).
+    A bin gives its largest piece that another takes to the fullest such bin; if none moves, it swaps a piece, and if
+    none swaps two pieces, for a smaller one, where that leaves the least room. Full bins stay as they are, so the pieces and bins that are looked at get fewer; the lists of them are made anew every REFRESH exchanges. `made` counts
+    exchanges by kind.
     """
-    size = lengths.tolist()
-    fill = [sum(size[i] for i in b) for b in bins]
-    bound = -(-sum(fill) // capacity)
-    open_ = [b for b in range(len(bins)) if fill[b] < capacity]
-    left = len(bins)
-    while left > bound and len(open_) > 1:
-        open_.sort(key=lambda b: (fill[b], b))
-        source, moved = open_[0], False
-        for b in reversed(open_[1:]):
-            gap = capacity - fill[b]
-            while gap and bins[source]:
-                gain, x, come = _best_exchange([(size[i], i) for i in bins[b]], [(size[i], i) for i in bins[source]], gap)
-                if not gain:
+
+    REFRESH = 64
+
+    def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
+        self.size = np.asarray(lengths, np.int64)
+        self.bins = [set(b) for b in bins]
+        self.capacity = capacity
+        self.bin_of = np.zeros(len(self.size), np.int64)
+        for b, members in enumerate(bins):
+            self.bin_of[members] = b
+        self.fill = np.bincount(self.bin_of, self.size, len(bins)).astype(np.int64)
+        self.made = {"move": 0, "one_for_one": 0, "two_for_one": 0}
+        self._refresh()
+
+    def _refresh(self) -> None:
+        self.open = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
+        is_open = np.zeros(len(self.bins), bool)
+        is_open[self.open] = True
+        self.pieces = np.flatnonzero(is_open[self.bin_of] & (self.size > 0))
+
+    def _change(self, kind: str, source: int, to: int, come: list[int], leave: list[int]) -> None:
+        self.bins[source] = self.bins[source] - set(come) | set(leave)
+        self.bins[to] = self.bins[to] - set(leave) | set(come)
+        gain = int(self.size[come].sum() - self.size[leave].sum())
+        self.bin_of[come], self.bin_of[leave] = to, source
+        self.fill[to] += gain
+        self.fill[source] -= gain
+        self.made[kind] += 1
+        if sum(self.made.values()) % self.REFRESH == 0:
+            self._refresh()
+
+    def step(self, source: int) -> bool:
+        """Makes the best exchange out of a bin, if there is one."""
+        fill = self.fill[source]
+        mine = sorted((i for i in self.bins[source] if self.size[i]), key=lambda i: (-self.size[i], i))
+        sizes = self.size[mine].tolist()
+        one: dict[int, list[int]] = {}
+        for x, n in zip(mine, sizes):
+            one.setdefault(n, [x])
+
+        others = self.open[(self.fill[self.open] < self.capacity) & (self.fill[self.open] > 0) & (self.open != source)]
+        gap = self.capacity - self.fill[others]
+        for n, come in one.items():
+            able = np.flatnonzero((gap >= n) & (self.capacity - gap + n > fill))
+            if len(able):
+                self._change("move", source, int(others[able[np.argmin(gap[able])]]), come, [])
+                return True
+
+        at = self.bin_of[self.pieces]
+        there = (at != source) & (self.fill[at] < self.capacity)
+        pieces, at = self.pieces[there], at[there]
+        size = self.size[pieces]
+        reach = size + self.capacity - self.fill[at]  # how large a piece may be that takes this one's place
+        top = int(reach.max(initial=0))
+
+        def swap(kind: str, offers: dict[int, list[int]]) -> bool:
+            best = None
+            for n, come in offers.items():
+                if n > top:
+                    continue
+                able = np.flatnonzero((reach >= n) & (size < n))
+                able = able[self.capacity - reach[able] + n > fill]
+                if len(able):
+                    k = able[np.argmin(reach[able])]
+                    rest = int(reach[k]) - n
+                    if best is None or rest < best[0]:
+                        best = (rest, int(at[k]), come, [int(pieces[k])])
+                    if not rest:
+                        break
+            if best:
+                self._change(kind, source, *best[1:])
+            return best is not None
+
+        if swap("one_for_one", one):
+            return True
+        two: dict[int, list[int]] = {}
+        for k, (x, n) in enumerate(zip(mine, sizes)):
+            for y, m in zip(mine[:k], sizes[:k]):
+                if n + m <= top:
+                    two.setdefault(n + m, [x, y])
+        return swap("two_for_one", two)
+
+    def run(self) -> list[list[int]]:
+        """The emptiest underfull bin gives until it is empty or stuck, then the next one; stuck ones are tried again after
+        the others, until no exchange is left or the bins are as few as ceil(all pieces / capacity)."""
+        left = int((self.fill > 0).sum())
+        bound = -(-int(self.size.sum()) // self.capacity)
+        stuck, moved = np.zeros(len(self.bins), bool), False
+        while left > bound:
+            able = self.open[(self.fill[self.open] > 0) & (self.fill[self.open] < self.capacity) & ~stuck[self.open]]
+            if not len(able):
+                if not moved:
                     break
+                stuck[:], moved = False, False
+                continue
+            source = int(able[np.argmin(self.fill[able])])
+            while self.fill[source] and self.step(source):
                 moved = True
-                bins[source] = [i for i in bins[source] if i not in come] + ([x] if x is not None else [])
-                bins[b] = [i for i in bins[b] if i != x] + list(come)
-                fill[source] -= gain
-                fill[b] += gain
-                gap -= gain
-        open_ = [b for b in open_ if 0 < fill[b] < capacity]
-        if not bins[source]:
-            left -= 1
-        elif not moved:
-            break
-    return [b for b in bins if b]
+            stuck[source] = self.fill[source] > 0
+            left -= not self.fill[source]
+        nothing = [i for b, members in enumerate(self.bins) if not self.fill[b] for i in members]
+        out = [sorted(members) for b, members in enumerate(self.bins) if self.fill[b]]
+        if nothing:  # pieces without length take no room
+            out = [out[0] + nothing, *out[1:]] if out else [nothing]
+        return out
+
+
+def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """Fewer bins, if exchanges between underfull ones can empty some."""
+    return Exchanges(lengths, bins, capacity).run()
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Adds sequence_id and offset to rows with a `length` of at most capacity: each sequence is gapless from 0.
 
     Rows are dealt evenly to groups of about group_pieces by a hash of their place, so repeated rows and hot documents
-    spread; a group is packed by best-fit-decreasing and then by local search. Rows need the columns of token_pieces; extra columns
+    spread; a group starts with bins filled one after the other (next fit), a sixth too many, and local search empties bins. Rows need the columns of token_pieces; extra columns
     are kept, sequence_id and offset replaced. Rows of length 0 or null take no room and join the first sequence of their group.
     An empty table gives an empty result. `pieces` should be a stored table (it is counted).
     """
@@ -158,7 +242,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GRO
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf.pop("_group").iloc[0])
         n = pdf["length"].fillna(0).to_numpy(np.int64)
-        bins = local_search(n, best_fit_decreasing(n, capacity), capacity)
+        bins = local_search(n, next_fit(n, capacity), capacity)
         seq, off = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
         for k, members in enumerate(bins):
             at = 0

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +14,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, text_or_empty, worker_memory
+from .common import LOW_BYTES, eight_bytes, flat_bytes, mix64, small_batches, table, text_or_empty, word_spans, worker_memory
 
 #: Pre-tokens that a worker remembers (about 60 MB); beyond that it starts anew with the proven ones.
-CACHE = 300_000
+CACHE = 500_000
 
-#: Longer pre-tokens are encoded each time.
-CACHED_CHARS = 64
+#: Pre-tokens of more bytes are encoded once a batch and not remembered.
+SHORT = 16
 
 SPACE = "▁"
 
@@ -47,50 +49,86 @@ class PieceModel:
         alone = self.model.encode([w for w, _ in words], num_threads=1) if self.splits else []
         self.whole = {w: i for (w, i), ids in zip(words, alone) if ids == [i]}
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids in a row, ids per text)"""
+        rows = self.model.encode(texts, num_threads=1)
+        n = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter(chain.from_iterable(rows), np.uint32, int(n.sum())), n
 
 
 class PreTokens:
-    """Ids of pre-tokens: proven whole tokens first, remembered ones next, and only the rest are merged by the library."""
+    """Ids of pre-tokens: proven whole tokens first, remembered ones next, and only the rest are merged by the library.
+
+    Pre-tokens of up to SHORT bytes are two 64-bit numbers, by which they are compared exactly; no string is made of one
+    that is known.
+    """
 
     def __init__(self, encode_all, whole: dict[str, int] | None = None, size: int = CACHE):
         self.encode_all, self.whole, self.size = encode_all, whole or {}, size
         self._reset()
 
     def _reset(self) -> None:
-        self.at = {w: k for k, w in enumerate(self.whole)}
-        n = len(self.whole)
-        self.ids = np.zeros(max(4 * n, 1 << 16), np.uint32)
-        self.ids[:n] = list(self.whole.values())
-        self.start = np.zeros(max(2 * n, 1 << 16), np.int64)
-        self.length = np.zeros(len(self.start), np.int64)
-        self.start[:n], self.length[:n] = np.arange(n), 1
-        self.used, self.count = n, n
-
-    def _add(self, ids) -> int:
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        if self.count == len(self.start):
-            self.start, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.start[self.count], self.length[self.count] = self.used, len(ids)
-        self.used += len(ids)
-        self.count += 1
-        return self.count - 1
-
-    def places(self, chunks: list[str]) -> np.ndarray:
-        """Where each of the distinct chunks is in start and length; valid until the next call."""
-        if self.count > self.size:
+        words = [w.encode() for w in self.whole]
+        self.keys = np.zeros((0, 3), np.uint64)  # hash and the two numbers, in the order of hashes
+        self.at = np.zeros(0, np.int64)
+        self.start, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        if words:
+            n = np.array([len(w) for w in words])
+            ends = np.cumsum(n)
+            data = np.frombuffer(b"".join(words), np.uint8)
+            short = np.flatnonzero(n <= SHORT)
+            self._add(self._numbers(data, (ends - n)[short], ends[short]), np.array(list(self.whole.values()), np.uint32)[short], np.ones(len(short), np.int64))
+
+    @staticmethod
+    def _numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows of (hash, first 8 bytes, the other up to 8) of words of up to SHORT bytes. The length is in the hash and so in the order only; a word
+        with zero bytes at its end could pass for a shorter one, and is not remembered (see places)."""
+        eight = eight_bytes(data)
+        n = ends - starts
+        low = eight[starts] & LOW_BYTES[np.minimum(n, 8)]
+        high = eight[starts + 8 * (n > 8)] & LOW_BYTES[np.where(n > 8, n - 8, 0)]
+        return np.stack((mix64(low + mix64(high + np.uint64(0x9E3779B97F4A7C15))), low, high), 1)
+
+    def _add(self, keys: np.ndarray, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Stores the ids of new words; their places. `keys` may be empty: then the words are not remembered."""
+        place = len(self.start) + np.arange(len(n))
+        self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(n) - n))
+        self.length = np.concatenate((self.length, n))
+        self.ids = np.concatenate((self.ids, ids))
+        if len(keys):
+            all_ = np.concatenate((self.keys, keys))
+            order = np.argsort(all_[:, 0], kind="stable")
+            self.keys, self.at = all_[order], np.concatenate((self.at, place))[order]
+        return place
+
+    def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where each of the pre-tokens is in start and length; valid until the next call."""
+        if len(self.start) > self.size:
             self._reset()
-        found = [self.at.get(c, -1) for c in chunks]
-        missing = [i for i, k in enumerate(found) if k < 0]
-        if missing:
-            for i, ids in zip(missing, self.encode_all([chunks[i] for i in missing])):
-                found[i] = self._add(ids)
-                if len(chunks[i]) <= CACHED_CHARS:
-                    self.at[chunks[i]] = found[i]
-        return np.array(found, np.int64)
+        out = np.empty(len(starts), np.int64)
+        short = ends - starts <= SHORT
+        if len(starts):
+            short &= data[ends - 1] != 0
+        some = np.flatnonzero(short)
+        keys = self._numbers(data, starts[some], ends[some])
+        _, first, back = np.unique(keys[:, 0], return_index=True, return_inverse=True)
+        same = (keys[first[back], 1:] == keys[:, 1:]).all(1)
+        short[some[~same]] = False  # words whose hash another word has; they are encoded as the long ones are
+        distinct = keys[first]
+        at = np.minimum(np.searchsorted(self.keys[:, 0], distinct[:, 0]), max(len(self.keys) - 1, 0))
+        known = (self.keys[at] == distinct).all(1) if len(self.keys) else np.zeros(len(distinct), bool)
+        place = np.empty(len(distinct), np.int64)
+        place[known] = self.at[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            place[new] = self._add(distinct[new], *self.encode_all(_strings(data, starts[some[first[new]]], ends[some[first[new]]])))
+        out[some] = place[back]
+        rest = np.flatnonzero(~short)
+        if len(rest):
+            names = _strings(data, starts[rest], ends[rest])
+            number = {w: k for k, w in enumerate(dict.fromkeys(names))}
+            out[rest] = self._add(keys[:0], *self.encode_all(list(number)))[[number[w] for w in names]]
+        return out
 
     def gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in a row, ids per place)"""
@@ -100,9 +138,17 @@ class PreTokens:
         return self.ids[at], n
 
 
-def _sums(per_part: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    raw = data.tobytes()
+    return [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+def _sums(per_part: np.ndarray, before: np.ndarray) -> np.ndarray:
     total = np.concatenate(([0], np.cumsum(per_part)))
-    return total[offsets[1:]] - total[offsets[:-1]]
+    return total[before[1:]] - total[before[:-1]]
+
+
+NOT_SPACE = np.arange(256) != 32
 
 
 class PieceTexts:
@@ -113,45 +159,44 @@ class PieceTexts:
         self.cache = PreTokens(self.model.encode_all, self.model.whole)
 
     def _parts(self, texts: pa.Array):
-        """(texts that split at single spaces, offsets of their parts, codes of the parts, distinct parts)"""
-        odd = pc.or_(pc.match_substring_regex(texts, "^ |  | $|^$"), pc.match_substring(texts, SPACE))
-        regular = pc.invert(odd).to_numpy(zero_copy_only=False) if self.model.splits else np.zeros(len(texts), bool)
-        parts = pc.split_pattern(texts.filter(pa.array(regular)), " ")
-        codes = parts.flatten().dictionary_encode()
-        return regular, parts.offsets.to_numpy().astype(np.int64) - (parts.offsets[0].as_py() if len(parts) else 0), codes.indices.to_numpy(), codes.dictionary.to_pylist()
+        """(which texts are words with single spaces between, their words before each text, place of each word)"""
+        data, off = flat_bytes(texts)
+        starts, ends, before = word_spans(data, off, NOT_SPACE)
+        spaces = np.concatenate(([0], np.cumsum(data == 32)))
+        words = np.diff(before)
+        regular = (words > 0) & (spaces[off[1:]] - spaces[off[:-1]] == words - 1)
+        full = np.flatnonzero(words > 0)
+        regular[full] &= (starts[before[full]] == off[full]) & (ends[before[full + 1] - 1] == off[full + 1])
+        a, b, c = SPACE.encode()
+        symbol = np.flatnonzero((data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c))
+        regular[np.searchsorted(off, symbol, "right") - 1] = False
+        if not self.model.splits:
+            regular[:] = False
+        mine = np.repeat(regular, words)
+        place = self.cache.places(data, starts[mine], ends[mine])
+        return regular, np.concatenate(([0], np.cumsum(words * regular))), place
 
     def counts(self, texts: pa.Array) -> np.ndarray:
-        out = np.zeros(len(texts), np.int64)
-        regular, offsets, codes, chunks = self._parts(texts)
-        if len(codes):
-            place = self.cache.places(chunks)
-            out[regular] = _sums(self.cache.length[place][codes], offsets)
-        for i in np.flatnonzero(~regular):
-            out[i] = self._odd_length(texts[i].as_py())
+        regular, before, place = self._parts(texts)
+        out = _sums(self.cache.length[place], before)
+        odd = np.flatnonzero(~regular)
+        if len(odd):
+            out[odd] = self.model.encode_all([texts[i].as_py() for i in odd.tolist()])[1]
         return out
 
-    def _odd_length(self, text: str) -> int:
-        """A text with runs of spaces: its pre-tokens start with one or more space symbols."""
-        if not text or not self.model.splits:
-            return len(self.model.encode_all([text])[0])
-        parts = [p[1:].replace(SPACE, " ") for p in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))]
-        if not parts[-1] and len(parts) > 1 or any(not p for p in parts):
-            return len(self.model.encode_all([text])[0])  # an empty string has no dummy prefix; the whole text tells
-        names = list(dict.fromkeys(parts))
-        place = self.cache.places(names)
-        n = dict(zip(names, self.cache.length[place].tolist()))
-        return sum(n[p] for p in parts)
-
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids in a row, ids per text)"""
-        regular, offsets, codes, chunks = self._parts(texts)
-        place = self.cache.places(chunks)
-        flat, per_part = self.cache.gather(place[codes]) if len(codes) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        if regular.all():
-            return flat, _sums(per_part, offsets)
-        own = iter(np.split(flat, np.cumsum(_sums(per_part, offsets))[:-1]) if regular.any() else [])
-        rows = [next(own) if ok else np.array(self.model.encode_all([texts[i].as_py()])[0], np.uint32) for i, ok in enumerate(regular)]
-        return np.concatenate(rows) if rows else flat, np.array([len(r) for r in rows], np.int64)
+        regular, before, place = self._parts(texts)
+        flat, per_part = self.cache.gather(place)
+        n = _sums(per_part, before)
+        odd = np.flatnonzero(~regular)
+        if not len(odd):
+            return flat, n
+        more, n[odd] = self.model.encode_all([texts[i].as_py() for i in odd.tolist()])
+        out = np.empty(int(n.sum()), np.uint32)
+        mine = np.repeat(regular, n)
+        out[mine], out[~mine] = flat, more
+        return out, n
 
 
 #: Fixed class: letters whose lower case and NFC form stay inside the class, so that a run of them is one pre-token.
@@ -168,8 +213,26 @@ def byte_symbols() -> dict[int, str]:
     return out
 
 
+def words_stand_alone(spec: dict) -> bool:
+    """Whether a tokenizer's parts prove that a text's ids are those of its words in a row, words being cut at ASCII white space.
+
+    So it is if the text is composed (NFC), lower-cased and has its white space replaced by spaces, which all leave what
+    lies between two white spaces to itself; if pre-tokens are runs that white space can't be part of, and it is removed; and
+    if no added token holds white space or takes it in.
+    """
+    norm = spec.get("normalizer") or {}
+    steps = norm.get("normalizers", [norm])
+    plain = all(x.get("type") in ("NFC", "Lowercase") or x.get("type") == "Replace" and x.get("pattern") == {"Regex": r"\s+"} and x.get("content") == " " for x in steps)
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    cut = len(pre) == 2 and pre[0] == {"type": "Split", "pattern": {"Regex": pattern}, "behavior": "Removed", "invert": True}
+    alone = cut and pre[1]["type"] == "ByteLevel" and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"]
+    added = all(not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in spec.get("added_tokens", []))
+    return bool(plain and alone and added and not spec.get("post_processor") and spec["model"]["type"] == "BPE")
+
+
 class WordTexts:
-    """Ids of whole texts under a lower-casing tokenizer of words that drops white space: a text's ids are those of its words in a row."""
+    """Ids of whole texts under a tokenizer of words that drops white space; texts are encoded whole where its parts don't prove that words stand alone."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -178,37 +241,57 @@ class WordTexts:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.runs: dict[str, bytes] = {"": b""}
+        self.splits = words_stand_alone(json.loads(self.model.to_str()))
+        self.merge = self.model.model.tokenize if self.splits else None
+        self.runs: dict[str, array] = {"": array("I")}
         self.symbols = byte_symbols()
         self.cache = PreTokens(self._encode_all)
 
-    def _merge(self, part: str) -> bytes:
-        """The ids of one pre-token, already in lower case and NFC: only the library's merges are left to do."""
-        if not part.isascii():
-            part = part.encode().decode("latin-1").translate(self.symbols)
-        return array("I", [x.id for x in self.model.model.tokenize(part)]).tobytes()
+    def _whole(self, texts: list[str]) -> list[array]:
+        return [array("I", e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_all(self, words: list[str]) -> list[np.ndarray]:
-        """A word of letters and then marks is two pre-tokens, remembered each for itself, letters in lower case; other words go through the whole tokenizer."""
+    def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A word of letters and then marks is two pre-tokens, remembered each for itself, letters in lower case: only the merges are left to the library. Other words go through the whole tokenizer."""
         if len(self.runs) > CACHE:
-            self.runs = {"": b""}
-        cut = [LETTERS_MARKS.fullmatch(w) for w in words]
-        odd = [w for w, m in zip(words, cut) if not m and w not in self.runs]
-        if odd:
-            self.runs.update(zip(odd, (array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(odd, add_special_tokens=False))))
-        for m in cut:
-            for part in (m[1].lower(), m[2]) if m else ():
-                if part not in self.runs:
-                    self.runs[part] = self._merge(part)
-        return [np.frombuffer(self.runs[m[1].lower()] + self.runs[m[2]] if m else self.runs[w], np.uint32) for w, m in zip(words, cut)]
+            self.runs = {"": array("I")}
+        runs, merge, symbols = self.runs, self.merge, self.symbols
+        flat, n, odd = array("I"), [], []
+        for k, word in enumerate(words):
+            cut = LETTERS_MARKS.fullmatch(word)
+            if not cut:
+                odd.append(k)
+                n.append(0)
+                continue
+            size = 0
+            for part in (cut[1].lower(), cut[2]):
+                ids = runs.get(part)
+                if ids is None:
+                    plain = part if part.isascii() else part.encode().decode("latin-1").translate(symbols)
+                    ids = runs[part] = array("I", [x.id for x in merge(plain)])
+                flat += ids
+                size += len(ids)
+            n.append(size)
+        flat, n = np.frombuffer(flat, np.uint32) if len(flat) else np.zeros(0, np.uint32), np.array(n, np.int64)
+        if not odd:
+            return flat, n
+        rows = self._whole([words[k] for k in odd])
+        more = np.zeros(len(words), bool)
+        more[odd] = True
+        n[odd] = [len(r) for r in rows]
+        out = np.empty(int(n.sum()), np.uint32)
+        mine = np.repeat(more, n)
+        out[mine], out[~mine] = np.concatenate([np.frombuffer(r, np.uint32) if len(r) else np.zeros(0, np.uint32) for r in rows]), flat
+        return out, n
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        parts = pc.ascii_split_whitespace(texts)
-        codes = parts.flatten().dictionary_encode()
-        offsets = parts.offsets.to_numpy().astype(np.int64)
-        place = self.cache.places(codes.dictionary.to_pylist())
-        flat, per_part = self.cache.gather(place[codes.indices.to_numpy()]) if len(codes) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        return flat, _sums(per_part, offsets - offsets[0])
+        """(all ids in a row, ids per text)"""
+        if not self.splits:
+            rows = self._whole(texts.to_pylist())
+            return np.concatenate([np.zeros(0, np.uint32), *[np.array(r, np.uint32) for r in rows]]), np.array([len(r) for r in rows], np.int64)
+        data, off = flat_bytes(texts)
+        starts, ends, before = word_spans(data, off)
+        flat, per_part = self.cache.gather(self.cache.places(data, starts, ends))
+        return flat, _sums(per_part, before)
 
 
 def loaded(kind, path: str):
