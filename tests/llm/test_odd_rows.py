@@ -63,6 +63,8 @@ OPERATORS = {
     "matrix": lambda df: packing.write_token_matrix(df, PIECES, None),
     "pack": lambda df: packing.pack_pieces(packing.materialise(packing.token_pieces(df, WORDS))),
     "language": lambda df: langid.predict(df, langid.train(df)),
+    "urls": lambda df: urlfilter.filter_urls(df.select("*", F.col("text").alias("url"))),
+    "pages": lambda df: html.extract_main_text(df.drop("text").select("*", F.col("doc_id").alias("page_id"), F.col("source").alias("url"), df.text.alias("html"))),
 }
 
 
@@ -105,7 +107,7 @@ def test_mix_cuts_large_sources_by_histogram(spark):
 
 
 def test_mix_fills_large_sources_from_all_documents(spark):
-    """Sources beyond 4096 documents follow the rule as small ones do, also if the first document in order is longer than the words needed."""
+    """Large sources follow the rule as small ones do, also if the first document in order is longer than the words needed."""
 
     def odds(i):
         u = (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
@@ -119,7 +121,9 @@ def test_mix_fills_large_sources_from_all_documents(spark):
     assert len(got) == 5001 and 20_000 < need < 100_000 and {r["copies"] for r in got} <= {0, 1}
 
     taken, left = set(), need
-    order = sorted(range(5001), key=lambda i: odds(i) / sizes[i])
+    rate = need / sum(n * n for n in sizes)
+    assert rate * max(sizes) <= 1
+    order = sorted(range(5001), key=lambda i: odds(i) * (1 - rate * sizes[i]) / (rate * sizes[i]))
     assert order[0] == giant
     for k in range(1 + mixing.FILLS):
         room = left
@@ -134,6 +138,25 @@ def test_mix_fills_large_sources_from_all_documents(spark):
     assert abs(sum(r["taken"] for r in got) - need) <= 50
 
 
+def test_mix_inclusion_rates(spark):
+    """Over many equal sources, documents are taken at rates proportional to their size, the largest always."""
+    sizes = [1600] + [90, 80, 70, 60, 50, 50, 40, 40, 30, 30, 20, 20, 10, 10] * 4
+    sources = 200
+    rows = [(s * 100 + i, f"{s:04d}", "w " * n) for s in range(sources) for i, n in enumerate(sizes)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string"), weights=(7.0, 3.0), max_repeat=1 << 20)
+    got = got.select("source", "size", F.col("copies") % 1000 - F.floor(F.col("target") / F.col("source_size")), "target", "source_size").toPandas()
+    got.columns = ["source", "size", "extra", "target", "all"]
+    got = got[got.source.astype(int) % 2 == 1]  # 0.6 of the source's words
+    need = got.target.iloc[0]
+    assert abs(need - 0.6 * sum(sizes)) < 1e-6
+    rate = (need - 1600) / sum(n * n for n in sizes[1:])
+    assert rate * 90 < 1 < need / sum(n * n for n in sizes) * 1600
+    rates = got.groupby("size").extra.mean()
+    assert rates[1600] == 1
+    for n in (90, 80, 70, 60, 50, 40, 30):
+        assert abs(rates[n] - rate * n) < 0.09, (n, rates[n], rate * n)
+
+
 @pytest.mark.parametrize("bound, value", [("BLOCK", 8), ("BLOCK_SHINGLES", 512)])
 def test_jaccard_hot_unit_is_formed_by_many_tasks(spark, monkeypatch, bound, value):
     """No task writes all members of a unit of many blocks, whether sets or shingles make it large; links are those of brute force."""
@@ -181,6 +204,55 @@ def test_media_round_trip_and_broken_containers(spark):
     assert [len(r["tracks"]) for r in media.media_tracks(df).collect()] == [0, 0, 0, 1]
 
 
+def test_media_of_nested_and_forged_boxes(spark):
+    """No input makes the reader fail or ask for more memory than the file is long."""
+    import struct
+
+    nested = b""
+    for _ in range(3000):
+        nested = media.box(b"moov", nested)
+    assert media.read_media(nested) == []
+    good = media.write_media(media.padded(b"some text " * 200))
+    (track,) = media.read_media(good)
+    at = good.index(b"stsz") + 8
+    forged = good[:at] + struct.pack(">II", 1, 0xFFFFFFFF) + good[at + 8 :]
+    assert media.read_media(forged) == []
+    at = good.index(b"stss") + 12
+    assert media.read_media(good[:at] + bytes(4) + good[at + 4 :]) == []  # sync samples count from 1
+    at = good.index(b"co64") + 12
+    assert media.read_media(good[:at] + struct.pack(">Q", len(good)) + good[at + 8 :]) == []  # bytes outside the file
+    rng = random.Random(6)
+    for _ in range(1500):
+        data = bytearray(good)
+        for _ in range(rng.randint(1, 6)):
+            data[rng.choice((rng.randrange(len(data)), rng.randrange(len(data) - 700, len(data))))] = rng.choice((0, 1, 255, rng.randrange(256)))
+        for t in media.read_media(bytes(data)):
+            assert all(0 <= a <= b <= len(data) for k in ("keyframes", "chunk_ranges") for a, b in t[k])
+    df = spark.createDataFrame([(bytearray(nested),), (bytearray(forged),), (bytearray(good),)], "media binary")
+    assert [len(r["tracks"]) for r in media.media_tracks(df).collect()] == [0, 0, 1]
+
+
+def test_movie_fragments():
+    """Samples of fragments: explicit sizes, defaults, flags, an explicit base, and a run that follows the one before it."""
+    import struct
+
+    stbl = media.box(b"stbl", media.full_box(b"stsd", struct.pack(">I", 1), media.box(b"avc1", bytes(78))), media.full_box(b"stts", bytes(4)), media.full_box(b"stsc", bytes(4)), media.full_box(b"stsz", bytes(8)), media.full_box(b"stco", bytes(4)))
+    mdia = media.box(b"mdia", media.full_box(b"mdhd", struct.pack(">IIIIHH", 0, 0, 90, 0, 0, 0)), media.box(b"minf", stbl))
+    trak = media.box(b"trak", media.full_box(b"tkhd", struct.pack(">III", 0, 0, 7), bytes(68)), mdia)
+    moov = media.box(b"moov", trak, media.box(b"mvex", media.full_box(b"trex", struct.pack(">IIIII", 7, 1, 10, 4, media.NOT_SYNC))))
+    first = lambda at: media.box(b"moof", media.box(b"traf", media.full_box(b"tfhd", struct.pack(">I", 7)), media.full_box(b"trun", struct.pack(">IiIII", 2, at, 0, 3, 5), flags=0x205), media.full_box(b"trun", struct.pack(">I", 1))))
+    size = len(first(0))
+    data = moov + first(size + 8) + media.box(b"mdat", b"aaabbbbbcccc")
+    base = len(data)
+    second = media.box(b"moof", media.box(b"traf", media.full_box(b"tfhd", struct.pack(">IQII", 7, base - 4, 20, 2), flags=0x1 | 0x8 | 0x10), media.full_box(b"trun", struct.pack(">III", 2, 0, media.NOT_SYNC), flags=0x400)))
+    (t,) = media.read_media(data + second)
+    at = len(moov) + size + 8
+    assert (t["n_samples"], t["duration"], t["sample_bytes"]) == (5, 70, 16)
+    assert t["keyframes"] == [[at, at + 3], [base - 4, base - 2]]
+    assert t["chunk_ranges"] == [[at, at + 12], [base - 4, base]]
+    assert media.read_media(moov + first(10**6) + media.box(b"mdat", bytes(12))) == []
+
+
 def test_sample_tables_with_several_chunks_and_sizes():
     import struct
 
@@ -292,25 +364,46 @@ def test_differencing_without_articles(spark):
     assert html.extract_main_text(df.limit(0)).count() == 0
 
 
-def test_directory_doubles():
-    counts = np.zeros(1 << 8, np.int64)
-    counts[3], counts[200] = 10, 5
-    depth, slots = exact_dedup.build_directory(counts, 12)
-    assert depth == 1 and slots.tolist() == [0, 128]
-    depth, slots = exact_dedup.build_directory(counts, 4)
-    assert depth == 8 and slots[3] == 3 and len(slots) == 256
-    assert exact_dedup.build_directory(np.zeros(4, np.int64), 4)[0] == 0
+def test_directory_doubles(spark):
+    """Buckets hold what they may, cover all slots, and the directory is as deep as its deepest bucket; with enough keys it grows."""
+    depths = []
+    for n, rows in ((0, 4), (3, 4), (500, 16), (4000, 16)):
+        keys = spark.range(n).select(F.xxhash64("id").alias("key"))
+        depth, directory = exact_dedup.build_directory(keys, rows)
+        slots = {r["slot_no"]: r["bucket"] for r in directory.collect()}
+        assert sorted(slots) == list(range(1 << depth))
+        filled, local = collections.Counter(), collections.Counter(slots.values())
+        for r in keys.collect():
+            filled[slots[(r["key"] & (1 << 64) - 1) >> 64 - depth if depth else 0]] += 1
+        assert max(filled.values(), default=0) <= rows and sum(filled.values()) == n
+        for bucket, count in local.items():
+            d, prefix = map(int, bucket.split("/"))
+            assert count == 1 << depth - d
+            if d:  # its parent was overfull
+                parent = sum(m for b, m in filled.items() if (lambda e, q: e >= d and q >> e - d in (prefix, prefix ^ 1))(*map(int, b.split("/"))))
+                assert parent > rows
+        depths.append(depth)
+    assert depths[:2] == [0, 0] and depths[2] < depths[3]
 
 
 def test_equal_keys_are_chained_by_bytes():
     import pyarrow as pa
 
     names = ["bucket", "key", "sha", "text", "n", "top"]
-    rows = [(0, 7, "s1", "one", 1, 5), (0, 7, "s2", "two", 2, 9), (0, 7, "s1", "one", 3, 4), (0, 8, "s3", "", 1, 1)]
+    rows = [("0/0", 7, "s1", "one", 1, 5), ("0/0", 7, "s2", "two", 2, 9), ("0/0", 7, "s1", "one", 3, 4), ("0/0", 8, "s3", "", 1, 1)]
     out = [r for b in exact_dedup._own([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)]) for r in b.to_pylist()]
     assert [(r["key"], r["slot"], r["sha"], r["keep_id"], r["group_size"]) for r in out] == [(7, 0, "s1", 5, 4), (7, 1, "s2", 9, 2), (8, 0, "s3", 1, 1)]
 
 
+def test_stored_index_answers_texts(spark, odd):
+    """The index tells of any text whether it is there, how often, and which row stays."""
+    rows, index = exact_dedup.build_index(odd)
+    asked = exact_dedup.text_keys(spark.createDataFrame([(100, "one two three"), (101, "never seen"), (102, None), (103, "the cat sat on the mat and the dog sat on the log")], "doc_id long, text string"))
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.probe(asked, index).collect()}
+    assert got == {100: (6, 1), 101: (None, None), 102: (14, 3), 103: (2, 3)}
+    assert index.count() == rows.select("sha").distinct().count()
+
+
 def test_best_fit_and_local_search():
     random.seed(3)
     for _ in range(30):
@@ -324,25 +417,91 @@ def test_best_fit_and_local_search():
     assert len(packing.local_search(np.array([60, 30, 60, 30, 10, 10]), worse, 100)) == 2
 
 
+@pytest.mark.parametrize("lengths, bins, kind", [
+    ([60, 30, 10], [[0, 1], [2]], "move"),
+    ([50, 40, 45, 45, 10], [[0, 1], [2, 3], [4]], "move"),
+    ([70, 20, 60, 30, 20], [[0, 1], [2, 4], [3]], "one_for_one"),
+    ([60, 36, 70, 25, 20, 20], [[0, 1], [2, 3], [4, 5]], "two_for_one"),
+])
+def test_exchanges_fill_bins(lengths, bins, kind):
+    search = packing.Exchanges(np.array(lengths), bins, 100)
+    squares = [int((search.fill**2).sum())]
+    while any(search.fill[b] and search.fill[b] < 100 and search.step(b) for b in np.argsort(search.fill, kind="stable").tolist()):
+        squares.append(int((search.fill**2).sum()))
+    assert search.made[kind] and all(a < b for a, b in zip(squares, squares[1:]))
+    assert sorted(i for b in search.bins for i in b) == list(range(len(lengths))) and search.fill.max() <= 100
+
+
+def test_local_search_empties_bins():
+    rng = np.random.default_rng(8)
+    n = np.minimum(rng.lognormal(6.3, 0.9, 2000).astype(np.int64) + 1, 2048)
+    start = packing.next_fit(n, 2048)
+    search = packing.Exchanges(n, start, 2048)
+    found = search.run()
+    assert sorted(i for b in found for i in b) == list(range(len(n))) and all(n[b].sum() <= 2048 for b in found)
+    assert len(start) > 1.1 * len(found) and len(found) <= -(-int(n.sum()) // 2048) + 2
+    assert min(search.made.values()) > 0 and sum(search.made.values()) > len(start) - len(found)
+
+
 def test_language_trees_are_exact_codes():
-    """A symbol's probabilities add up to one at every node, and a text's length is the sum of its symbols'."""
+    """Code lengths equal those of prediction by partial matching in plain Python, for known and unknown bytes, across strides."""
+    import math
+
+    import pyarrow as pa
+
+    from tapeline.llm.common import flat_bytes
+
+    learned = {"x": ["abracadabra abracadabra", "é"], "y": ["the theme of the thesis", "then"]}
+    tables = {}
+    for lang, texts in learned.items():
+        table = tables[lang] = collections.defaultdict(collections.Counter)
+        for t in texts:
+            raw = b"\n" * langid.ORDER + t.encode()
+            for i in range(langid.ORDER, len(raw)):
+                for k in range(langid.ORDER + 1):
+                    table[raw[i - k : i]][raw[i]] += 1
+
+    def bits(lang, text):
+        raw, out = b"\n" * langid.ORDER + text.encode(), 0.0
+        for i in range(langid.ORDER, len(raw)):
+            for k in range(langid.ORDER, -1, -1):
+                seen = tables[lang].get(raw[i - k : i])
+                if seen:
+                    n, d = sum(seen.values()), len(seen)
+                    out -= math.log2((seen[raw[i]] or d) / (n + d))
+                    if seen[raw[i]]:
+                        break
+            else:
+                out += 8
+        return out
+
+    counts = []
+    for number, texts in enumerate(learned.values()):
+        gram, n = np.unique(langid.grams(*flat_bytes(pa.array(texts))), return_counts=True)
+        counts.append(np.stack((np.full(len(n), number), gram.astype(np.int64), n), 1))
+    trees = langid.Trees(list(learned), np.concatenate(counts))
+    asked = ["", "abra", "the cadabra", "", "q\x00é漢", "theme of abracadabra " * 3, "h"]
+    for stride in (langid.STRIDE, 7, 1):
+        keep, langid.STRIDE = langid.STRIDE, stride
+        try:
+            got = trees.lengths(*flat_bytes(pa.array(asked)))
+        finally:
+            langid.STRIDE = keep
+        assert np.allclose(got, [[bits(lang, t) for lang in learned] for t in asked], rtol=1e-5, atol=1e-4)
+
+
+def test_languages_in_many_groups(monkeypatch):
+    """More languages than a group holds give the same code lengths."""
     import pyarrow as pa
 
     from tapeline.llm.common import flat_bytes
 
-    data, off = flat_bytes(pa.array(["abracadabra abracadabra", "the theme of the thesis"]))
-    gram = data.astype(np.int64)
-    for k in (1, 2, 3):
-        gram |= langid._before(data, off, k).astype(np.int64) << 8 * k
-    lang = np.repeat([0, 1], np.diff(off))
-    found, n = np.unique(lang << 32 | gram, return_counts=True)
-    trees = langid.Trees(["x", "y"], np.stack((found >> 32, found & 0xFFFFFFFF, n), 1))
-    total = np.exp2(-trees.cost.astype(float) / langid.UNIT).sum(1)
-    assert np.abs(total - 1).max() < 0.02
-    bits = trees.lengths(data, off)
-    assert bits[0, 0] < bits[0, 1] and bits[1, 1] < bits[1, 0]
-    parts = trees.lengths(*flat_bytes(pa.array(["", "abra", "", "q"])))
-    assert parts[0].tolist() == [0, 0] and parts[2].tolist() == [0, 0] and (parts[[1, 3]] > 0).all()
+    rng = np.random.default_rng(2)
+    counts = np.concatenate([np.stack((np.full(50, k), rng.integers(0, 1 << 40, 50) & 0x0707070707, np.ones(50, np.int64)), 1) for k in range(5)])
+    texts = flat_bytes(pa.array(["\x01\x02\x03\x04\x05" * 4, "\x00\x07"]))
+    one = langid.Trees(list("abcde"), counts).lengths(*texts)
+    monkeypatch.setattr(langid, "GROUP", 2)
+    assert np.allclose(one, langid.Trees(list("abcde"), counts).lengths(*texts))
 
 
 def test_undetermined_languages(odd):
