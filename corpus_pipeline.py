@@ -12,14 +12,19 @@ from tapeline.llm.common import materialise, table
 #: Least probability of the predicted language that a document needs to stay.
 LEAST_SCORE = 0.5
 
+#: A document goes whose code length per byte is so many times what nearly all documents of its predicted language stay below.
+MOST_EXCESS = 1.5
+
 #: Tokens of a training sequence.
 CAPACITY = 2048
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without letters, or without a language more likely than all others together, go."""
+    """Documents in one of the learned languages. Those without letters go, those without a language more likely than all
+    others together, and those that the predicted language's tree codes far worse than its own documents, as it does
+    text in a language or script that wasn't learned and random text."""
     found = langid.predict(docs, langid.train(docs))
-    return found.filter((found.lang_pred != "und") & (found.score >= LEAST_SCORE)).select(*docs.columns)
+    return found.filter((found.lang_pred != "und") & (found.score >= LEAST_SCORE) & (found.excess <= MOST_EXCESS)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,18 +34,19 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), that with the smallest doc_id. Rows without doc_id can't be told apart and stay."""
-    first = jaccard.jaccard_join(docs).filter("component_id = doc_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    found = materialise(jaccard.jaccard_join(docs).filter("doc_id is not null").select("doc_id", (F.col("component_id") == F.col("doc_id")).alias("stays")))
+    away = materialise(found.groupBy("doc_id").agg(F.max("stays").alias("stays")).filter("not stays").select("doc_id"))
+    return docs.join(away, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: 0 to 3 times."""
+    """Documents as often as the mix takes them: 0 to 3 times, as equal rows. Null and wordless texts are taken 0 times."""
     mixed = mixing.mix_sources(docs, with_text=True)
     return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))).alias("copy"), "copies").filter("copies > 0").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' ids, packed into sequences."""
+    """Pieces of the documents' ids, packed into sequences: doc_id, piece, start, length, ids_crc32, sequence_id and offset. Very long texts are many pieces; null and empty ones are the end id alone."""
     return packing.pack_pieces(materialise(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)), CAPACITY)
 
 
