@@ -55,6 +55,16 @@ def test_greedy_keep_is_the_sequential_rule(spark):
     assert {r["id"] for r in got.filter("keep").collect()} == brute_greedy(range(60), lambda a, b: (a, b) in pairs)
 
 
+def test_greedy_keep_with_groups(spark):
+    """A group's later ids go with its first kept one, also where the group's first id goes itself."""
+    random.seed(4)
+    pairs = {(i, j) for i in range(80) for j in range(i + 1, 80) if random.random() < 0.02}
+    group = {i: f"g{i % 9}" for i in range(80) if i % 4}
+    got = events.greedy_keep(spark.range(80).toDF("id"), spark.createDataFrame(sorted(pairs), "early long, late long"), spark.createDataFrame(list(group.items()), "id long, group string"))
+    kept = {r["id"] for r in got.filter("keep").collect()}
+    assert got.count() == 80 and kept == brute_greedy(range(80), lambda a, b: (a, b) in pairs or (a in group and group.get(a) == group.get(b)))
+
+
 def test_headlines_equal_brute_force(spark):
     random.seed(2)
     words = ["bank", "rate", "policy", "gold", "bond", "loan", "credit", "note", "to", "rbi"]
@@ -91,7 +101,7 @@ def test_near_duplicates_equal_brute_force(spark):
         return s >= 0.85 - 1e-9
 
     e = spark.createDataFrame(rows, "id long, title string, day string, url string, content string, attachments int")
-    got = events.greedy_keep(e, events.near_duplicate_pairs(e))
+    got = events.near_duplicates(e)
     assert {r["id"] for r in got.filter("keep").collect()} == brute_greedy(range(40), dup)
 
 
