@@ -72,17 +72,17 @@ def securities(events: DataFrame, sectors: Column, table: dict = SECTOR_SECURITI
 def event_study(events: DataFrame, prices: DataFrame, offsets=OFFSETS) -> DataFrame:
     """(event_id, symbol, day, t0, offset, ret): the close's change in percent between t0 and t0 + offset sessions, with the sign that a later price is higher.
 
-    t0 is the first session on or after the event's day: prices and events of a symbol are put in one order by date, and
-    an event takes the next session's number: one sort per symbol, no range join. `events`: event_id, symbol, day.
+    t0 is the first session on or after the event's day. It is told once per symbol and day: sessions and the events' distinct days are put
+    in one order by date, so windows hold days, however many events there are. `events`: event_id, symbol, day.
     Offsets outside the data, and prices of 0 or less, give null.
     """
     w = Window.partitionBy("symbol").orderBy("date")
     sessions = prices.select("symbol", F.col("date"), "close").withColumn("n", F.row_number().over(w))
-    both = sessions.select("symbol", "date", F.lit(1).alias("kind"), "n", F.lit(None).cast("string").alias("event_id")).unionByName(
-        events.select("symbol", F.col("day").alias("date"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("n"), "event_id")
-    )
-    next_ = Window.partitionBy("symbol").orderBy("date", "kind").rowsBetween(0, Window.unboundedFollowing)
-    at = both.withColumn("t0", F.first("n", ignorenulls=True).over(next_)).filter("kind = 0").select("event_id", "symbol", F.col("date").alias("day"), "t0")
+    days = events.select("symbol", F.col("day").alias("date")).distinct()
+    both = sessions.select("symbol", "date", F.lit(1).alias("kind"), "n").unionByName(days.select("symbol", "date", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("n")))
+    from_behind = Window.partitionBy("symbol").orderBy(F.desc("date"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    first = both.withColumn("t0", F.last("n", ignorenulls=True).over(from_behind)).filter("kind = 0").select("symbol", F.col("date").alias("day"), "t0")
+    at = events.select("event_id", "symbol", "day").join(first, ["symbol", "day"])
     wide = at.withColumn("offset", F.explode(F.array(*[F.lit(o) for o in offsets]))).withColumn("n", F.col("t0") + F.col("offset"))
     base = sessions.select(F.col("symbol").alias("s0"), F.col("n").alias("n0"), F.col("close").alias("c0"))
     then = sessions.select(F.col("symbol").alias("s1"), F.col("n").alias("n1"), F.col("close").alias("c1"))
@@ -94,12 +94,13 @@ def event_study(events: DataFrame, prices: DataFrame, offsets=OFFSETS) -> DataFr
 
 def regimes(events: DataFrame, classified: DataFrame) -> DataFrame:
     """(event_id, symbol, day, before, after): the sentiment last classified before the event's day and first after it; Neutral if none. `classified`: symbol, date, sentiment."""
-    both = classified.select("symbol", "date", "sentiment", F.lit(None).cast("string").alias("event_id")).unionByName(events.select("symbol", F.col("day").alias("date"), F.lit(None).cast("string").alias("sentiment"), "event_id"))
-    w = Window.partitionBy("symbol").orderBy(F.datediff("date", F.lit("1970-01-01")))
-    before = F.last("sentiment", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, -1))
-    after = F.first("sentiment", ignorenulls=True).over(w.rangeBetween(1, Window.unboundedFollowing))
-    df = both.withColumn("before", before).withColumn("after", after).filter("event_id is not null")
-    return df.select("event_id", "symbol", F.col("date").alias("day"), F.coalesce("before", F.lit("Neutral")).alias("before"), F.coalesce("after", F.lit("Neutral")).alias("after"))
+    days = events.select("symbol", F.col("day").alias("date")).distinct()  # windows hold days, not events
+    both = classified.select("symbol", "date", "sentiment", F.lit(False).alias("asked")).unionByName(days.select("symbol", "date", F.lit(None).cast("string").alias("sentiment"), F.lit(True).alias("asked")))
+    day = F.datediff("date", F.lit("1970-01-01"))
+    earlier, later = (Window.partitionBy("symbol").orderBy(d).rangeBetween(Window.unboundedPreceding, -1) for d in (day, -day))
+    told = both.withColumn("before", F.last("sentiment", ignorenulls=True).over(earlier)).withColumn("after", F.last("sentiment", ignorenulls=True).over(later)).filter("asked")
+    df = events.select("event_id", "symbol", "day").join(told.select("symbol", F.col("date").alias("day"), "before", "after"), ["symbol", "day"])
+    return df.select("event_id", "symbol", "day", F.coalesce("before", F.lit("Neutral")).alias("before"), F.coalesce("after", F.lit("Neutral")).alias("after"))
 
 
 def sanitise(text: Column, limit: int = 8000) -> Column:

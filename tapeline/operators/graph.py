@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
+from .order import numbered
 
 #: Events up to which a category is paired whole, events up to which a keyword pairs, scores of the two kinds of candidates.
 WHOLE, KEYWORD = 100, 50
@@ -21,13 +22,18 @@ EDGE_WEIGHTS = {"HIGH": 1.0, "MEDIUM": 0.7, "LOW": 0.4}
 
 
 def category_pairs(events: DataFrame) -> DataFrame:
-    """G1: (a, b) of the same category: all pairs of up to 100 events; of more, only neighbours by date. The bound keeps a hot category from growing by its square."""
-    e = events.select("event_id", "category", "publication_date").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("category")))
-    small = e.filter(F.col("n") <= WHOLE)
+    """G1: (a, b) of the same category: all pairs of up to 100 events; of more, only neighbours by date. The bound keeps a hot category from growing by its square.
+
+    Events are counted before they are joined, and neighbours are told by places in one order of all categories, so no task holds a category.
+    """
+    e = events.select("event_id", "category", "publication_date")
+    counts = materialise(e.groupBy("category").agg(F.count(F.lit(1)).alias("n")))
+    small = e.join(counts.filter(F.col("n") <= WHOLE).select("category"), "category", "left_semi")
     a, b = small.select(F.col("event_id").alias("a"), "category"), small.select(F.col("event_id").alias("b"), "category")
     every = a.join(b, "category").filter("a < b").select("a", "b")
-    w = Window.partitionBy("category").orderBy(F.col("publication_date").desc(), "event_id")
-    next_ = e.filter(F.col("n") > WHOLE).withColumn("other", F.lead("event_id").over(w)).filter("other is not null")
+    large = materialise(numbered(e.join(counts.filter(F.col("n") > WHOLE).select("category"), "category", "left_semi"), "category", F.desc("publication_date"), "event_id"))
+    after = large.select((F.col("pos") - 1).alias("pos"), F.col("category").alias("other_category"), F.col("event_id").alias("other"))
+    next_ = large.join(after, "pos").filter("category = other_category")
     return every.unionByName(next_.select(F.least("event_id", "other").alias("a"), F.greatest("event_id", "other").alias("b"))).distinct()
 
 
@@ -105,8 +111,9 @@ def statistics(nodes: DataFrame, links: DataFrame, comps: DataFrame) -> DataFram
     return n.crossJoin(e).crossJoin(c).withColumn("mean_degree", F.bround(F.coalesce(F.try_divide(2.0 * F.col("edges"), F.col("nodes")), F.lit(0.0)), 2))
 
 
-def related(links: DataFrame, node: str) -> DataFrame:
-    """The other ends of a node's edges."""
+def related(links: DataFrame, node: str | Column) -> DataFrame:
+    """The other ends of a node's edges; the node is a name, or a column of links that tells it."""
+    node = node if isinstance(node, Column) else F.lit(node)
     other = F.when(F.col("source") == node, F.col("target")).otherwise(F.col("source"))
     return links.filter((F.col("source") == node) | (F.col("target") == node)).select(other.alias("related"), "type", "weight", F.when(F.col("source") == node, "out").otherwise("in").alias("direction"))
 
@@ -114,14 +121,17 @@ def related(links: DataFrame, node: str) -> DataFrame:
 def analogs(events: DataFrame, history: DataFrame, n: int = 3) -> DataFrame:
     """(event_id, analog_id, at): each event's newest n earlier events of the same category and direction.
 
-    The two tables are put in one order per (category, direction) and the last n ids are carried along, so a hot category
-    makes no pairs beyond n per event. Order: date, history before events of a later date only.
+    History is numbered along (category, direction, day, id), so an event's analogs are the last n numbers before its day. Which number that is
+    is told per category, direction and day: windows hold days, not events, and a hot category makes no pairs beyond n per event.
     """
-    rows = history.select("category", "direction", F.col("publication_date").alias("day"), F.col("event_id").alias("analog_id"), F.lit(None).cast("string").alias("event_id"), F.lit(1).alias("kind")).unionByName(
-        events.select("category", "direction", F.col("publication_date").alias("day"), F.lit(None).cast("string").alias("analog_id"), "event_id", F.lit(0).alias("kind"))
-    )
-    w = Window.partitionBy("category", "direction").orderBy("day", "kind", F.col("analog_id").desc_nulls_first())
-    seen = rows.withColumn("no", F.count("analog_id").over(w))
-    past = seen.filter("kind = 1").select(F.col("category").alias("c"), F.col("direction").alias("d"), F.col("no").alias("k"), "analog_id")
-    asks = seen.filter("kind = 0").select("event_id", "category", "direction", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("at"), "no").withColumn("k", F.col("no") - F.col("at")).filter("k > 0")
-    return asks.join(past, (F.col("category") == F.col("c")) & (F.col("direction") == F.col("d")) & (asks.k == past.k)).select("event_id", "analog_id", (F.col("at") + 1).alias("at"))
+    group = ["category", "direction"]
+    past = history.select(*group, F.col("publication_date").alias("day"), F.col("event_id").alias("analog_id")).filter("category is not null and direction is not null")
+    past = materialise(numbered(past, *group, "day", F.desc("analog_id"), name="k"))
+    tops = past.groupBy(*group, "day").agg(F.max("k").alias("top"))
+    asked = events.select(*group, F.col("publication_date").alias("day")).distinct()
+    w = Window.partitionBy(*group).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = asked.join(tops, [*group, "day"], "full").withColumn("last", F.max("top").over(w)).filter("last is not null").select(*group, "day", "last")
+    asks = events.select("event_id", *group, F.col("publication_date").alias("day")).join(days, [*group, "day"])
+    asks = asks.select("event_id", *group, "last", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("at")).withColumn("k", F.col("last") - F.col("at"))
+    found = asks.join(past.select("k", F.col("category").alias("c"), F.col("direction").alias("d"), "analog_id"), "k").filter((F.col("category") == F.col("c")) & (F.col("direction") == F.col("d")))
+    return found.select("event_id", "analog_id", (F.col("at") + 1).alias("at"))
