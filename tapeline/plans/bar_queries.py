@@ -240,6 +240,8 @@ gs as (select symbol, count(*) as rows, count(distinct date) as days, count(*) f
 verdict as (select symbol, rows, {GATED} as reason, {GATED} is null as passed from gs)"""
 
 SEQ = "sequence_id, symbol, timeframe, config_id"
+ROUTES_SQL = "select symbol, unnest(['trending', 'effort', 'ticker', 'trigger', 'anomaly']) as route, unnest([trending, effort, ticker, trigger, anomaly]) as flag from flags"
+
 EIG = "symbol, timeframe, period, prev_period, gap_direction, close_band, label, sentiment"
 
 #: name: (query, SQL)
@@ -255,7 +257,8 @@ _RAW = {
     "signal_histogram": (lambda s, d: patterns.signal_histogram(labelled(s, d)), f"with {SIG} select signal, count(*) as bars from sig group by signal"),
     "win_rate_audit": (lambda s, d: rounded(patterns.win_rate_audit(labelled(s, d))), f"with {SIG} select signal, count(*) filter (where validation = 'Confirmed') as confirmed, count(*) filter (where validation = 'Failed') as failed, count(*) filter (where validation = 'Pending') as pending, round(count(*) filter (where validation = 'Confirmed') / nullif(count(*) filter (where validation in ('Confirmed', 'Failed')), 0), 6) as win_rate from sig where validation <> 'N/A' group by signal"),
     "route_flags": (lambda s, d: rounded(patterns.route_flags(labelled(s, d))), f"with {SIG} select * replace (round(vol_pct, 6) as vol_pct, round(confidence::double, 6) as confidence) from flags"),
-    "route_counts": (lambda s, d: patterns.route_counts(patterns.route_flags(labelled(s, d))), f"with {SIG} select route, count(*) as symbols, string_agg(symbol, ',' order by symbol) as names from (select symbol, unnest(['trending', 'effort', 'ticker', 'trigger', 'anomaly']) as route, unnest([trending, effort, ticker, trigger, anomaly]) as flag from flags) where flag group by route"),
+    "route_counts": (lambda s, d: patterns.route_counts(patterns.route_flags(labelled(s, d))), f"with {SIG} select route, count(*) as symbols from ({ROUTES_SQL}) where flag group by route"),
+    "route_members": (lambda s, d: patterns.route_fan_out(patterns.route_flags(labelled(s, d))), f"with {SIG} select route, symbol from ({ROUTES_SQL}) where flag"),
     "ticker_cards": (lambda s, d: rounded(patterns.ticker_cards(labelled(s, d))), f"with {SIG} select symbol, case when signal <> 'No Signal' then split_part(signal, ' (', 1) else anomaly end as pattern, case when signal <> 'No Signal' then regexp_extract(signal, '\\((.*)\\)', 1) else {MOOD} end as sentiment, effort, case when signal <> 'No Signal' then description else 'Advanced Anomaly Detected: ' || anomaly || '. Structural shifts observed in volume/price relationship.' end as description, round(case when spread_ma > 0 then spread / spread_ma else 1.0 end, 6) as spread_ratio, round(case when signal <> 'No Signal' then confidence else 0.7 end::double, 6) as confidence from newest where rn = 1"),
     "trigger_rows": (lambda s, d: rounded(patterns.trigger_rows(labelled(s, d))), f"with {SIG} select symbol, prev_volume::bigint as prev_vol, volume::bigint as curr_vol, round(prev_spread, 6) as prev_spr, round(spread, 6) as curr_spr, round(vol_pct, 6) as vol_pct, round(spr_pct, 6) as spr_pct from newest where rn = 1"),
     "anomaly_rows": (lambda s, d: rounded(patterns.anomaly_rows(labelled(s, d))), f"with {SIG} select symbol, anomaly as pattern, prev_volume::bigint as prev_vol, volume::bigint as curr_vol, round(vol_pct, 6) as drop_pct, {MOOD} as sentiment from newest where rn = 1"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import analytics, enrichment, events, graph, search
 from ..sources import bars as bar_sources
 from ..sources import publications
+from ..sources.shared import shared_dir
 from .bar_queries import BARS, FRAMES, bars, frames
 from .compare import rounded, same_rounding
 
@@ -49,6 +53,17 @@ ev as (select doc_id, substr(sha256(concat_ws('|', strftime(day, '%Y-%m-%d'), so
         from documents d left join (select doc_id, quality from labels) l on d.doc_id = l.doc_id))"""
 
 
+ANCHOR_SQL, HEADER_SQL = (x.replace("'", "''") for x in (publications.ANCHOR, publications.DATE_HEADER))
+
+
+def _clean_sql(text):
+    """clean_text in SQL."""
+    t = f"regexp_replace(regexp_replace({text}, '<!\\[CDATA\\[|\\]\\]>', '', 'g'), '<[^>]+>', ' ', 'g')"
+    for name, mark in publications.ENTITIES:
+        t = f"replace({t}, '{name}', '{mark.replace(chr(39), chr(39) * 2)}')"
+    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+
+
 def _any(words):
     return "(" + (" or ".join(f"contains(lt, '{w}')" for w in words) or "false") + ")"
 
@@ -105,8 +120,7 @@ def _m6_events(s, d):
 
 
 def _near_duplicates(s, d):
-    e = _m6_events(s, d)
-    return events.greedy_keep(e, events.near_duplicate_pairs(e))
+    return events.near_duplicates(_m6_events(s, d))
 
 
 def _study_events(s, d):
@@ -160,7 +174,39 @@ def _index_json(s, d):
 
 def _watchlists(s, d):
     docs = s.read.parquet(f"{d}/documents.parquet")
-    return bar_sources.parse_watchlist(docs.select(F.col("doc_id").alias("list_id"), F.coalesce("text", F.lit("")).alias("raw"))).groupBy("list_id").agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("rejected"))
+    return bar_sources.parse_watchlist(docs.select(F.col("doc_id").alias("list_id"), F.replace(F.coalesce("text", F.lit("")), F.lit("ß"), F.lit("ss")).alias("raw"))).groupBy("list_id").agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("rejected"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "symbol"))), lambda x: x["symbol"]), "|")).alias("names"))
+
+
+def _pdf_pages(s, d):
+    """Pages whose links lead to documents: all of them in a third of the pages, some of them under /PDFs/ in another, none in the rest."""
+    whole, some = F.regexp_replace("html", '<a href="(/[^"]*)">', '<a href="$1.pdf">'), F.regexp_replace("html", '<a href="/([^"]*[aeiou])">', '<a href="/PDFs/$1.PDF">')
+    k = F.col("page_id") % 3
+    return s.read.parquet(f"{d}/pages.parquet").select("page_id", "url", F.when(k == 0, whole).when(k == 1, some).otherwise(F.col("html")).alias("html"))
+
+
+def _fields(s, d):
+    """K8: comparisons of each kind of field, alone and together."""
+    e, i = indexed(s, d)
+    field = search.field
+    asked = {
+        "category": field("category", ":", "SRC3"), "priority": field("priority", ":", "high"), "confidence": field("confidence", "<", 20), "confidence is": field("confidence", "=", "55"), "date from": field("date", ">=", "2024-01-20"),
+        "date before": field("date", "<", "2024-01-04"), "all": field("category", ":", "src3") & field("confidence", ">", 60) & ~field("date", ":", "2024-01-08"),
+    }
+    return reduce(DataFrame.unionByName, [q.of(e, i, "event_id").select(F.lit(name).alias("expression"), "event_id") for name, q in asked.items()])
+
+
+def _jsonl(s, d):
+    """Events written as JSON lines, in the nested layout, the old flat one, and as lines that break off; then read back."""
+    e = source_events(s, d)
+    nested = F.to_json(F.struct("event_id", F.struct("title", "publication_date", "official_url", "content").alias("official_data"), F.struct("keywords").alias("derived_data"), F.struct(F.col("status").alias("lifecycle_status")).alias("metadata")))
+    flat = F.to_json(F.struct("event_id", "title", F.col("publication_date").alias("published_at"), F.col("official_url").alias("url"), F.col("content").alias("summary"), "keywords", "status"))
+    broken = F.concat(F.lit('{"event_id": "'), F.col("event_id"))
+    k = F.col("doc_id") % 7
+    place = shared_dir(s)
+    e.select(F.when(k == 3, broken).when(k > 3, flat).otherwise(nested).alias("value")).write.text(place)
+    o = "official_data"
+    read = publications.read_events(s, place)
+    return read.select("event_id", f"{o}.title", f"{o}.publication_date", f"{o}.official_url", F.md5(f"{o}.content").alias("content"), "metadata.lifecycle_status", F.size("derived_data.keywords").alias("keywords"), F.col("_corrupt_record").alias("corrupt"))
 
 
 def _graph_stats(s, d):
@@ -242,13 +288,25 @@ _RAW = {
     "relation_distribution": (lambda s, d: analytics.distribution(relations(s, d)[1], "type"), f"with {REL} select type, count(*) as events from rr group by type"),
     "related_events": (lambda s, d: _related(s, d), f"with {REL}, o as (select min(event_id) as node from ev where doc_id = 1) select case when source = node then target else source end as related, type, case confidence when 'HIGH' then 1.0 when 'MEDIUM' then 0.7 else 0.4 end::double as weight, case when source = node then 'out' else 'in' end as direction from rr, o where source = node or target = node"),
     "analogs": (_analogs, f"""with {FULL} select event_id, analog_id, rn as "at" from (select a.event_id, h.event_id as analog_id, row_number() over (partition by a.event_id order by h.publication_date desc, h.event_id) as rn from fe a join fe h on h.category = a.category and h.direction = a.direction and h.publication_date < a.publication_date) where rn <= 3"""),
-    "page_links": (lambda s, d: publications.page_links(s.read.parquet(f"{d}/pages.parquet")), None),
-    "archive_rows": (lambda s, d: publications.archive_rows(_archive_pages(s, d)), None),
-    "document_links": (lambda s, d: publications.best_document_link(s.read.parquet(f"{d}/pages.parquet"), suffix="g", prefer="/the").select("page_id", "document"), None),
-    "clean_text": (lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", F.length(publications.clean_text(F.col("html"))).alias("n")), None),
+    "page_links": (lambda s, d: publications.page_links(s.read.parquet(f"{d}/pages.parquet")), f"""with a as (select page_id, regexp_extract_all(html, '{ANCHOR_SQL}', 1) as links, regexp_extract_all(html, '{ANCHOR_SQL}', 2) as titles from pages),
+        b as (select page_id, unnest(links) as link, unnest(titles) as title, generate_subscripts(links, 1) as k from a) select page_id, (k - 1)::int as "at", link, {_clean_sql('title')} as title from b"""),
+    "archive_rows": (lambda s, d: publications.archive_rows(_archive_pages(s, d)), f"""with p as (select page_id, url, string_split(regexp_replace(replace(html, '<li>', '<td class="tableheader"><b>Jan ' || (page_id % 28 + 1) || ', 2024</b></td><li>'), '{HEADER_SQL}', chr(1) || '\\1' || chr(2), 'g'), chr(1)) as parts from pages),
+        q as (select page_id, url, unnest(parts) as part, generate_subscripts(parts, 1) - 1 as block from p), r as (select page_id, url, block, try_strptime(regexp_replace(string_split(part, chr(2))[1], '\\s+', ' ', 'g'), '%b %d, %Y')::date as day, string_split(part, chr(2))[-1] as body from q where block > 0),
+        x as (select *, regexp_extract_all(body, '{ANCHOR_SQL}', 1) as links, regexp_extract_all(body, '{ANCHOR_SQL}', 2) as titles from r where day is not null)
+        select page_id, url, block::int as block, day, link, {_clean_sql('title')} as title from (select page_id, url, block, day, unnest(links) as link, unnest(titles) as title from x)"""),
+    "document_links": (lambda s, d: publications.best_document_link(_pdf_pages(s, d)).select("page_id", "document"), r"""with p as (select page_id, url, case page_id % 3 when 0 then regexp_replace(html, '<a href="(/[^"]*)">', '<a href="\1.pdf">', 'g') when 1 then regexp_replace(html, '<a href="/([^"]*[aeiou])">', '<a href="/PDFs/\1.PDF">', 'g') else html end as html from pages),
+        q as (select page_id, regexp_extract(url, '^[a-z]+://[^/?#]+') as site, list_filter(regexp_extract_all(html, '(?i)href=[''"]?([^''" >]+[.]pdf)[''"]?', 1), lambda x: not regexp_matches(lower(x), 'accessibility|utkarsh')) as links from p),
+        w as (select page_id, list_transform(links, lambda x: case when starts_with(x, 'http') then x when starts_with(x, '/') then site || x else site || '/' || x end) as links from q) select page_id, coalesce(list_filter(links, lambda x: contains(lower(x), '/pdfs/'))[1], links[1]) as document from w"""),
+    "clean_text": (lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", publications.clean_text(F.col("html")).alias("t")).select("page_id", F.length("t").alias("n"), F.md5("t").alias("md5")), f"select page_id, length(t)::int as n, md5(t) as md5 from (select page_id, {_clean_sql('html')} as t from pages)"),
     "chart_bars": (_charts, "select event_type as symbol, ts::date as date, round_even(min(value), 4) as open, round_even(max(value), 4) as high, round_even(min(value), 4) as low, round_even(max(value), 4) as close, count(*)::double as volume from events where value is not null group by 1, 2"),
     "index_bars": (_index_json, "select o_orderstatus as symbol, o_orderdate::date as date, o_totalprice as open, o_totalprice as high, o_totalprice as low, o_totalprice as close, 0.0::double as volume, 0.0::double as turnover from orders"),
-    "watchlists": (_watchlists, None),
+    "watchlists": (_watchlists, r"""with r as (select doc_id as list_id, regexp_split_to_array(replace(coalesce(text, ''), 'ß', 'ss'), '[,\n]+') as parts from documents),
+        n as (select list_id, upper(trim(unnest(parts))) as symbol, generate_subscripts(parts, 1) as pos from r), o as (select list_id, symbol, min(pos) as pos from n where symbol <> '' group by list_id, symbol)
+        select list_id, count(*) filter (where v) as valid, count(*) filter (where not v) as rejected, md5(string_agg(symbol, '|' order by pos)) as names from (select *, regexp_matches(symbol, '^[A-Z0-9_\-.& ]{1,30}$') as v from o) group by list_id"""),
+    "search_fields": (_fields, f"""with {FULL} select 'category' as expression, event_id from fe where lower(category) = 'src3' union all select 'priority', event_id from fe where lower(severity) = 'high' union all select 'confidence', event_id from fe where confidence < 20
+        union all select 'confidence is', event_id from fe where confidence = 55 union all select 'date from', event_id from fe where publication_date >= '2024-01-20' union all select 'date before', event_id from fe where publication_date < '2024-01-04' union all select 'all', event_id from fe where lower(category) = 'src3' and confidence > 60 and publication_date <> '2024-01-08'"""),
+    "events_jsonl": (_jsonl, f"""with {EV} select case when doc_id % 7 <> 3 then event_id end as event_id, case when doc_id % 7 <> 3 then title end as title, case when doc_id % 7 <> 3 then publication_date end as publication_date, case when doc_id % 7 <> 3 then official_url end as official_url,
+        case when doc_id % 7 <> 3 then md5(content) end as content, case when doc_id % 7 = 3 then 'ACTIVE' else status end as lifecycle_status, case when doc_id % 7 = 3 then 0 else len(keywords) end::int as keywords, case when doc_id % 7 = 3 then '{{"event_id": "' || event_id end as corrupt from ev"""),
     "newest_snapshot": (lambda s, d: bar_sources.newest_snapshot(s.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("snapshot_date"), "o_orderkey")), "select o_orderpriority as symbol, o_orderdate::date as snapshot_date, o_orderkey from orders where (o_orderpriority, o_orderdate::date) in (select (o_orderpriority, max(o_orderdate::date)) from orders group by o_orderpriority)"),
     "fetch_state": (lambda s, d: events.new_state(*_orders(s, d)), "select max(o_orderdate)::timestamp as last_ts from orders"),
     "high_priority_events": (lambda s, d: full_events(s, d).filter(F.col("severity").isin("High", "Critical")).select("event_id", "severity"), f"with {FULL} select event_id, severity from fe where severity in ('High', 'Critical')"),
@@ -289,9 +347,7 @@ def _regimes(s, d):
 def _related(s, d):
     e, r = relations(s, d)
     node = e.filter("doc_id = 1").agg(F.min("event_id").alias("node"))
-    links = graph.edges(r).crossJoin(F.broadcast(node)).filter("source = node or target = node")
-    other = F.when(F.col("source") == F.col("node"), F.col("target")).otherwise(F.col("source"))
-    return links.select(other.alias("related"), "type", "weight", F.when(F.col("source") == F.col("node"), "out").otherwise("in").alias("direction"))
+    return graph.related(graph.edges(r).crossJoin(F.broadcast(node)), F.col("node"))
 
 
 def _archive_pages(s, d):

@@ -64,8 +64,12 @@ def to_day(c: Column, formats=DATE_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_date(F.trim(c.cast("string")), f) for f in formats])
 
 
-def read_bars(spark: SparkSession, paths: list[str], series: str | None = "EQ") -> DataFrame:
-    """Bars from CSV files, one per instrument, whose stem is the symbol.
+#: A file's stem.
+STEM = r"([^/]+?)(?:\.[^./]*)?$"
+
+
+def read_bars(spark: SparkSession, paths: list[str], series: str | None = "EQ", symbol: str = STEM) -> DataFrame:
+    """Bars from CSV files, one or more per instrument. `symbol` finds its name in a file's path: the stem, or another pattern's first group.
 
     Files are grouped by their header lines (read by Spark, one row per file) and each group is scanned once.
     A required column that a group lacks is null there, which the quality gate reports.
@@ -74,7 +78,7 @@ def read_bars(spark: SparkSession, paths: list[str], series: str | None = "EQ")
     heads = first.groupBy("file").agg(F.min_by("value", "at").alias("header")).groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     parts = []
     for h in heads:
-        raw = spark.read.option("header", True).csv(h["files"]).withColumn("symbol", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1))
+        raw = spark.read.option("header", True).csv(h["files"]).withColumn("symbol", F.regexp_extract(F.input_file_name(), symbol, 1))
         df = only_series(canonicalise(raw), series) if series else canonicalise(raw)
         for c in BAR_SCHEMA.names:
             if c not in df.columns:

@@ -37,10 +37,17 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("event_id", official.alias("official_data"), derived.alias("derived_data"), meta.alias("metadata"), "_corrupt_record")
 
 
+#: The entities that are decoded, and their characters.
+ENTITIES = (
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+    ("&hellip;", "…"), ("&bull;", "•"), ("&euro;", "€"), ("&pound;", "£"), ("&deg;", "°"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&amp;", "&"),
+)
+
+
 def clean_text(c: Column) -> Column:
-    """No CDATA marks and tags, entities decoded, runs of white space one space, trimmed. The named and numeric entities below are fixed values; rarer ones stay."""
+    """No CDATA marks and tags, entities decoded, runs of white space one space, trimmed. Entities that aren't listed stay."""
     c = F.regexp_replace(F.regexp_replace(c, r"<!\[CDATA\[|\]\]>", ""), r"<[^>]+>", " ")
-    for name, mark in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    for name, mark in ENTITIES:
         c = F.replace(c, F.lit(name), F.lit(mark))
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; where that is unset (tests on one machine) under a temporary folder."""
+    """A new folder under spark.checkpoint.dir. Where that is unset a temporary folder serves a session on one machine; on a cluster it is an error, since executors don't share such folders."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tapeline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tapeline-{uuid.uuid4().hex}"
