@@ -64,7 +64,7 @@ OPERATORS = {
     "pack": lambda df: packing.pack_pieces(packing.materialise(packing.token_pieces(df, WORDS))),
     "language": lambda df: langid.predict(df, langid.train(df)),
     "urls": lambda df: urlfilter.filter_urls(df.select("*", F.col("text").alias("url"))),
-    "pages": lambda df: html.extract_main_text(df.drop("text").select("*", F.col("doc_id").alias("page_id"), F.col("source").alias("url"), df.text.alias("html"))),
+    "pages": lambda df: html.extract_main_text(df.select("*", F.col("doc_id").alias("page_id"), F.col("source").alias("url"), F.col("text").alias("html"))),
 }
 
 
@@ -353,14 +353,83 @@ def test_blocks_and_lines():
         assert len(line) == length[-1][-1] and all(x in it for x in line)
 
 
-def test_differencing_without_articles(spark):
-    page = lambda i: f"<div>Site name</div><div>Menu</div><p>Story {i} has its own words</p><div>Bottom</div>"
-    rows = [(i, f"http://h.org/n/{i}", page(i)) for i in range(6)] + [(7, None, None), (8, None, "<p>lonely"), (9, "http://other.org/", page(9)), (9, "http://other.org/", page(9))]
+def test_articles_keep_their_wrappers_and_headings():
+    assert html.blocks('<div class="page no-sidebar has-comments"><article><p>A</p></article></div>') == [("main", "A")]
+    assert html.blocks('<div id="share"><p>x</p><article><div class="entry-header"><h1>T</h1></div><header><p>lead</p></header><div class="comment-list"><article>c</article></div></article></div>') == [("site", "x"), ("main", "T"), ("main", "lead"), ("site", "c")]
+
+
+def brute_texts(rows):
+    """Main texts by the rule in plain Python, over all pages of a host at once."""
+
+    def parts(url):
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+        return (m[1].lower(), m[2]) if m else ("", "")
+
+    seen = {}
+    for _, url, page in rows:
+        seen[(*parts(url), F_xxhash64(page or ""))] = [x for _, x in html.blocks(page)]
+    order = sorted(seen)
+    out = {}
+    for page_id, url, page in rows:
+        found = html.blocks(page)
+        lines = [x for _, x in found]
+        at = order.index((*parts(url), F_xxhash64(page or "")))
+        near = [order[at + d] for n in range(1, html.NEAR + 1) for d in (-n, n) if 0 <= at + d < len(order)]
+        near = sorted((o for o in near if o[0] == order[at][0]), key=lambda o: -html._likeness(order[at][1], o[1]))
+        gone = set()
+        for o in near:
+            other = seen[o]
+            length = [[0] * (len(other) + 1) for _ in range(len(lines) + 1)]
+            for i, x in enumerate(lines):
+                for j, y in enumerate(other):
+                    length[i + 1][j + 1] = length[i][j] + 1 if x == y else max(length[i][j + 1], length[i + 1][j])
+            shared, i, j = set(), len(lines), len(other)
+            while i and j:
+                if lines[i - 1] == other[j - 1]:
+                    i, j = i - 1, j - 1
+                    shared.add(i)
+                elif length[i - 1][j] >= length[i][j - 1]:
+                    i -= 1
+                else:
+                    j -= 1
+            if sum(len(lines[k]) for k in shared) < 0.8 * max(sum(map(len, lines)), sum(map(len, other))):
+                gone = shared
+                break
+        main = [x for role, x in found if role == "main"]
+        out[page_id] = " ".join(main or [x for k, (role, x) in enumerate(found) if role == "open" and k not in gone])
+    return out
+
+
+def F_xxhash64(text):
+    import xxhash
+
+    n = xxhash.xxh64_intdigest(text.encode(), 42)  # Spark's seed
+    return n - (1 << 64) if n >> 63 else n
+
+
+def test_differencing_without_articles(spark, monkeypatch):
+    """Pages without article elements: what neighbours share goes, also across runs; copies keep their text."""
+    rng = random.Random(7)
+    monkeypatch.setattr(html, "RUN", 5)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = []
+    for host in ("a.org", "b.org"):
+        menu = [f"<div>{host} {x}</div>" for x in ("Home page of all", "News and more", "Contact us here", "All rights are ours")]
+        for i in range(30):
+            body = [f"<p>{text(12)} {host}{i}.{k}</p>" for k in range(rng.randint(1, 5))]
+            ad = f"<div>{text(6)}</div>" if i % 5 == 0 else ""
+            rows.append((len(rows), f"http://{host}/{rng.choice(['news', 'blog'])}/{rng.randint(1, 40)}", "".join([*menu[:3], ad, *body, menu[3]])))
+    rows.append((len(rows), "http://a.org/news/7b", rows[3][2]))  # a copy elsewhere
+    rows.append((len(rows), rows[5][1], rows[5][2].replace("w1", "w2")))  # a near copy at the same url
+    rows += [(len(rows) + k, "http://copies.org/x", "<p>the same words on all pages</p>") for k in range(12)]
+    rows += [(90, None, None), (91, None, "<p>lonely"), (92, "http://long.org/", "<p>" + "word " * 50_000), (93, "http://long.org/?" + "q" * 50_000, "<article>in</article>out")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("mine"))
-    got = collections.defaultdict(list)
-    for r in html.extract_main_text(df).collect():
-        got[r["page_id"]].append(r["text"])
-    assert all(got[i] == [f"Story {i} has its own words"] for i in range(6)) and got[7] == [""] and got[8] == ["lonely"] and got[9] == ["", ""]
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(df).collect()}
+    want = brute_texts(rows)
+    assert got == want
+    site = [k for k in range(60) if "Home page" in got[k] or "rights" in got[k]]
+    assert not site and all(got[k] for k in range(60)) and got[rows[62][0]] == "the same words on all pages" and got[93] == "in"
     assert html.extract_main_text(df.limit(0)).count() == 0
 
 
