@@ -25,6 +25,9 @@ ALPHABET = 34.0
 FINE = 1e6
 BINS = 100.0
 
+#: First digits of a url's MD5 by which a quarter of the ruled urls is kept from the models, to calibrate their threshold.
+HELD_OUT = ("0", "1", "2", "3")
+
 
 def url_parts(url: Column) -> tuple[Column, Column]:
     """(host, path) of a url: after the first `://`; both empty if there is none or the url is null."""
@@ -50,10 +53,10 @@ def _symbols(url: Column) -> Column:
 
 
 def url_grams(urls: DataFrame) -> DataFrame:
-    """(url, ruled, gram): each symbol with the ORDER before it."""
-    text = urls.select("url", "ruled", _symbols(F.col("url")).alias("s"))
+    """(url, ruled, held, gram): each symbol with the ORDER before it."""
+    text = urls.select("url", "ruled", "held", _symbols(F.col("url")).alias("s"))
     at = F.explode(F.sequence(F.lit(1), F.length("s") - ORDER)).alias("at")
-    return text.select("url", "ruled", "s", at).select("url", "ruled", F.substring(F.col("s"), F.col("at"), F.lit(ORDER + 1)).alias("gram"))
+    return text.select("url", "ruled", "held", "s", at).select("url", "ruled", "held", F.substring(F.col("s"), F.col("at"), F.lit(ORDER + 1)).alias("gram"))
 
 
 def gram_scores(grams: DataFrame) -> DataFrame:
@@ -62,14 +65,15 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     Each class has a variable-order model: the count of a symbol after its 3 characters is smoothed by its probability
     after 2, that by the one after 1, then after none, then by the uniform one.
     """
-    whole = Window.partitionBy(F.lit(0))
+    totals = grams.agg(F.sum("accepted").alias("all_accepted"), F.sum("rejected").alias("all_rejected"))
+    grams = grams.crossJoin(F.broadcast(totals))  # one row
     gain = F.lit(0.0)
     for name, sign in (("accepted", 1.0), ("rejected", -1.0)):
         p = F.lit(1.0 / ALPHABET)
         for k in range(ORDER + 1):
             ends = Window.partitionBy(F.substring("gram", ORDER + 1 - k, k + 1))
-            context = Window.partitionBy(F.substring("gram", ORDER + 1 - k, k)) if k else whole
-            p = (F.sum(name).over(ends) + STRENGTH * p) / (F.sum(name).over(context) + STRENGTH)
+            context = F.sum(name).over(Window.partitionBy(F.substring("gram", ORDER + 1 - k, k))) if k else F.col(f"all_{name}")
+            p = (F.sum(name).over(ends) + STRENGTH * p) / (context + STRENGTH)
         gain = gain + sign * F.ln(p)
     return grams.select("gram", F.round(gain * FINE).cast("long").alias("gain"))
 
@@ -78,10 +82,11 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """pages' columns, then host, path, rule, verdict (allow or block), verdict_by (rule or model) and score_bin.
 
     The longest rule that fits decides. The urls that rules decide also train two character models, accepted and
-    rejected; every other url is allowed if its log-likelihood difference per character, in hundredths of a nat, reaches
-    the threshold at which the rules' own verdicts are told best (largest sum of the two classes' rates of right
-    verdicts; the middle of such thresholds). If only one class was seen it is everyone's verdict, and with
-    none all are allowed. Equal urls get equal verdicts; urls are scored once each. A null url scores as an empty one.
+    rejected, but for a quarter of them, by a hash of the url, which calibrates: every other url is allowed if its log-likelihood
+    difference per character, in hundredths of a nat, reaches the threshold at which the calibrating urls' verdicts are told best
+    (largest sum of the two classes' rates of right verdicts; the middle of such thresholds). Where no accepted or no rejected url
+    calibrates, all ruled ones do; if only one class was seen it is everyone's verdict, and with none all are allowed. Equal urls get
+    equal verdicts; urls are scored once each, whole, however long. A null url scores as an empty one.
     Rows stay as they are, repeated or not; columns named like the results are replaced; an empty table gives no rows.
 
     The gram table is bounded by the symbols (35 ** 4), so it is broadcast; the grams of a url are summed before they
@@ -93,12 +98,12 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     judged = pages.select(F.struct(*keep).alias("row"), F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     verdict, rule = match_rule(F.col("host"), F.col("path"), rules)
     judged = judged.withColumn("rule", rule).withColumn("ruled", verdict)
-    urls = judged.groupBy("url").agg(F.first("ruled").alias("ruled"))
+    urls = judged.groupBy("url").agg(F.first("ruled").alias("ruled")).withColumn("held", F.substring(F.md5("url"), 1, 1).isin(*HELD_OUT))
 
     grams = url_grams(urls)
-    counts = grams.groupBy("gram").agg(F.count(F.when(F.col("ruled") == "allow", 1)).alias("accepted"), F.count(F.when(F.col("ruled") == "block", 1)).alias("rejected"))
-    scores = grams.join(F.broadcast(gram_scores(counts)), "gram").groupBy("url", "ruled").agg(F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("n"))
-    scores = scores.select("url", "ruled", F.floor(F.col("gain") / F.col("n") / (FINE / BINS)).cast("long").alias("score_bin"))
+    counts = grams.groupBy("gram").agg(F.count_if(F.expr("ruled = 'allow' and not held")).alias("accepted"), F.count_if(F.expr("ruled = 'block' and not held")).alias("rejected"))
+    scores = grams.join(F.broadcast(gram_scores(counts)), "gram").groupBy("url", "ruled", "held").agg(F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("n"))
+    scores = scores.select("url", "ruled", "held", F.floor(F.col("gain") / F.col("n") / (FINE / BINS)).cast("long").alias("score_bin"))
     scores = scores.crossJoin(F.broadcast(_threshold(scores)))
     by_model = F.when(F.col("score_bin") >= F.col("threshold"), F.lit("allow")).otherwise(F.lit("block"))
     scores = scores.select("url", "score_bin", by_model.alias("told"))
@@ -109,9 +114,12 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
 def _threshold(scores: DataFrame) -> DataFrame:
     """One row: the bin from which on urls are allowed. Scores are grouped by bin first, of which there are a few thousand at most."""
     low, high = F.lit(-(2**62)), F.lit(2**62)
-    hist = scores.groupBy("score_bin").agg(F.count(F.when(F.col("ruled") == "allow", 1)).alias("good"), F.count(F.when(F.col("ruled") == "block", 1)).alias("bad"))
+    count = lambda kind, held: F.count_if(F.expr(f"ruled = '{kind}'" + held))
+    hist = scores.groupBy("score_bin").agg(*[count(kind, held).alias(name) for kind, held, name in (("allow", " and held", "good_held"), ("block", " and held", "bad_held"), ("allow", "", "good_all"), ("block", "", "bad_all"))])
     by = Window.partitionBy(F.lit(0)).orderBy("score_bin")
     whole = Window.partitionBy(F.lit(0))
+    enough = (F.sum("good_held").over(whole) > 0) & (F.sum("bad_held").over(whole) > 0)
+    hist = hist.withColumn("enough", enough).select("score_bin", *[F.when(F.col("enough"), F.col(f"{c}_held")).otherwise(F.col(f"{c}_all")).alias(c) for c in ("good", "bad")])
     hist = hist.withColumn("goods", F.sum("good").over(whole)).withColumn("bads", F.sum("bad").over(whole))
     below = by.rowsBetween(Window.unboundedPreceding, -1)
     right = F.col("bads") * (F.col("goods") - F.coalesce(F.sum("good").over(below), F.lit(0))) + F.col("goods") * F.coalesce(F.sum("bad").over(below), F.lit(0))
@@ -143,13 +151,14 @@ with u as (select page_id, coalesce(url, '') as url,
 rules(kind, rule) as (values {", ".join(f"('{k}', '{r}')" for k, r in RULES)}),
 fit as (select u.url, arg_max(kind, length(rule)) as ruled, arg_max(rule, length(rule)) as rule from (select distinct url, host, path from u) u, rules
     where (host = split_part(rule, '/', 1) or ends_with(host, '.' || split_part(rule, '/', 1))) and starts_with(path, substr(rule, strpos(rule, '/'))) group by u.url),
-urls as (select d.url, fit.ruled, '^^^' || regexp_replace(translate(regexp_replace(translate(d.url, '{UPPER}', '{LOWER}'), '(?s)^.*?://', ''), '123456789', '000000000'), '(?s)[^a-z0./\-_?]', '~', 'g') || '$' as s
+urls as (select d.url, fit.ruled, substr(md5(d.url), 1, 1) in ({", ".join(f"'{x}'" for x in HELD_OUT)}) as held, '^^^' || regexp_replace(translate(regexp_replace(translate(d.url, '{UPPER}', '{LOWER}'), '(?s)^.*?://', ''), '123456789', '000000000'), '(?s)[^a-z0./\-_?]', '~', 'g') || '$' as s
     from (select distinct url from u) d left join fit on d.url = fit.url),
-grams as (select url, ruled, substr(s, pos, {ORDER + 1}) as gram from (select url, ruled, s, unnest(range(1, length(s) - {ORDER} + 1)) as pos from urls)),
-counts as (select gram, count(*) filter (where ruled = 'allow') as accepted, count(*) filter (where ruled = 'block') as rejected from grams group by gram),
+grams as (select url, ruled, held, substr(s, pos, {ORDER + 1}) as gram from (select url, ruled, held, s, unnest(range(1, length(s) - {ORDER} + 1)) as pos from urls)),
+counts as (select gram, count(*) filter (where ruled = 'allow' and not held) as accepted, count(*) filter (where ruled = 'block' and not held) as rejected from grams group by gram),
 gains as (select gram, round((0.0 + 1.0::double * ln({_prob_sql("accepted")}) + -1.0::double * ln({_prob_sql("rejected")})) * {FINE}::double)::bigint as gain from counts),
-scores as (select url, ruled, floor(sum(gain)::double / count(*) / {FINE / BINS}::double)::bigint as score_bin from grams join gains using (gram) group by url, ruled),
-hist as (select score_bin, count(*) filter (where ruled = 'allow') as good, count(*) filter (where ruled = 'block') as bad from scores group by score_bin),
+scores as (select url, ruled, held, floor(sum(gain)::double / count(*) / {FINE / BINS}::double)::bigint as score_bin from grams join gains using (gram) group by url, ruled, held),
+enough as (select count(*) filter (where ruled = 'allow' and held) > 0 and count(*) filter (where ruled = 'block' and held) > 0 as ok from urls),
+hist as (select score_bin, count(*) filter (where ruled = 'allow' and (held or not ok)) as good, count(*) filter (where ruled = 'block' and (held or not ok)) as bad from scores, enough group by score_bin),
 cum as (select *, sum(good) over () as goods, sum(bad) over () as bads, coalesce(sum(good) over (order by score_bin rows between unbounded preceding and 1 preceding), 0) as below_good,
     coalesce(sum(bad) over (order by score_bin rows between unbounded preceding and 1 preceding), 0) as below_bad from hist),
 rt as (select score_bin, bads * (goods - below_good) + goods * below_bad as points from cum),
