@@ -57,23 +57,41 @@ def text_keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("key"))
 
 
+ENTRY = ["bucket", "key", "sha", "text", "n", "top"]
+
+
 def _combine(batches):
-    """One entry per text and batch, so that copies shrink before the shuffle."""
+    """A task's copies as one: each text goes out once, where it is first met; what else is met of it is one row without the text at the end."""
     worker_memory("dedup")
+    low = np.iinfo(np.int64).min
+    later: dict[str, list] = {}
     for batch in batches:
-        at = pd.factorize(batch.column(batch.schema.get_field_index("sha")).to_pandas())[0]
+        sha = batch.column(batch.schema.get_field_index("sha"))
+        at, names = pd.factorize(sha.to_pandas())
         first = np.unique(at, return_index=True)[1]
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        low = np.iinfo(np.int64).min
+        ids = batch.column(batch.schema.get_field_index("doc_id")).fill_null(low).to_numpy()
         most = np.full(len(first), low)
-        np.maximum.at(most, at, ids.fill_null(low).to_numpy())
+        np.maximum.at(most, at, ids)
         n = np.bincount(at, minlength=len(first))
-        chosen = batch.take(pa.array(first))
-        yield pa.RecordBatch.from_arrays([chosen.column(chosen.schema.get_field_index(c)) for c in ("bucket", "key", "sha", "text")] + [pa.array(n, pa.int64()), pa.array(most)], ["bucket", "key", "sha", "text", "n", "top"])
+        new = np.array([name not in later for name in names], bool)
+        chosen = batch.take(pa.array(first[new]))
+        yield pa.RecordBatch.from_arrays([chosen.column(chosen.schema.get_field_index(c)) for c in ENTRY[:4]] + [pa.array(n[new], pa.int64()), pa.array(most[new])], ENTRY)
+        buckets, keys = (batch.column(batch.schema.get_field_index(c)) for c in ("bucket", "key"))
+        for k in range(len(names)):
+            if new[k]:
+                later[names[k]] = [buckets[first[k]].as_py(), keys[first[k]].as_py(), 0, low]
+            else:
+                entry = later[names[k]]
+                entry[2] += int(n[k])
+                entry[3] = max(entry[3], int(most[k]))
+    rest = [(bucket, key, name, None, n, top) for name, (bucket, key, n, top) in later.items() if n]
+    if rest:
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rest), kinds)], ENTRY)
 
 
 def _own(batches):
-    """Owner of whole buckets, rows sorted by key: chains the texts of a key, comparing bytes, and emits an entry per text."""
+    """Owner of whole buckets, rows sorted by key, those with texts first: chains the texts of a key, comparing bytes, and emits an entry per text. A row without a text adds to the entry whose text its task sent."""
     key, chain = None, []
     names = ["bucket", "key", "slot", "sha", "keep_id", "group_size"]
     kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
@@ -85,9 +103,10 @@ def _own(batches):
             if (bucket, k) != key:
                 out += [(*key, slot, *e[1:]) for slot, e in enumerate(chain)]
                 key, chain = (bucket, k), []
-            text = texts[i].as_buffer().to_pybytes() if texts[i].as_buffer() else b""
+            sent = texts[i].as_buffer()
+            text = sent.to_pybytes() if sent is not None else b"" if texts[i].is_valid else None
             for e in chain:
-                if e[0] == text:
+                if e[0] == text or text is None and e[1] == sha:
                     e[2], e[3] = max(e[2], top), e[3] + n
                     break
             else:
@@ -102,7 +121,7 @@ def build_index(docs: DataFrame, place: str | None = None, bucket_rows: int = BU
     shared folder: bucket, key, slot in the key's chain, sha, keep_id, group_size.
 
     Keys are counted first. A key that one row has needs no text: its entry is that row. The texts of the others,
-    combined per batch, go to the task that owns their bucket's key range, which reads its rows in key order, holds one
+    combined per task, go to the task that owns their bucket's key range, which reads its rows in key order, holds one
     key's chain at a time and compares bytes. Whether the repeated keys are broadcast is left to Spark, which knows the
     stored table's size.
     """
@@ -116,7 +135,7 @@ def build_index(docs: DataFrame, place: str | None = None, bucket_rows: int = BU
     many = materialise(keys.filter("n > 1").select("key", "bucket"))
     texts = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("key")).join(many, "key").select("bucket", "key", F.sha2("text", 256).alias("sha"), "text", "doc_id")
     entries = texts.mapInArrow(_combine, "bucket string, key long, sha string, text string, n long, top long")
-    owned = entries.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket", "key")
+    owned = entries.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket", "key", F.col("text").isNull())
     chained = owned.mapInArrow(_own, "bucket string, key long, slot int, sha string, keep_id long, group_size long")
     low = F.lit(-(2**63)).cast("long")
     chained = chained.withColumn("keep_id", F.when(F.col("keep_id") != low, F.col("keep_id")))
@@ -137,7 +156,7 @@ def exact_groups(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     Texts are equal when their bytes are; null counts as empty, so all null and empty texts are one group. A row
     without doc_id is counted but can't stay unless all of its group lack one (keep_id is then null and all are
     kept). Rows that repeat a doc_id and text are all marked kept when that doc_id is. Very long texts travel only if
-    repeated, once per batch. Extra columns are ignored; an empty table gives no rows.
+    repeated, once per task. Extra columns are ignored; an empty table gives no rows.
     """
     rows, index = build_index(docs, shared_dir(docs.sparkSession), bucket_rows)
     found = probe(rows, index)  # Spark splits the partition of a hot text

@@ -84,6 +84,36 @@ def new_sets(sets: Sets, seen: set[int]) -> tuple[list[int], np.ndarray]:
     return out, ids
 
 
+class Bloom:
+    """A Bloom filter in regions by bucket, two bits for each number in the region of its bucket."""
+
+    def __init__(self, regions: list[np.ndarray]):
+        self.bits, self.words, self.buckets = np.concatenate(regions), len(regions[0]), len(regions)
+
+    def has(self, v: np.ndarray) -> np.ndarray:
+        base = (bucket_of(v, self.buckets) * self.words).astype(np.int64)
+        ok = np.ones(len(v), bool)
+        for p in filter_places(v, self.words):
+            ok &= (self.bits[base + (p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return ok
+
+    @staticmethod
+    def region(v: np.ndarray, words: int) -> np.ndarray:
+        """The region that holds the numbers of one bucket."""
+        out = np.zeros(words, np.uint64)
+        for p in filter_places(v, words):
+            np.bitwise_or.at(out, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
+        return out
+
+    @classmethod
+    def collected(cls, rows: DataFrame, buckets: int, words: int) -> Bloom:
+        """From rows (bucket, region): the regions come to the driver, 64 MB in all at most."""
+        out = [np.zeros(words, np.uint64)] * buckets
+        for r in rows.collect():
+            out[r["bucket"]] = np.frombuffer(r["region"], np.uint64)
+        return cls(out)
+
+
 class Order:
     """The global order of shingles, rarest first, as far as bounded tables tell it: any such order gives right results.
 
@@ -91,22 +121,17 @@ class Order:
     filter of shared shingles doesn't have. The rest follow by (sketch count, hash).
     """
 
-    def __init__(self, sketch: np.ndarray, regions: list[np.ndarray]):
-        self.sketch, self.regions, self.words = sketch, np.concatenate(regions), len(regions[0])
-        self.buckets = len(regions)
+    def __init__(self, sketch: np.ndarray, shared: Bloom):
+        self.sketch, self.shared = sketch, shared
 
     def alone(self, s: np.ndarray) -> np.ndarray:
         out = counted(s)
-        v = s[out] >> np.uint64(16)
-        out[out] = ~self._shared(v)
+        out[out] = ~self.shared.has(s[out] >> np.uint64(16))
         return out
 
-    def _shared(self, v: np.ndarray) -> np.ndarray:
-        base = (bucket_of(v, self.buckets) * self.words).astype(np.int64)
-        ok = np.ones(len(v), bool)
-        for p in filter_places(v, self.words):
-            ok &= (self.regions[base + (p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return ok
+    def sorted(self, s: np.ndarray) -> np.ndarray:
+        """The places of shingles, rarest first."""
+        return np.lexsort((s, self.sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], ~self.alone(s)))
 
     def told_alone(self, sets: Sets, num: int, den: int) -> np.ndarray:
         """Which sets have no other one as similar: so many of their shingles occur in them only that all rarest ones do."""
@@ -119,11 +144,8 @@ class Order:
         its short lists. Unless all_of_it, those that are known to occur in one set only are left out.
         """
         keep = len(s) - -(-num * len(s) // den) + 1
-        alone = self.alone(s)
-        lone = int(alone.sum())
-        count = self.sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-        order = np.lexsort((s, count, ~alone))[:keep]
-        return s[order] if all_of_it else s[order[lone:]]
+        order = self.sorted(s)[:keep]
+        return s[order] if all_of_it else s[order[int(self.alone(s).sum()) :]]
 
 
 def counted(s: np.ndarray) -> np.ndarray:
@@ -202,45 +224,44 @@ def search_unit(sets: list[np.ndarray], block: np.ndarray, weight: np.ndarray, s
     root = np.arange(len(sets))
     links = np.zeros(len(sets), np.int64)
     linked = np.zeros(len(sets), bool)
-    shingles = np.sort(shingles)
     index = Index(sets)
-    prefixes: dict[int, np.ndarray] = {}
-
-    def rare(i: int) -> np.ndarray:
-        if i not in prefixes:
-            prefixes[i] = order.prefix(sets[i], num, den)
-        return prefixes[i]
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
     two = block.max() != block.min()
+    pairs: list[tuple[int, np.ndarray]] = []
     for q in range(1, len(sets)):
         found, _ = index.partners(q, num, den)
         if two:
             found = found[block[found] != block[q]]
-        if not len(found):
-            continue
-        linked[q] = linked[found] = True
-        for j in found.tolist():
-            a, b = top(j), top(q)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-        mine = rare(q)
-        by = np.argsort(mine)
-        theirs = [rare(j) for j in found.tolist()]
-        flat = np.concatenate(theirs)
-        at = np.minimum(np.searchsorted(mine[by], flat), len(mine) - 1)
-        rank = np.where(mine[by][at] == flat, by[at], len(mine))
-        n = np.array([len(x) for x in theirs])
-        first = np.minimum.reduceat(rank, np.cumsum(n) - n)
-        own = np.isin(mine[np.minimum(first, len(mine) - 1)], shingles)
-        links[found[own]] += weight[q]
-        links[q] += weight[found[own]].sum()
-    return np.array([top(i) for i in range(len(sets))]), links, linked
+        if len(found):
+            pairs.append((q, found))
+            linked[q] = linked[found] = True
+            labels = np.append(root[found], root[q])
+            if (labels != labels[-1]).any():
+                root[np.isin(root, labels)] = labels.min()
+    if not pairs:
+        return root, links, linked
+
+    members = np.flatnonzero(linked)
+    prefixes = [order.prefix(sets[i], num, den) for i in members.tolist()]
+    n = np.array([len(x) for x in prefixes])
+    grams, at = np.unique(np.concatenate(prefixes), return_inverse=True)
+    by_rank = order.sorted(grams)
+    rank_of = np.empty(len(grams), np.int64)
+    rank_of[by_rank] = np.arange(len(grams))
+    here = np.isin(grams[by_rank], shingles)
+    rank, owner = rank_of[at], np.repeat(members, n)
+    posted = np.argsort(rank, kind="stable")
+    start = np.searchsorted(rank[posted], np.arange(len(grams) + 1))
+    mine = dict(zip(members.tolist(), np.split(rank, np.cumsum(n)[:-1])))
+    first = np.zeros(len(sets), np.int64)
+    for q, found in pairs:
+        own = np.sort(mine[q])[::-1]  # from the commonest on, so that the rarest shared one is written last
+        df = start[own + 1] - start[own]
+        at = np.repeat(start[own] - (np.cumsum(df) - df), df) + np.arange(df.sum())
+        first[owner[posted[at]]] = np.repeat(own, df)
+        counted_here = found[here[first[found]]]
+        links[counted_here] += weight[q]
+        links[q] += weight[counted_here].sum()
+    return root, links, linked
 
 
 def _read_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -296,8 +317,8 @@ def _pack(blobs: list[np.ndarray], bucket: np.ndarray, names: list[str]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(bucket[order][at].astype(np.int32)), *cols], names)
 
 
-def _shared_filter(docs: DataFrame, k: int, buckets: int, shingles: int) -> list[np.ndarray]:
-    """A Bloom filter, in regions by bucket, of the counted shingles that two and more sets have.
+def _shared_filter(docs: DataFrame, k: int, buckets: int, shingles: int) -> Bloom:
+    """A Bloom filter of the counted shingles that two and more sets have.
 
     48 bits of each counted shingle of every set go to the task that owns its bucket; it sorts them and hands on only
     its region of the filter. 4 bits per counted shingle, 64 MB in all at most: beyond that the filter gets fuller, and
@@ -334,16 +355,10 @@ def _shared_filter(docs: DataFrame, k: int, buckets: int, shingles: int) -> list
             v = np.concatenate([np.frombuffer(a, "<u4").astype(np.uint64) << np.uint64(16) | np.frombuffer(b, "<u2").astype(np.uint64) for a, b in parts])
             v.sort()
             v = v[1:][v[1:] == v[:-1]]
-            region = np.zeros(words, np.uint64)
-            for p in filter_places(v, words):
-                np.bitwise_or.at(region, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([region.tobytes()], pa.binary())], ["bucket", "region"])
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([Bloom.region(v, words).tobytes()], pa.binary())], ["bucket", "region"])
 
     sent = docs.mapInArrow(send, "bucket int, high binary, low binary").repartition(buckets, "bucket")
-    out = [np.zeros(words, np.uint64)] * buckets
-    for r in sent.mapInArrow(own, "bucket int, region binary").collect():
-        out[r["bucket"]] = np.frombuffer(r["region"], np.uint64)
-    return out
+    return Bloom.collected(sent.mapInArrow(own, "bucket int, region binary"), buckets, words)
 
 
 def _postings(docs: DataFrame, k: int, num: int, den: int, order, buckets: int) -> DataFrame:
@@ -434,36 +449,35 @@ def _units(lists: DataFrame, sizes: DataFrame, parts: int) -> tuple[DataFrame, D
     return members, one.unionByName(many)
 
 
-def _bloom(members: DataFrame) -> np.ndarray:
-    """A Bloom filter of the sets in `members`, 16 bits a set up to the bound. It only spares shuffling other sets; a join follows."""
-    n = members.count()
-    bits = min(BLOOM_BITS, max(10, int(np.ceil(np.log2(16 * max(n, 1))))))
-    places = members.select(F.explode(F.array(F.shiftrightunsigned("fp", 64 - bits), F.shiftrightunsigned(F.shiftleft("fp", 29), 64 - bits))).alias("p"))
-    words = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toPandas()
-    out = np.zeros(1 << bits - 6, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out.view(np.uint64)
+def _member_filter(members: DataFrame, buckets: int) -> Bloom:
+    """A Bloom filter of the sets in `members` (fp, once each), 16 bits a set up to the bound. It only spares shuffling other sets; a join follows."""
+    bits = min(1 << BLOOM_BITS, 16 * max(members.count(), 1))
+    words = max(16, -(-bits // 64 // buckets))
 
+    def own(batches):
+        found: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            v = batch.column(0).to_numpy().view(np.uint64)
+            at = bucket_of(v, buckets).astype(np.int64)
+            for c in np.unique(at).tolist():
+                found.setdefault(c, []).append(v[at == c])
+        for c, parts in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([Bloom.region(np.concatenate(parts), words).tobytes()], pa.binary())], ["bucket", "region"])
 
-def _maybe(bits: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    shift = np.uint64(64 - int(np.log2(len(bits))) - 6)
-    ok = np.ones(len(fp), bool)
-    for x in (fp.view(np.uint64), fp.view(np.uint64) << np.uint64(29)):
-        p = x >> shift
-        ok &= (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-    return ok
+    bucket = F.pmod(F.shiftrightunsigned("fp", 32), F.lit(buckets))
+    return Bloom.collected(members.repartition(buckets, bucket).select("fp").mapInArrow(own, "bucket int, region binary"), buckets, words)
 
 
 def _needed_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """(fp, grams) of the sets in `members`, once each."""
-    bloom = docs.sparkSession.sparkContext.broadcast(_bloom(members))
+    bloom = docs.sparkSession.sparkContext.broadcast(_member_filter(members, shuffle_partitions(docs.sparkSession)))
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             sets = Sets(batch.column(1), k)
             some, ids = new_sets(sets, seen)
-            out = [(int(ids[i]), sets[i].tobytes()) for i in np.array(some, np.int64)[_maybe(bloom.value, ids[some])].tolist()]
+            out = [(int(ids[i]), sets[i].tobytes()) for i in np.array(some, np.int64)[bloom.value.has(ids[some].view(np.uint64))].tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["fp", "grams"])
 
     found = docs.mapInArrow(run, "fp long, grams binary")
@@ -507,6 +521,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     then the row's own doc_id, n_links 0). component_id is the least doc_id that links lead to, itself included.
     n_links counts the linked documents, equal ones too. Equal texts, ties and repeated rows are members of one class,
     so each gets the same component; extra columns are ignored; an empty table gives no rows. Without doc_id a row still links others.
+    A very long text is a batch of its own, of some 100 bytes a word, and its set, 8 bytes a shingle, is one cell.
 
     Exact but for 64-bit hashes of shingles and sets. Steps, each a Spark job over numpy blocks:
     1. texts become sets; equal sets are one class; a sketch of fixed size counts shingles (its driver copy is 8 MB), and a filter of
@@ -533,7 +548,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     lists = materialise(_postings(texts, k, num, den, order, parts).repartition(parts, "bucket").mapInArrow(_lists, "leader long, gram long, fp long"))
     sizes = rows.filter("n > 0").groupBy("fp").agg(F.max("n").alias("n"))
     members, heads = _units(lists, sizes, parts)
-    involved = members.select("fp").distinct()
+    involved = materialise(members.select("fp").distinct())
     sets = _needed_sets(texts, involved, k).join(classes.select("fp", "weight"), "fp").withColumnRenamed("grams", "set")
     full = members.join(sets, "fp").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     full = full.select("leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "block", F.lit(None).cast("array<long>").alias("grams"), "set", "weight")

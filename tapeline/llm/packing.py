@@ -22,7 +22,11 @@ BUFFER_TOKENS = 4_000_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: every text's ids and end_id, cut into pieces of `capacity` if longer."""
+    """doc_id, piece, start, length, ids_crc32: every text's ids and end_id, cut into pieces of `capacity` if longer.
+
+    Null and empty texts are the end_id alone. Rows without doc_id and repeated rows have pieces like others; a very long text is a batch of its
+    own, of some 100 bytes a word; extra columns are ignored; an empty table gives no rows.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches):
@@ -273,7 +277,8 @@ def write_token_matrix(docs: DataFrame, model_path: str, place: str, capacity: i
     position_resets the places at which positions start again at 0 (each segment's first token, and the padding's).
     Every text's ids with end_id are cut losslessly into pieces of `capacity` if longer; each task packs its own
     documents by best-fit-decreasing, up to BUFFER_TOKENS at a time, so no ids are shuffled. Null and empty texts
-    are the end_id alone. Repeated rows are packed each; an empty table writes no rows.
+    are the end_id alone. Repeated rows are packed each, very long texts piece by piece; a task holds BUFFER_TOKENS ids and the
+    longest text's; extra columns are ignored; an empty table writes no rows.
     """
     small_batches(docs.sparkSession)
 

@@ -304,7 +304,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
 
     Every whole text is counted, without begin, end or added special tokens. Pre-tokens that are proven to be one token
     count one by a look-up; the rest are merged by the library, once per distinct pre-token while the worker remembers
-    it. Null and empty texts have 0 bytes and tokens. Rows stay as they are, repeated or not; columns named like the
+    it. Null and empty texts have 0 bytes and tokens. A very long text is a batch of its own, of some 100 bytes a word. Rows stay as they are, repeated or not; columns named like the
     results are replaced.
     """
     made = ["n_bytes", "n_tokens", "over_limit"]
