@@ -459,11 +459,22 @@ def test_equal_keys_are_chained_by_bytes():
     import pyarrow as pa
 
     names = ["bucket", "key", "sha", "text", "n", "top"]
-    rows = [("0/0", 7, "s1", "one", 1, 5), ("0/0", 7, "s2", "two", 2, 9), ("0/0", 7, "s1", "one", 3, 4), ("0/0", 8, "s3", "", 1, 1)]
+    rows = [("0/0", 7, "s1", "one", 1, 5), ("0/0", 7, "s2", "two", 1, 9), ("0/0", 7, "s1", "one", 3, 4), ("0/0", 7, "s2", None, 1, 3), ("0/0", 8, "s3", "", 1, 1)]
     out = [r for b in exact_dedup._own([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)]) for r in b.to_pylist()]
     assert [(r["key"], r["slot"], r["sha"], r["keep_id"], r["group_size"]) for r in out] == [(7, 0, "s1", 5, 4), (7, 1, "s2", 9, 2), (8, 0, "s3", 1, 1)]
 
 
+def test_a_task_sends_each_text_once():
+    import pyarrow as pa
+
+    names = ["bucket", "key", "sha", "text", "doc_id"]
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()])], names)
+    one, two = ("0/0", 1, "a", "A"), ("0/0", 2, "b", "")
+    out = [r for b in exact_dedup._combine([batch([(*one, 3), (*one, 9), (*two, None)]), batch([(*one, 4), (*two, 7), (*one, None)])]) for r in b.to_pylist()]
+    low = -(2**63)
+    assert [(r["sha"], r["text"], r["n"], r["top"]) for r in out] == [("a", "A", 2, 9), ("b", "", 1, low), ("a", None, 2, 4), ("b", None, 1, 7)]
+
+
 def test_stored_index_answers_texts(spark, odd):
     """The index tells of any text whether it is there, how often, and which row stays."""
     rows, index = exact_dedup.build_index(odd)
