@@ -33,9 +33,9 @@ def postings(events: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def inverted_index(events: DataFrame, key: str = "event_id", number: str = "doc_id") -> DataFrame:
-    """K2: (token, segment, ids): sorted ids of the events with the token, by segments of 65,536 document numbers, so that no list outgrows its cell."""
+    """K2: (token, segment, ids): sorted ids of the events with the token, by segments of 65,536 document numbers, so that no list outgrows its cell. Events are there once each, as are their tokens."""
     rows = events.select(key, F.floor(F.col(number) / SEGMENT).alias("segment"), F.explode("tokens").alias("token"))
-    return rows.groupBy("token", "segment").agg(F.sort_array(F.collect_set(key)).alias("ids"))
+    return rows.groupBy("token", "segment").agg(F.sort_array(F.collect_list(key)).alias("ids"))
 
 
 def term_frequency(index: DataFrame) -> DataFrame:
@@ -100,7 +100,8 @@ def field(name: str, op: str, value) -> Term:
 
 
 def rank(query: Term, events: DataFrame, index: DataFrame, key: str = "event_id") -> DataFrame:
-    """(key, matched terms, score, explanation parts, total_hits) of the query's hits: score = min(0.5 + 0.1 per matched term, 1). List by score, then key."""
+    """(key, matched terms, score, explanation parts, total_hits) of the query's hits: score = min(0.5 + 0.1 per matched term, 1).
+    The parts are shares of that one score by fixed weights; none of them reads the graph, dates or confidences. List by score, then key."""
     hits = query.of(events, index, key)
     words = list(dict.fromkeys(query.words)) or [""]
     matched = index.filter(F.col("token").isin(*words)).join(hits, key, "left_semi").groupBy(key).agg(F.count_distinct("token").alias("terms"))

@@ -248,6 +248,7 @@ EIG = "symbol, timeframe, period, prev_period, gap_direction, close_band, label,
 _RAW = {
     "bars_from_trades": (lambda s, d: rounded(bars(s, d)), f"with {BARS} select symbol, date, {_r('open high low close volume')} from bars"),
     "quality_gate": (lambda s, d: quality.gate(bars(s, d)), f"with {GATE} select * from verdict"),
+    "quality_gate_missing": (lambda s, d: quality.gate(bars(s, d).drop("volume")), f"with {BARS} select distinct symbol, 0::bigint as rows, 'MISSING_COLUMNS' as reason, false as passed from bars"),
     "quality_gate_raw": (lambda s, d: quality.gate(raw_gate_input(s, d)), f"{RAW_GATE} select * from verdict"),
     "quality_reasons": (lambda s, d: rounded(quality.reason_histogram(quality.gate(raw_gate_input(s, d)))), f"{RAW_GATE} select coalesce(reason, 'PASSED') as reason, count(*) as symbols, round(count(*) / any_value(total), 6) as share, round(any_value(rate), 6) as pass_rate from verdict, (select count(*) as total, avg(passed::int) as rate from verdict) group by coalesce(reason, 'PASSED')"),
     "quality_split": (lambda s, d: _split_counts(s, d), f"{RAW_GATE} select passed, count(*) as bars, round(sum(b.volume), 6) as volume from bars b join verdict v on b.symbol = v.symbol group by passed"),

@@ -125,17 +125,19 @@ def newest_snapshot(df: DataFrame, key: str = "symbol", day: str = "snapshot_dat
     return df.join(newest, (F.col(key) == F.col("_key")) & (F.col(day) == F.col("_day")), "left_semi")
 
 
-def bars_from_trades(trades: DataFrame) -> DataFrame:
+def bars_from_trades(trades: DataFrame, by_symbol: bool = True) -> DataFrame:
     """Daily bars of the driver's `lineitem`: the symbol is l_suppkey, the price l_extendedprice / l_quantity, widened by tax and discount for high and low.
 
-    Rows are dealt by symbol once; the day's aggregation and every window over a symbol reuse that partitioning.
+    Rows are dealt by symbol once; the day's aggregation and every window over a symbol reuse that partitioning. With by_symbol
+    false, trades of a symbol and day are combined before they are dealt by both: for data with many trades a day or a hot symbol.
     """
     price = F.try_divide("l_extendedprice", "l_quantity")
     rows = trades.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), F.to_date("l_shipdate").alias("date"), price.alias("p"), "l_quantity",
         (price * (1 + F.col("l_tax"))).alias("up"), (price * (1 - F.col("l_discount"))).alias("down"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("tick"),
     )
-    bars = rows.repartition("symbol").groupBy("symbol", "date").agg(
+    rows = rows.repartition("symbol") if by_symbol else rows
+    bars = rows.groupBy("symbol", "date").agg(
         F.min_by("p", "tick").alias("open"), F.max("up").alias("high"), F.min("down").alias("low"), F.max_by("p", "tick").alias("close"), F.sum("l_quantity").alias("volume")
     )
     return bars
