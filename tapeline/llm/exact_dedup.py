@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import filter_of, without
 from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
 
 #: Keys that a bucket holds before it is split.
@@ -26,8 +28,8 @@ def _shift(kind: str, number, by):
     return F.call_function(kind, number, by.cast("int"))
 
 
-def build_directory(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[int, DataFrame]:
-    """(global depth, table of slot and bucket) for distinct 64-bit keys.
+def build_directory(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[int, int, DataFrame]:
+    """(least depth of a bucket, global depth, table of slot and bucket) for distinct 64-bit keys.
 
     A bucket starts with all keys; an overfull one is split by its next bit, and the directory doubles where a bucket
     gets as deep as it. All levels are told from one count of keys by their first bits, of which there are about
@@ -44,11 +46,11 @@ def build_directory(keys: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[in
     full = counts.filter((F.col("n") > bucket_rows) & (F.col("depth") < deepest)).select((F.col("depth") + 1).alias("depth"), "prefix")
     halves = full.select("depth", F.explode(F.array(F.col("prefix") * 2, F.col("prefix") * 2 + 1)).alias("prefix"))
     buckets = materialise(halves.unionByName(keys.sparkSession.range(1).select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"))).join(full.select((F.col("depth") - 1).alias("depth"), "prefix"), ["depth", "prefix"], "left_anti"))
-    depth = buckets.agg(F.max("depth")).first()[0]
+    least, depth = buckets.agg(F.min("depth"), F.max("depth")).first()
     by = depth - F.col("depth")
     first = _shift("shiftleft", F.col("prefix"), by)
     slots = F.explode(F.sequence(first, first + _shift("shiftleft", F.lit(1).cast("long"), by) - 1)).alias("slot_no")
-    return depth, buckets.select(slots, F.concat_ws("/", F.col("depth"), F.col("prefix")).alias("bucket"))
+    return least, depth, buckets.select(slots, F.concat_ws("/", F.col("depth"), F.col("prefix")).alias("bucket"))
 
 
 def text_keys(docs: DataFrame) -> DataFrame:
@@ -57,52 +59,48 @@ def text_keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("key"))
 
 
-ENTRY = ["bucket", "key", "sha", "text", "n", "top"]
+ENTRY, KINDS = ["key", "sha", "text", "n", "top"], [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+LOW = -(2**63)
 
 
-def _combine(batches):
-    """A task's copies as one: each text goes out once, where it is first met; what else is met of it is one row without the text at the end."""
-    worker_memory("dedup")
-    low = np.iinfo(np.int64).min
-    later: dict[str, list] = {}
-    for batch in batches:
-        sha = batch.column(batch.schema.get_field_index("sha"))
-        at, names = pd.factorize(sha.to_pandas())
-        first = np.unique(at, return_index=True)[1]
-        ids = batch.column(batch.schema.get_field_index("doc_id")).fill_null(low).to_numpy()
-        most = np.full(len(first), low)
-        np.maximum.at(most, at, ids)
-        n = np.bincount(at, minlength=len(first))
-        new = np.array([name not in later for name in names], bool)
-        chosen = batch.take(pa.array(first[new]))
-        yield pa.RecordBatch.from_arrays([chosen.column(chosen.schema.get_field_index(c)) for c in ENTRY[:4]] + [pa.array(n[new], pa.int64()), pa.array(most[new])], ENTRY)
-        buckets, keys = (batch.column(batch.schema.get_field_index(c)) for c in ("bucket", "key"))
-        for k in range(len(names)):
-            if new[k]:
-                later[names[k]] = [buckets[first[k]].as_py(), keys[first[k]].as_py(), 0, low]
-            else:
-                entry = later[names[k]]
-                entry[2] += int(n[k])
-                entry[3] = max(entry[3], int(most[k]))
-    rest = [(bucket, key, name, None, n, top) for name, (bucket, key, n, top) in later.items() if n]
-    if rest:
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rest), kinds)], ENTRY)
+def _combine(repeated):
+    """Over rows (doc_id, key, text): those whose key may be repeated. A task's copies become one: each text goes out once, where it is
+    first met; what else is met of it is one row without the text at the end."""
+
+    def run(batches):
+        worker_memory("dedup")
+        met: dict[bytes, list] = {}
+        for batch in batches:
+            batch = batch.filter(pa.array(repeated.value.has(batch.column(1).to_numpy().view(np.uint64))))
+            out = []
+            for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                doc_id, raw = LOW if doc_id is None else doc_id, text.as_buffer()
+                sha = hashlib.sha256(raw.to_pybytes() if raw is not None else b"").hexdigest()
+                if sha in met:
+                    entry = met[sha]
+                    entry[1:] = entry[1] + 1, max(entry[2], doc_id)
+                else:
+                    met[sha] = [key, 0, LOW]
+                    out.append((key, sha, text.as_py(), 1, doc_id))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, KINDS)], ENTRY)
+        rest = [(key, sha, None, n, top) for sha, (key, n, top) in met.items() if n]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rest) if rest else [[]] * 5, KINDS)], ENTRY)
+
+    return run
 
 
 def _own(batches):
-    """Owner of whole buckets, rows sorted by key, those with texts first: chains the texts of a key, comparing bytes, and emits an entry per text. A row without a text adds to the entry whose text its task sent."""
-    key, chain = None, []
-    names = ["bucket", "key", "slot", "sha", "keep_id", "group_size"]
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+    """Owner of whole key ranges, rows sorted by key, those with texts first: chains the texts of a key, comparing bytes, and emits an entry per text. A row without a text adds to the entry whose text its task sent."""
+    now, chain = None, []
+    names = ["key", "slot", "sha", "keep_id", "group_size"]
+    kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
     for batch in batches:
         out = []
-        cols = [batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5)]
-        texts = batch.column(3)
-        for i, (bucket, k, sha, n, top) in enumerate(zip(*cols)):
-            if (bucket, k) != key:
-                out += [(*key, slot, *e[1:]) for slot, e in enumerate(chain)]
-                key, chain = (bucket, k), []
+        texts = batch.column(2)
+        for i, (key, sha, n, top) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4)))):
+            if key != now:
+                out += [(now, slot, *e[1:]) for slot, e in enumerate(chain)]
+                now, chain = key, []
             sent = texts[i].as_buffer()
             text = sent.to_pybytes() if sent is not None else b"" if texts[i].is_valid else None
             for e in chain:
@@ -111,35 +109,34 @@ def _own(batches):
                     break
             else:
                 chain.append([text, sha, top, n])
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)], names)
-    out = [(*key, slot, *e[1:]) for slot, e in enumerate(chain)]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, kinds)], names)
+    out = [(now, slot, *e[1:]) for slot, e in enumerate(chain)]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, kinds)], names)
 
 
 def build_index(docs: DataFrame, place: str | None = None, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows, index). rows: doc_id, sha, key and bucket of every document. The index, Parquet files at `place` in the
-    shared folder: bucket, key, slot in the key's chain, sha, keep_id, group_size.
+    """(rows, index). rows: doc_id, sha and key of every document. The index, Parquet files at `place` in the shared folder:
+    bucket, key, slot in the key's chain, sha, keep_id, group_size.
 
-    Keys are counted first. A key that one row has needs no text: its entry is that row. The texts of the others,
-    combined per task, go to the task that owns their bucket's key range, which reads its rows in key order, holds one
-    key's chain at a time and compares bytes. Whether the repeated keys are broadcast is left to Spark, which knows the
-    stored table's size.
+    Keys are counted first. A key that one row has needs no text: its entry is that row. The texts of the others, which a filter
+    tells, go once per task to the owner of their key range (whole buckets), which reads its rows in key order, holds one
+    key's chain at a time and compares bytes. What the filter lets through of other keys is left out by a join without texts.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = materialise(text_keys(docs))
     keys = materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"), F.min("sha").alias("sha")))
-    depth, directory = build_directory(keys, bucket_rows)
-    keys = materialise(keys.join(directory, _first_bits(depth) == F.col("slot_no")).drop("slot_no"))
-    once = keys.filter("n = 1").select("bucket", "key", F.lit(0).alias("slot"), "sha", "keep_id", F.col("n").alias("group_size"))
-    many = materialise(keys.filter("n > 1").select("key", "bucket"))
-    texts = docs.select("doc_id", text_or_empty().alias("text"), F.xxhash64(text_or_empty()).alias("key")).join(many, "key").select("bucket", "key", F.sha2("text", 256).alias("sha"), "text", "doc_id")
-    entries = texts.mapInArrow(_combine, "bucket string, key long, sha string, text string, n long, top long")
-    owned = entries.repartition(shuffle_partitions(spark), "bucket").sortWithinPartitions("bucket", "key", F.col("text").isNull())
-    chained = owned.mapInArrow(_own, "bucket string, key long, slot int, sha string, keep_id long, group_size long")
-    low = F.lit(-(2**63)).cast("long")
-    chained = chained.withColumn("keep_id", F.when(F.col("keep_id") != low, F.col("keep_id")))
-    return rows, materialise(once.unionByName(chained), place)
+    least, depth, directory = build_directory(keys, bucket_rows)
+    once = keys.filter("n = 1").select("key", F.lit(0).alias("slot"), "sha", "keep_id", F.col("n").alias("group_size"))
+    many = materialise(keys.filter("n > 1").select("key"))
+    repeated = spark.sparkContext.broadcast(filter_of(many))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("key"), text_or_empty().alias("text"))
+    entries = texts.mapInArrow(_combine(repeated), "key long, sha string, text string, n long, top long")
+    owned = entries.repartition(shuffle_partitions(spark), _first_bits(least)).sortWithinPartitions("key", F.col("text").isNull())
+    chained = owned.mapInArrow(_own, "key long, slot int, sha string, keep_id long, group_size long").join(many, "key", "left_semi")
+    chained = chained.withColumn("keep_id", F.when(F.col("keep_id") != LOW, F.col("keep_id")))
+    index = once.unionByName(chained).join(directory, _first_bits(depth) == F.col("slot_no")).select("bucket", "key", "slot", "sha", "keep_id", "group_size")
+    return rows, materialise(index, place)
 
 
 def probe(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -168,8 +165,8 @@ def drop_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 
     Rows that repeat both doc_id and text are equal to this rule and all stay, as do all rows of a group without ids.
     """
-    away = materialise(exact_groups(docs, bucket_rows).filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct())
-    return docs.join(away, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text_or_empty(), 256) == F.col("_sha")), "left_anti")
+    away = materialise(exact_groups(docs, bucket_rows).filter("not kept").select("doc_id", "text_sha256"))
+    return without(docs, away, [F.col("doc_id"), F.sha2(text_or_empty(), 256)])
 
 
 def op7_exact_dedup(spark, sf_dir):

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import Bloom, bucket_of, filter_of, words_for
 from .common import flat_bytes, materialise, mix64, shuffle_partitions, small_batches, table, text_or_empty, word_hashes, worker_memory
 from .components import connected_components
 
@@ -23,9 +24,6 @@ BLOCK_SHINGLES = 1 << 20
 #: Postings that a task gathers before it passes them on.
 FLUSH = 1 << 21
 
-#: Bloom filters have at most 2 ** 29 bits (64 MB).
-BLOOM_BITS = 29
-
 #: DivideSkip's weight of a probe against a merge step.
 MU = 0.05
 
@@ -84,36 +82,6 @@ def new_sets(sets: Sets, seen: set[int]) -> tuple[list[int], np.ndarray]:
     return out, ids
 
 
-class Bloom:
-    """A Bloom filter in regions by bucket, two bits for each number in the region of its bucket."""
-
-    def __init__(self, regions: list[np.ndarray]):
-        self.bits, self.words, self.buckets = np.concatenate(regions), len(regions[0]), len(regions)
-
-    def has(self, v: np.ndarray) -> np.ndarray:
-        base = (bucket_of(v, self.buckets) * self.words).astype(np.int64)
-        ok = np.ones(len(v), bool)
-        for p in filter_places(v, self.words):
-            ok &= (self.bits[base + (p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return ok
-
-    @staticmethod
-    def region(v: np.ndarray, words: int) -> np.ndarray:
-        """The region that holds the numbers of one bucket."""
-        out = np.zeros(words, np.uint64)
-        for p in filter_places(v, words):
-            np.bitwise_or.at(out, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
-        return out
-
-    @classmethod
-    def collected(cls, rows: DataFrame, buckets: int, words: int) -> Bloom:
-        """From rows (bucket, region): the regions come to the driver, 64 MB in all at most."""
-        out = [np.zeros(words, np.uint64)] * buckets
-        for r in rows.collect():
-            out[r["bucket"]] = np.frombuffer(r["region"], np.uint64)
-        return cls(out)
-
-
 class Order:
     """The global order of shingles, rarest first, as far as bounded tables tell it: any such order gives right results.
 
@@ -152,16 +120,6 @@ def counted(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64(7)) < np.uint64(3)
 
 
-def bucket_of(v: np.ndarray, buckets: int) -> np.ndarray:
-    return (v >> np.uint64(32)) % np.uint64(buckets)
-
-
-def filter_places(v: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    m = mix64(v)
-    bits = np.uint64(64 * words)
-    return m % bits, (m >> np.uint64(31) ^ m * _ODD[1] >> np.uint64(7)) % bits
-
-
 class Index:
     """Inverted lists over some sets, members numbered from 0."""
 
@@ -324,8 +282,7 @@ def _shared_filter(docs: DataFrame, k: int, buckets: int, shingles: int) -> Bloo
     its region of the filter. 4 bits per counted shingle, 64 MB in all at most: beyond that the filter gets fuller, and
     more sets take part in the search.
     """
-    bits = min(1 << BLOOM_BITS, 4 * max(shingles, 1) * 3 // 8)
-    words = max(16, -(-bits // 64 // buckets))
+    words = words_for(4 * max(shingles, 1) * 3 // 8, buckets)
 
     def send(batches):
         seen: set[int] = set()
@@ -449,28 +406,9 @@ def _units(lists: DataFrame, sizes: DataFrame, parts: int) -> tuple[DataFrame, D
     return members, one.unionByName(many)
 
 
-def _member_filter(members: DataFrame, buckets: int) -> Bloom:
-    """A Bloom filter of the sets in `members` (fp, once each), 16 bits a set up to the bound. It only spares shuffling other sets; a join follows."""
-    bits = min(1 << BLOOM_BITS, 16 * max(members.count(), 1))
-    words = max(16, -(-bits // 64 // buckets))
-
-    def own(batches):
-        found: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            v = batch.column(0).to_numpy().view(np.uint64)
-            at = bucket_of(v, buckets).astype(np.int64)
-            for c in np.unique(at).tolist():
-                found.setdefault(c, []).append(v[at == c])
-        for c, parts in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([Bloom.region(np.concatenate(parts), words).tobytes()], pa.binary())], ["bucket", "region"])
-
-    bucket = F.pmod(F.shiftrightunsigned("fp", 32), F.lit(buckets))
-    return Bloom.collected(members.repartition(buckets, bucket).select("fp").mapInArrow(own, "bucket int, region binary"), buckets, words)
-
-
 def _needed_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """(fp, grams) of the sets in `members`, once each."""
-    bloom = docs.sparkSession.sparkContext.broadcast(_member_filter(members, shuffle_partitions(docs.sparkSession)))
+    bloom = docs.sparkSession.sparkContext.broadcast(filter_of(members))
 
     def run(batches):
         seen: set[int] = set()

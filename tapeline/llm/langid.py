@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flat_bytes, small_batches, table, text_or_empty, worker_memory
+from .common import flat_bytes, materialise, small_batches, table, text_or_empty, worker_memory
 
 #: Bytes of context: the model's order.
 ORDER = 4
@@ -31,9 +31,12 @@ EVIDENCE = 64
 #: Bytes of average text that are added to a text before its code length per byte is held against the limit.
 PRIOR = 64
 
-#: The limit is this share of the calibration documents' code lengths per byte, and as much again above the average.
-QUANTILE = 0.98
-MARGIN = 1.5
+#: The limit lies MARGIN times as far above a language's average as this share of the calibration documents stays below; both as parts of the average.
+QUANTILE = 0.9
+MARGIN = 8.0
+
+#: Bytes of all languages' average that are added to a language's own, so that a few documents don't set it.
+SHRINK = 20_000
 
 
 def _picked(docs: DataFrame, train_bytes: int, train_total: int) -> tuple[list[str], DataFrame]:
@@ -62,9 +65,9 @@ def gram_counts(picked: DataFrame) -> np.ndarray:
             found, n = np.unique(lang << np.uint64(8 * ORDER + 8) | grams(data, off), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
 
-    got = picked.select("text", "lang").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
-    gram = got["gram"].to_numpy(np.int64)
-    return np.stack((gram >> 8 * ORDER + 8, gram & (1 << 8 * ORDER + 8) - 1, got["n"].to_numpy(np.int64)), 1)
+    got = picked.select("text", "lang").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    gram = got.column("gram").to_numpy()
+    return np.stack((gram >> 8 * ORDER + 8, gram & (1 << 8 * ORDER + 8) - 1, got.column("n").to_numpy()), 1)
 
 
 def grams(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -124,19 +127,21 @@ class Contexts:
         lower = None
         for k in range(ORDER + 1):
             keys, inv = np.unique(gram.astype(np.uint64) & mask(k + 1), return_inverse=True)
-            count = np.zeros((len(keys), languages))
-            np.add.at(count, (inv, lang), n)
             contexts, at = np.unique(keys >> np.uint64(8), return_inverse=True)
-            total, kinds = np.zeros((len(contexts), languages)), np.zeros((len(contexts), languages))
-            np.add.at(total, at, count)
-            np.add.at(kinds, at, count > 0)
-            all_ = np.maximum(total + kinds, 1)
-            escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / all_), 0.0)
-            below = np.full(count.shape, 8.0) if lower is None else lower[1][lower[0].find(keys & mask(k))]
-            cost = np.where(count > 0, -np.log2(np.maximum(count, 1) / all_[at]), escape[at] + below)
             known, ahead = Lookup(keys), Lookup(contexts)
-            cost = cost[known.order].astype(np.float32)
-            self.levels.append((known, cost, ahead, escape[ahead.order].astype(np.float32)))
+            escape = np.zeros((len(contexts), languages), np.float32)
+            cost = np.zeros((len(keys), languages), np.float32)
+            under = None if lower is None else lower[0].find(keys & mask(k))
+            for j in range(languages):  # a column at a time, so that the driver needs little more than the tables
+                mine = lang == j
+                count = np.bincount(inv[mine], n[mine], len(keys))
+                total, kinds = np.bincount(at, count, len(contexts)), np.bincount(at, count > 0, len(contexts))
+                all_ = np.maximum(total + kinds, 1)
+                escape[:, j] = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / all_), 0.0)
+                below = 8.0 if lower is None else lower[1][under, j]
+                cost[:, j] = np.where(count > 0, -np.log2(np.maximum(count, 1) / all_[at]), escape[at, j] + below)
+            cost = cost[known.order]
+            self.levels.append((known, cost, ahead, escape[ahead.order]))
             lower = known, cost
         self.languages = languages
 
@@ -207,13 +212,17 @@ def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES, train_total: int = TR
             bits = shared.value.lengths(data, off)[np.arange(len(lang)), lang]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(np.diff(off)), pa.array(bits)], ["lang", "n", "bits"])
 
-    measured = picked.filter("calibrate").select("text", "lang").mapInArrow(measure, "lang int, n long, bits double")
-    average = measured.groupBy("lang").agg((F.sum("bits") / F.sum("n")).alias("average"))
-    measured = measured.join(F.broadcast(average), "lang")  # a row per language
-    smooth = (F.col("bits") + PRIOR * F.col("average")) / (F.col("n") + PRIOR)
-    for r in measured.groupBy("lang").agg(F.first("average").alias("average"), F.percentile_approx(smooth, QUANTILE).alias("high")).collect():
-        trees.average[r["lang"]] = r["average"]
-        trees.limit[r["lang"]] = r["average"] + MARGIN * max(r["high"] - r["average"], 0.1)
+    measured = materialise(picked.filter("calibrate").select("text", "lang").mapInArrow(measure, "lang int, n long, bits double"))
+    sums = {r["lang"]: (r["bits"], r["n"]) for r in measured.groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("n").alias("n")).collect()}  # a row per language
+    if not sums:
+        return trees
+    pooled = sum(b for b, _ in sums.values()) / sum(n for _, n in sums.values())
+    for k in range(len(langs)):
+        bits, n = sums.get(k, (0.0, 0))
+        trees.average[k] = (bits + SHRINK * pooled) / (n + SHRINK)
+    average = F.element_at(F.array(*[F.lit(float(x)) for x in trees.average]), F.col("lang") + 1)
+    high = measured.agg(F.percentile_approx((F.col("bits") + PRIOR * average) / (F.col("n") + PRIOR) / average, QUANTILE)).first()[0]
+    trees.limit = trees.average * (1 + MARGIN * max(high - 1, 0.02))
     return trees
 
 
