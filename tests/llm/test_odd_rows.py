@@ -438,13 +438,14 @@ def test_directory_doubles(spark):
     depths = []
     for n, rows in ((0, 4), (3, 4), (500, 16), (4000, 16)):
         keys = spark.range(n).select(F.xxhash64("id").alias("key"))
-        depth, directory = exact_dedup.build_directory(keys, rows)
+        least, depth, directory = exact_dedup.build_directory(keys, rows)
         slots = {r["slot_no"]: r["bucket"] for r in directory.collect()}
         assert sorted(slots) == list(range(1 << depth))
         filled, local = collections.Counter(), collections.Counter(slots.values())
         for r in keys.collect():
             filled[slots[(r["key"] & (1 << 64) - 1) >> 64 - depth if depth else 0]] += 1
         assert max(filled.values(), default=0) <= rows and sum(filled.values()) == n
+        assert least == min(int(b.split("/")[0]) for b in local)
         for bucket, count in local.items():
             d, prefix = map(int, bucket.split("/"))
             assert count == 1 << depth - d
@@ -458,21 +459,33 @@ def test_directory_doubles(spark):
 def test_equal_keys_are_chained_by_bytes():
     import pyarrow as pa
 
-    names = ["bucket", "key", "sha", "text", "n", "top"]
-    rows = [("0/0", 7, "s1", "one", 1, 5), ("0/0", 7, "s2", "two", 1, 9), ("0/0", 7, "s1", "one", 3, 4), ("0/0", 7, "s2", None, 1, 3), ("0/0", 8, "s3", "", 1, 1)]
-    out = [r for b in exact_dedup._own([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)]) for r in b.to_pylist()]
+    rows = [(7, "s1", "one", 1, 5), (7, "s2", "two", 1, 9), (7, "s1", "one", 3, 4), (7, "s2", None, 1, 3), (8, "s3", "", 1, 1)]
+    out = [r for b in exact_dedup._own([pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), exact_dedup.KINDS)], exact_dedup.ENTRY)]) for r in b.to_pylist()]
     assert [(r["key"], r["slot"], r["sha"], r["keep_id"], r["group_size"]) for r in out] == [(7, 0, "s1", 5, 4), (7, 1, "s2", 9, 2), (8, 0, "s3", 1, 1)]
 
 
 def test_a_task_sends_each_text_once():
+    import types
+
     import pyarrow as pa
 
-    names = ["bucket", "key", "sha", "text", "doc_id"]
-    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()])], names)
-    one, two = ("0/0", 1, "a", "A"), ("0/0", 2, "b", "")
-    out = [r for b in exact_dedup._combine([batch([(*one, 3), (*one, 9), (*two, None)]), batch([(*one, 4), (*two, 7), (*one, None)])]) for r in b.to_pylist()]
-    low = -(2**63)
-    assert [(r["sha"], r["text"], r["n"], r["top"]) for r in out] == [("a", "A", 2, 9), ("b", "", 1, low), ("a", None, 2, 4), ("b", None, 1, 7)]
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.string()])], ["doc_id", "key", "text"])
+    all_ = types.SimpleNamespace(value=types.SimpleNamespace(has=lambda v: v != 5))
+    out = [r for b in exact_dedup._combine(all_)([batch([(3, 1, "A"), (9, 1, "A"), (None, 2, ""), (8, 5, "C")]), batch([(4, 1, "A"), (7, 2, ""), (None, 1, "A")])]) for r in b.to_pylist()]
+    assert [(r["key"], r["text"], r["n"], r["top"]) for r in out] == [(1, "A", 1, 3), (2, "", 1, exact_dedup.LOW), (1, None, 3, 9), (2, None, 1, 7)]
+    assert len({r["sha"] for r in out}) == 2
+
+
+def test_rows_are_dropped_whatever_the_filter_lets_through(spark, monkeypatch):
+    from tapeline.llm import bloom
+
+    df = spark.range(2000).select(F.when(F.col("id") % 100 != 0, F.col("id")).alias("doc_id"), F.concat(F.lit("t"), (F.col("id") % 7)).alias("text"))
+    away = exact_dedup.materialise(df.filter("doc_id is null or doc_id % 3 = 0").select("doc_id", "text").filter("text <> 't1'"))
+    want = sorted(map(str, df.exceptAll(df.filter("(doc_id is null or doc_id % 3 = 0) and text <> 't1'")).collect()))
+    for bits in (29, 11):
+        monkeypatch.setattr(bloom, "MOST_BITS", bits)
+        assert sorted(map(str, bloom.without(df, away, [F.col("doc_id"), F.col("text")]).collect())) == want
+    assert bloom.without(df, away.limit(0), [F.col("doc_id"), F.col("text")]).count() == 2000
 
 
 def test_stored_index_answers_texts(spark, odd):
