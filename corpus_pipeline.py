@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.llm import exact_dedup, jaccard, langid, mixing, packing
+from tapeline.llm.bloom import without
 from tapeline.llm.common import materialise, table
 
 #: Least probability of the predicted language that a document needs to stay.
@@ -36,7 +37,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), that with the smallest doc_id. Rows without doc_id can't be told apart and stay."""
     found = materialise(jaccard.jaccard_join(docs).filter("doc_id is not null").select("doc_id", (F.col("component_id") == F.col("doc_id")).alias("stays")))
     away = materialise(found.groupBy("doc_id").agg(F.max("stays").alias("stays")).filter("not stays").select("doc_id"))
-    return docs.join(away, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, away, [F.col("doc_id")])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
