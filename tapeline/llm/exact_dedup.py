@@ -136,7 +136,9 @@ def build_index(docs: DataFrame, place: str | None = None, bucket_rows: int = BU
     chained = owned.mapInArrow(_own, "key long, slot int, sha string, keep_id long, group_size long").join(many, "key", "left_semi")
     chained = chained.withColumn("keep_id", F.when(F.col("keep_id") != LOW, F.col("keep_id")))
     index = once.unionByName(chained).join(directory, _first_bits(depth) == F.col("slot_no")).select("bucket", "key", "slot", "sha", "keep_id", "group_size")
-    return rows, materialise(index, place)
+    index = materialise(index, place)
+    repeated.destroy()
+    return rows, index
 
 
 def probe(rows: DataFrame, index: DataFrame) -> DataFrame:

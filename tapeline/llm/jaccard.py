@@ -406,9 +406,8 @@ def _units(lists: DataFrame, sizes: DataFrame, parts: int) -> tuple[DataFrame, D
     return members, one.unionByName(many)
 
 
-def _needed_sets(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """(fp, grams) of the sets in `members`, once each."""
-    bloom = docs.sparkSession.sparkContext.broadcast(filter_of(members))
+def _needed_sets(docs: DataFrame, members: DataFrame, bloom, k: int) -> DataFrame:
+    """(fp, grams) of the sets in `members`, of which bloom is a filter, once each."""
 
     def run(batches):
         seen: set[int] = set()
@@ -487,12 +486,15 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     sizes = rows.filter("n > 0").groupBy("fp").agg(F.max("n").alias("n"))
     members, heads = _units(lists, sizes, parts)
     involved = materialise(members.select("fp").distinct())
-    sets = _needed_sets(texts, involved, k).join(classes.select("fp", "weight"), "fp").withColumnRenamed("grams", "set")
+    needed = spark.sparkContext.broadcast(filter_of(involved))
+    sets = _needed_sets(texts, involved, needed, k).join(classes.select("fp", "weight"), "fp").withColumnRenamed("grams", "set")
     full = members.join(sets, "fp").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     full = full.select("leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "block", F.lit(None).cast("array<long>").alias("grams"), "set", "weight")
     full = full.unionByName(heads.select("leader", "low", "high", F.lit(0).cast("long").alias("fp"), F.lit(-1).alias("block"), "grams", F.lit(None).cast("binary").alias("set"), F.lit(0).cast("long").alias("weight")))
     dealt = full.repartition(parts, "leader", "low", "high").sortWithinPartitions("leader", "low", "high", "fp")
     found = materialise(dealt.mapInArrow(_search(order, num, den), "fp long, root long, links long"))
+    order.destroy()  # all that follows reads stored tables
+    needed.destroy()
 
     comp = connected_components(found, "fp", "root")
     named = comp.join(classes, comp.node == classes.fp).groupBy("component").agg(F.min("least").alias("component_id"))

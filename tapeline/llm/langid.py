@@ -213,6 +213,7 @@ def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES, train_total: int = TR
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(np.diff(off)), pa.array(bits)], ["lang", "n", "bits"])
 
     measured = materialise(picked.filter("calibrate").select("text", "lang").mapInArrow(measure, "lang int, n long, bits double"))
+    shared.destroy()
     sums = {r["lang"]: (r["bits"], r["n"]) for r in measured.groupBy("lang").agg(F.sum("bits").alias("bits"), F.sum("n").alias("n")).collect()}  # a row per language
     if not sums:
         return trees

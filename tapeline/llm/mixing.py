@@ -84,8 +84,7 @@ def mix_sources(docs: DataFrame, weights=(5.0, 2.0, 1.0), max_repeat: int = 3, w
     x = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
     rows = docs.select(F.struct(*keep).alias("row"), "doc_id", "source", size.alias("size"), ((x + F.lit(0.5)) / F.lit(float(2**52))).alias("u"))
     rows = materialise(rows.withColumn("n", F.monotonically_increasing_id()))  # once stored, n tells equal rows apart
-    goals = materialise(source_targets(rows, weights, max_repeat))
-    goals = materialise(inclusion_rates(rows, goals))
+    goals = materialise(inclusion_rates(rows, source_targets(rows, weights, max_repeat)))
 
     p = F.least(F.lit(1.0), F.col("rate") * F.col("size"))
     joined = rows.alias("r").join(goals.withColumnRenamed("source", "goal").alias("g"), F.col("source").eqNullSafe(F.col("goal")), "left").drop("goal")
@@ -123,7 +122,6 @@ def _cuts(keys: DataFrame, goals: DataFrame) -> DataFrame:
         if not sums.head(1):  # no document fits, nor will one in later passes
             break
         cut = sums.filter(F.col("before") + F.col("words") > F.col("left")).groupBy("sid").agg(F.min("part").alias("part"), F.min_by("before", "part").alias("before"), F.min_by("before_top", "part").alias("before_top"))
-        cut = materialise(cut)
         run = F.col("before") + F.sum("size").over(Window.partitionBy("sid", "part").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
         inside = able.join(cut.drop("before_top"), ["sid", "part"]).withColumn("run", run).filter("run <= left").groupBy("sid").agg(F.max("run").alias("got"), F.max("pos").alias("to"))
         at_cut = cut.join(inside, "sid", "left").select("sid", F.coalesce("got", "before").alias("got"), F.coalesce("to", "before_top").alias("to"))

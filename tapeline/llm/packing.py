@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_dir, small_batches, table, text_or_empty
+from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty
 from .tokens import PieceTexts, WordTexts, loaded
 
 #: Pieces that one task packs together. A group wastes less than a bin, of some thousand.
@@ -256,7 +256,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GRO
         return pdf.assign(sequence_id=(group << 32) + seq, offset=off)
 
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    return dealt.groupBy("_group").applyInPandas(pack, schema)
+    # a group costs time, not bytes, so tasks are not left to be merged by size
+    return dealt.repartition(min(groups, shuffle_partitions(pieces.sparkSession)), "_group").groupBy("_group").applyInPandas(pack, schema)
 
 
 def op9_best_fit(spark, sf_dir):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import LOW_BYTES, eight_bytes, flat_bytes, mix64, small_batches, table, text_or_empty, word_spans, worker_memory
 
 #: Pre-tokens that a worker remembers (about 60 MB); beyond that it starts anew with the proven ones.
-CACHE = 500_000
+CACHE = 250_000
 
 #: Pre-tokens of more bytes are encoded once a batch and not remembered.
 SHORT = 16
