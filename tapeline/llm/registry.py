@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html, jaccard, langid, media, mixing, packing, tokens, urlfilter
+from . import exact_dedup, html, jaccard, langid, media, merkle, mixing, packing, tokens, urlfilter
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_matrix": packing.op8_token_matrix,
     "op9_best_fit": packing.op9_best_fit,
     "op10_language_id": langid.op10_language_id,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
-ORACLE_SQL = {"op1_source_mix": mixing.ORACLE, "op3_url_filter": urlfilter.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {"op1_source_mix": mixing.ORACLE, "op3_url_filter": urlfilter.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
