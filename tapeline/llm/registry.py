@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html, jaccard, langid, media, merkle, mixing, packing, tokens, trie, urlfilter
+from . import exact_dedup, html, jaccard, langid, media, merkle, mixing, packing, pieces, tokens, trie, urlfilter
 
 QUERIES = {
     "op1_source_mix": mixing.op1_source_mix,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_language_id": langid.op10_language_id,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_conversation_trie": trie.op12_conversation_trie,
+    "op13_piece_codec": pieces.op13_piece_codec,
 }
 
 ORACLE_SQL = {"op1_source_mix": mixing.ORACLE, "op3_url_filter": urlfilter.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE, "op11_merkle_manifest": merkle.ORACLE, "op12_conversation_trie": trie.ORACLE}
