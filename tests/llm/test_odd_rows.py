@@ -374,8 +374,10 @@ def brute_texts(rows):
         found = html.blocks(page)
         lines = [x for _, x in found]
         at = order.index((*parts(url), F_xxhash64(page or "")))
-        near = [order[at + d] for n in range(1, html.NEAR + 1) for d in (-n, n) if 0 <= at + d < len(order)]
-        near = sorted((o for o in near if o[0] == order[at][0]), key=lambda o: -html._likeness(order[at][1], o[1]))
+        far = [order[at + d] for n in range(1, len(order)) for d in (-n, n) if 0 <= at + d < len(order)]
+        far = [o for o in far if o[0] == order[at][0]]
+        first = [o for o in far if abs(order.index(o) - at) <= html.NEAR]
+        near = sorted(first, key=lambda o: -html._likeness(order[at][1], o[1])) + far[len(first) :]
         gone = set()
         for o in near:
             other = seen[o]
