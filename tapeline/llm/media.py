@@ -104,14 +104,15 @@ def read_media(data: bytes | None) -> list[dict]:
 
     Only boxes and tables are read; the payload is neither read nor decoded. The samples of movie fragments follow those
     of the track's own tables. Null, empty or broken input has no tracks; a track is left out if its tables are missing,
-    contradict each other, tell of more than their boxes hold or of bytes outside the file.
+    contradict each other, tell of more than their boxes hold or of bytes outside the file. All tracks and runs together have at
+    most as many samples as the file has bytes, so memory grows with the file; what goes beyond that is broken.
     """
     if not data:
         return []
     tracks: list[dict] = []
     extends: dict[int, tuple[int, int]] = {}
     runs: dict[int, list] = {}
-    moof, head = 0, None
+    moof, head, room = 0, None, [len(data)]
     for path, start, a, b in walk(data):
         kind = path[-1]
         try:
@@ -125,12 +126,19 @@ def read_media(data: bytes | None) -> list[dict]:
             elif kind == b"tfhd":
                 head = _fragment_head(data, (a, b), moof, extends)
             elif kind == b"trun" and head:
-                runs.setdefault(head["track"], []).append(_run(data, (a, b), head))
+                runs.setdefault(head["track"], []).append(_run(data, (a, b), head, room))
             elif tracks and b"trak" in path:
                 tracks[-1][kind] = (a, b)
         except (struct.error, ValueError, IndexError, KeyError):
             return []
-    return [found for t in tracks if (found := _track(data, t, runs))]
+    return [found for t in tracks if (found := _track(data, t, room, runs))]
+
+
+def _take(room: list[int], n: int) -> None:
+    """Samples are taken from the room that the file's bytes leave."""
+    room[0] -= n
+    if room[0] < 0:
+        raise ValueError("more samples than bytes")
 
 
 #: Fixed values of ISO/IEC 14496-12: flags of tfhd and trun that tell which fields are there, and of a sample that is no sync sample.
@@ -155,9 +163,10 @@ def _fragment_head(data: bytes, span: tuple[int, int], moof: int, extends: dict)
     return {"track": track, "base": base, "next": base, "defaults": values}
 
 
-def _run(data: bytes, span: tuple[int, int], head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def _run(data: bytes, span: tuple[int, int], head: dict, room: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(starts, ends, sync, duration) of a fragment's run of samples; without an offset it follows the one before it."""
     flags, n = _numbers(data, span, 0, 2).tolist()
+    _take(room, n)
     flags &= 0xFFFFFF
     at, place = 8, head["next"]
     if flags & RUN_OFFSET:
@@ -167,8 +176,6 @@ def _run(data: bytes, span: tuple[int, int], head: dict) -> tuple[np.ndarray, np
         first, at = int(_numbers(data, span, at, 1)[0]), at + 4
     fields = [f for f in (RUN_DURATION, RUN_SIZE, RUN_FLAGS, RUN_COMPOSITION) if flags & f]
     table = _numbers(data, span, at, n * len(fields)).reshape(n, len(fields)) if fields else None
-    if n > len(data):
-        raise ValueError("more samples than bytes")
     column = lambda f, k: table[:, fields.index(f)] if f in fields else np.full(n, head["defaults"][k], np.int64)
     duration, size, flag = column(RUN_DURATION, 0), column(RUN_SIZE, 1), column(RUN_FLAGS, 2)
     if first is not None and n:
@@ -178,18 +185,19 @@ def _run(data: bytes, span: tuple[int, int], head: dict) -> tuple[np.ndarray, np
     return ends - size, ends, np.flatnonzero(flag & NOT_SYNC == 0), int(duration.sum())
 
 
-def _track(data: bytes, t: dict, runs: dict | None = None) -> dict | None:
+def _track(data: bytes, t: dict, room: list[int], runs: dict) -> dict | None:
     try:
         a = t[b"mdhd"][0]
         scale, duration = struct.unpack_from(">IQ", data, a + 20) if data[a] == 1 else struct.unpack_from(">II", data, a + 12)
         codec = data[t[b"stsd"][0] + 12 : t[b"stsd"][0] + 16].decode("latin-1")
-        at, ends, sync = _samples(data, t)
-        if runs and b"tkhd" in t:
+        at, ends, sync = _samples(data, t, room)
+        if b"tkhd" in t:
             a = t[b"tkhd"][0]
-            for more_at, more_ends, more_sync, more in runs.get(struct.unpack_from(">I", data, a + (20 if data[a] == 1 else 12))[0], []):
-                sync = np.concatenate((sync, more_sync + len(at)))
-                at, ends = np.concatenate((at, more_at)), np.concatenate((ends, more_ends))
-                duration += more
+            more = runs.pop(struct.unpack_from(">I", data, a + (20 if data[a] == 1 else 12))[0], [])  # a track of the same number again has none
+            before = np.cumsum([len(at), *[len(r[0]) for r in more]])
+            sync = np.concatenate((sync, *[r[2] + n for r, n in zip(more, before)]))
+            at, ends = np.concatenate((at, *[r[0] for r in more])), np.concatenate((ends, *[r[1] for r in more]))
+            duration += sum(r[3] for r in more)
         n = len(at)
         if n and (at.min() < 0 or ends.max() > len(data)) or len(sync) and (sync.min() < 0 or sync.max() >= n):
             return None
@@ -204,11 +212,12 @@ def _track(data: bytes, t: dict, runs: dict | None = None) -> dict | None:
         return None
 
 
-def _samples(data: bytes, t: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _samples(data: bytes, t: dict, room: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, sync samples from 0) by a track's own tables; what they tell together must fit the file."""
     fixed, n = _numbers(data, t[b"stsz"], 4, 2).tolist()
-    if n > len(data) or fixed * n > len(data):
-        raise ValueError("more samples than bytes")
+    _take(room, n)
+    if fixed * n > len(data):
+        raise ValueError("more bytes than the file has")
     sizes = np.full(n, fixed, np.int64) if fixed else _numbers(data, t[b"stsz"], 12, n)
     runs = _numbers(data, t[b"stsc"], 8, 3 * int(_numbers(data, t[b"stsc"], 4, 1)[0])).reshape(-1, 3)
     wide = b"co64" in t
