@@ -1,4 +1,4 @@
-"""Multi-bar sequences over an append-only event log: triggers, walk-forward, hash chains, folds and views."""
+"""Multi-bar sequences over an append-only event log: triggers, walk-forward, hash chains, folds that resume, and views."""
 
 from __future__ import annotations
 
@@ -96,55 +96,110 @@ def _payload(e: Column) -> Column:
     return F.concat_ws("|", e["event_id"], e["stage"], e["action"], e["rule_evaluated"], e["matched"].cast("string"), e["failure_reason"], e["timestamp"])
 
 
-def chain(log: DataFrame) -> DataFrame:
-    """previous_hash and hash; each event's hash covers its content and the hash before it, sequence by sequence (a handful of events each)."""
+def _after(rows: DataFrame, states: DataFrame | None) -> DataFrame:
+    """rows with _link, the hash that a sequence's first row follows: the last one of its stored state, or nothing."""
+    if states is None:
+        return rows.withColumn("_link", F.lit(""))
+    return rows.join(states.select("sequence_id", F.col("last_hash").alias("_link")), "sequence_id", "left").withColumn("_link", F.coalesce("_link", F.lit("")))
+
+
+def chain(log: DataFrame, states: DataFrame | None = None) -> DataFrame:
+    """previous_hash and hash; each event's hash covers its content and the hash before it, sequence by sequence (a handful of events each).
+
+    With the states of what went before (fold_states), a log's tail goes on from their last hashes.
+    """
     cols = [c for c in log.columns if c not in ("hash", "previous_hash")]
     seqs = log.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("stage_no", *[c for c in cols if c not in ("stage_no", "sequence_id")]))).alias("events"))
     step = lambda acc, e: F.concat(acc, F.array(F.sha2(F.concat_ws("|", F.element_at(acc, -1), _payload(e)), 256)))
-    hashes = F.aggregate("events", F.array(F.lit("")), step)
-    rows = seqs.select("sequence_id", F.posexplode("events").alias("at", "e"), hashes.alias("h"))
+    hashes = F.aggregate("events", F.array("_link"), step)
+    rows = _after(seqs, states).select("sequence_id", F.posexplode("events").alias("at", "e"), hashes.alias("h"))
     return rows.select("sequence_id", "e.*", F.element_at("h", F.col("at") + 1).alias("previous_hash"), F.element_at("h", F.col("at") + 2).alias("hash")).select(*cols, "previous_hash", "hash")
 
 
-def verify_chain(chained: DataFrame) -> DataFrame:
-    """Adds intact; false for an event whose hash or link doesn't hold. The next event is held against the stored hash, so one bad event spoils itself only."""
+def verify_chain(chained: DataFrame, states: DataFrame | None = None) -> DataFrame:
+    """Adds intact; false for an event whose hash or link doesn't hold. The next event is held against the stored hash, so one bad event spoils itself only.
+
+    With the states of what went before, the first event of a tail must follow its sequence's last hash.
+    """
     w = Window.partitionBy("sequence_id").orderBy("stage_no", "hash")
-    link = F.coalesce(F.lag("hash").over(w), F.lit(""))
+    link = F.coalesce(F.lag("hash").over(w), F.col("_link"))
     fields = F.struct("event_id", "stage", "action", "rule_evaluated", "matched", "failure_reason", "timestamp")
     again = F.sha2(F.concat_ws("|", "previous_hash", _payload(fields)), 256)
-    return chained.withColumn("intact", (F.col("previous_hash") == link) & (F.col("hash") == again))
+    return _after(chained, states).withColumn("intact", (F.col("previous_hash") == link) & (F.col("hash") == again)).drop("_link")
 
 
-def fold(log: DataFrame) -> DataFrame:
-    """A row per sequence: state, stage, confidence and dates, by conditional aggregates.
+#: What fold_states keeps of a sequence: enough to go on from, and no event.
+STATE = ("first_stage", "last_stage", "symbol", "timeframe", "config_id", "trigger_period", "advances", "last_action", "failures", "closed_at", "advance_metrics", "trigger_rule", "events", "bad_stage", "last_hash")
 
-    If the log carries `intact`, a sequence with a bad event is INTEGRITY_FAILED and only the events before it count.
+
+def fold_states(log: DataFrame) -> DataFrame:
+    """A row per sequence of sequence_id and STATE, by conditional aggregates, so that parts of a sequence are combined before the shuffle.
+
+    If the log carries `intact`, only a sequence's events up to the first bad one count, and that one only as an event. With `hash`, the last hash is kept.
+    States of consecutive parts of a log merge into those of the whole (merge_states).
     """
+    stage = F.col("stage_no")
     if "intact" in log.columns:
-        bad = Window.partitionBy("sequence_id")
-        log = log.withColumn("_bad", F.min(F.when(~F.col("intact"), F.col("stage_no"))).over(bad)).filter(F.col("_bad").isNull() | (F.col("stage_no") < F.col("_bad")) | (F.col("stage_no") == F.col("_bad")))
+        bad = F.min(F.when(~F.col("intact"), stage)).over(Window.partitionBy("sequence_id"))
+        log = log.withColumn("_bad", bad).filter(F.col("_bad").isNull() | (stage <= F.col("_bad")))
     else:
-        log = log.withColumn("_bad", F.lit(None).cast("int"))
-    live = F.col("_bad").isNull() | (F.col("stage_no") < F.col("_bad"))
+        log = log.withColumn("_bad", F.lit(None).cast(log.schema["stage_no"].dataType))
+    if "hash" not in log.columns:
+        log = log.withColumn("hash", F.lit(None).cast("string"))
+    live = F.col("_bad").isNull() | (stage < F.col("_bad"))
     on = lambda a: live & (F.col("action") == a)
-    df = log.groupBy("sequence_id").agg(
-        F.first("symbol").alias("symbol"), F.first("timeframe").alias("timeframe"), F.first("config_id").alias("config_id"),
-        F.min(F.when(on("INIT"), F.col("period"))).alias("trigger_period"), F.count_if(on("ADVANCE")).alias("stage_index"),
-        F.max_by(F.when(live, F.col("action")), F.when(live, F.col("stage_no"))).alias("last_action"), F.count_if(on("FAIL")).alias("failures"),
-        F.max(F.when(live & F.col("action").isin(*CLOSED), F.col("timestamp"))).alias("completed_at"),
-        F.max_by("metrics", F.when(on("ADVANCE"), F.col("stage_no"))).alias("_m"), F.count_if(on("ADVANCE")).alias("_n"),
-        F.min(F.when(on("INIT"), F.col("rule_evaluated"))).alias("_rule"), F.count(F.lit(1)).alias("events"), F.max("_bad").alias("_bad"),
+    return log.groupBy("sequence_id").agg(
+        F.min(stage).alias("first_stage"), F.max(stage).alias("last_stage"), F.first("symbol").alias("symbol"), F.first("timeframe").alias("timeframe"), F.first("config_id").alias("config_id"),
+        F.min(F.when(on("INIT"), F.col("period"))).alias("trigger_period"), F.count_if(on("ADVANCE")).alias("advances"),
+        F.max_by(F.when(live, F.col("action")), F.when(live, stage)).alias("last_action"), F.count_if(on("FAIL")).alias("failures"),
+        F.max(F.when(live & F.col("action").isin(*CLOSED), F.col("timestamp"))).alias("closed_at"),
+        F.max_by("metrics", F.when(on("ADVANCE"), stage)).alias("advance_metrics"), F.min(F.when(on("INIT"), F.col("rule_evaluated"))).alias("trigger_rule"),
+        F.count(F.lit(1)).alias("events"), F.max("_bad").alias("bad_stage"), F.max_by("hash", stage).alias("last_hash"),
     )
+
+
+def merge_states(*parts: DataFrame) -> DataFrame:
+    """The states of consecutive parts of a log as those of the whole: fold_states(a + b) is merge_states(fold_states(a), fold_states(b)), for any cut and any
+    number of parts, in any grouping. A sequence has at most as many rows here as events; rows behind its bad event count for nothing."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    listed = rows.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct(*STATE))).alias("parts"))
+
+    def both(a, b):
+        add = lambda f: (a[f] + b[f]).alias(f)
+        old, new = (lambda f: F.coalesce(a[f], b[f]).alias(f)), (lambda f: F.coalesce(b[f], a[f]).alias(f))
+        how = {"advances": add, "failures": add, "events": add, **dict.fromkeys(("last_stage", "last_action", "advance_metrics", "bad_stage", "last_hash"), new)}
+        how["closed_at"] = lambda f: F.greatest(a[f], b[f]).alias(f)
+        return F.when(a["bad_stage"].isNotNull(), a).otherwise(F.struct(*[how.get(f, old)(f) for f in STATE]))
+
+    merged = F.aggregate(F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))), F.element_at("parts", 1), both)
+    return listed.select("sequence_id", merged.alias("m")).select("sequence_id", *[f"m.{f}" for f in STATE])
+
+
+def states(folded: DataFrame) -> DataFrame:
+    """State, stage, confidence and dates of folded sequences. One with a bad event is Integrity_Failed."""
     score = F.lit(0.5)
-    label = F.element_at(F.split("_rule", "_"), -1)
+    label = F.element_at(F.split("trigger_rule", "_"), -1)
     for name, value in SCORES.items():
         score = F.when(label == name, value).otherwise(score)
     part = lambda c: F.least(F.abs(c), F.lit(10.0)) / 10.0 * 0.40
-    conf = F.bround((part(F.col("_m.vol_delta_pct")) + part(F.col("_m.spread_delta_pct")) + score * 0.20) * 100, 1)
-    state = F.when(F.col("_bad").isNotNull(), "Integrity_Failed")
+    conf = F.bround((part(F.col("advance_metrics.vol_delta_pct")) + part(F.col("advance_metrics.spread_delta_pct")) + score * 0.20) * 100, 1)
+    state = F.when(F.col("bad_stage").isNotNull(), "Integrity_Failed")
     for action, name in (("INIT", "Triggered"), ("ADVANCE", "Waiting"), ("FAIL", "Failed"), ("COMPLETE", "Completed"), ("PAUSE", "Paused"), ("EXPIRE", "Expired")):
         state = state.when(F.col("last_action") == action, name)
-    return df.select("sequence_id", "symbol", "timeframe", "config_id", "trigger_period", state.alias("state"), "stage_index", F.when(F.col("_n") > 0, conf).otherwise(0.0).alias("confidence"), "failures", F.coalesce("completed_at", F.lit("")).alias("completed_at"), "events")
+    return folded.select(
+        "sequence_id", "symbol", "timeframe", "config_id", "trigger_period", state.alias("state"), F.col("advances").alias("stage_index"), F.when(F.col("advances") > 0, conf).otherwise(0.0).alias("confidence"),
+        "failures", F.coalesce("closed_at", F.lit("")).alias("completed_at"), "events",
+    )
+
+
+def fold(log: DataFrame) -> DataFrame:
+    """A row per sequence: state, stage, confidence and dates.
+
+    If the log carries `intact`, a sequence with a bad event is INTEGRITY_FAILED and only the events before it count.
+    """
+    return states(fold_states(log))
 
 
 def replay(log: DataFrame, day: str) -> DataFrame:
@@ -152,9 +207,58 @@ def replay(log: DataFrame, day: str) -> DataFrame:
     return fold(log.filter(F.col("timestamp") <= f"{day}T23:59:59Z"))
 
 
-def resume(states_log: DataFrame, log: DataFrame, after: int, offset: str = "offset") -> DataFrame:
-    """Events of a snapshot with the log's tail behind `after`; fold() of it is the state now."""
-    return states_log.unionByName(log.filter(F.col(offset) > after), allowMissingColumns=True)
+def checkpointed(spark: SparkSession, place: str) -> int | None:
+    """The offset up to which the checkpoint at `place` has folded, told by the names of its increments; none if there is no checkpoint."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    done = [f.getPath() for f in files.listStatus(path) if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    return max((int(p.getName().split("=")[1]) for p in done if p.getName().startswith("upto=")), default=None)
+
+
+def stored_states(spark: SparkSession, place: str) -> DataFrame | None:
+    """The merged states of a checkpoint's increments, of those that were written to their end."""
+    upto = checkpointed(spark, place)
+    return None if upto is None else merge_states(spark.read.parquet(place).filter(F.col("upto") <= upto).drop("upto"))
+
+
+def tail(log: DataFrame, place: str, offset: str = "offset") -> DataFrame:
+    """The events behind a checkpoint; on a stored log the filter reaches the scan."""
+    upto = checkpointed(log.sparkSession, place)
+    return log if upto is None else log.filter(F.col(offset) > upto)
+
+
+def resume(log: DataFrame, place: str, offset: str = "offset") -> DataFrame:
+    """The folded states of a log, resumed from the checkpoint at `place`: its states merged with the fold of the events behind it. Nothing before is read again.
+
+    `offset` numbers the log's events in the order they were appended. If events carry hashes, the tail must follow the stored last hashes.
+    """
+    spark = log.sparkSession
+    before, rest = stored_states(spark, place), tail(log, place, offset)
+    if "hash" in log.columns:
+        rest = verify_chain(rest, before)
+    return fold_states(rest) if before is None else merge_states(before, fold_states(rest))
+
+
+def checkpoint(log: DataFrame, place: str, offset: str = "offset") -> int | None:
+    """Adds to the checkpoint at `place` the fold of the events behind it, as an increment of its own, and returns the offset it then stands for.
+
+    Only sequences with new events are written. An increment counts once it is whole, and written again after a failure it replaces itself. compact() merges increments.
+    """
+    spark = log.sparkSession
+    upto = tail(log, place, offset).agg(F.max(offset)).first()[0]
+    if upto is not None:
+        rest, before = tail(log, place, offset).filter(F.col(offset) <= upto), stored_states(spark, place)
+        fold_states(verify_chain(rest, before) if "hash" in log.columns else rest).write.mode("overwrite").parquet(f"{place}/upto={upto}")
+    return checkpointed(spark, place)
+
+
+def compact(spark: SparkSession, place: str, to: str) -> None:
+    """The checkpoint at `place` as one increment at `to`."""
+    upto = checkpointed(spark, place)
+    if upto is not None:
+        stored_states(spark, place).write.mode("overwrite").parquet(f"{to}/upto={upto}")
 
 
 ACTIVE = ("Triggered", "Waiting", "Paused")

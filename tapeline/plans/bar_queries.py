@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions.indicators import with_indicators
 from ..operators import backtests, patterns, quality, sequences, timeframes
+from ..operators.order import numbered
 from ..sources.bars import bars_from_trades
-from ..sources.shared import materialise
+from ..sources.shared import materialise, shared_dir
 from .compare import rounded, same_rounding
 
 #: A day after the last trade: every period is closed.
@@ -282,7 +283,7 @@ _RAW = {
         select event_id, previous_hash, hash, true as intact from ch"""),
     "sequence_states": (lambda s, d: sequences.fold(log(s, d)), f"with {LOG} select * exclude (raw_confidence), round_even(raw_confidence, 1) as confidence from states"),
     "sequence_replay": (lambda s, d: sequences.replay(log(s, d), "1995-06-30").select("sequence_id", "state", "stage_index", "events"), f"with {LOG}, part as (select * from log where timestamp <= '1995-06-30T23:59:59Z') select sequence_id, case arg_max(action, stage_no) when 'INIT' then 'Triggered' when 'ADVANCE' then 'Waiting' when 'FAIL' then 'Failed' when 'COMPLETE' then 'Completed' end as state, count(*) filter (where action = 'ADVANCE') as stage_index, count(*) as events from part group by sequence_id"),
-    "sequence_resume": (lambda s, d: sequences.fold(_resumed(s, d)), f"with {LOG} select * exclude (raw_confidence), round_even(raw_confidence, 1) as confidence from states"),
+    "sequence_resume": (lambda s, d: sequences.states(_resumed(s, d)), f"with {LOG} select * exclude (raw_confidence), round_even(raw_confidence, 1) as confidence from states"),
     "sequence_summary": (lambda s, d: sequences.summary(sequences.fold(log(s, d))), f"with {LOG} select timeframe, {BUCKET} as bucket, count(*) as sequences from states group by timeframe, {BUCKET}"),
     "sequence_health": (lambda s, d: sequences.health(sequences.fold(log(s, d))), f"with {LOG} select count(*) filter (where {BUCKET} = 'active') as active, count(*) filter (where {BUCKET} = 'completed') as completed, count(*) filter (where {BUCKET} = 'failed') as failed, 0::bigint as hash_failures, 'PASS' as status, round_even(coalesce(avg(round_even(raw_confidence, 1)) filter (where {BUCKET} = 'active'), 0), 2) as mean_confidence, sum(events)::bigint as total_events from states"),
     "sequence_board": (lambda s, d: sequences.board(sequences.fold(log(s, d))), f"""with {LOG} select timeframe, "column", symbol, trigger_period, sequence_id, row_number() over (partition by timeframe, "column" order by trigger_period desc, symbol, sequence_id) as at from (select *, case when state = 'Completed' then 'Completed' when state = 'Failed' then 'Failed' else 'T+' || least(stage_index, 3) end as "column" from states)"""),
@@ -310,9 +311,12 @@ def _split_counts(spark, d):
 
 
 def _resumed(spark, d):
-    """A snapshot of the log up to each sequence's first step, and the tail behind it."""
-    whole = log(spark, d)
-    return sequences.resume(whole.filter("stage_no <= 1"), whole, 1, "stage_no")
+    """Three parts of the hashed log in the order of its events: two checkpointed one after the other, the last one resumed from there."""
+    whole = materialise(numbered(sequences.chain(log(spark, d)), "timestamp", "sequence_id", "stage_no", name="offset"))
+    rows, place = whole.count(), shared_dir(spark)
+    for cut in (rows // 3, 2 * rows // 3):
+        sequences.checkpoint(whole.filter(F.col("offset") < cut), place)
+    return sequences.resume(whole, place)
 
 
 def _drill(spark, d):
