@@ -93,7 +93,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     covered as such and differ from empty ones. Rows that repeat a doc_id are leaves of their own, in the order of their hashes, and
     equal rows in any order, since they have equal leaves. Extra columns are neither covered nor returned. An empty table gives no rows.
     """
-    rows = running(merkle_leaves(docs, F.col("text") if tampered is None else tampered), "source_key", [F.col("doc_id"), F.col("leaf"), F.col("told")], {"place": F.lit(1).cast("long")})
+    leaves = materialise(merkle_leaves(docs, F.col("text") if tampered is None else tampered))
+    rows = running(leaves, "source_key", [F.col("doc_id"), F.col("leaf"), F.col("told")], {"place": F.lit(1).cast("long")})
     sources = rows.groupBy("source_key").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0))
     sources = materialise(running(sources, "all", [F.col("source_key")], {"tree": F.lit(1).cast("long")}).select("source_key", "tree", "n"))
     rows = materialise(rows.join(sources, "source_key").select("doc_id", "told", "tree", "place", "n", F.col("leaf").alias("h")))

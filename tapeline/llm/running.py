@@ -13,7 +13,7 @@ def running(df: DataFrame, key: str, order: list[Column], sums: dict[str, Column
 
     Rows are dealt by ranges of key and order and stored, so a key with a third of all rows lies over many ranges. A window
     sees the rows of one key in one range only; what a key has in earlier ranges is added from totals, which are made
-    for the keys that begin a range: at most two rows per range. key isn't null. Equal rows share a range and follow each other in any order.
+    for the keys that begin a range: at most two rows per range. df is read twice, first to find the ranges. key isn't null. Equal rows share a range and follow each other in any order.
     """
     spark = df.sparkSession
     stored = materialise(df.repartitionByRange(shuffle_partitions(spark), F.col(key), *order).withColumn("_range", F.spark_partition_id()))

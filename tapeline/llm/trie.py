@@ -35,7 +35,7 @@ def turn_rows(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.unhex(F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text), 256)).alias("id"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
     )
-    return running(rows, "conv_id", [F.col("turn").asc_nulls_first(), F.col("id")], {"pos": F.lit(1).cast("long")})
+    return running(materialise(rows), "conv_id", [F.col("turn").asc_nulls_first(), F.col("id")], {"pos": F.lit(1).cast("long")})
 
 
 def rebuilt(turns: DataFrame, base: Column, shared: Column) -> tuple[DataFrame, DataFrame]:
