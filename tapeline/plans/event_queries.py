@@ -240,7 +240,14 @@ _RAW = {
     "publishable_events": (lambda s, d: events.publishable(source_events(s, d)).groupBy("status").agg(F.count(F.lit(1)).alias("events")), f"with {EV} select status, count(*) as events from ev where status in ('ACTIVE', 'ENRICHED', 'VALIDATED') group by status"),
     "ingest_counters": (lambda s, d: events.run_counters(_twice(s, d), "arrival"), f"with {EV}, t as (select event_id, title, true as ok from ev union all select event_id, title, false from ev where doc_id % 3 = 0) select count(*) as collected, count(*) filter (where title = '' or not ok) as validation_failed, count(distinct event_id) filter (where title <> '' and ok) as saved, count(*) filter (where title <> '' and ok) - count(distinct event_id) filter (where title <> '' and ok) as duplicates from t"),
     "release_gate": (lambda s, d: events.release_counts(_twice(s, d)), f"with {EV}, t as (select event_id, title, publication_date, official_url as u, confidence from ev union all select event_id, title, publication_date, ' ' || upper(official_url) || '/', confidence from ev where doc_id % 3 = 0) select count(*) as events, 0::bigint as placeholder_ids, count(*) filter (where not regexp_matches(u, '^https?://')) as bad_urls, count(*) filter (where title = '') as missing_titles, count(*) filter (where confidence < 0 or confidence > 100) as bad_confidence, count(*) - count(distinct event_id) as duplicate_ids, count(*) - count(distinct (title, publication_date)) as duplicate_titles, count(*) - count(distinct u) as duplicate_urls from t"),
-    "headlines": (lambda s, d: events.headlines(source_events(s, d), "doc_id"), None),
+    "headlines": (lambda s, d: events.headlines(source_events(s, d), "doc_id"), f"""with recursive {EV},
+        hw as (select doc_id as id, list_filter(list_distinct(regexp_split_to_array(lower(coalesce(title, '')), '\\s+')), lambda t: regexp_full_match(t, '[\\p{{L}}\\p{{N}}]+') and t not in ({', '.join(f"'{w}'" for w in events.FILLERS)})) as words from ev),
+        hn as (select *, row_number() over (order by id) as "at" from hw where len(words) > 0),
+        hx as (select "at", len(words) as n, unnest(words) as word from hn),
+        hp as (select a."at" as early, b."at" as late from hx a join hx b on a.word = b.word and a."at" < b."at" group by a."at", b."at", a.n, b.n having count(*)::double / least(a.n, b.n) >= 0.7),
+        hd as (select hn."at", coalesce(list(early) filter (early is not null), []) as before from hn left join hp on late = hn."at" group by hn."at"),
+        hk as (select 0::bigint as "at", []::bigint[] as kept union all select hd."at", case when list_has_any(kept, before) then kept else list_append(kept, hd."at") end from hk join hd on hd."at" = hk."at" + 1)
+        select hw.id, len(hw.words) = 0 or coalesce(list_contains((select kept from hk order by "at" desc limit 1), hn."at"), false) as keep from hw left join hn using (id)"""),
     "new_since_session": (lambda s, d: events.new_since(source_events(s, d), s.sql("select '2024-01-20' as session_date")).select("event_id", "is_new"), f"with {EV} select event_id, publication_date > '2024-01-20' as is_new from ev"),
     "impact_rules": (lambda s, d: full_events(s, d).select("event_id", "severity", "direction", F.array_join("impact.asset_classes", ",").alias("asset_classes"), F.array_join("impact.sectors", ",").alias("sectors"), "impact.horizon", F.col("impact.category").alias("impact_category"), "impact.importance", F.col("impact.confidence").alias("impact_confidence")), f"with {FULL} select event_id, severity, direction, asset_classes, sectors, horizon, impact_category, importance, impact_confidence from fe"),
     "sector_securities": (lambda s, d: enrichment.securities(full_events(s, d), F.col("impact.sectors")).select("event_id", F.array_join("securities", ",").alias("securities")), f"with {FULL}, mp(sector, names) as (values {', '.join(f'({k!r}, {v!r})' for k, v in enrichment.SECTOR_SECURITIES.items())}), sx as (select event_id, unnest(string_split(sectors, ',')) as sector from fe), sy as (select distinct event_id, unnest(names) as name from sx join mp using (sector)) select fe.event_id, coalesce(string_agg(name, ',' order by name), '') as securities from fe left join sy on sy.event_id = fe.event_id group by fe.event_id"),

@@ -82,27 +82,62 @@ def test_headlines_equal_brute_force(spark):
     assert {r["id"] for r in got.filter("keep").collect()} == brute_greedy(range(len(titles)), dup)
 
 
-def test_near_duplicates_equal_brute_force(spark):
-    random.seed(3)
-    base = ["the central bank issued a circular on liquidity", "inflation data for march was released today", "new rules for lenders take effect"]
+def near_rows(n, seed):
+    """Titles of all lengths in mixed case, edited copies, empty ones; contents and urls of all kinds."""
+    rnd = random.Random(seed)
+    base = ["The Central Bank issued a Circular on liquidity", "Inflation DATA for March was released today", "New rules for lenders take effect", "Rate", "ÉTÉ", "ab", "", "Q4 gdp out"]
     rows = []
-    for i in range(40):
-        t = list(random.choice(base))
-        for _ in range(random.choice([0, 0, 1, 3, 12])):
-            t[random.randrange(len(t))] = random.choice("abcdef ")
+    for i in range(n):
+        t = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 0, 1, 3, 12]) if t else 0):
+            t[rnd.randrange(len(t))] = rnd.choice("abcDEF ")
         t = "".join(t)
-        rows.append((i, t, f"2024-01-0{random.randint(1, 2)}", random.choice(["", "", "http://x/" + str(i % 9)]), t + " body " * random.randint(0, 3), random.randint(0, 1)))
+        t = rnd.choice([t, t.upper(), t.lower()])
+        body = rnd.choice(["", t + " body " * rnd.randint(0, 3), t.swapcase() + " Body", "the same content for many of them"])
+        rows.append((i, t, f"2024-01-0{rnd.randint(1, 2)}", rnd.choice(["", "", "", "http://x/" + str(i % 9), "HTTP://X/" + str(i % 9) + "/"]), body, rnd.randint(0, 2)))
+    return rows
+
+
+def near_score(a, b):
+    """The rule itself, case aside."""
+    url = lambda r: r[3].strip().lower().rstrip("/")
+    if url(a) and url(a) == url(b):
+        return 1.0
+    s = 0.4 * SequenceMatcher(None, a[1].lower(), b[1].lower()).ratio() + 0.2 * (a[2] == b[2]) + 0.1 * (url(a) == url(b)) + 0.1 * (a[5] == b[5] > 0)
+    return s + (0.2 * SequenceMatcher(None, a[4].lower(), b[4].lower()).ratio() if a[4] and b[4] else 0)
 
-    def dup(a, b):
-        a, b = rows[a], rows[b]
-        if a[3] and b[3] and a[3] == b[3]:
-            return True
-        s = 0.4 * SequenceMatcher(None, a[1], b[1]).ratio() + 0.2 * (a[2] == b[2]) + 0.1 * (a[3] == b[3]) + 0.2 * SequenceMatcher(None, a[4], b[4]).ratio() + 0.1 * (a[5] == b[5] > 0)
-        return s >= 0.85 - 1e-9
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_near_duplicates_equal_brute_force(spark, seed):
+    rows = near_rows(60, seed)
     e = spark.createDataFrame(rows, "id long, title string, day string, url string, content string, attachments int")
     got = events.near_duplicates(e)
-    assert {r["id"] for r in got.filter("keep").collect()} == brute_greedy(range(40), dup)
+    assert {r["id"] for r in got.filter("keep").collect()} == brute_greedy(range(60), lambda a, b: near_score(rows[a], rows[b]) >= 0.85 - 1e-9)
+
+
+def test_case_alone_makes_no_other_event(spark):
+    rows = [(1, "Policy Rate Raised", "2024-01-01", "http://a/1", "The BANK raised it", 1), (2, "POLICY rate raised", "2024-01-01", "http://a/2", "the bank Raised IT", 1)]
+    e = spark.createDataFrame(rows, "id long, title string, day string, url string, content string, attachments int")
+    assert {r["id"]: r["keep"] for r in events.near_duplicates(e).collect()} == {1: True, 2: False}
+
+
+@pytest.mark.parametrize("ratio", [0.625, 0.875, 0.95])
+def test_title_candidates_miss_no_pair_and_are_fewer(spark, ratio):
+    """All pairs of a ratio or more are candidates; of titles that differ, far fewer than all pairs are."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 8))) for _ in range(400)]
+    titles = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9))) for _ in range(200)]
+    for k in range(60):
+        t = list(titles[rnd.randrange(200)] or "x")
+        for _ in range(rnd.randint(0, 6)):
+            t[rnd.randrange(len(t))] = rnd.choice("xyz ")
+        titles.append("".join(t)[rnd.randint(0, 3) :])
+    rows = [(i, "b", t) for i, t in enumerate(titles)]
+    got = {(r["early"], r["late"]) for r in events.title_candidates(spark.createDataFrame(rows, "id long, block string, title string"), ratio).collect()}
+    want = {(i, j) for j in range(len(titles)) for i in range(j) if SequenceMatcher(None, titles[i], titles[j]).ratio() >= ratio}
+    assert want <= got and len(want) >= 50
+    square = len(titles) * (len(titles) - 1) / 2
+    assert len(got) < square * (0.05 if ratio > 0.8 else 0.9)
 
 
 def test_new_since_falls_back(spark):
