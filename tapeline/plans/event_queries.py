@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import analytics, enrichment, events, graph, search
+from ..operators import analytics, enrichment, events, graph, index, search
 from ..sources import bars as bar_sources
 from ..sources import publications
 from ..sources.shared import shared_dir
@@ -152,6 +152,24 @@ def _hits(s, d):
     return q, e, i
 
 
+def _stored(s, d):
+    """K4-K7 on a stored index: the expression of search_expression, and two words together."""
+    e = full_events(s, d)
+    i = index.write_words(e, shared_dir(s), "title", "category", "content", "theme", keep=["event_id", "confidence"])
+    found = i.any_of("there", "que", "der").join(i.term("est"), "number", "left_anti")
+    both = i.get(i.all_of("inin", "then")).select(F.lit("all").alias("expression"), "event_id")
+    return i.get(found).filter("confidence >= 20").select(F.lit("mixed").alias("expression"), "event_id").unionByName(both)
+
+
+NEEDLES = ("License", "q", "QU", "the ", "est. Que", "no such text", "ß")
+
+
+def _text_stored(s, d):
+    """K11 on a stored index of grams: needles of 1 to 12 characters."""
+    i = index.write_grams(full_events(s, d), shared_dir(s), "title", "content", keep=["event_id", "title", "content"])
+    return reduce(DataFrame.unionByName, [index.with_text(i, n, "title", "content").select(F.lit(n).alias("needle"), "event_id") for n in NEEDLES])
+
+
 def _ranked(s, d):
     e, i = indexed(s, d)
     return rounded(search.rank(search.any_of("des", "que", "der", "ing") | search.all_of("inin", "then"), e, i))
@@ -283,6 +301,9 @@ _RAW = {
     "search_ranked": (_ranked, f"""with {TOK}, h as (select distinct event_id from po where token in ('des', 'que', 'der', 'ing') union select event_id from po where token in ('inin', 'then') group by event_id having count(distinct token) = 2),
         r as (select h.event_id, count(distinct po.token) as terms from h left join po on po.event_id = h.event_id and po.token in ('des', 'que', 'der', 'ing', 'inin', 'then') group by h.event_id), c as (select *, least(0.5 + terms * 0.1, 1.0)::double as s, (select count(*) from h) as total_hits from r)
         select event_id, terms, round(s, 6) as score, {', '.join(f'round(s * {w}, 6) as {n}' for n, w in search.PARTS.items())}, total_hits from c"""),
+    "search_stored": (_stored, f"""with {TOK} select 'mixed' as expression, event_id from ev where event_id in (select event_id from po where token in ('there', 'que', 'der')) and event_id not in (select event_id from po where token = 'est') and confidence >= 20
+        union all select 'all', event_id from po where token in ('inin', 'then') group by event_id having count(distinct token) = 2"""),
+    "search_text_stored": (_text_stored, f"with {EV}, nd(needle) as (values {', '.join(f'({n!r})' for n in NEEDLES)}) select needle, event_id from ev, nd where contains(lower(title), lower(needle)) or contains(lower(content), lower(needle))"),
     "search_text": (lambda s, d: search.by_text(full_events(s, d), "License", "title", "content").select("event_id", "category"), f"with {EV} select event_id, category from ev where contains(lower(title), 'license') or contains(lower(content), 'license')"),
     "search_latest": (lambda s, d: search.latest(source_events(s, d), 25).select("event_id", "publication_date"), f"with {EV} select event_id, publication_date from ev order by publication_date desc, event_id limit 25"),
     "timeline": (lambda s, d: search.timeline(source_events(s, d), "2024-01-1", "src3").select("event_id", "publication_date"), f"with {EV} select event_id, publication_date from ev where category = 'src3' and (contains(publication_date, '2024-01-1') or contains(lower(content), '2024-01-1') or contains(lower(title), '2024-01-1'))"),
