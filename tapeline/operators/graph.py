@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
+from .components import connected_components
 from .order import numbered
 
 #: Events up to which a category is paired whole, events up to which a keyword pairs, scores of the two kinds of candidates.
@@ -90,18 +91,9 @@ def edges(relations: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component): the least node reachable. Each round, nodes take the least label around them, then their label's label; written to the shared folder per round. Isolated nodes are their own."""
-    sym = materialise(links.select(F.col("source").alias("x"), F.col("target").alias("y")).unionByName(links.select(F.col("target").alias("x"), F.col("source").alias("y"))).filter("x <> y").distinct())
-    labels = materialise(sym.select(F.col("x").alias("node")).distinct().withColumn("label", F.col("node")))
-    while True:
-        near = sym.join(labels, sym.y == labels.node).groupBy("x").agg(F.min("label").alias("near"))
-        step = materialise(labels.join(near, labels.node == near.x, "left").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was")))
-        up = step.select(F.col("node").alias("n2"), F.col("label").alias("l2"))
-        jumped = materialise(step.join(up, step.label == up.n2, "left").select("node", F.least("label", F.coalesce("l2", "label")).alias("label"), "was"))
-        labels = jumped.select("node", "label")
-        if not jumped.filter("label <> was").head(1):
-            break
-    return nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("component"))
+    """(node, component): the least node reachable, by star contraction. Isolated nodes are their own."""
+    found = connected_components(links, "source", "target")
+    return nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def statistics(nodes: DataFrame, links: DataFrame, comps: DataFrame) -> DataFrame:
