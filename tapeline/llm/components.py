@@ -1,41 +1,13 @@
-"""Connected components by alternating large-star and small-star steps on DataFrames."""
+"""Connected components of documents: star contraction over their numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
-
-
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Every node hands its neighbours (large: the larger ones; small: the smaller ones and itself) to its least neighbour."""
-    if large:
-        near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = near.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = near.join(least, "a")
-    if large:
-        out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+from ..operators import components
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the least node reachable, for each node of an edge between two different nodes.
-
-    Nodes are integers. Rounds go on until the edges no longer change, when every node points to its least one; each
-    round's edges are written to the shared folder. Null ends and loops are ignored; no edges give an empty table.
-    """
-    edges = materialise(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b").distinct())
-    mark = None
-    while True:
-        edges = materialise(_star(_star(edges, True), False))
-        seen = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if seen == mark:
-            break
-        mark = seen
-    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    """(node, component): the least node reachable, for each node of an edge between two different nodes, as numbers. Null ends and loops are ignored; no edges give an empty table."""
+    return components.connected_components(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")))

@@ -389,19 +389,19 @@ def _lists(batches):
 def _units(lists: DataFrame, sizes: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     """A leader's lists together are a unit: (leader, fp, block, blocks) of the members, and (leader, low, high, grams) of each pair of blocks.
 
-    Members are dealt by set, never by leader. Units of more than a block are told to all tasks, a row each.
+    Members are dealt by set, never by leader. Units of more than a block are a table of a row each, which Spark broadcasts if it is small.
     """
     members = lists.filter("fp is not null").select("leader", "fp").join(sizes, "fp").distinct()
     members = materialise(members)
     per = members.groupBy("leader").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.least("sets", F.greatest(F.ceil(F.col("sets") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
     large = materialise(per.select("leader", blocks.cast("int").alias("blocks")).filter("blocks > 1"))
-    members = members.join(F.broadcast(large), "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    members = members.join(large, "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     members = members.select("leader", "fp", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"), "blocks")
 
     heads = materialise(lists.filter("gram is not null").groupBy("leader").agg(F.collect_list("gram").alias("grams")))  # some of the leader's own shingles
-    one = heads.join(F.broadcast(large), "leader", "left_anti").select("leader", F.lit(0).alias("low"), F.lit(0).alias("high"), "grams")
-    many = heads.join(F.broadcast(large), "leader").withColumn("low", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).repartition(parts, "leader", "low")
+    one = heads.join(large, "leader", "left_anti").select("leader", F.lit(0).alias("low"), F.lit(0).alias("high"), "grams")
+    many = heads.join(large, "leader").withColumn("low", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).repartition(parts, "leader", "low")
     many = many.withColumn("high", F.explode(F.sequence(F.col("low"), F.col("blocks") - 1))).select("leader", "low", "high", "grams")
     return members, one.unionByName(many)
 
