@@ -19,11 +19,15 @@ RULES = (
     ("AMENDS", (("amends", 0.4), ("modified", 0.4), ("substituted", 0.4), ("amendment", 0.4)), 0.2),
     ("WITHDRAWS", (("withdrawn", 0.6), ("rescinded", 0.6), ("stands cancelled", 0.6)), 0.2),
 )
+#: Names of the rules, how their matched terms are told, and how the kinds of candidates are.
+RULE_NAMES = {"SUPERSEDES": "SupersedesRule", "AMENDS": "AmendsRule", "WITHDRAWS": "WithdrawsRule"}
+EVIDENCE = {"SUPERSEDES": "explicit keyword '%s'", "AMENDS": "matched '%s'", "WITHDRAWS": "matched '%s'"}
+SAME_CATEGORY, NEIGHBOURS, SAME_KEYWORD = "Same Category", "Same Category (Temporal Proximity)", "Shared Keyword: "
 EDGE_WEIGHTS = {"HIGH": 1.0, "MEDIUM": 0.7, "LOW": 0.4}
 
 
 def category_pairs(events: DataFrame) -> DataFrame:
-    """G1: (a, b) of the same category: all pairs of up to 100 events; of more, only neighbours by date. The bound keeps a hot category from growing by its square.
+    """G1: (a, b, signal) of the same category: all pairs of up to 100 events; of more, only neighbours by date. The bound keeps a hot category from growing by its square.
 
     Events are counted before they are joined, and neighbours are told by places in one order of all categories, so no task holds a category.
     """
@@ -31,11 +35,11 @@ def category_pairs(events: DataFrame) -> DataFrame:
     counts = materialise(e.groupBy("category").agg(F.count(F.lit(1)).alias("n")))
     small = e.join(counts.filter(F.col("n") <= WHOLE).select("category"), "category", "left_semi")
     a, b = small.select(F.col("event_id").alias("a"), "category"), small.select(F.col("event_id").alias("b"), "category")
-    every = a.join(b, "category").filter("a < b").select("a", "b")
+    every = a.join(b, "category").filter("a < b").select("a", "b", F.lit(SAME_CATEGORY).alias("signal"))
     large = materialise(numbered(e.join(counts.filter(F.col("n") > WHOLE).select("category"), "category", "left_semi"), "category", F.desc("publication_date"), "event_id"))
     after = large.select((F.col("pos") - 1).alias("pos"), F.col("category").alias("other_category"), F.col("event_id").alias("other"))
     next_ = large.join(after, "pos").filter("category = other_category")
-    return every.unionByName(next_.select(F.least("event_id", "other").alias("a"), F.greatest("event_id", "other").alias("b"))).distinct()
+    return every.unionByName(next_.select(F.least("event_id", "other").alias("a"), F.greatest("event_id", "other").alias("b"), F.lit(NEIGHBOURS).alias("signal"))).distinct()
 
 
 def keyword_pairs(events: DataFrame, known: DataFrame) -> DataFrame:
@@ -48,18 +52,19 @@ def keyword_pairs(events: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def candidates(events: DataFrame) -> DataFrame:
-    """(a, b, score, keyword)."""
+    """(a, b, score, keyword, signal): pairs, what their kind counts for, and what tells them."""
     first = category_pairs(events)
-    return first.select("a", "b", F.lit(BY_CATEGORY).alias("score"), F.lit(None).cast("string").alias("keyword")).unionByName(keyword_pairs(events, first).select("a", "b", F.lit(BY_KEYWORD).alias("score"), "keyword"))
+    second = keyword_pairs(events, first).select("a", "b", F.lit(BY_KEYWORD).alias("score"), "keyword", F.concat(F.lit(SAME_KEYWORD), F.col("keyword")).alias("signal"))
+    return first.select("a", "b", F.lit(BY_CATEGORY).alias("score"), F.lit(None).cast("string").alias("keyword"), "signal").unionByName(second)
 
 
 def rule_scores(events: DataFrame, rules=RULES) -> DataFrame:
-    """Per event the rules that its own text meets: array of (order, type, score). Text is read once per event, not per pair."""
+    """Per event the rules that its own text meets: array of (order, type, score, match: its terms' sum, terms: those it has, in order). Text is read once per event, not per pair."""
     text = F.lower(F.concat_ws(" \n ", F.coalesce("title", F.lit("")), F.coalesce("content", F.lit(""))))
     found = []
     for k, (name, terms, bump) in enumerate(rules):
         total = sum((F.when(text.contains(t), s).otherwise(0.0) for t, s in terms), F.lit(0.0))
-        found.append(F.when(total > 0, F.struct(F.lit(k).alias("order"), F.lit(name).alias("type"), F.least(total + bump, F.lit(1.0)).alias("score"))))
+        found.append(F.when(total > 0, F.struct(F.lit(k).alias("order"), F.lit(name).alias("type"), F.least(total + bump, F.lit(1.0)).alias("score"), total.alias("match"), F.array_compact(F.array(*[F.when(text.contains(t), F.lit(EVIDENCE[name] % t)) for t, _ in terms])).alias("terms"))))
     return events.select("event_id", "publication_date", F.array_compact(F.array(*found)).alias("rules"))
 
 
@@ -68,17 +73,26 @@ def confidence_level(score: Column) -> Column:
 
 
 def resolve(pairs: DataFrame, scores: DataFrame) -> DataFrame:
-    """(relation_id, source, target, type, score, confidence, provenance): both directions of each pair; a source's best rule (the earlier wins ties), where SUPERSEDES needs a source not older than its target; 0.5 and more; one relation per pair and type, forward first."""
+    """(relation_id, source, target, type, score, confidence, provenance): both directions of each pair; a source's best rule (the earlier wins ties), where SUPERSEDES
+    needs a source not older than its target; 0.5 and more; one relation per pair and type, forward first.
+
+    provenance tells why: rule, matched_terms, signals (keyword_match, the terms' sum), weights (of the candidate's kind and of the rule) and generator_signals.
+    """
     s = scores.filter(F.size("rules") > 0)
-    both = pairs.select(F.col("a").alias("source"), F.col("b").alias("target"), F.lit(0).alias("back"), "keyword").unionByName(pairs.select(F.col("b").alias("source"), F.col("a").alias("target"), F.lit(1).alias("back"), "keyword"))
+    way = lambda x, y, back: pairs.select(F.col(x).alias("source"), F.col(y).alias("target"), F.lit(back).alias("back"), F.col("score").alias("generator"), "signal")
+    both = way("a", "b", 0).unionByName(way("b", "a", 1))
     j = both.join(s.withColumnRenamed("event_id", "source").withColumnRenamed("publication_date", "s_day"), "source").join(scores.select(F.col("event_id").alias("target"), F.col("publication_date").alias("t_day")), "target")
     able = F.filter("rules", lambda r: (r["type"] != "SUPERSEDES") | (F.col("s_day") >= F.col("t_day")))
-    best = F.element_at(F.array_sort(F.transform(able, lambda r: F.struct((-r["score"]).alias("neg"), r["order"].alias("order"), r["type"].alias("type")))), 1)
-    j = j.filter(F.size(able) > 0).withColumn("r", best).withColumn("type", F.col("r.type")).withColumn("score", -F.col("r.neg")).filter("score >= 0.5")
-    first = j.groupBy(F.least("source", "target").alias("lo"), F.greatest("source", "target").alias("hi"), "type").agg(F.min_by(F.struct("source", "target", "score", "keyword"), "back").alias("x"))
-    out = first.select("x.*", "type")
+    best = F.element_at(F.array_sort(F.transform(able, lambda r: F.struct((-r["score"]).alias("neg"), r["order"].alias("order"), r.alias("rule")))), 1)["rule"]
+    j = j.filter(F.size(able) > 0).withColumn("r", best).filter("r.score >= 0.5")
+    first = j.groupBy(F.least("source", "target").alias("lo"), F.greatest("source", "target").alias("hi"), F.col("r.type").alias("type")).agg(F.min_by(F.struct("source", "target", "generator", "signal", "r"), "back").alias("x"))
+    out = first.select("type", "x.*").withColumn("score", F.col("r.score"))
     rid = F.substring(F.sha2(F.concat_ws(":", "source", "target", "type"), 256), 1, 16)
-    why = F.when(F.col("keyword").isNull(), "category").otherwise(F.concat(F.lit("keyword "), F.col("keyword")))
+    name = F.element_at(F.create_map(*[F.lit(v) for pair in RULE_NAMES.items() for v in pair]), F.col("type"))
+    why = F.struct(
+        name.alias("rule"), F.col("r.terms").alias("matched_terms"), F.struct(F.col("r.match").alias("keyword_match")).alias("signals"),
+        F.struct("generator", F.col("score").alias("rule")).alias("weights"), F.array("signal").alias("generator_signals"),
+    )
     return out.select(rid.alias("relation_id"), "source", "target", "type", "score", confidence_level(F.col("score")).alias("confidence"), why.alias("provenance"))
 
 

@@ -95,22 +95,38 @@ def _term_sum(terms):
     return " + ".join(["0.0::double", *(f"case when contains(rt, '{t}') then {s}::double else 0.0::double end" for t, s in terms)])
 
 
+def _terms(name, terms):
+    """The matched terms of a rule, as the library tells them, one behind the other."""
+    told = ", ".join("case when contains(rt, '%s') then '%s' end" % (t, (graph.EVIDENCE[name] % t).replace("'", "''")) for t, _ in terms)
+    return f"concat_ws('; ', {told})"
+
+
 _RS = ", ".join(f"{_term_sum(terms)} as t{k}" for k, (_, terms, _) in enumerate(RELATION_RULES))
 REL = EV + f""",
 cn as (select *, count(*) over (partition by category) as n from ev),
 nx as (select event_id, lead(event_id) over (partition by category order by publication_date desc, event_id) as other from cn where n > 100),
 cp as (select distinct a.event_id as a, b.event_id as b from cn a join cn b on a.category = b.category and a.event_id < b.event_id where a.n <= 100 union select least(event_id, other), greatest(event_id, other) from nx where other is not null),
+cs as (select a, b, case when n > 100 then '{graph.NEIGHBOURS}' else '{graph.SAME_CATEGORY}' end as signal from cp join cn on cn.event_id = a),
 kw as (select distinct event_id, unnest(keywords) as keyword from ev),
 kf as (select keyword from kw group by keyword having count(*) between 2 and 50),
 kp as (select a.event_id as a, b.event_id as b, min(a.keyword) as keyword from kw a join kw b on a.keyword = b.keyword and a.event_id < b.event_id where a.keyword in (select keyword from kf) group by a.event_id, b.event_id),
-cd as (select a, b, 0.5::double as score, null::varchar as keyword from cp union all select a, b, 0.7, keyword from kp where (a, b) not in (select (a, b) from cp)),
-rs as (select event_id, publication_date, {_RS} from (select *, lower(concat_ws(' ' || chr(10) || ' ', title, content)) as rt from ev)),
-rl as (select event_id, publication_date, ord, type, score from (
-    {" union all ".join(f"select event_id, publication_date, {k} as ord, '{name}' as type, least(t{k} + {bump}::double, 1.0) as score from rs where t{k} > 0" for k, (name, _, bump) in enumerate(RELATION_RULES))})),
-dr as (select a as source, b as target, 0 as back, keyword from cd union all select b, a, 1, keyword from cd),
-bs as (select * from (select d.*, rl.type, rl.score, row_number() over (partition by d.source, d.target order by rl.score desc, rl.ord) as rn from dr d join rl on rl.event_id = d.source join ev t on t.event_id = d.target where rl.type <> 'SUPERSEDES' or rl.publication_date >= t.publication_date) where rn = 1 and score >= 0.5),
-re as (select source, target, score, keyword, type from (select *, row_number() over (partition by least(source, target), greatest(source, target), type order by back) as pick from bs) where pick = 1),
-rr as (select substr(sha256(concat_ws(':', source, target, type)), 1, 16) as relation_id, source, target, type, score, case when score >= 0.9 then 'HIGH' when score >= 0.7 then 'MEDIUM' else 'LOW' end as confidence, case when keyword is null then 'category' else 'keyword ' || keyword end as provenance from re)"""
+cd as (select a, b, 0.5::double as score, null::varchar as keyword, signal from cs union all select a, b, 0.7, keyword, '{graph.SAME_KEYWORD}' || keyword from kp where (a, b) not in (select (a, b) from cp)),
+rs as (select event_id, publication_date, rt, {_RS} from (select *, lower(concat_ws(' ' || chr(10) || ' ', title, content)) as rt from ev)),
+rl as (select event_id, publication_date, ord, type, score, match, terms from (
+    {" union all ".join(f"select event_id, publication_date, {k} as ord, '{name}' as type, least(t{k} + {bump}::double, 1.0) as score, t{k} as match, {_terms(name, terms)} as terms from rs where t{k} > 0" for k, (name, terms, bump) in enumerate(RELATION_RULES))})),
+dr as (select a as source, b as target, 0 as back, score as generator, signal from cd union all select b, a, 1, score, signal from cd),
+bs as (select * from (select d.*, rl.type, rl.score, rl.match, rl.terms, row_number() over (partition by d.source, d.target order by rl.score desc, rl.ord) as rn from dr d join rl on rl.event_id = d.source join ev t on t.event_id = d.target where rl.type <> 'SUPERSEDES' or rl.publication_date >= t.publication_date) where rn = 1 and score >= 0.5),
+re as (select source, target, score, generator, signal, match, terms, type from (select *, row_number() over (partition by least(source, target), greatest(source, target), type order by back) as pick from bs) where pick = 1),
+rr as (select substr(sha256(concat_ws(':', source, target, type)), 1, 16) as relation_id, source, target, type, score, case when score >= 0.9 then 'HIGH' when score >= 0.7 then 'MEDIUM' else 'LOW' end as confidence, case type {' '.join(f"when '{k}' then '{v}'" for k, v in graph.RULE_NAMES.items())} end as rule, terms, match, generator, signal from re)"""
+
+
+def _relations(s, d):
+    """Relations with what tells them, a column each."""
+    r, why = relations(s, d)[1], "provenance."
+    return rounded(r.select(
+        "relation_id", "source", "target", "type", "score", "confidence", why + "rule", F.array_join(why + "matched_terms", "; ").alias("matched_terms"), F.col(why + "signals.keyword_match").alias("keyword_match"),
+        F.col(why + "weights.generator").alias("generator_weight"), F.col(why + "weights.rule").alias("rule_weight"), F.array_join(why + "generator_signals", "; ").alias("generator_signals"),
+    ))
 
 
 def _m6_events(s, d):
@@ -307,9 +323,9 @@ _RAW = {
     "search_text": (lambda s, d: search.by_text(full_events(s, d), "License", "title", "content").select("event_id", "category"), f"with {EV} select event_id, category from ev where contains(lower(title), 'license') or contains(lower(content), 'license')"),
     "search_latest": (lambda s, d: search.latest(source_events(s, d), 25).select("event_id", "publication_date"), f"with {EV} select event_id, publication_date from ev order by publication_date desc, event_id limit 25"),
     "timeline": (lambda s, d: search.timeline(source_events(s, d), "2024-01-1", "src3").select("event_id", "publication_date"), f"with {EV} select event_id, publication_date from ev where category = 'src3' and (contains(publication_date, '2024-01-1') or contains(lower(content), '2024-01-1') or contains(lower(title), '2024-01-1'))"),
-    "relation_candidates": (lambda s, d: graph.candidates(source_events(s, d)), f"with {REL} select a, b, score, keyword from cd"),
+    "relation_candidates": (lambda s, d: graph.candidates(source_events(s, d)), f"with {REL} select a, b, score, keyword, signal from cd"),
     "relation_rules": (lambda s, d: rounded(graph.rule_scores(source_events(s, d), RELATION_RULES).select("event_id", F.explode("rules").alias("r")).select("event_id", "r.type", "r.score")), f"with {REL} select event_id, type, round(score, 6) as score from rl"),
-    "relations": (lambda s, d: rounded(relations(s, d)[1]), f"with {REL} select relation_id, source, target, type, round(score, 6) as score, confidence, provenance from rr"),
+    "relations": (_relations, f"with {REL} select relation_id, source, target, type, round(score, 6) as score, confidence, rule, terms as matched_terms, round(match, 6) as keyword_match, round(generator, 6) as generator_weight, round(score, 6) as rule_weight, signal as generator_signals from rr"),
     "graph_edges": (lambda s, d: graph.edges(relations(s, d)[1]), f"with {REL} select substr(sha256('edge:' || relation_id), 1, 16) as edge_id, source, target, type, case confidence when 'HIGH' then 1.0 when 'MEDIUM' then 0.7 else 0.4 end::double as weight from rr"),
     "graph_components": (_components, f"with recursive {REL} {COMP_SQL} select node, component from comp"),
     "graph_statistics": (_graph_stats, f"with recursive {REL} {COMP_SQL} select (select count(*) from ev) as nodes, (select count(*) from rr) as edges, (select count(distinct component) from comp) as components, round_even(2.0 * (select count(*) from rr) / (select count(*) from ev), 2)::double as mean_degree"),

@@ -193,6 +193,9 @@ def test_relations_and_graph(spark):
     r = graph.resolve(graph.candidates(e), graph.rule_scores(e))
     got = {(x["source"], x["target"], x["type"], x["confidence"]) for x in r.collect()}
     assert got == {("1", "2", "SUPERSEDES", "HIGH"), ("1", "3", "SUPERSEDES", "HIGH"), ("2", "3", "SUPERSEDES", "HIGH"), ("3", "1", "AMENDS", "HIGH"), ("3", "2", "AMENDS", "HIGH")}
+    why = {x["source"]: x["provenance"].asDict(True) for x in r.collect()}
+    assert why["3"] == {"rule": "AmendsRule", "matched_terms": ["matched 'amends'", "matched 'modified'", "matched 'amendment'"], "signals": {"keyword_match": pytest.approx(1.2)}, "weights": {"generator": 0.5, "rule": 1.0}, "generator_signals": ["Same Category"]}
+    assert why["1"]["rule"] == "SupersedesRule" and why["1"]["matched_terms"] == ["explicit keyword 'supersedes'"]
     links = graph.edges(r)
     comps = graph.components(e.select(F.col("event_id").alias("node")), links)
     assert {x["node"]: x["component"] for x in comps.collect()} == {"1": "1", "2": "1", "3": "1", "4": "4"}
