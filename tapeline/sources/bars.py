@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import materialise
+
 BAR_SCHEMA = T.StructType(
     [T.StructField("symbol", T.StringType()), T.StructField("date", T.DateType())] + [T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close", "volume")]
 )
@@ -29,9 +34,9 @@ def clean_header(name: str) -> str:
     return " ".join(name.replace("﻿", "").replace('"', "").replace("'", "").replace("_", " ").split()).lower()
 
 
-def canonical_columns(columns: list[str], aliases=ALIASES, keywords=KEYWORDS) -> dict[str, str]:
-    """Canonical name -> the column that stands for it. The first match wins; a keyword serves where no alias is there."""
-    cleaned = [(clean_header(c), c) for c in columns]
+def canonical_columns(columns: list[str], aliases=ALIASES, keywords=KEYWORDS, names: list[str] | None = None) -> dict[str, str]:
+    """Canonical name -> the column that stands for it. The first match wins; a keyword serves where no alias is there. `names` are what columns are called, if not by themselves."""
+    cleaned = [(clean_header(n), c) for n, c in zip(names or columns, columns)]
     found: dict[str, str] = {}
     for name, words in aliases.items():
         hit = next((raw for clean, raw in cleaned if clean in words), None)
@@ -68,25 +73,37 @@ def to_day(c: Column, formats=DATE_FORMATS) -> Column:
 STEM = r"([^/]+?)(?:\.[^./]*)?$"
 
 
+def _places(headers: pd.Series) -> pd.DataFrame:
+    """For header lines: their number of columns and, for each canonical name, the place (from 1) of the column that stands for it."""
+    rows = []
+    for line in headers:
+        names = next(csv.reader([line.replace("\ufeff", "")]), [])
+        found = canonical_columns(list(map(str, range(len(names)))), names=names)
+        rows.append({"width": len(names), **{c: int(found[c]) + 1 if c in found else None for c in ALIASES}})
+    return pd.DataFrame(rows, columns=["width", *ALIASES]).astype("Int64")
+
+
 def read_bars(spark: SparkSession, paths: list[str], series: str | None = "EQ", symbol: str = STEM) -> DataFrame:
     """Bars from CSV files, one or more per instrument. `symbol` finds its name in a file's path: the stem, or another pattern's first group.
 
-    Files are grouped by their header lines (read by Spark, one row per file) and each group is scanned once.
-    A required column that a group lacks is null there, which the quality gate reports.
+    Files are scanned as lines, and each line meets its file's header, which tells where each column is: the plan has one scan whatever headers there
+    are, and no path or header comes to the driver but the most columns that one has. Lines equal to a header are headers. A
+    required column that a file lacks is null there, which the quality gate reports. Files without a line, and empty lines, have no bars.
     """
-    first = spark.read.text(paths, wholetext=False).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("at"))
-    heads = first.groupBy("file").agg(F.min_by("value", "at").alias("header")).groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    parts = []
-    for h in heads:
-        raw = spark.read.option("header", True).csv(h["files"]).withColumn("symbol", F.regexp_extract(F.input_file_name(), symbol, 1))
-        df = only_series(canonicalise(raw), series) if series else canonicalise(raw)
-        for c in BAR_SCHEMA.names:
-            if c not in df.columns:
-                df = df.withColumn(c, F.lit(None).cast("string"))
-        parts.append(df.select("symbol", to_day(F.col("date")).alias("date"), *[to_number(F.col(c)).alias(c) for c in BAR_SCHEMA.names[2:]]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    tops = lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    tops = materialise(tops.select("file", "header", F.regexp_extract("file", symbol, 1).alias("symbol")))
+    told = F.pandas_udf(_places, ", ".join(f"{c} long" for c in ("width", *ALIASES)))
+    headers = materialise(tops.select("header").distinct().withColumn("at", told("header")))
+    width = headers.agg(F.max("at.width")).first()[0] or 1
+    rows = lines.select("file", "value").join(tops, "file").join(headers, "header").filter("value <> header")
+    fields = F.from_csv("value", ", ".join(f"c{k} string" for k in range(width)), {"mode": "PERMISSIVE"})
+    cells = F.array(*[F.col(f"fields.c{k}") for k in range(width)])
+    cell = lambda c: F.try_element_at(F.col("cells"), F.col(f"at.{c}").cast("int"))
+    rows = rows.withColumn("fields", fields).withColumn("cells", cells)
+    if series:
+        rows = rows.filter(F.col("at.series").isNull() | (F.upper(F.trim(cell("series"))) == series))
+    out = rows.select("symbol", to_day(cell("date")).alias("date"), *[to_number(cell(c)).alias(c) for c in BAR_SCHEMA.names[2:]])
     return out.dropna(subset=["date", "close"])
 
 
