@@ -92,15 +92,18 @@ def event_study(events: DataFrame, prices: DataFrame, offsets=OFFSETS) -> DataFr
     return df.select("event_id", "symbol", "day", "t0", "offset", ret.alias("ret"))
 
 
-def regimes(events: DataFrame, classified: DataFrame) -> DataFrame:
-    """(event_id, symbol, day, before, after): the sentiment last classified before the event's day and first after it; Neutral if none. `classified`: symbol, date, sentiment."""
-    days = events.select("symbol", F.col("day").alias("date")).distinct()  # windows hold days, not events
-    both = classified.select("symbol", "date", "sentiment", F.lit(False).alias("asked")).unionByName(days.select("symbol", "date", F.lit(None).cast("string").alias("sentiment"), F.lit(True).alias("asked")))
+def regimes(events: DataFrame, classified: DataFrame, frames=("daily", "weekly", "monthly")) -> DataFrame:
+    """(event_id, symbol, day, timeframe, before, after): in each timeframe the sentiment last classified before the event's day and first after it; Neutral if none.
+
+    `classified`: symbol, timeframe, date, sentiment; a week's or month's date is its last day, on which its class is known (timeframes.last_day).
+    """
+    days = events.select("symbol", F.col("day").alias("date")).distinct().withColumn("timeframe", F.explode(F.array(*map(F.lit, frames))))  # windows hold days, not events
+    both = classified.select("symbol", "timeframe", "date", "sentiment", F.lit(False).alias("asked")).unionByName(days.select("symbol", "timeframe", "date", F.lit(None).cast("string").alias("sentiment"), F.lit(True).alias("asked")))
     day = F.datediff("date", F.lit("1970-01-01"))
-    earlier, later = (Window.partitionBy("symbol").orderBy(d).rangeBetween(Window.unboundedPreceding, -1) for d in (day, -day))
+    earlier, later = (Window.partitionBy("symbol", "timeframe").orderBy(d).rangeBetween(Window.unboundedPreceding, -1) for d in (day, -day))
     told = both.withColumn("before", F.last("sentiment", ignorenulls=True).over(earlier)).withColumn("after", F.last("sentiment", ignorenulls=True).over(later)).filter("asked")
-    df = events.select("event_id", "symbol", "day").join(told.select("symbol", F.col("date").alias("day"), "before", "after"), ["symbol", "day"])
-    return df.select("event_id", "symbol", "day", F.coalesce("before", F.lit("Neutral")).alias("before"), F.coalesce("after", F.lit("Neutral")).alias("after"))
+    df = events.select("event_id", "symbol", "day").join(told.select("symbol", "timeframe", F.col("date").alias("day"), "before", "after"), ["symbol", "day"])
+    return df.select("event_id", "symbol", "day", "timeframe", F.coalesce("before", F.lit("Neutral")).alias("before"), F.coalesce("after", F.lit("Neutral")).alias("after"))
 
 
 def sanitise(text: Column, limit: int = 8000) -> Column:

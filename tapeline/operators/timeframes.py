@@ -119,3 +119,11 @@ def consensus_distribution(ratings: DataFrame) -> DataFrame:
     mood = F.when(F.col("daily_sentiment").isin("Bullish", "Bearish"), F.col("daily_sentiment")).otherwise("Neutral")
     long = ratings.select(F.explode(F.array(F.struct(F.lit("stars").alias("kind"), F.col("stars").cast("string").alias("value")), F.struct(F.lit("daily").alias("kind"), mood.alias("value")))).alias("x"))
     return long.groupBy("x.kind", "x.value").agg(F.count(F.lit(1)).alias("symbols"))
+
+
+def last_day(timeframe: Column | str, period: Column | str) -> Column:
+    """The last day of a day, an ISO week (2024-W05) or a month (2024-02)."""
+    timeframe, period = (F.col(c) if isinstance(c, str) else c for c in (timeframe, period))
+    monday = F.to_date(F.date_trunc("week", F.make_date(F.substring(period, 1, 4).cast("int"), F.lit(1), F.lit(4))))
+    week = F.date_add(monday, F.substring(period, 7, 2).try_cast("int") * 7 - 1)
+    return F.when(timeframe == "weekly", week).when(timeframe == "monthly", F.last_day(F.try_to_date(F.concat(period, F.lit("-01"))))).otherwise(F.try_to_date(period))

@@ -288,8 +288,9 @@ _RAW = {
     "event_study": (lambda s, d: enrichment.event_study(_study_events(s, d), bars(s, d)), f"""with {EV}, {BARS.replace('t as (', 'tt as (').replace('from t group', 'from tt group')}, {_SE}, ss as (select symbol, date, close, row_number() over (partition by symbol order by date) as n from bars),
         st as (select se.*, (select min(n) from ss where ss.symbol = se.symbol and ss.date >= se.day) as t0 from se), ofs as (select unnest([-5, -3, -1, 1, 3, 5, 10, 20])::int as "offset")
         select event_id, st.symbol, day, t0::int as t0, "offset", round_even(case when "offset" < 0 then (a.close - b.close) / b.close else (b.close - a.close) / a.close end * 100, 2) as ret from st cross join ofs left join ss a on a.symbol = st.symbol and a.n = st.t0 left join ss b on b.symbol = st.symbol and b.n = st.t0 + "offset" """),
-    "event_regimes": (lambda s, d: _regimes(s, d), f"""with {EV}, {FRAMES.strip().replace('t as (select', 'tt as (select', 1).replace('from t group', 'from tt group')}, {_SE}, ed as (select symbol, period::date as date, sentiment from eig where timeframe = 'daily')
-        select event_id, symbol, day, coalesce((select arg_max(sentiment, date) from ed where ed.symbol = se.symbol and ed.date < se.day), 'Neutral') as before, coalesce((select arg_min(sentiment, date) from ed where ed.symbol = se.symbol and ed.date > se.day), 'Neutral') as after from se"""),
+    "event_regimes": (lambda s, d: _regimes(s, d), f"""with {EV}, {FRAMES.strip().replace('t as (select', 'tt as (select', 1).replace('from t group', 'from tt group')}, {_SE}, ed as (select symbol, timeframe, case timeframe when 'daily' then period::date when 'weekly' then strptime(period || '-7', '%G-W%V-%u')::date else last_day((period || '-01')::date) end as date, sentiment from eig),
+        tf(timeframe) as (values ('daily'), ('weekly'), ('monthly'))
+        select event_id, symbol, day, timeframe, coalesce((select arg_max(sentiment, date) from ed where ed.symbol = se.symbol and ed.timeframe = tf.timeframe and ed.date < se.day), 'Neutral') as before, coalesce((select arg_min(sentiment, date) from ed where ed.symbol = se.symbol and ed.timeframe = tf.timeframe and ed.date > se.day), 'Neutral') as after from se, tf"""),
     "sanitised_text": (lambda s, d: source_events(s, d).select("event_id", F.length(enrichment.sanitise(F.col("content"))).alias("n"), F.md5(enrichment.sanitise(F.col("content"))).alias("md5")), f"with {EV}, x as (select event_id, left(regexp_replace(regexp_replace(content, '<[^>]+>', '', 'g'), '\"\"\"|''''''', '', 'g'), 8000) as c from ev) select event_id, length(c) as n, md5(c) as md5 from x"),
     "extractive_summary": (lambda s, d: enrichment.extractive_summary(source_events(s, d)).select("event_id", "summary", F.array_join("key_points", "|").alias("key_points")), f"""with {EV}, p0 as (select event_id, title, list_filter(list_transform(string_split(content, chr(10)), lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g')), lambda p: p <> '') as ps from ev),
         p1 as (select event_id, title, list_slice(list_filter(flatten(list_transform(list_slice(ps, 1, 3), lambda p: list_transform(regexp_split_to_array(p, '\\. |\\? |! '), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')))), lambda x: length(x) > 15), 1, 3) as s3,
@@ -384,7 +385,7 @@ def _fresh(s, d):
 def _regimes(s, d):
     from ..operators import timeframes
 
-    c = timeframes.eigen(frames(s, d).filter("timeframe = 'daily'")).select("symbol", F.to_date("period").alias("date"), "sentiment")
+    c = timeframes.eigen(frames(s, d)).select("symbol", "timeframe", timeframes.last_day("timeframe", "period").alias("date"), "sentiment")
     return enrichment.regimes(_study_events(s, d), c)
 
 
