@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tapeline.llm import exact_dedup, jaccard, langid, mixing, packing
 from tapeline.llm.bloom import without
-from tapeline.llm.common import materialise, table
+from tapeline.llm.common import materialise, release_memory, table
 
 #: Least probability of the predicted language that a document needs to stay.
 LEAST_SCORE = 0.5
@@ -30,11 +30,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, that with the largest doc_id."""
+    release_memory()
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), that with the smallest doc_id. Rows without doc_id can't be told apart and stay."""
+    release_memory()
     found = materialise(jaccard.jaccard_join(docs).filter("doc_id is not null").select("doc_id", (F.col("component_id") == F.col("doc_id")).alias("stays")))
     away = materialise(found.groupBy("doc_id").agg(F.max("stays").alias("stays")).filter("not stays").select("doc_id"))
     return without(docs, away, [F.col("doc_id")])
@@ -42,12 +44,14 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: 0 to 3 times, as equal rows. Null and wordless texts are taken 0 times."""
+    release_memory()
     mixed = mixing.mix_sources(docs, with_text=True)
     return mixed.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))).alias("copy"), "copies").filter("copies > 0").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids, packed into sequences: doc_id, piece, start, length, ids_crc32, sequence_id and offset. Very long texts are many pieces; null and empty ones are the end id alone."""
+    release_memory()
     return packing.pack_pieces(materialise(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)), CAPACITY)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 import numpy as np
@@ -80,6 +81,15 @@ def worker_memory(name=None, make=None):
     return _held[name]
 
 
+def release_memory() -> None:
+    """Gives back to the system what this process no longer holds: in the driver, arrays of an earlier step would stay reserved beside Spark's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
