@@ -75,8 +75,7 @@ def worker_memory(name=None, make=None):
     if name not in _held:
         if _held:
             _held.clear()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
+            release_memory()
         _held[name] = make() if make else None
     return _held[name]
 
