@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty
+from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
 from .tokens import PieceTexts, WordTexts, loaded
 
 #: Pieces that one task packs together. A group wastes less than a bin, of some thousand.
@@ -244,6 +244,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GRO
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        worker_memory("packing")
         group = int(pdf.pop("_group").iloc[0])
         n = pdf["length"].fillna(0).to_numpy(np.int64)
         bins = local_search(n, next_fit(n, capacity), capacity)
