@@ -73,7 +73,6 @@ def worker_memory(name=None, make=None):
     Python workers live on from one operator's tasks to the next one's: whatever other operators kept is let go.
     """
     if name not in _held:
-        map_large_arrays()
         if _held:
             _held.clear()
             release_memory()
@@ -81,17 +80,8 @@ def worker_memory(name=None, make=None):
     return _held[name]
 
 
-def map_large_arrays() -> None:
-    """From now on arrays of over a megabyte are mapped each for itself, so that they go back to the system when they are freed; else the C library
-    keeps arrays of up to 32 MB for later ones, as many as a process ever held at a time."""
-    set_option = getattr(ctypes.CDLL(None), "mallopt", None)  # where the C library has it
-    if set_option:
-        set_option(-3, 1 << 20)  # M_MMAP_THRESHOLD
-
-
 def release_memory() -> None:
     """Gives back to the system what this process no longer holds: in the driver, arrays of an earlier step would stay reserved beside Spark's memory."""
-    map_large_arrays()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
