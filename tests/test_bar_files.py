@@ -33,3 +33,17 @@ def test_thousands_of_files_are_one_scan(spark, tmp_path):
     assert got == {f"S{k}": (1.0, 2.0, float(k)) for k in range(2000)}
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("text") == 1 and str(tmp_path) + "/S1" not in plan
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "A.csv").write_text("Date,Open,High,Low,Close,Volume,Series\n01-02-2024,1,3,1,2,7,EQ\n02-02-2024,1,3,1,2,7,BE\n03-02-2024,1,3,1,-,7,EQ\n")
+    df = bars.read_bars(spark, [str(tmp_path)])
+    assert df.count() == 1
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
+def test_days_of_all_formats(spark):
+    texts = ["01-02-2024", "01/02/2024", " 01-Feb-2024", "01 Feb 2024", "2024-02-01", "1-2-2024", "01.02.2024", "31-02-2024", "", None, "01-2024-02", "01-Fub-2024"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [str(r[1]) for r in sorted(df.select("k", bars.to_day(df.t)).collect())]
+    assert got == ["2024-02-01"] * 5 + ["None"] * 7
