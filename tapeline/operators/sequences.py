@@ -52,26 +52,48 @@ def sequence_id(symbol="symbol", timeframe="timeframe", period="period", config=
 def triggers(classified: DataFrame, config: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """A sequence for each classified bar and enabled definition of its timeframe; ids that `known` has are no-ops. The definitions are a small table."""
     df = classified.join(F.broadcast(config.filter("enabled")), F.array_contains("timeframes", F.col("timeframe")))
-    df = df.select(sequence_id().alias("sequence_id"), "symbol", "timeframe", "config_id", "rules", F.col("period").alias("trigger_period"), "label", "sentiment")
+    found = [c for c in AHEAD if c in classified.columns]
+    df = df.select(sequence_id().alias("sequence_id"), "symbol", "timeframe", "config_id", "rules", F.col("period").alias("trigger_period"), "label", "sentiment", *found)
     return df.join(known.select("sequence_id"), "sequence_id", "left_anti") if known is not None else df
 
 
-def walk_forward(frames: DataFrame, started: DataFrame, longest: int = 4) -> DataFrame:
-    """The log of every started sequence: INIT, then one event per bar until a rule fails, all are met, or bars run out.
+#: What with_steps adds to a bar.
+AHEAD = ("alone", "steps")
 
-    Bar T+k meets rules[k-1]. Each bar carries its next `longest` changes by `lead`, so a trigger needs one equi-join and
-    no self-join of bars. A sequence whose instrument has fewer than two bars pauses.
-    """
+
+def with_steps(frames: DataFrame, longest: int = 4) -> DataFrame:
+    """Each bar with its next `longest` bars' changes as the array `steps`, and whether it is its instrument's only bar (`alone`). One window, that of the two-bar classifiers."""
     w = Window.partitionBy("symbol", "timeframe").orderBy("period")
-    df = with_deltas(frames)
+    at = [{c: (F.lead(c, k).over(w) if k else F.col(c)) for c in ("period", "volume", "spread")} for k in range(longest + 1)]
+
+    def change(k: int, c: str, floor: float) -> Column:
+        before = F.greatest(at[k - 1][c], F.lit(floor))
+        return (at[k][c] - before) / before * 100
+
     ahead = [
-        F.struct(F.lit(k).alias("k"), *[F.lead(c, k).over(w).alias(a) for c, a in (("period", "period"), ("vol_delta_pct", "vol"), ("spread_delta_pct", "spread"), ("volume", "raw_vol"), ("spread", "raw_spread"))])
+        F.struct(F.lit(k).alias("k"), at[k]["period"].alias("period"), change(k, "volume", 1.0).alias("vol"), change(k, "spread", 0.01).alias("spread"), at[k]["volume"].alias("raw_vol"), at[k]["spread"].alias("raw_spread"))
         for k in range(1, longest + 1)
     ]
-    steps = F.filter(F.array(*ahead), lambda s: s["period"].isNotNull())
-    bars = df.select("symbol", "timeframe", F.col("period").alias("trigger_period"), "bar_count", steps.alias("steps"))
+    alone = F.lag("period").over(w).isNull() & F.lead("period").over(w).isNull()
+    return frames.withColumns({"alone": alone, "steps": F.filter(F.array(*ahead), lambda s: s["period"].isNotNull())})
+
+
+def walk_forward(frames: DataFrame, started: DataFrame, longest: int = 4) -> DataFrame:
+    """The log of every started sequence: INIT, then one event per bar until a rule fails, all are met, or bars run out.
+
+    Started sequences meet the bar that began them by an equi-join; walk takes those that carry it.
+    """
+    bars = with_steps(frames, longest).select("symbol", "timeframe", F.col("period").alias("trigger_period"), *AHEAD)
+    return walk(started.drop(*AHEAD).join(bars, ["symbol", "timeframe", "trigger_period"]))
+
+
+def walk(started: DataFrame) -> DataFrame:
+    """The log of sequences whose triggers come from bars with_steps, so that bars and triggers are one pass and nothing is joined.
+
+    Bar T+k meets rules[k-1]. A sequence whose instrument has fewer than two bars pauses.
+    """
     met = F.transform(F.slice("steps", 1, F.size("rules")), lambda s: rule_met(F.element_at("rules", s["k"]), s["vol"], s["spread"]))
-    joined = started.join(bars, ["symbol", "timeframe", "trigger_period"]).withColumn("met", met)
+    joined = started.withColumn("met", met)
     stop = F.array_position("met", F.lit(False))
     run = F.slice("steps", 1, F.when(stop > 0, stop).otherwise(F.size("met")).cast("int"))
     last = F.size("rules")
@@ -84,7 +106,7 @@ def walk_forward(frames: DataFrame, started: DataFrame, longest: int = 4) -> Dat
     none = F.lit(0.0)
     first = F.struct(F.lit(0).alias("stage_no"), F.col("trigger_period").alias("period"), F.concat(F.lit("EIGEN_TRIGGER_"), F.col("sentiment")).alias("rule_evaluated"), F.lit(True).alias("matched"), F.lit("INIT").alias("action"), F.lit("None").alias("failure_reason"), F.struct(none.alias("vol_delta_pct"), none.alias("spread_delta_pct"), none.alias("raw_vol"), none.alias("raw_spread")).alias("metrics"))
     pause = F.struct(F.lit(1).alias("stage_no"), F.col("trigger_period").alias("period"), F.element_at("rules", 1).alias("rule_evaluated"), F.lit(False).alias("matched"), F.lit("PAUSE").alias("action"), F.lit("Data Unavailable").alias("failure_reason"), first["metrics"].alias("metrics"))
-    log = F.when(F.col("bar_count") < 2, F.array(first, pause)).otherwise(F.concat(F.array(first), events))
+    log = F.when(F.col("alone"), F.array(first, pause)).otherwise(F.concat(F.array(first), events))
     out = joined.select("sequence_id", "symbol", "timeframe", "config_id", F.explode(log).alias("e")).select("sequence_id", "symbol", "timeframe", "config_id", "e.*")
     stamp = F.concat("period", F.lit("T00:00:00Z"))
     out = out.withColumn("timestamp", stamp).withColumn("stage", F.when(F.col("stage_no") == 0, "T").otherwise(F.concat(F.lit("T+"), F.col("stage_no").cast("string"))))
