@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.indicators import with_indicators
 from ..operators import backtests, patterns, quality, sequences, timeframes
-from ..operators.order import numbered
 from ..sources.bars import bars_from_trades
 from ..sources.shared import materialise, shared_dir, tasks_for
 from .compare import rounded, same_rounding
@@ -306,9 +306,16 @@ def _split_counts(spark, d):
 
 
 def _resumed(spark, d):
-    """Three parts of the hashed log in the order of its events: two checkpointed one after the other, the last one resumed from there."""
-    whole = materialise(numbered(sequences.chain(log(spark, d)), "timestamp", "sequence_id", "stage_no", name="offset"))
-    rows, place = whole.count(), shared_dir(spark)
+    """Three parts of the hashed log in the order of its events: two checkpointed one after the other, the last one resumed from there.
+
+    Events of a timestamp are appended together: the offset is the number of events with earlier ones, told by a row per timestamp, so the log is stored once and not ordered.
+    """
+    stored = materialise(sequences.chain(log(spark, d).drop("research_id")))
+    counts = stored.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = materialise(counts.select("timestamp", "n", F.coalesce(before, F.lit(0)).alias("offset")))
+    rows = offsets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    whole, place = stored.join(F.broadcast(offsets.drop("n")), "timestamp"), shared_dir(spark)  # a row per timestamp
     for cut in (rows // 3, 2 * rows // 3):
         sequences.checkpoint(whole.filter(F.col("offset") < cut), place)
     return sequences.resume(whole, place)

@@ -1,12 +1,16 @@
 """Candles of all timeframes, triggers and steps come from one pass over bars; stored logs and history files."""
 
+import glob
+import os
+
 from pyspark.sql import functions as F
 
 from places import DATA
 
 from tapeline.operators import sequences, timeframes
 from tapeline.plans import bar_queries
-from tapeline.sources.shared import tasks_for
+from tapeline.sources import sinks
+from tapeline.sources.shared import shared_dir, tasks_for
 
 
 def rows(df):
@@ -33,3 +37,11 @@ def test_walk_forward_equals_the_single_pass(spark):
 
 def test_larger_tables_are_dealt_to_more_tasks(spark):
     assert tasks_for(spark.range(100), 10) == 10 and tasks_for(spark.range(100), 100) is None
+
+
+def test_resume_stores_the_hashed_log_once(spark):
+    base = os.path.dirname(shared_dir(spark))
+    before = set(os.listdir(base))
+    bar_queries._resumed(spark, DATA)
+    made = [d for d in set(os.listdir(base)) - before if glob.glob(f"{base}/{d}/*.parquet")]
+    assert sum("hash" in spark.read.parquet(f"{base}/{d}").columns for d in made) == 1
