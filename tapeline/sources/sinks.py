@@ -14,9 +14,9 @@ def write_signals(labelled: DataFrame, path: str) -> None:
 
 
 def write_history(states: DataFrame, path: str) -> None:
-    """By the first letter of the symbol."""
+    """By the first letter of the symbol. A letter's rows are brought together, in as many tasks as they need: most symbols may share one."""
     df = states.withColumn("bucket", F.upper(F.substring("symbol", 1, 1)))
-    df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    df.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def publish(df: DataFrame, path: str, run_date: str) -> None:

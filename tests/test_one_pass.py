@@ -45,3 +45,13 @@ def test_resume_stores_the_hashed_log_once(spark):
     bar_queries._resumed(spark, DATA)
     made = [d for d in set(os.listdir(base)) - before if glob.glob(f"{base}/{d}/*.parquet")]
     assert sum("hash" in spark.read.parquet(f"{base}/{d}").columns for d in made) == 1
+
+
+def test_history_of_one_letter_is_written_by_several_tasks(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "100000")
+    try:
+        sinks.write_history(spark.range(0, 60000, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("sequence_id"), F.lit("S1").alias("symbol"), F.lit("Failed").alias("state")), f"{tmp_path}/h")
+    finally:
+        spark.conf.unset(name)
+    assert len(glob.glob(f"{tmp_path}/h/bucket=S/*.parquet")) > 1 and spark.read.parquet(f"{tmp_path}/h").count() == 60000
