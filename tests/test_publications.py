@@ -140,6 +140,16 @@ def test_title_candidates_miss_no_pair_and_are_fewer(spark, ratio):
     assert len(got) < square * (0.05 if ratio > 0.8 else 0.9)
 
 
+def test_stored_titles_are_not_gathered_in_the_driver(spark):
+    """Six hundred titles of one day take some KB in Parquet; joined, they must not be broadcast, and a large block is dealt to several parts, each pair once."""
+    rows = spark.range(600).select("id", F.lit("b").alias("block"), F.concat(F.lit("the same long words "), F.col("id").cast("string")).alias("title"))
+    for ratio in (0.625, 0.875):
+        assert "BroadcastHashJoin" not in events.title_candidates(rows, ratio)._jdf.queryExecution().executedPlan().toString()
+    got = events.title_candidates(rows, 0.625)
+    found = got.collect()
+    assert len(found) == len(set(found)) == 600 * 599 // 2
+
+
 def test_new_since_falls_back(spark):
     df = spark.createDataFrame([(f"e{i}", f"2024-01-0{i}") for i in range(1, 6)], "event_id string, publication_date string")
     for day, want in (("2024-01-04", {"e5"}), ("2024-02-01", {"e3", "e4", "e5"})):
