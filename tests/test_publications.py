@@ -150,6 +150,14 @@ def test_stored_titles_are_not_gathered_in_the_driver(spark):
     assert len(found) == len(set(found)) == 600 * 599 // 2
 
 
+def test_texts_are_read_once_for_relations(spark):
+    """A graph's plan reads the stored table without texts, not the documents."""
+    from places import DATA
+    from tapeline.plans import event_queries as q
+
+    assert "documents.parquet" not in " ".join(q.relations(spark, DATA)[1].inputFiles())
+
+
 def test_new_since_falls_back(spark):
     df = spark.createDataFrame([(f"e{i}", f"2024-01-0{i}") for i in range(1, 6)], "event_id string, publication_date string")
     for day, want in (("2024-01-04", {"e5"}), ("2024-02-01", {"e3", "e4", "e5"})):
