@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialise
+
 #: Stop words.
 STOP = ("the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "from", "this", "that", "is", "are", "was", "were", "be", "been", "it", "as")
 
@@ -32,6 +34,12 @@ def postings(events: DataFrame, key: str = "event_id") -> DataFrame:
     return events.select(key, F.explode("tokens").alias("token")).select("token", key)
 
 
+def looked_up(events: DataFrame, words, fields: list[str], keep: list[str]) -> DataFrame:
+    """Every event's columns `keep` and, as its tokens, those of `words` that it has; stored, so that a query of many terms reads and splits texts once. A search for other words needs another table."""
+    asked = F.array(*[F.lit(w.lower()) for w in dict.fromkeys(words)])
+    return materialise(with_tokens(events, *fields).select(*keep, F.array_intersect("tokens", asked).alias("tokens")))
+
+
 def inverted_index(events: DataFrame, key: str = "event_id", number: str = "doc_id") -> DataFrame:
     """K2: (token, segment, ids): sorted ids of the events with the token, by segments of 65,536 document numbers, so that no list outgrows its cell. Events are there once each, as are their tokens."""
     rows = events.select(key, F.floor(F.col(number) / SEGMENT).alias("segment"), F.explode("tokens").alias("token"))

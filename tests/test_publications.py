@@ -158,6 +158,15 @@ def test_texts_are_read_once_for_relations(spark):
     assert "documents.parquet" not in " ".join(q.relations(spark, DATA)[1].inputFiles())
 
 
+def test_texts_are_read_once_for_terms(spark):
+    """A search of several terms reads the events' texts in one pass: its plan reads a stored table without texts."""
+    from places import DATA
+    from tapeline.plans import event_queries as q
+
+    for df in (q._expression(spark, DATA), q._ranked(spark, DATA)):
+        assert "documents.parquet" not in " ".join(df.inputFiles())
+
+
 def test_new_since_falls_back(spark):
     df = spark.createDataFrame([(f"e{i}", f"2024-01-0{i}") for i in range(1, 6)], "event_id string, publication_date string")
     for day, want in (("2024-01-04", {"e5"}), ("2024-02-01", {"e3", "e4", "e5"})):
