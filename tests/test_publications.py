@@ -82,6 +82,15 @@ def test_headlines_equal_brute_force(spark):
     assert {r["id"] for r in got.filter("keep").collect()} == brute_greedy(range(len(titles)), dup)
 
 
+def test_headlines_shuffle_no_pair_that_does_not_overlap(spark, monkeypatch):
+    """Words meet in the join itself: no join behind it brings them to every pair that was tried."""
+    seen = []
+    monkeypatch.setattr(events, "greedy_keep", lambda nodes, pairs: seen.append(pairs) or nodes.withColumn("keep", F.lit(True)))
+    events.headlines(spark.createDataFrame([(1, "gold rate"), (2, "gold bond rate")], "id long, title string"), "id")
+    assert seen[0]._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 3
+    assert [tuple(r) for r in seen[0].collect()] == [(1, 2)]
+
+
 def near_rows(n, seed):
     """Titles of all lengths in mixed case, edited copies, empty ones; contents and urls of all kinds."""
     rnd = random.Random(seed)
