@@ -19,6 +19,9 @@ MOST_EXCESS = 1.5
 #: Tokens of a training sequence.
 CAPACITY = 2048
 
+#: Bytes of text that a worker tokenizes at a time, and words whose ids it remembers: less than elsewhere, as it stands beside an executor whose heap the stages before have filled.
+SLICE_BYTES, REMEMBERED = 1 << 20, 120_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages. Those without letters go, those without a language more likely than all
@@ -52,7 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids, packed into sequences: doc_id, piece, start, length, ids_crc32, sequence_id and offset. Very long texts are many pieces; null and empty ones are the end id alone."""
     release_memory()
-    return packing.pack_pieces(materialise(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY)), CAPACITY)
+    return packing.pack_pieces(materialise(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, slice_bytes=SLICE_BYTES, remembered=REMEMBERED)), CAPACITY)
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact), ("jaccard_join", near), ("source_mix", mix), ("best_fit", pack)]

@@ -70,12 +70,11 @@ _held: dict = {}
 def worker_memory(name=None, make=None):
     """What a worker process keeps between tasks of one operator, made when first asked for.
 
-    Python workers live on from one operator's tasks to the next one's: whatever other operators kept is let go.
+    Python workers live on from one operator's tasks to the next one's: whatever other operators kept is let go, and so is what those left that keep nothing.
     """
     if name not in _held:
-        if _held:
-            _held.clear()
-            release_memory()
+        _held.clear()
+        release_memory()
         _held[name] = make() if make else None
     return _held[name]
 

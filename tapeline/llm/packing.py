@@ -7,12 +7,13 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, shared_dir, shuffle_partitions, small_batches, table, text_or_empty, worker_memory
-from .tokens import PieceTexts, WordTexts, loaded
+from .tokens import CACHE, PieceTexts, WordTexts, loaded
 
 #: Pieces that one task packs together. A group wastes less than a bin, of some thousand.
 GROUP_PIECES = 8192
@@ -21,17 +22,27 @@ GROUP_PIECES = 8192
 BUFFER_TOKENS = 4_000_000
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def text_slices(batch: pa.RecordBatch, most: int | None):
+    """The batch in slices of about `most` bytes of its second column's text, a longer text in one of its own; whole if most is none."""
+    if not most or batch.num_rows < 2:
+        return [batch]
+    ends = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // most)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, slice_bytes: int | None = None, remembered: int = CACHE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every text's ids and end_id, cut into pieces of `capacity` if longer.
 
     Null and empty texts are the end_id alone. Rows without doc_id and repeated rows have pieces like others; a very long text is a batch of its
-    own, of some 100 bytes a word; extra columns are ignored; an empty table gives no rows.
+    own, of some 100 bytes a word; extra columns are ignored; an empty table gives no rows. With slice_bytes, a worker takes a batch's texts in slices of that
+    size, and with a smaller `remembered`, it keeps fewer words' ids: both take less memory and more time.
     """
     small_batches(docs.sparkSession)
 
     def run(batches):
-        words = loaded(WordTexts, tokenizer_path)
-        for batch in batches:
+        words = loaded(WordTexts, tokenizer_path, remembered)
+        for batch in (part for whole in batches for part in text_slices(whole, slice_bytes)):
             flat, n = words.ids(batch.column(1))
             ends = np.cumsum(n)
             out = np.empty(len(flat) + len(n), "<u4")

@@ -234,7 +234,7 @@ def words_stand_alone(spec: dict) -> bool:
 class WordTexts:
     """Ids of whole texts under a tokenizer of words that drops white space; texts are encoded whole where its parts don't prove that words stand alone."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -245,14 +245,15 @@ class WordTexts:
         self.merge = self.model.model.tokenize if self.splits else None
         self.runs: dict[str, array] = {"": array("I")}
         self.symbols = byte_symbols()
-        self.cache = PreTokens(self._encode_all)
+        self.remembered = remembered
+        self.cache = PreTokens(self._encode_all, size=remembered)
 
     def _whole(self, texts: list[str]) -> list[array]:
         return [array("I", e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A word of letters and then marks is two pre-tokens, remembered each for itself, letters in lower case: only the merges are left to the library. Other words go through the whole tokenizer."""
-        if len(self.runs) > CACHE:
+        if len(self.runs) > self.remembered:
             self.runs = {"": array("I")}
         runs, merge, symbols = self.runs, self.merge, self.symbols
         flat, n, odd = array("I"), [], []
@@ -294,9 +295,9 @@ class WordTexts:
         return flat, _sums(per_part, before)
 
 
-def loaded(kind, path: str):
+def loaded(kind, path: str, *settings):
     """The tokenizer of this worker process, with its cache."""
-    return worker_memory(("tokenizer", path), lambda: kind(path))
+    return worker_memory(("tokenizer", path, *settings), lambda: kind(path, *settings))
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:

@@ -70,3 +70,21 @@ def test_unlearned_languages_go(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
+
+
+def test_slices_of_texts_give_the_same_pieces(spark, odd):
+    """A worker that takes texts in slices and remembers few words makes the pieces of one that takes whole batches; the pipeline's does."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from tapeline.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    whole, sliced = (sorted(map(str, packing.token_pieces(docs, path, **how).collect())) for how in ({}, {"slice_bytes": 3000, "remembered": 50}))
+    assert whole == sliced and len(whole) > 200
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4, 5], "text": ["a" * 40, "b" * 70, "", "c" * 500, "d"]})
+    parts = packing.text_slices(batch, 100)
+    assert [r for p in parts for r in p.column(0).to_pylist()] == [1, 2, 3, 4, 5] and len(parts) == 3
+    assert packing.text_slices(batch, None) == [batch]
+    assert 0 < corpus_pipeline.SLICE_BYTES <= 1 << 20
