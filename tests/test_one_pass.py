@@ -55,3 +55,8 @@ def test_history_of_one_letter_is_written_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.unset(name)
     assert len(glob.glob(f"{tmp_path}/h/bucket=S/*.parquet")) > 1 and spark.read.parquet(f"{tmp_path}/h").count() == 60000
+
+
+def test_tasks_are_kept_below_the_shuffle_partitions_too(spark):
+    """Fewer tasks than shuffle partitions are a number as well, so that Spark doesn't merge them into larger ones, and no fewer than run at once."""
+    assert tasks_for(spark.range(100), 50) == spark.sparkContext.defaultParallelism
