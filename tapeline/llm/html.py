@@ -1,9 +1,10 @@
-"""Main text of web pages: blocks by markup, and differencing against the differing page with the nearest URL of the same host."""
+"""Main text of web pages: differencing against the differing page with the nearest URL of the same host, checked by markup."""
 
 from __future__ import annotations
 
 import re
 from html import unescape
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,9 @@ NEAR = 4
 #: Two pages that share this part of the longer one's characters are copies of each other.
 COPY = 0.8
 
+#: A line that articles share is the site's if at least this part of the host's differing articles do, of at least so many.
+SITE, LEAST = 0.9, 5
+
 #: Pages that a task takes together.
 RUN = 256
 
@@ -219,7 +223,10 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
 
 
 def common_lines(a: list[int], b: list[int]) -> np.ndarray:
-    """Which lines of a belong to a longest common subsequence with b. Bit-parallel: a row of bits per line of a."""
+    """Which lines of a belong to a longest common subsequence with b. Bit-parallel: a row of bits per line of a.
+
+    Between the lines that both begin and end with, only those that both have count. Of their rows one in sqrt(n) is held, and those between are made again on the way back.
+    """
     shared = np.zeros(len(a), bool)
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -229,38 +236,55 @@ def common_lines(a: list[int], b: list[int]) -> np.ndarray:
         tail += 1
     shared[:head] = True
     shared[len(a) - tail :] = True
-    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    mine, theirs = set(a[head : len(a) - tail]), set(b[head : len(b) - tail])
+    x = [i for i in range(head, len(a) - tail) if a[i] in theirs]
+    y = [v for v in b[head : len(b) - tail] if v in mine]
     where: dict[int, int] = {}
     for j, v in enumerate(y):
         where[v] = where.get(v, 0) | 1 << j
-    row, rows, full = (1 << len(y)) - 1, [], (1 << len(y)) - 1
-    for v in x:  # zero bits of a row mark the places where the subsequence of the lines so far grows
-        hit = row & where.get(v, 0)
-        row = ((row + hit) | (row - hit)) & full
-        rows.append(row)
+    full, step = (1 << len(y)) - 1, 1 + isqrt(len(x))
+
+    def grown(row, i):  # zero bits of a row mark the places where the subsequence of the lines so far grows
+        hit = row & where[a[i]]
+        return ((row + hit) | (row - hit)) & full
+
+    row, held = full, []
+    for k, i in enumerate(x):
+        if k % step == 0:
+            held.append(row)
+        row = grown(row, i)
     j = len(y)
-    for i in range(len(x) - 1, -1, -1):
-        upper = rows[i - 1] if i else full
-        while j and rows[i] >> (j - 1) & 1:
-            j -= 1
-        if not j:
-            break
-        if upper >> (j - 1) & 1:  # the subsequence ends here with this line
-            shared[head + i] = True
-            j -= 1
+    for n in range(len(held) - 1, -1, -1):
+        part = x[n * step : (n + 1) * step]
+        rows = [held[n]]
+        for i in part:
+            rows.append(grown(rows[-1], i))
+        for i, row, upper in zip(part[::-1], rows[:0:-1], rows[-2::-1]):
+            while j and row >> (j - 1) & 1:
+                j -= 1
+            if not j:
+                return shared
+            if upper >> (j - 1) & 1:  # the subsequence ends here with this line
+                shared[i] = True
+                j -= 1
     return shared
 
 
+def marks_article(found: list[tuple[str, str]]) -> bool:
+    return any(role == KEPT for role, _ in found)
+
+
 def main_text(found: list[tuple[str, str]], gone) -> str:
-    """Blocks of the article; on a page without one, the open blocks whose numbers aren't in `gone`."""
-    if any(role == KEPT for role, _ in found):
-        return " ".join(t for role, t in found if role == KEPT)
-    gone = set(gone)
-    return " ".join(t for k, (role, t) in enumerate(found) if role == OPEN and k not in gone)
+    """Blocks whose numbers aren't in `gone`: those of the article; on a page without one, the open blocks."""
+    kind, gone = KEPT if marks_article(found) else OPEN, set(gone)
+    return " ".join(t for k, (role, t) in enumerate(found) if role == kind and k not in gone)
 
 
 def differing(page: tuple, other: tuple) -> np.ndarray | None:
-    """Which lines of a page another one shares; none if they are copies. Pages are (path, lines, their characters)."""
+    """Which lines of a page another one shares; none if they are copies. Pages are (path, lines, their characters).
+
+    Lines outside the article of a page that marks one count as 0 characters, so that such pages are copies if their articles are.
+    """
     _, lines, size = page
     shared = common_lines(lines, other[1])
     return shared if sum(n for n, s in zip(size, shared) if s) < COPY * max(sum(size), sum(other[2])) else None
@@ -290,17 +314,17 @@ def _likeness(a: str, b: str) -> int:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page; text is the main text's blocks joined by a space, empty if there is none.
 
-    A page that marks its article shows what is main more surely than any neighbour does: there the blocks of the article
-    are the text, also those that other pages share. On a page without one, the open blocks are the text, but for those
-    that are the site's: pages stand in the order of host, path and content, and the page is aligned by longest common
+    Every page with text is differenced: pages stand in the order of host, path and content, and the page is aligned by longest common
     subsequence with the differing one, among the NEAR before and after it on its host, whose path is most like its own
-    (see shared_lines); the lines they share go. Where these all are its copies, the page is compared with pages farther off (see farther),
-    so that only a page whose host has nothing but copies of it keeps all its text.
+    (see shared_lines). Where these all are its copies, the page is compared with pages farther off (see farther),
+    so that only a page whose host has nothing but copies of it keeps all its text. Markup then checks what is left: site furniture goes, whether pages
+    share it or not. On a page without an article, the shared lines go. On a page that marks one, what lies outside goes, and a shared line inside
+    goes if most articles of the host share it; else articles quote it, and it stays (see site_articles).
 
     Pages travel as hashes of their blocks, equal ones of a path once; runs of RUN places, with NEAR pages around them, are
     dealt to tasks, so a host or path of any size is split. What goes is joined back to the pages by what they hold. Null html has no text;
-    null and odd urls share the empty host. Very long pages are one row of a batch; a page of n blocks takes n * n bits
-    where its first and last lines differ from its neighbour's. Equal rows get equal texts; extra columns are ignored; an empty table gives no rows.
+    null and odd urls share the empty host. Very long pages are one row of a batch; n lines that a page and its neighbour both have, but for
+    the first and last ones, take about 2 * n * sqrt(n) bits and a time of n * n. Equal rows get equal texts; extra columns are ignored; an empty table gives no rows.
     """
     spark = pages.sparkSession
     small_batches(spark, 500)
@@ -313,31 +337,48 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
 
 def site_lines(rows: DataFrame) -> DataFrame:
-    """host, path, what (a page's content) and gone: the numbers of blocks that the nearest differing page shares, for pages without an article that have such."""
+    """host, path, what (a page's content) and gone: the numbers of blocks that are the site's by differencing and its check, for pages that have such."""
     parts = shuffle_partitions(rows.sparkSession)
-    light = rows.select("host", "path", "what", "html").mapInArrow(_hashes, "host string, path string, what long, asks boolean, lines binary, size binary")
-    light = light.groupBy("host", "path", "what").agg(F.first("asks").alias("asks"), F.first("lines").alias("lines"), F.first("size").alias("size"))
+    light = rows.select("host", "path", "what", "html").mapInArrow(_hashes, "host string, path string, what long, asks boolean, marks boolean, lines binary, size binary")
+    light = light.groupBy("host", "path", "what").agg(*[F.first(c).alias(c) for c in ("asks", "marks", "lines", "size")])
     placed = numbered(light, "host", "path", "what")
     run = lambda by: F.floor((F.col("pos") + by) / RUN)
     dealt = placed.withColumn("run", F.explode(F.array_distinct(F.array(run(-NEAR), run(0), run(NEAR)))))
-    dealt = dealt.select("run", "pos", (F.col("asks") & (F.col("run") == run(0))).alias("asks"), "host", "path", "what", "lines", "size")
+    dealt = dealt.select("run", "pos", (F.col("asks") & (F.col("run") == run(0))).alias("asks"), "host", "path", "what", "marks", "lines", "size")
     dealt = dealt.repartition(parts, "run").sortWithinPartitions("run", "pos")
-    found = materialise(dealt.mapInArrow(_differences, "host string, path string, what long, gone array<int>, pos long"))
-    pending = found.filter("gone is null").select("pos")
+    found = materialise(dealt.mapInArrow(_differences, f"host string, path string, what long, marks boolean, voice long, {SHARED}, pos long"))
+    told = found.filter("gone is not null").drop("pos")
+    pending = found.filter("gone is null").select("pos", "voice")
     if not pending.isEmpty():
-        found = found.filter("gone is not null").unionByName(farther(placed, pending))
-    return found.filter("size(gone) > 0").drop("pos")
+        told = told.unionByName(farther(placed, pending))
+    told = told.filter("size(gone) > 0")
+    gone = told.filter("not marks").select("host", "path", "what", "gone").unionByName(site_articles(told.filter("marks"), found))
+    return materialise(gone)  # its size is known then, so that whole pages aren't shuffled to meet few rows
+
+
+def site_articles(told: DataFrame, found: DataFrame) -> DataFrame:
+    """host, path, what and gone of the pages whose articles have lines of the site's: what is left of `told`, the lines that articles share.
+
+    A line is the site's if SITE of the host's differing articles share it, of LEAST at least. An article has a voice in
+    this if it differs from the page before it on its host, and equal articles have one together, so copies that follow each other count once.
+    """
+    heard = found.groupBy("host").agg(F.count_distinct("voice").alias("articles")).filter(F.col("articles") >= LEAST)
+    lines = told.filter("voice is not null").select("host", "voice", F.explode("told").alias("line"))
+    lines = lines.groupBy("host", "line").agg(F.count_distinct("voice").alias("n")).filter(F.col("n") >= SITE * LEAST)
+    site = lines.join(heard, "host").filter(F.col("n") >= SITE * F.col("articles")).select("host", "line")
+    asked = told.select("host", "path", "what", F.explode(F.arrays_zip("gone", "told")).alias("at")).select("host", "path", "what", F.col("at.gone").alias("gone"), F.col("at.told").alias("line"))
+    return asked.join(site, ["host", "line"], "left_semi").groupBy("host", "path", "what").agg(F.collect_list("gone").alias("gone"))
 
 
 def farther(placed: DataFrame, pending: DataFrame) -> DataFrame:
-    """host, path, what, gone and pos of the pending pages, whose NEAR neighbours all are their copies, for those that find a differing page.
+    """host, path, what, marks, voice, gone and told of the pending pages, whose NEAR neighbours all are their copies, for those that find a differing page.
 
     Pages that are copies of the page before them stand for nothing new: of each such row of copies only the first, its head, is a candidate. A page
     is compared with its own head and the heads around it, NEAR on each side, and those that differ from none of them with twice as many each
     round, until their host has no more. So a host of a million copies and one other page takes two rounds.
     """
     parts = shuffle_partitions(placed.sparkSession)
-    mine = materialise(placed.join(placed.join(pending, "pos", "left_semi").select("host").distinct(), "host", "left_semi").select("host", "path", "what", "lines", "size", "pos"))
+    mine = materialise(placed.join(placed.join(pending, "pos", "left_semi").select("host").distinct(), "host", "left_semi").select("host", "path", "what", "marks", "lines", "size", "pos"))
     run = F.floor(F.col("pos") / RUN)
     pairs = mine.withColumn("run", F.explode(F.array_distinct(F.array(run, F.floor((F.col("pos") + 1) / RUN)))))
     pairs = pairs.repartition(parts, "run").sortWithinPartitions("run", "pos").select("run", "pos", "host", "path", "lines", "size")
@@ -345,15 +386,16 @@ def farther(placed: DataFrame, pending: DataFrame) -> DataFrame:
     heads = materialise(running(materialise(heads), "host", [F.col("pos")], {"before": F.col("head")}).select("pos", "head", (F.col("before") + F.col("head") - 1).alias("number")))
     mine = mine.join(heads, "pos")
     candidates = materialise(mine.filter("head = 1").select("host", "number", *[F.col(c).alias(f"other_{c}") for c in ("path", "lines", "size")]))
-    left = materialise(mine.join(pending, "pos", "left_semi").drop("head").withColumnRenamed("number", "own"))
+    left = materialise(mine.join(pending, "pos").drop("head").withColumnRenamed("number", "own"))
     done, inner, outer = None, 0, NEAR + 1
     while not left.isEmpty():
         steps = F.array(*[F.lit(d) for d in range(1 - outer, outer) if abs(d) >= inner]) if outer <= 64 else F.filter(F.sequence(F.lit(1 - outer), F.lit(outer - 1)), lambda d: F.abs(d) >= inner)
         tried = left.withColumn("step", F.explode(steps)).withColumn("number", F.col("own") + F.col("step")).join(candidates, ["host", "number"])
-        tried = tried.select("pos", "step", "path", "lines", "size", "other_path", "other_lines", "other_size").mapInArrow(_tried, "pos long, likeness int, step int, gone array<int>")
+        tried = tried.select("pos", "step", "marks", "path", "lines", "size", "other_path", "other_lines", "other_size").mapInArrow(_tried, f"pos long, likeness int, step int, {SHARED}")
         order = F.struct(-F.col("likeness"), F.abs("step"), F.col("step"))
-        tried = materialise(tried.groupBy("pos").agg(F.min_by("gone", F.when(F.col("gone").isNotNull(), order)).alias("gone")))
-        told = left.join(tried.filter("gone is not null"), "pos").select("host", "path", "what", "gone", "pos")
+        tried = tried.groupBy("pos").agg(F.min_by(F.struct("gone", "told"), F.when(F.col("gone").isNotNull(), order)).alias("best"))
+        tried = materialise(tried.select("pos", "best.gone", "best.told"))
+        told = left.join(tried.filter("gone is not null"), "pos").select("host", "path", "what", "marks", "voice", "gone", "told")
         done = told if done is None else done.unionByName(told)
         left = materialise(left.join(tried.filter("gone is null"), "pos", "left_semi"))
         inner, outer = outer, 2 * outer
@@ -379,41 +421,63 @@ def _tried(batches):
         out = []
         for row in batch.to_pylist():
             page, other = _page(row), _page({k: row[f"other_{k}"] for k in ("path", "lines", "size")})
-            shared = differing(page, other)
-            out.append((row["pos"], _likeness(page[0], other[0]), row["step"], None if shared is None else np.flatnonzero(shared).tolist()))
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["pos", "likeness", "step", "gone"])
+            out.append((row["pos"], _likeness(page[0], other[0]), row["step"], *_shared(page, row["marks"], differing(page, other))))
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["pos", "likeness", "step", "gone", "told"])
 
 
 def _page(row: dict) -> tuple:
     return row["path"], np.frombuffer(row["lines"], "<u8").tolist(), np.frombuffer(row["size"], "<u4").tolist()
 
 
+#: What differencing finds of a page: the numbers of its shared lines, on a page that marks an article only those inside, and these lines' hashes. gone is null where all others are copies.
+SHARED = "gone array<int>, told array<long>"
+
+
+def _shared(page: tuple, marks: bool, shared: np.ndarray | None) -> tuple:
+    if shared is None:
+        return None, None
+    gone = [k for k in np.flatnonzero(shared).tolist() if page[2][k]]
+    return gone, np.array([page[1][k] for k in gone], "<u8").view("<i8").tolist() if marks else None
+
+
+def _voice(page: tuple, before: tuple | None) -> int | None:
+    """A hash of the page's article, if it differs from the page before."""
+    if before and differing(page, before) is None:
+        return None
+    article = np.array([line for line, n in zip(*page[1:]) if n], "<u8")
+    return int(np.uint64(xxhash.xxh3_64_intdigest(article.tobytes())).view(np.int64))
+
+
 def _hashes(batches):
     for batch in batches:
-        asks, lines, size = [], [], []
+        asks, marks, lines, size = [], [], [], []
         for page in batch.column(3).to_pylist():
             found = blocks(page)
-            asks.append(not any(role == KEPT for role, _ in found) and any(role == OPEN for role, _ in found))
+            asks.append(any(role in (KEPT, OPEN) for role, _ in found))
+            marks.append(marks_article(found))
             lines.append(np.array([xxhash.xxh3_64_intdigest(t) for _, t in found], "<u8").tobytes())
-            size.append(np.array([len(t) for _, t in found], "<u4").tobytes())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(asks, pa.bool_()), pa.array(lines, pa.binary()), pa.array(size, pa.binary())], ["host", "path", "what", "asks", "lines", "size"])
+            size.append(np.array([len(t) if role == KEPT or not marks[-1] else 0 for role, t in found], "<u4").tobytes())
+        told = [pa.array(asks, pa.bool_()), pa.array(marks, pa.bool_()), pa.array(lines, pa.binary()), pa.array(size, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *told], ["host", "path", "what", "asks", "marks", "lines", "size"])
 
 
 def _differences(batches):
-    """Rows by run and place; a run is compared once it is whole. gone is null where all neighbours are copies."""
-    names, kinds = ["host", "path", "what", "gone", "pos"], [pa.string(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.int64()]
+    """Rows by run and place; a run is compared once it is whole."""
+    names = ["host", "path", "what", "marks", "voice", "gone", "told", "pos"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()]
 
     def compare(rows):
-        out = []
+        out, pages = [], {}
         for k, row in enumerate(rows):
+            pages.pop(k - NEAR - 1, None)
             if row["asks"]:
-                near = [rows[k + d] for n in range(1, NEAR + 1) for d in (-n, n) if 0 <= k + d < len(rows)]
-                near = [_page(o) for o in near if o["host"] == row["host"]]
-                shared = shared_lines(_page(row), near)
+                around = [k, *[k + d for n in range(1, NEAR + 1) for d in (-n, n) if 0 <= k + d < len(rows) and rows[k + d]["host"] == row["host"]]]
+                page, *near = [pages.get(i) or pages.setdefault(i, _page(rows[i])) for i in around]
                 if near:
-                    out.append((row["host"], row["path"], row["what"], None if shared is None else np.flatnonzero(shared).tolist(), row["pos"]))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, kinds)], names)
+                    voice = _voice(page, pages[k - 1] if k - 1 in around else None) if row["marks"] else None
+                    out.append((row["host"], row["path"], row["what"], row["marks"], voice, *_shared(page, row["marks"], shared_lines(page, near)), row["pos"]))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(names), kinds)], names)
 
     held: list[dict] = []
     for batch in batches:

@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 
 import pytest
 
@@ -91,3 +92,48 @@ def test_pages_among_many_copies(spark):
     assert all("Home" in got[k] for k in range(200, 225))
     want = brute_texts(rows)
     assert {k: got[k] for k in (*range(30), *range(200, 225))} == {k: want[k] for k in (*range(30), *range(200, 225))}
+
+
+def test_lines_that_the_articles_of_a_site_share(spark):
+    """Articles are differenced too: what most articles of a host share goes, what some quote stays, and copies of an article tell nothing."""
+
+    def page(k, *lines):
+        return f"<nav>menu {k}</nav><article><h1>title {k}</h1>" + "".join(f"<p>{x}</p>" for x in lines) + f"</article><footer>foot {k}</footer>"
+
+    share, quote, story = "Share this story with all of your friends", "a passage that some quote", [f"line {n} of the same long story that is told again" for n in range(10)]
+    own = lambda k: f"what only page {k} has to tell, some {k * 7919} words of it"
+    body, pages = {}, []
+
+    def add(url, *lines, title=None):
+        k = len(pages)
+        body[k] = [f"title {k}" if title is None else title, *lines]
+        pages.append((k, url, page(k, *lines).replace(f"title {k}", body[k][0])))
+
+    for k in range(24):  # one page hasn't the site's line, and the page behind is aligned with it
+        add(f"http://site.org/{k:02}", own(k), *[quote] * (k % 3 == 0), *[share] * (k != 6), f"end {k}")
+    for k in range(4):
+        add(f"http://small.org/{k}", own(k), share)
+    for k in range(12):
+        add(f"http://copies.org/{k:02}", *story, title="the story")
+    for k in range(11):
+        add(f"http://near.org/{k:02}", *story, quote, f"end {k}", title="the story")
+    add("http://near.org/99", own(99), quote)
+    far = len(pages)
+    for k in range(8):
+        add(f"http://far.org/a/{k}", own(k), share)
+    for k in range(14):  # more copies than a page looks at in the first round
+        add(f"http://far.org/b/{k:02}", *story, share, title="the story")
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = {k: " ".join(x for x in lines if x != share or k == 7 or 24 <= k < far) for k, lines in body.items()}
+    assert got == want
+
+
+def test_alignment_of_long_pages_takes_little_memory():
+    rnd = random.Random(5)
+    a, b = ([rnd.randint(0, 5) for _ in range(12_000)] for _ in range(2))
+    tracemalloc.start()
+    shared = html.common_lines(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    it = iter(b)
+    assert peak < 8e6 and shared.sum() > 6_000 and all(x in it for x, s in zip(a, shared) if s)
