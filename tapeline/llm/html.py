@@ -24,7 +24,7 @@ NEAR = 4
 COPY = 0.8
 
 #: A line that articles share is the site's if at least this part of the host's differing articles do, of at least so many.
-SITE, LEAST = 0.9, 5
+SITE, LEAST = 0.9, 10
 
 #: Pages that a task takes together.
 RUN = 256

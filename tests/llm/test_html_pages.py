@@ -111,7 +111,7 @@ def test_lines_that_the_articles_of_a_site_share(spark):
 
     for k in range(24):  # one page hasn't the site's line, and the page behind is aligned with it
         add(f"http://site.org/{k:02}", own(k), *[quote] * (k % 3 == 0), *[share] * (k != 6), f"end {k}")
-    for k in range(4):
+    for k in range(9):  # too few to tell
         add(f"http://small.org/{k}", own(k), share)
     for k in range(12):
         add(f"http://copies.org/{k:02}", *story, title="the story")
@@ -119,7 +119,7 @@ def test_lines_that_the_articles_of_a_site_share(spark):
         add(f"http://near.org/{k:02}", *story, quote, f"end {k}", title="the story")
     add("http://near.org/99", own(99), quote)
     far = len(pages)
-    for k in range(8):
+    for k in range(10):
         add(f"http://far.org/a/{k}", own(k), share)
     for k in range(14):  # more copies than a page looks at in the first round
         add(f"http://far.org/b/{k:02}", *story, share, title="the story")
