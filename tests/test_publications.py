@@ -130,6 +130,16 @@ def test_case_alone_makes_no_other_event(spark):
     assert {r["id"]: r["keep"] for r in events.near_duplicates(e).collect()} == {1: True, 2: False}
 
 
+def test_contents_are_compared_to_their_ends(spark):
+    """Texts that begin alike for 10,000 characters and go on differently aren't duplicates; those that differ there and are alike behind are."""
+    rnd = random.Random(4)
+    some = lambda n: "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(n))
+    head, rest = some(10_000), some(40_000)
+    bodies = {1: head + some(40_000), 2: head + some(40_000), 3: some(10_000) + rest, 4: some(10_000) + rest}
+    e = spark.createDataFrame([(i, "A title", f"2024-01-0{(i + 1) // 2}", "", body, 1) for i, body in bodies.items()], "id long, title string, day string, url string, content string, attachments int")
+    assert {r["id"]: r["keep"] for r in events.near_duplicates(e).collect()} == {1: True, 2: True, 3: True, 4: False}
+
+
 @pytest.mark.parametrize("ratio", [0.625, 0.875, 0.95])
 def test_title_candidates_miss_no_pair_and_are_fewer(spark, ratio):
     """All pairs of a ratio or more are candidates; of titles that differ, far fewer than all pairs are."""
