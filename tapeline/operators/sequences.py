@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import without_leftovers
+
 #: The sequences looked for, scores of the trigger's sentiment.
 SEQUENCES = [
     ("AVE_1", ["LVLS", "HVHS", "LVLS", "HVHS"], [], False),
@@ -87,10 +89,15 @@ def walk_forward(frames: DataFrame, started: DataFrame, longest: int = 4) -> Dat
     return walk(started.drop(*AHEAD).join(bars, ["symbol", "timeframe", "trigger_period"]))
 
 
-def walk(started: DataFrame) -> DataFrame:
+#: The fields of an event that its walk tells.
+EVENT = ("stage_no", "period", "rule_evaluated", "matched", "action", "failure_reason", "metrics")
+
+
+def walk(started: DataFrame, hashed: bool = False) -> DataFrame:
     """The log of sequences whose triggers come from bars with_steps, so that bars and triggers are one pass and nothing is joined.
 
-    Bar T+k meets rules[k-1]. A sequence whose instrument has fewer than two bars pauses.
+    Bar T+k meets rules[k-1]. A sequence whose instrument has fewer than two bars pauses. If `hashed`, the log is as chain makes it, but hashes are
+    made while a sequence's events are one row, so that no event is shuffled.
     """
     met = F.transform(F.slice("steps", 1, F.size("rules")), lambda s: rule_met(F.element_at("rules", s["k"]), s["vol"], s["spread"]))
     joined = started.withColumn("met", met)
@@ -107,10 +114,21 @@ def walk(started: DataFrame) -> DataFrame:
     first = F.struct(F.lit(0).alias("stage_no"), F.col("trigger_period").alias("period"), F.concat(F.lit("EIGEN_TRIGGER_"), F.col("sentiment")).alias("rule_evaluated"), F.lit(True).alias("matched"), F.lit("INIT").alias("action"), F.lit("None").alias("failure_reason"), F.struct(none.alias("vol_delta_pct"), none.alias("spread_delta_pct"), none.alias("raw_vol"), none.alias("raw_spread")).alias("metrics"))
     pause = F.struct(F.lit(1).alias("stage_no"), F.col("trigger_period").alias("period"), F.element_at("rules", 1).alias("rule_evaluated"), F.lit(False).alias("matched"), F.lit("PAUSE").alias("action"), F.lit("Data Unavailable").alias("failure_reason"), first["metrics"].alias("metrics"))
     log = F.when(F.col("alone"), F.array(first, pause)).otherwise(F.concat(F.array(first), events))
-    out = joined.select("sequence_id", "symbol", "timeframe", "config_id", F.explode(log).alias("e")).select("sequence_id", "symbol", "timeframe", "config_id", "e.*")
-    stamp = F.concat("period", F.lit("T00:00:00Z"))
-    out = out.withColumn("timestamp", stamp).withColumn("stage", F.when(F.col("stage_no") == 0, "T").otherwise(F.concat(F.lit("T+"), F.col("stage_no").cast("string"))))
-    return out.withColumn("event_id", F.sha2(F.concat_ws("_", "sequence_id", "timestamp", "action", "stage"), 256)).withColumn("research_id", F.sha2(F.concat(F.lit("RESEARCH_"), F.col("sequence_id")), 256))
+    research = F.sha2(F.concat(F.lit("RESEARCH_"), F.col("sequence_id")), 256)
+
+    def told(e: Column) -> Column:
+        """An event with its time, stage and id."""
+        timestamp = F.concat(e["period"], F.lit("T00:00:00Z"))
+        stage = F.when(e["stage_no"] == 0, "T").otherwise(F.concat(F.lit("T+"), e["stage_no"].cast("string")))
+        event_id = F.sha2(F.concat_ws("_", F.col("sequence_id"), timestamp, e["action"], stage), 256)
+        return F.struct(*[e[c].alias(c) for c in EVENT], timestamp.alias("timestamp"), stage.alias("stage"), event_id.alias("event_id"))
+
+    key = ["sequence_id", "symbol", "timeframe", "config_id"]
+    if not hashed:
+        return joined.select(*key, F.explode(log).alias("e")).select(*key, told(F.col("e")).alias("e")).select(*key, "e.*").withColumn("research_id", research)
+    rows = joined.select(*key, F.transform(log, told).alias("events")).withColumn("h", _hashes("events", F.lit("")))
+    rows = rows.select(*key, "h", F.posexplode("events").alias("at", "e"))
+    return rows.select(*key, "e.*", research.alias("research_id"), F.element_at("h", F.col("at") + 1).alias("previous_hash"), F.element_at("h", F.col("at") + 2).alias("hash"))
 
 
 def _payload(e: Column) -> Column:
@@ -118,6 +136,12 @@ def _payload(e: Column) -> Column:
     return F.concat_ws("|", e["event_id"], e["stage"], e["action"], e["rule_evaluated"], e["matched"].cast("string"), e["failure_reason"], e["timestamp"])
 
 
+def _hashes(events: str, link: Column) -> Column:
+    """The hash that a sequence's events follow, and those of its events in their order."""
+    step = lambda acc, e: F.concat(acc, F.array(F.sha2(F.concat_ws("|", F.element_at(acc, -1), _payload(e)), 256)))
+    return F.aggregate(events, F.array(link), step)
+
+
 def _after(rows: DataFrame, states: DataFrame | None) -> DataFrame:
     """rows with _link, the hash that a sequence's first row follows: the last one of its stored state, or nothing."""
     if states is None:
@@ -132,9 +156,7 @@ def chain(log: DataFrame, states: DataFrame | None = None) -> DataFrame:
     """
     cols = [c for c in log.columns if c not in ("hash", "previous_hash")]
     seqs = log.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("stage_no", *[c for c in cols if c not in ("stage_no", "sequence_id")]))).alias("events"))
-    step = lambda acc, e: F.concat(acc, F.array(F.sha2(F.concat_ws("|", F.element_at(acc, -1), _payload(e)), 256)))
-    hashes = F.aggregate("events", F.array("_link"), step)
-    rows = _after(seqs, states).select("sequence_id", F.posexplode("events").alias("at", "e"), hashes.alias("h"))
+    rows = _after(seqs, states).select("sequence_id", F.posexplode("events").alias("at", "e"), _hashes("events", F.col("_link")).alias("h"))
     return rows.select("sequence_id", "e.*", F.element_at("h", F.col("at") + 1).alias("previous_hash"), F.element_at("h", F.col("at") + 2).alias("hash")).select(*cols, "previous_hash", "hash")
 
 
@@ -147,7 +169,8 @@ def verify_chain(chained: DataFrame, states: DataFrame | None = None) -> DataFra
     link = F.coalesce(F.lag("hash").over(w), F.col("_link"))
     fields = F.struct("event_id", "stage", "action", "rule_evaluated", "matched", "failure_reason", "timestamp")
     again = F.sha2(F.concat_ws("|", "previous_hash", _payload(fields)), 256)
-    return _after(chained, states).withColumn("intact", (F.col("previous_hash") == link) & (F.col("hash") == again)).drop("_link")
+    own = chained.withColumn("_own", F.col("hash") == again)  # before rows are shuffled, so that what only the hash covers needn't be
+    return _after(own, states).withColumn("intact", (F.col("previous_hash") == link) & F.col("_own")).drop("_link", "_own")
 
 
 #: What fold_states keeps of a sequence: enough to go on from, and no event.
@@ -239,10 +262,21 @@ def checkpointed(spark: SparkSession, place: str) -> int | None:
     return max((int(p.getName().split("=")[1]) for p in done if p.getName().startswith("upto=")), default=None)
 
 
-def stored_states(spark: SparkSession, place: str) -> DataFrame | None:
-    """The merged states of a checkpoint's increments, of those that were written to their end."""
+def _increments(spark: SparkSession, place: str) -> DataFrame | None:
+    """The states of a checkpoint's increments, of those that were written to their end."""
     upto = checkpointed(spark, place)
-    return None if upto is None else merge_states(spark.read.parquet(place).filter(F.col("upto") <= upto).drop("upto"))
+    return None if upto is None else spark.read.parquet(place).filter(F.col("upto") <= upto).drop("upto")
+
+
+def stored_states(spark: SparkSession, place: str) -> DataFrame | None:
+    """The merged states of a checkpoint's increments."""
+    parts = _increments(spark, place)
+    return None if parts is None else merge_states(parts)
+
+
+def _links(parts: DataFrame | None) -> DataFrame | None:
+    """sequence_id and last_hash of states, to verify what follows, without the rest of them. (Behind a bad event nothing counts, whatever it is held against.)"""
+    return None if parts is None else parts.groupBy("sequence_id").agg(F.max_by("last_hash", "last_stage").alias("last_hash"))
 
 
 def tail(log: DataFrame, place: str, offset: str = "offset") -> DataFrame:
@@ -257,10 +291,10 @@ def resume(log: DataFrame, place: str, offset: str = "offset") -> DataFrame:
     `offset` numbers the log's events in the order they were appended. If events carry hashes, the tail must follow the stored last hashes.
     """
     spark = log.sparkSession
-    before, rest = stored_states(spark, place), tail(log, place, offset)
+    parts, rest = _increments(spark, place), tail(log, place, offset)
     if "hash" in log.columns:
-        rest = verify_chain(rest, before)
-    return fold_states(rest) if before is None else merge_states(before, fold_states(rest))
+        rest = verify_chain(rest, _links(parts))
+    return fold_states(rest) if parts is None else merge_states(parts, fold_states(rest))
 
 
 def checkpoint(log: DataFrame, place: str, offset: str = "offset") -> int | None:
@@ -271,8 +305,9 @@ def checkpoint(log: DataFrame, place: str, offset: str = "offset") -> int | None
     spark = log.sparkSession
     upto = tail(log, place, offset).agg(F.max(offset)).first()[0]
     if upto is not None:
-        rest, before = tail(log, place, offset).filter(F.col(offset) <= upto), stored_states(spark, place)
-        fold_states(verify_chain(rest, before) if "hash" in log.columns else rest).write.mode("overwrite").parquet(f"{place}/upto={upto}")
+        rest, before = tail(log, place, offset).filter(F.col(offset) <= upto), _links(_increments(spark, place))
+        with without_leftovers(spark):
+            fold_states(verify_chain(rest, before) if "hash" in log.columns else rest).write.mode("overwrite").option("compression", "zstd").parquet(f"{place}/upto={upto}")
     return checkpointed(spark, place)
 
 

@@ -39,10 +39,10 @@ def end_frames(spark, d):
     return out
 
 
-def log(spark, d):
+def log(spark, d, hashed=False):
     """Triggers and steps come from the same pass over the candles, so nothing is stored or joined."""
     f = sequences.with_steps(frames(spark, d))
-    return sequences.walk(sequences.triggers(timeframes.eigen(f), sequences.sequence_config(spark)))
+    return sequences.walk(sequences.triggers(timeframes.eigen(f), sequences.sequence_config(spark)), hashed)
 
 
 IND_COLS = ["spread", "close_position", "volume_ma", "spread_ma", "close_ma", "support", "resistance", "price_trend", "is_up", "is_down", "is_doji", "prev_volume", "prev_spread", "vol_pct", "spr_pct", "effort"]
@@ -310,7 +310,7 @@ def _resumed(spark, d):
 
     Events of a timestamp are appended together: the offset is the number of events with earlier ones, told by a row per timestamp, so the log is stored once and not ordered.
     """
-    stored = materialise(sequences.chain(log(spark, d).drop("research_id")))
+    stored = materialise(log(spark, d, hashed=True).drop("research_id"), codec="zstd")  # mostly hashes in hexadecimal digits, which take half of their room
     counts = stored.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1))
     offsets = materialise(counts.select("timestamp", "n", F.coalesce(before, F.lit(0)).alias("offset")))

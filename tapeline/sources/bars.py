@@ -159,13 +159,15 @@ def bars_from_trades(trades: DataFrame, by_symbol: bool = True, tasks: int | Non
     false, trades of a symbol and day are combined before they are dealt by both: for data with many trades a day or a hot symbol.
     `tasks` is the number of tasks that symbols are dealt to, by default the session's.
     """
+    raw = ("l_extendedprice", "l_quantity", "l_tax", "l_discount", "l_orderkey", "l_linenumber", "l_partkey")
+    rows = trades.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), F.to_date("l_shipdate").alias("date"), *raw)
+    if by_symbol:  # what is computed from a trade's columns takes more room than they do, so it is computed behind the shuffle
+        rows = rows.repartition(tasks, "symbol") if tasks else rows.repartition("symbol")
     price = F.try_divide("l_extendedprice", "l_quantity")
-    rows = trades.select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), F.to_date("l_shipdate").alias("date"), price.alias("p"), "l_quantity",
-        (price * (1 + F.col("l_tax"))).alias("up"), (price * (1 - F.col("l_discount"))).alias("down"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("tick"),
+    rows = rows.select(
+        "symbol", "date", price.alias("p"), "l_quantity", (price * (1 + F.col("l_tax"))).alias("up"), (price * (1 - F.col("l_discount"))).alias("down"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("tick"),
     )
-    if by_symbol:
-        rows = rows.repartition(tasks, "symbol") if tasks else rows.repartition("symbol")
     bars = rows.groupBy("symbol", "date").agg(
         F.min_by("p", "tick").alias("open"), F.max("up").alias("high"), F.min("down").alias("low"), F.max_by("p", "tick").alias("close"), F.sum("l_quantity").alias("volume")
     )

@@ -1,5 +1,7 @@
 """Sequence states that resume: every cut, every grouping of parts, tampered events, increments and what a tail reads."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,14 @@ def test_a_tail_reads_only_what_is_behind_the_checkpoint(spark, whole):
     sequences.checkpoint(whole.filter(F.col("offset") < n // 2), place)
     plan = sequences.tail(whole, place)._jdf.queryExecution().toString()
     assert f"GreaterThan(offset,{n // 2 - 1})" in plan and sequences.tail(whole, place).count() == n - n // 2
+
+
+def test_hashes_are_made_without_shuffling_events(spark):
+    """The hashed walk is the chained one, row by row, and its only exchange is that of the trades; a stored table leaves no shuffle files."""
+    log = bar_queries.log(spark, DATA, hashed=True)
+    assert rows(log.select(sorted(log.columns))) == rows((made := sequences.chain(bar_queries.log(spark, DATA))).select(sorted(made.columns)))
+    assert log._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    files = lambda: {f for top, _, names in os.walk(spark.conf.get("spark.local.dir")) for f in names if f.startswith("shuffle_")}
+    before = files()
+    materialise(log.groupBy("symbol").count())
+    assert files() <= before
